@@ -83,3 +83,85 @@ ORACLE["tick_volume"] = q(
 ORACLE["market_closed"] = q(
     f"SELECT event_id, ts, {closed('ts')} AS closed FROM ev"
 )
+
+
+def hash_sql() -> str:
+    parts = ["strftime(timestamp, '%Y-%m-%dT%H:%M:%S+00:00')"] + [
+        f"CAST({c} AS VARCHAR)" for c in ("open", "high", "low", "close", "volume")
+    ] + ["source"]
+    return "sha256(" + " || '|' || ".join(parts) + ")"
+
+
+BAD_SQL = "(high < greatest(open, close) OR low > least(open, close) OR high < low OR volume < 0)"
+OHLC_BAD_SQL = "(high < greatest(open, close) OR low > least(open, close) OR high < low)"
+
+BATCH_CTES = f""",
+batch1 AS (
+  SELECT pair, slot, timestamp, open,
+         CASE WHEN minute(timestamp) % 13 = 0 THEN low ELSE high END AS high,
+         CASE WHEN minute(timestamp) % 13 = 0 THEN high ELSE low END AS low,
+         close,
+         CASE WHEN minute(timestamp) % 31 = 0 THEN -1.0 ELSE volume END AS volume,
+         source
+  FROM bars
+),
+batch2 AS (
+  SELECT pair, slot, timestamp, open, high, low, close + 0.01 AS close, volume, source
+  FROM bars WHERE minute(timestamp) % 10 = 0
+),
+stamped AS (
+  SELECT *, TIMESTAMP '{KNOWLEDGE_TIME_1}' AS knowledge_time, {hash_sql()} AS bar_hash FROM bars
+),
+stamped1 AS (
+  SELECT *, TIMESTAMP '{KNOWLEDGE_TIME_1}' AS knowledge_time, {hash_sql()} AS bar_hash FROM batch1
+),
+stamped2 AS (
+  SELECT *, TIMESTAMP '{KNOWLEDGE_TIME_2}' AS knowledge_time, {hash_sql()} AS bar_hash FROM batch2
+),
+union_sn AS (
+  SELECT pair, CAST(NULL AS TIMESTAMP) AS slot, timestamp, open, high, low, close, volume, source,
+         knowledge_time, bar_hash, 0 AS is_new FROM stamped
+  UNION ALL
+  SELECT pair, slot, timestamp, open, high, low, close, volume, source,
+         knowledge_time, bar_hash, 1 AS is_new FROM stamped2
+),
+store1 AS (SELECT * FROM stamped1 WHERE NOT {BAD_SQL}),
+union12 AS (
+  SELECT pair, CAST(NULL AS TIMESTAMP) AS slot, timestamp, open, high, low, close, volume, source,
+         knowledge_time, bar_hash, 0 AS is_new FROM store1
+  UNION ALL
+  SELECT pair, slot, timestamp, open, high, low, close, volume, source,
+         knowledge_time, bar_hash, 1 AS is_new FROM stamped2
+),
+store2 AS (
+  SELECT * FROM union12
+  QUALIFY row_number() OVER (PARTITION BY pair, timestamp
+            ORDER BY is_new, slot DESC NULLS LAST, bar_hash, open, high, low, close, volume) = 1
+)
+"""
+
+STORE_COLS = (
+    "timestamp, open, high, low, close, volume, source, knowledge_time, bar_hash, pair, "
+    "CAST(year(timestamp) AS INTEGER) AS year"
+)
+
+
+def qb(body: str) -> str:
+    return BASE + BATCH_CTES + body
+
+
+ORACLE["bars_valid"] = qb(f"SELECT * FROM batch1 WHERE NOT {BAD_SQL}")
+ORACLE["bars_rejected"] = qb(f"SELECT * FROM batch1 WHERE {BAD_SQL}")
+ORACLE["stamp_bars"] = qb("SELECT * FROM stamped")
+ORACLE["bar_hash"] = qb(f"SELECT pair, timestamp, {hash_sql()} AS bar_hash FROM bars")
+ORACLE["bars_union"] = qb("SELECT * FROM union_sn")
+ORACLE["bars_dedup"] = qb(
+    "SELECT * FROM union_sn QUALIFY row_number() OVER (PARTITION BY pair, timestamp "
+    "ORDER BY is_new, slot DESC NULLS LAST, bar_hash, open, high, low, close, volume) = 1"
+)
+ORACLE["bar_sink_roundtrip"] = qb(f"SELECT {STORE_COLS} FROM stamped WHERE NOT {BAD_SQL}")
+ORACLE["pair_filter"] = qb(
+    f"SELECT {STORE_COLS} FROM stamped WHERE NOT {BAD_SQL} AND pair IN ('EURUSD', 'USDJPY')"
+)
+ORACLE["bar_scan"] = qb(f"SELECT {STORE_COLS} FROM store1")
+ORACLE["merge_bars"] = qb(f"SELECT {STORE_COLS} FROM store2 WHERE NOT {BAD_SQL}")

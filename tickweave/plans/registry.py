@@ -74,3 +74,116 @@ def q_market_closed(spark, sf_dir):
     ev = FX.read_table(spark, sf_dir, "events")
     ts = F.col("ts").cast("timestamp")
     return ev.select("event_id", ts.alias("ts"), market_closed(ts).alias("closed"))
+
+
+# ------------------------------------------------- integrity, stamps, hashes
+
+
+def _batches(spark, sf_dir):
+    """(batch 1, batch 2) of the merge fixture: bad bars, then re-deliveries."""
+    bars = fixture_bars(spark, sf_dir)
+    return FX.bad_bars(bars), FX.duplicate_copies(bars)
+
+
+@register("bars_valid")
+def q_bars_valid(spark, sf_dir):
+    """Bars passing the integrity checks."""
+    return B.bars_valid(_batches(spark, sf_dir)[0])
+
+
+@register("bars_rejected")
+def q_bars_rejected(spark, sf_dir):
+    """Bars failing the integrity checks."""
+    return B.bars_rejected(_batches(spark, sf_dir)[0])
+
+
+@register("stamp_bars")
+def q_stamp_bars(spark, sf_dir):
+    """Knowledge-time stamp (with the hash it precedes)."""
+    return B.stamp_bars(fixture_bars(spark, sf_dir), FX.KNOWLEDGE_TIME_1)
+
+
+@register("bar_hash")
+def q_bar_hash(spark, sf_dir):
+    """Content hash per bar."""
+    bars = fixture_bars(spark, sf_dir)
+    return bars.select("pair", "timestamp", B.bar_hash().alias("bar_hash"))
+
+
+def _stored_and_new(spark, sf_dir):
+    bars = fixture_bars(spark, sf_dir)
+    stored = (
+        B.stamp_bars(bars, FX.KNOWLEDGE_TIME_1)
+        .withColumn("slot", F.lit(None).cast("timestamp"))
+        .withColumn("is_new", F.lit(0))
+    )
+    new = B.stamp_bars(FX.duplicate_copies(bars), FX.KNOWLEDGE_TIME_2).withColumn("is_new", F.lit(1))
+    return stored, new
+
+
+@register("bars_union")
+def q_bars_union(spark, sf_dir):
+    """G1: stored bars + re-delivered bars, union all by name."""
+    stored, new = _stored_and_new(spark, sf_dir)
+    return B.union_bars(stored, new)
+
+
+@register("bars_dedup")
+def q_bars_dedup(spark, sf_dir):
+    """Keep-first per (pair, timestamp): stored wins over re-delivered."""
+    stored, new = _stored_and_new(spark, sf_dir)
+    return B.dedup_bars(B.union_bars(stored, new))
+
+
+# ----------------------------------------------------------------- bar store
+
+
+def _roundtrip_store(spark, sf_dir) -> str:
+    from ..session import scratch_path
+    from ..sources.barstore import write_store
+
+    root = scratch_path(spark, "bars")
+    write_store(B.stamp_bars(B.bars_valid(fixture_bars(spark, sf_dir)), FX.KNOWLEDGE_TIME_1), root)
+    return root
+
+
+@register("bar_sink_roundtrip")
+def q_bar_sink_roundtrip(spark, sf_dir):
+    """A5: valid stamped bars written to the partitioned store and read back."""
+    from ..sources.barstore import read_store
+
+    return read_store(spark, _roundtrip_store(spark, sf_dir))
+
+
+@register("pair_filter")
+def q_pair_filter(spark, sf_dir):
+    """A pair selection pruned to the pair partitions."""
+    from ..sources.barstore import read_store
+
+    return read_store(spark, _roundtrip_store(spark, sf_dir), pairs=["EURUSD", "USDJPY"])
+
+
+@register("bar_scan")
+def q_bar_scan(spark, sf_dir):
+    """A4: scan of a store built by one merge (batch 1, rejects dropped)."""
+    from ..session import scratch_path
+    from ..sources.barstore import read_store
+    from .merge import merge_bars
+
+    root = scratch_path(spark, "bars")
+    merge_bars(spark, _batches(spark, sf_dir)[0], root, FX.KNOWLEDGE_TIME_1)
+    return read_store(spark, root)
+
+
+@register("merge_bars")
+def q_merge_bars(spark, sf_dir):
+    """Two merges (bad bars, then re-deliveries) and the final store."""
+    from ..session import scratch_path
+    from ..sources.barstore import read_store
+    from .merge import merge_bars
+
+    root = scratch_path(spark, "bars")
+    b1, b2 = _batches(spark, sf_dir)
+    merge_bars(spark, b1, root, FX.KNOWLEDGE_TIME_1)
+    merge_bars(spark, b2, root, FX.KNOWLEDGE_TIME_2)
+    return read_store(spark, root)
