@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.prices import total_volume
 from ..functions.text import float_repr, hash_time_text
+from ..session import ts_lit
 from ..sources.instruments import DEFAULT_SOURCE
 
 BAR_VALUE_COLUMNS = ["open", "high", "low", "close", "volume"]
@@ -98,7 +99,7 @@ def stamp_bars(bars: DataFrame, knowledge_time: dt.datetime | str | None = None)
     elif isinstance(knowledge_time, str):
         kt = F.to_timestamp(F.lit(knowledge_time))
     else:
-        kt = F.lit(knowledge_time).cast("timestamp")
+        kt = ts_lit(knowledge_time)
     return bars.withColumn("knowledge_time", kt).withColumn("bar_hash", bar_hash())
 
 

@@ -165,3 +165,113 @@ ORACLE["pair_filter"] = qb(
 )
 ORACLE["bar_scan"] = qb(f"SELECT {STORE_COLS} FROM store1")
 ORACLE["merge_bars"] = qb(f"SELECT {STORE_COLS} FROM store2 WHERE NOT {BAD_SQL}")
+
+
+SLOT_PARTS_SQL = (
+    "CAST(year(slot) AS SMALLINT) AS year, CAST(month(slot) AS TINYINT) AS month, "
+    "CAST(day(slot) AS TINYINT) AS day, CAST(hour(slot) AS TINYINT) AS hour"
+)
+
+SLOT_CTES = f""",
+rng AS (
+  SELECT date_trunc('day', min(ts)) AS start,
+         date_trunc('day', max(ts)) + INTERVAL 1 DAY AS as_of FROM ev
+),
+hours AS (
+  SELECT unnest(generate_series(start, as_of - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS slot FROM rng
+),
+expected AS (
+  SELECT i.pair, i.pair_ord, h.slot,
+         CAST(year(h.slot) AS SMALLINT) AS year, CAST(month(h.slot) AS TINYINT) AS month,
+         CAST(day(h.slot) AS TINYINT) AS day, CAST(hour(h.slot) AS TINYINT) AS hour,
+         (epoch_us(h.slot) - (SELECT epoch_us(start) FROM rng)) // 3600000000 AS idx
+  FROM hours h CROSS JOIN instruments i
+  WHERE NOT {closed('h.slot')}
+),
+tick_slots AS (SELECT DISTINCT pair, slot FROM raw_ticks),
+catalog0 AS (
+  SELECT e.pair, e.year, e.month, e.day, e.hour,
+         CASE WHEN t.pair IS NOT NULL THEN 'fetched'
+              WHEN e.idx % 17 = 0 THEN 'no_data'
+              WHEN e.idx % 29 = 0 THEN 'error' END AS status,
+         (SELECT as_of FROM rng) AS fetched_at
+  FROM expected e LEFT JOIN tick_slots t ON e.pair = t.pair AND e.slot = t.slot
+),
+catalog AS (SELECT * FROM catalog0 WHERE status IS NOT NULL),
+updates AS (
+  SELECT pair, year, month, day, hour, 'error' AS status,
+         (SELECT as_of FROM rng) + INTERVAL 1 HOUR AS fetched_at, 1 AS update_seq
+  FROM expected WHERE idx % 5 = 0
+  UNION ALL
+  SELECT pair, year, month, day, hour, 'fetched' AS status,
+         (SELECT as_of FROM rng) + INTERVAL 2 HOUR AS fetched_at, 2 AS update_seq
+  FROM expected WHERE idx % 10 = 0
+),
+upserted AS (
+  SELECT pair, year, month, day, hour, status, fetched_at FROM (
+    SELECT *, 0 AS src, 0 AS seq FROM catalog
+    UNION ALL
+    SELECT pair, year, month, day, hour, status, fetched_at, 1 AS src, update_seq AS seq FROM updates
+  ) QUALIFY row_number() OVER (PARTITION BY pair, year, month, day, hour ORDER BY src DESC, seq DESC) = 1
+),
+pending AS (
+  SELECT e.* FROM expected e
+  WHERE NOT EXISTS (SELECT 1 FROM catalog c WHERE c.pair = e.pair AND c.year = e.year
+                    AND c.month = e.month AND c.day = e.day AND c.hour = e.hour)
+),
+quota AS (
+  SELECT pair, pair_ord,
+         CAST({{max_hours}} // n + CASE WHEN rn <= {{max_hours}} % n THEN 1 ELSE 0 END AS INTEGER) AS quota
+  FROM (SELECT i.pair, i.pair_ord, row_number() OVER (ORDER BY i.pair_ord) AS rn, count(*) OVER () AS n
+        FROM instruments i WHERE i.pair IN (SELECT DISTINCT pair FROM catalog))
+),
+next_batch AS (
+  SELECT p.pair, q.pair_ord, p.slot, p.year, p.month, p.day, p.hour, p.rank FROM (
+    SELECT pair, slot, year, month, day, hour,
+           CAST(row_number() OVER (PARTITION BY pair ORDER BY slot DESC) AS INTEGER) AS rank
+    FROM pending) p JOIN quota q ON p.pair = q.pair
+  WHERE p.rank <= q.quota
+),
+error_batch AS (
+  SELECT p.pair, q.pair_ord, p.slot, p.year, p.month, p.day, p.hour, p.rank FROM (
+    SELECT pair, make_timestamp(year, month, day, hour, 0, 0) AS slot, year, month, day, hour,
+           CAST(row_number() OVER (PARTITION BY pair ORDER BY year DESC, month DESC, day DESC, hour DESC) AS INTEGER) AS rank
+    FROM catalog WHERE status = 'error') p JOIN quota q ON p.pair = q.pair
+  WHERE p.rank <= q.quota
+)
+"""
+
+_QUOTA = 100
+
+
+def qs(body: str) -> str:
+    return BASE + SLOT_CTES.replace("{max_hours}", str(_QUOTA)) + body
+
+
+ORACLE["expected_slots"] = qs("SELECT pair, pair_ord, slot, year, month, day, hour FROM expected")
+ORACLE["catalog_scan"] = qs("SELECT * FROM catalog")
+ORACLE["pending_slots"] = qs("SELECT pair, pair_ord, slot, year, month, day, hour FROM pending")
+ORACLE["slot_status"] = qs(
+    "SELECT e.pair, e.pair_ord, e.slot, e.year, e.month, e.day, e.hour, c.status FROM expected e "
+    "LEFT JOIN catalog c ON c.pair = e.pair AND c.year = e.year AND c.month = e.month "
+    "AND c.day = e.day AND c.hour = e.hour"
+)
+ORACLE["slot_exists"] = qs(
+    "SELECT e.pair, e.pair_ord, e.slot, e.year, e.month, e.day, e.hour FROM expected e "
+    "WHERE EXISTS (SELECT 1 FROM catalog c WHERE c.pair = e.pair AND c.year = e.year "
+    "AND c.month = e.month AND c.day = e.day AND c.hour = e.hour)"
+)
+ORACLE["pair_quota"] = qs("SELECT * FROM quota")
+ORACLE["next_batch"] = qs("SELECT * FROM next_batch")
+ORACLE["error_batch"] = qs("SELECT * FROM error_batch")
+ORACLE["worklist"] = qs(
+    "SELECT *, row_number() OVER (ORDER BY rank, pair_ord) AS position FROM next_batch"
+)
+ORACLE["download_manifest"] = qs(
+    "SELECT pair, year, month, day, hour, "
+    f"printf('{BASE_URL}/%s/%d/%02d/%02d/%02dh_ticks.bi5', pair, year, month - 1, day, hour) AS url, "
+    "printf('raw/%s/%d/%02d/%02d/%02dh_ticks.bi5', pair, year, month, day, hour) AS path "
+    "FROM next_batch"
+)
+ORACLE["catalog_upsert"] = qs("SELECT * FROM upserted")
+ORACLE["catalog_sink_roundtrip"] = qs("SELECT * FROM upserted")

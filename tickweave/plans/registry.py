@@ -187,3 +187,129 @@ def q_merge_bars(spark, sf_dir):
     merge_bars(spark, b1, root, FX.KNOWLEDGE_TIME_1)
     merge_bars(spark, b2, root, FX.KNOWLEDGE_TIME_2)
     return read_store(spark, root)
+
+
+# ------------------------------------------------------------- slots/catalog
+
+QUOTA_MAX_HOURS = 100  # parameter of the registered slot queries
+
+
+def _slot_inputs(spark, sf_dir):
+    from ..operators.slots import expected_slots
+
+    start, as_of = FX.fixture_range(spark, sf_dir)
+    return expected_slots(spark, as_of, start), FX.fixture_catalog(spark, sf_dir)
+
+
+def _quota(spark, sf_dir, catalog):
+    from ..operators.slots import pair_quota
+    from ..sources.instruments import instruments
+
+    pairs = catalog.select("pair").distinct().join(F.broadcast(instruments(spark)), "pair")
+    return pair_quota(pairs, QUOTA_MAX_HOURS)
+
+
+@register("expected_slots")
+def q_expected_slots(spark, sf_dir):
+    """Open hours of the events' date range, per configured pair."""
+    return _slot_inputs(spark, sf_dir)[0]
+
+
+@register("catalog_scan")
+def q_catalog_scan(spark, sf_dir):
+    """Catalog written once, scanned with the declared schema."""
+    from ..session import scratch_path
+    from ..sources.catalog import read_catalog, write_catalog
+
+    path = scratch_path(spark, "catalog")
+    write_catalog(FX.fixture_catalog(spark, sf_dir), path)
+    return read_catalog(spark, path)
+
+
+@register("pending_slots")
+def q_pending_slots(spark, sf_dir):
+    """Expected slots without a catalog entry."""
+    from ..operators.slots import pending_slots
+
+    exp, cat = _slot_inputs(spark, sf_dir)
+    return pending_slots(exp, cat)
+
+
+@register("slot_status")
+def q_slot_status(spark, sf_dir):
+    """Status lookup per expected slot (NULL if absent)."""
+    from ..operators.slots import slot_status
+
+    exp, cat = _slot_inputs(spark, sf_dir)
+    return slot_status(exp, cat)
+
+
+@register("slot_exists")
+def q_slot_exists(spark, sf_dir):
+    """Expected slots that are catalogued."""
+    from ..operators.slots import slot_exists
+
+    exp, cat = _slot_inputs(spark, sf_dir)
+    return slot_exists(exp, cat)
+
+
+@register("pair_quota")
+def q_pair_quota(spark, sf_dir):
+    """E5: per-pair quota of 100 hours over the catalogued pairs."""
+    return _quota(spark, sf_dir, FX.fixture_catalog(spark, sf_dir))
+
+
+@register("next_batch")
+def q_next_batch(spark, sf_dir):
+    """Newest pending slots per pair, up to the quota."""
+    from ..operators.slots import next_batch
+
+    exp, cat = _slot_inputs(spark, sf_dir)
+    return next_batch(exp, cat, _quota(spark, sf_dir, cat), QUOTA_MAX_HOURS)
+
+
+@register("error_batch")
+def q_error_batch(spark, sf_dir):
+    """newest error slots per pair, up to the quota."""
+    from ..operators.slots import error_batch
+
+    cat = FX.fixture_catalog(spark, sf_dir)
+    return error_batch(cat, _quota(spark, sf_dir, cat), QUOTA_MAX_HOURS)
+
+
+@register("worklist")
+def q_worklist(spark, sf_dir):
+    """The next batch interleaved one slot per pair in turn."""
+    from ..operators.slots import next_batch, worklist
+
+    exp, cat = _slot_inputs(spark, sf_dir)
+    return worklist(next_batch(exp, cat, _quota(spark, sf_dir, cat), QUOTA_MAX_HOURS))
+
+
+@register("download_manifest")
+def q_download_manifest(spark, sf_dir):
+    """A3: feed URL and landing path for the next batch."""
+    from ..operators.slots import download_manifest, next_batch
+
+    exp, cat = _slot_inputs(spark, sf_dir)
+    return download_manifest(next_batch(exp, cat, _quota(spark, sf_dir, cat), QUOTA_MAX_HOURS), "raw")
+
+
+@register("catalog_upsert")
+def q_catalog_upsert(spark, sf_dir):
+    """Catalog plus two waves of status updates, last one wins."""
+    from ..operators.slots import catalog_upsert
+
+    return catalog_upsert(FX.fixture_catalog(spark, sf_dir), FX.fixture_updates(spark, sf_dir))
+
+
+@register("catalog_sink_roundtrip")
+def q_catalog_sink_roundtrip(spark, sf_dir):
+    """The upserted catalog written (declared types) and read back."""
+    from ..operators.slots import catalog_upsert
+    from ..session import scratch_path
+    from ..sources.catalog import read_catalog, write_catalog
+
+    path = scratch_path(spark, "catalog")
+    write_catalog(catalog_upsert(FX.fixture_catalog(spark, sf_dir), FX.fixture_updates(spark, sf_dir)), path)
+    return read_catalog(spark, path)

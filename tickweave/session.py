@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:
@@ -16,6 +18,23 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def utc_micros(t: dt.datetime) -> int:
+    """Epoch microseconds of a datetime; naive values are taken as UTC."""
+    if t.tzinfo is None:
+        t = t.replace(tzinfo=dt.timezone.utc)
+    return int(round(t.timestamp() * 1_000_000))
+
+
+def from_utc_micros(us: int) -> dt.datetime:
+    """Naive-UTC datetime from epoch microseconds (driver-zone independent)."""
+    return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=int(us))
+
+
+def ts_lit(t: dt.datetime) -> Column:
+    """A timestamp literal that does not depend on the driver's local zone."""
+    return F.timestamp_micros(F.lit(utc_micros(t)))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import floor_div
 from ..functions.prices import scale_ticks
-from ..session import ensure_utc
+from ..session import ensure_utc, from_utc_micros, ts_lit, utc_micros
 from .instruments import instruments
 
 # Fixed values of the fixture mapping: event type -> pair (USDCHF gets none).
@@ -92,10 +92,12 @@ def fixture_range(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.dat
     ensure_utc(spark)
     ev = read_table(spark, sf_dir, "events")
     row = ev.select(
-        F.date_trunc("day", F.min(F.col("ts").cast("timestamp"))).alias("start"),
-        (F.date_trunc("day", F.max(F.col("ts").cast("timestamp"))) + F.expr("INTERVAL 1 DAY")).alias("as_of"),
+        F.unix_micros(F.date_trunc("day", F.min(F.col("ts").cast("timestamp")))).alias("start"),
+        F.unix_micros(
+            F.date_trunc("day", F.max(F.col("ts").cast("timestamp"))) + F.expr("INTERVAL 1 DAY")
+        ).alias("as_of"),
     ).first()
-    return row["start"], row["as_of"]
+    return from_utc_micros(row["start"]), from_utc_micros(row["as_of"])
 
 
 def bad_bars(bars: DataFrame) -> DataFrame:
@@ -116,3 +118,50 @@ def duplicate_copies(bars: DataFrame) -> DataFrame:
     return bars.where(F.minute("timestamp") % 10 == 0).withColumn(
         "close", F.col("close") + F.lit(0.01)
     )
+
+
+def fixture_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog fixture over the expected slots of the events' date range.
+
+    Slot with ticks -> fetched; else hour index % 17 = 0 -> no_data; else
+    % 29 = 0 -> error; else not catalogued (pending). The hour index counts
+    whole hours from the range start; fetched_at is the range end (as_of).
+    """
+    from ..operators.slots import expected_slots, slot_parts
+
+    start, as_of = fixture_range(spark, sf_dir)
+    exp = expected_slots(spark, as_of, start)
+    tick_slots = fixture_raw_ticks(spark, sf_dir).select("pair", "slot").distinct().withColumn("has_ticks", F.lit(True))
+    start_s = utc_micros(start) // 1_000_000
+    idx = floor_div(F.unix_seconds("slot") - F.lit(start_s), 3600)
+    status = (
+        F.when(F.col("has_ticks"), "fetched")
+        .when(idx % 17 == 0, "no_data")
+        .when(idx % 29 == 0, "error")
+    )
+    return (
+        exp.join(tick_slots, ["pair", "slot"], "left")
+        .select("pair", *slot_parts("slot"), status.alias("status"),
+                ts_lit(as_of).alias("fetched_at"))
+        .where(F.col("status").isNotNull())
+    )
+
+
+def fixture_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status updates for E6: hour index % 5 = 0 -> error (seq 1, as_of+1h);
+    then % 10 = 0 -> fetched (seq 2, as_of+2h). Inserts and overwrites mix."""
+    from ..operators.slots import expected_slots, slot_parts
+
+    start, as_of = fixture_range(spark, sf_dir)
+    exp = expected_slots(spark, as_of, start)
+    start_s = utc_micros(start) // 1_000_000
+    idx = floor_div(F.unix_seconds("slot") - F.lit(start_s), 3600)
+    u1 = exp.where(idx % 5 == 0).select(
+        "pair", *slot_parts("slot"), F.lit("error").alias("status"),
+        ts_lit(as_of + dt.timedelta(hours=1)).alias("fetched_at"),
+        F.lit(1).alias("update_seq"))
+    u2 = exp.where(idx % 10 == 0).select(
+        "pair", *slot_parts("slot"), F.lit("fetched").alias("status"),
+        ts_lit(as_of + dt.timedelta(hours=2)).alias("fetched_at"),
+        F.lit(2).alias("update_seq"))
+    return u1.unionByName(u2)
