@@ -15,7 +15,7 @@ from ..sources.instruments import DEFAULT_SOURCE
 BAR_VALUE_COLUMNS = ["open", "high", "low", "close", "volume"]
 
 
-def minute_bars(ticks: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
+def minute_bars(ticks: DataFrame, source: str = DEFAULT_SOURCE, with_counts: bool = False) -> DataFrame:
     """1-minute OHLCV per (pair, slot file, minute).
 
     open/close are the first/last mid in file order (``seq``), high/low the
@@ -26,9 +26,12 @@ def minute_bars(ticks: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
     Spark combines map-side before the shuffle.
     """
     vol = total_volume()
+    extra = [F.count(F.lit(1)).alias("n_ticks")] if with_counts else []
+    out_cols = ["pair", "slot", "timestamp", "open", "high", "low", "close", "volume", "source"]
     return (
         ticks.groupBy("pair", "slot", F.date_trunc("minute", "timestamp").alias("timestamp"))
         .agg(
+            *extra,
             F.min_by("mid", "seq").alias("open"),
             F.max("mid").alias("high"),
             F.min("mid").alias("low"),
@@ -36,7 +39,7 @@ def minute_bars(ticks: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
             F.coalesce(F.sum(F.nanvl(vol, F.lit(None).cast("double"))), F.lit(0.0)).alias("volume"),
         )
         .withColumn("source", F.lit(source))
-        .select("pair", "slot", "timestamp", "open", "high", "low", "close", "volume", "source")
+        .select(*out_cols, *(["n_ticks"] if with_counts else []))
     )
 
 

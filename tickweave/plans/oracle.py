@@ -275,3 +275,117 @@ ORACLE["download_manifest"] = qs(
 )
 ORACLE["catalog_upsert"] = qs("SELECT * FROM upserted")
 ORACLE["catalog_sink_roundtrip"] = qs("SELECT * FROM upserted")
+
+
+ORACLE["pair_status"] = qs(
+    "SELECT i.pair, i.pair_ord, CAST(coalesce(a.total, 0) AS BIGINT) AS total, "
+    "CAST(coalesce(a.fetched, 0) AS BIGINT) AS fetched, CAST(coalesce(a.no_data, 0) AS BIGINT) AS no_data, "
+    "CAST(coalesce(a.error, 0) AS BIGINT) AS error, a.oldest, a.newest FROM instruments i LEFT JOIN ("
+    "  SELECT pair, count(*) AS total, count(*) FILTER (WHERE status = 'fetched') AS fetched,"
+    "  count(*) FILTER (WHERE status = 'no_data') AS no_data, count(*) FILTER (WHERE status = 'error') AS error,"
+    "  strftime(min(make_date(year, month, day)) FILTER (WHERE status = 'fetched'), '%Y-%m-%d') AS oldest,"
+    "  strftime(max(make_date(year, month, day)) FILTER (WHERE status = 'fetched'), '%Y-%m-%d') AS newest"
+    "  FROM catalog GROUP BY pair) a ON a.pair = i.pair"
+)
+ORACLE["status_rollup"] = qs(
+    "SELECT pair, CAST(sum(total) AS BIGINT) AS total, CAST(sum(fetched) AS BIGINT) AS fetched, "
+    "CAST(sum(no_data) AS BIGINT) AS no_data, CAST(sum(error) AS BIGINT) AS error, "
+    "grouping(pair) = 1 AS is_total FROM ("
+    "  SELECT i.pair, count(c.status) AS total, count(*) FILTER (WHERE c.status = 'fetched') AS fetched,"
+    "  count(*) FILTER (WHERE c.status = 'no_data') AS no_data, count(*) FILTER (WHERE c.status = 'error') AS error"
+    "  FROM instruments i LEFT JOIN catalog c ON c.pair = i.pair GROUP BY i.pair"
+    ") GROUP BY ROLLUP (pair)"
+)
+ORACLE["slot_counts"] = q(
+    "SELECT pair, slot, CAST(count(*) AS BIGINT) AS n_ticks, "
+    "CAST(count(DISTINCT date_trunc('minute', timestamp)) AS BIGINT) AS n_bars FROM ticks GROUP BY pair, slot"
+)
+ORACLE["run_counts"] = q(
+    "SELECT pair, CAST(count(DISTINCT slot) AS BIGINT) AS slots, CAST(count(*) AS BIGINT) AS bars "
+    "FROM bars GROUP BY pair"
+)
+
+ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%S+00:00')"
+
+QA_CTES = f""",
+qa AS (
+  SELECT pair, slot, timestamp, open, high, low, close, volume, source, knowledge_time, bar_hash FROM stamped1
+  UNION ALL
+  SELECT pair, slot, timestamp, open, high, low, close, volume, source, knowledge_time, bar_hash FROM stamped2
+),
+qa_lag AS (
+  SELECT pair, timestamp, open, close,
+         lag(timestamp) OVER w AS prev_ts, lag(close) OVER w AS prev_close
+  FROM qa WINDOW w AS (PARTITION BY pair ORDER BY timestamp, knowledge_time, bar_hash, open, close)
+),
+qa_gap_rows AS (
+  SELECT l.pair, l.prev_ts AS from_ts, l.timestamp AS to_ts,
+         CAST((epoch_us(l.timestamp) - epoch_us(l.prev_ts)) // 60000000 AS BIGINT) AS minutes
+  FROM qa_lag l
+  WHERE l.prev_ts IS NOT NULL AND l.timestamp > l.prev_ts + INTERVAL 5 MINUTE
+    AND EXISTS (
+      SELECT 1 FROM (SELECT unnest(generate_series(l.prev_ts + INTERVAL 1 HOUR,
+                                                   l.timestamp - INTERVAL 1 MICROSECOND,
+                                                   INTERVAL 1 HOUR)) AS p) probes
+      WHERE NOT {closed('probes.p')})
+),
+qa_spike_rows AS (
+  SELECT pair, timestamp, prev_close, open,
+         CASE WHEN prev_close = 0 THEN CAST('inf' AS DOUBLE)
+              ELSE round(abs((open - prev_close) / prev_close) * 100, 3) END AS pct_change
+  FROM qa_lag
+  WHERE prev_ts IS NOT NULL AND CAST(prev_ts AS DATE) = CAST(timestamp AS DATE)
+    AND CASE WHEN isnan(open) OR isnan(prev_close) THEN FALSE
+             WHEN prev_close = 0 THEN open <> 0
+             ELSE abs((open - prev_close) / prev_close) > 0.05 END
+),
+qa_stats AS (
+  SELECT pair, CAST(count(*) AS BIGINT) AS total_bars,
+         CAST(count(*) - count(DISTINCT timestamp) AS BIGINT) AS duplicates,
+         CAST(count(*) FILTER (WHERE {OHLC_BAD_SQL}) AS BIGINT) AS ohlc_failures,
+         CAST(count(*) FILTER (WHERE volume <= 0) AS BIGINT) AS zero_volume,
+         CAST(count(*) FILTER (WHERE bar_hash IS NULL) AS BIGINT) AS hash_nulls,
+         min(timestamp) AS start_ts, max(timestamp) AS end_ts
+  FROM qa GROUP BY pair
+),
+qa_expected AS (
+  SELECT s.*, (SELECT CAST(count(*) AS BIGINT) FROM (
+      SELECT unnest(generate_series(date_trunc('minute', s.start_ts), s.end_ts, INTERVAL 1 MINUTE)) AS m) mins
+      WHERE NOT {closed('mins.m')}) AS expected
+  FROM qa_stats s
+)
+"""
+
+
+def qq(body: str) -> str:
+    return BASE + BATCH_CTES + QA_CTES + body
+
+
+ORACLE["qa_date_range"] = qq(
+    f"SELECT pair, total_bars, {ISO.format(c='start_ts')} AS start, {ISO.format(c='end_ts')} AS \"end\" FROM qa_stats"
+)
+ORACLE["qa_duplicates"] = qq('SELECT pair, duplicates AS count, duplicates = 0 AS pass FROM qa_stats')
+ORACLE["qa_ohlc"] = qq('SELECT pair, ohlc_failures AS failures, ohlc_failures = 0 AS pass FROM qa_stats')
+ORACLE["qa_zero_volume"] = qq('SELECT pair, zero_volume AS count FROM qa_stats')
+ORACLE["qa_sources"] = qq("SELECT pair, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM qa GROUP BY pair")
+ORACLE["qa_hash_nulls"] = qq('SELECT pair, hash_nulls AS count, hash_nulls = 0 AS pass FROM qa_stats')
+ORACLE["qa_yearly"] = qq(
+    "SELECT pair, CAST(year(timestamp) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS n FROM qa GROUP BY 1, 2"
+)
+ORACLE["qa_completeness"] = qq(
+    "SELECT pair, CASE WHEN expected > 0 THEN round(total_bars / expected * 100, 2) ELSE 0.0 END AS percent, "
+    "total_bars AS actual, expected FROM qa_expected"
+)
+ORACLE["qa_gaps"] = qq(
+    f"SELECT pair, {ISO.format(c='from_ts')} AS \"from\", {ISO.format(c='to_ts')} AS \"to\", minutes FROM qa_gap_rows"
+)
+ORACLE["qa_spikes"] = qq("SELECT * FROM qa_spike_rows")
+ORACLE["qa_gap_examples"] = qq(
+    f"SELECT pair, CAST(row_number() OVER (PARTITION BY pair ORDER BY from_ts) AS INTEGER) AS rank, "
+    f"{ISO.format(c='from_ts')} AS \"from\", {ISO.format(c='to_ts')} AS \"to\", minutes FROM qa_gap_rows "
+    "QUALIFY rank <= 10"
+)
+ORACLE["qa_spike_examples"] = qq(
+    "SELECT *, CAST(row_number() OVER (PARTITION BY pair ORDER BY timestamp) AS INTEGER) AS rank "
+    "FROM qa_spike_rows QUALIFY rank <= 10"
+)

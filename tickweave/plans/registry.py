@@ -313,3 +313,173 @@ def q_catalog_sink_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "catalog")
     write_catalog(catalog_upsert(FX.fixture_catalog(spark, sf_dir), FX.fixture_updates(spark, sf_dir)), path)
     return read_catalog(spark, path)
+
+
+# -------------------------------------------------------------------- status
+
+
+@register("pair_status")
+def q_pair_status(spark, sf_dir):
+    """D2 + D3 + C4: status counts and fetched date range per configured pair."""
+    from ..operators.status import pair_status
+    from ..sources.instruments import instruments
+
+    return pair_status(FX.fixture_catalog(spark, sf_dir), instruments(spark))
+
+
+@register("status_rollup")
+def q_status_rollup(spark, sf_dir):
+    """Per-pair counts plus the grand-total row."""
+    from ..operators.status import pair_status, status_rollup
+    from ..sources.instruments import instruments
+
+    return status_rollup(pair_status(FX.fixture_catalog(spark, sf_dir), instruments(spark)))
+
+
+@register("slot_counts")
+def q_slot_counts(spark, sf_dir):
+    """Ticks and bars per slot file."""
+    from ..operators.status import slot_counts
+
+    return slot_counts(B.minute_bars(FX.fixture_ticks(spark, sf_dir), with_counts=True))
+
+
+@register("run_counts")
+def q_run_counts(spark, sf_dir):
+    """Slots processed and bars produced per pair."""
+    from ..operators.status import run_counts
+
+    return run_counts(fixture_bars(spark, sf_dir))
+
+
+# ------------------------------------------------------------------- quality
+
+
+def qa_bars(spark, sf_dir):
+    """QA input: bad bars (batch 1) plus re-delivered copies (batch 2), stamped."""
+    b1, b2 = _batches(spark, sf_dir)
+    return B.union_bars(B.stamp_bars(b1, FX.KNOWLEDGE_TIME_1), B.stamp_bars(b2, FX.KNOWLEDGE_TIME_2))
+
+
+@register("qa_date_range")
+def q_qa_date_range(spark, sf_dir):
+    """Bar count and ISO date range per pair."""
+    from ..operators.quality import per_pair_stats
+
+    return per_pair_stats(qa_bars(spark, sf_dir)).select("pair", "total_bars", "start", "end")
+
+
+@register("qa_duplicates")
+def q_qa_duplicates(spark, sf_dir):
+    """Rows beyond the first per timestamp."""
+    from ..operators.quality import per_pair_stats
+
+    s = per_pair_stats(qa_bars(spark, sf_dir))
+    return s.select("pair", F.col("duplicates").alias("count"), (F.col("duplicates") == 0).alias("pass"))
+
+
+@register("qa_ohlc")
+def q_qa_ohlc(spark, sf_dir):
+    """OHLC integrity failures (volume not included)."""
+    from ..operators.quality import per_pair_stats
+
+    s = per_pair_stats(qa_bars(spark, sf_dir))
+    return s.select("pair", F.col("ohlc_failures").alias("failures"), (F.col("ohlc_failures") == 0).alias("pass"))
+
+
+@register("qa_zero_volume")
+def q_qa_zero_volume(spark, sf_dir):
+    """Bars with volume <= 0."""
+    from ..operators.quality import per_pair_stats
+
+    return per_pair_stats(qa_bars(spark, sf_dir)).select("pair", F.col("zero_volume").alias("count"))
+
+
+@register("qa_sources")
+def q_qa_sources(spark, sf_dir):
+    """Sorted distinct sources per pair (comma-joined)."""
+    from ..operators.quality import source_values
+
+    return source_values(qa_bars(spark, sf_dir)).select(
+        "pair", F.array_join("sources", ",").alias("sources")
+    )
+
+
+@register("qa_hash_nulls")
+def q_qa_hash_nulls(spark, sf_dir):
+    """Bars without a hash."""
+    from ..operators.quality import per_pair_stats
+
+    s = per_pair_stats(qa_bars(spark, sf_dir))
+    return s.select("pair", F.col("hash_nulls").alias("count"), (F.col("hash_nulls") == 0).alias("pass"))
+
+
+@register("qa_yearly")
+def q_qa_yearly(spark, sf_dir):
+    """Rows per pair and year."""
+    from ..operators.quality import yearly_counts
+
+    return yearly_counts(qa_bars(spark, sf_dir))
+
+
+@register("qa_completeness")
+def q_qa_completeness(spark, sf_dir):
+    """Actual rows vs expected open minutes (closed form)."""
+    from ..operators.quality import per_pair_stats
+
+    s = per_pair_stats(qa_bars(spark, sf_dir))
+    return s.select("pair", "percent", F.col("total_bars").alias("actual"), "expected")
+
+
+@register("qa_gaps")
+def q_qa_gaps(spark, sf_dir):
+    """Every reported gap."""
+    from ..operators.quality import gaps
+    from ..functions.text import iso_utc
+
+    g = gaps(qa_bars(spark, sf_dir))
+    return g.select("pair", iso_utc("from_ts").alias("from"), iso_utc("to_ts").alias("to"), "minutes")
+
+
+@register("qa_spikes")
+def q_qa_spikes(spark, sf_dir):
+    """Every price spike within a UTC date."""
+    from ..operators.quality import spikes
+
+    return spikes(qa_bars(spark, sf_dir))
+
+
+@register("qa_gap_examples")
+def q_qa_gap_examples(spark, sf_dir):
+    """first 10 gaps per pair by time."""
+    from ..functions.text import iso_utc
+    from ..operators.quality import first_examples, gaps
+
+    g = first_examples(gaps(qa_bars(spark, sf_dir)), "from_ts")
+    return g.select("pair", "rank", iso_utc("from_ts").alias("from"), iso_utc("to_ts").alias("to"), "minutes")
+
+
+@register("qa_spike_examples")
+def q_qa_spike_examples(spark, sf_dir):
+    """first 10 spikes per pair by time."""
+    from ..operators.quality import first_examples, spikes
+
+    return first_examples(spikes(qa_bars(spark, sf_dir)), "timestamp")
+
+
+@register("qa_report")
+def q_qa_report(spark, sf_dir):
+    """The nested QA report, one row per configured pair."""
+    from ..operators.quality import qa_report
+    from ..sources.instruments import instruments
+
+    return qa_report(qa_bars(spark, sf_dir), instruments(spark))
+
+
+@register("qa_report_json")
+def q_qa_report_json(spark, sf_dir):
+    """The QA report as JSON text per pair."""
+    from ..operators.quality import qa_report, qa_report_json
+    from ..sources.instruments import instruments
+
+    return qa_report_json(qa_report(qa_bars(spark, sf_dir), instruments(spark)))
