@@ -20,6 +20,14 @@ def total_volume(ask_volume="ask_volume", bid_volume="bid_volume") -> Column:
     return F.col(ask_volume) + F.col(bid_volume)
 
 
+def price_columns(point_value="point_value") -> list[Column]:
+    """B1 expressions: ask, bid, mid from integer prices and the point value."""
+    pv = F.col(point_value).cast("double")
+    ask = F.col("ask_int").cast("double") / pv
+    bid = F.col("bid_int").cast("double") / pv
+    return [ask.alias("ask"), bid.alias("bid"), ((ask + bid) / F.lit(2.0)).alias("mid")]
+
+
 def scale_ticks(raw: DataFrame, inst: DataFrame) -> DataFrame:
     """B1 + B2 over raw records: ``pair, slot, seq, ms, ask_int, bid_int, volumes``.
 
@@ -27,21 +35,7 @@ def scale_ticks(raw: DataFrame, inst: DataFrame) -> DataFrame:
     order so doubles are bit-equal to the reference arithmetic. Rows of an
     unknown pair come out with NULL prices (C3).
     """
-    pv = F.col("point_value").cast("double")
-    ask = F.col("ask_int").cast("double") / pv
-    bid = F.col("bid_int").cast("double") / pv
-    return (
-        with_point_value(raw, inst)
-        .select(
-            "pair",
-            "slot",
-            "seq",
-            tick_time("slot", "ms").alias("timestamp"),
-            ask.alias("ask"),
-            bid.alias("bid"),
-            "ask_volume",
-            "bid_volume",
-        )
-        .withColumn("mid", (F.col("ask") + F.col("bid")) / F.lit(2.0))
-        .select("pair", "slot", "seq", "timestamp", "ask", "bid", "mid", "ask_volume", "bid_volume")
+    return with_point_value(raw, inst).select(
+        "pair", "slot", "seq", tick_time("slot", "ms").alias("timestamp"),
+        *price_columns(), "ask_volume", "bid_volume",
     )

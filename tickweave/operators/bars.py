@@ -15,6 +15,19 @@ from ..sources.instruments import DEFAULT_SOURCE
 BAR_VALUE_COLUMNS = ["open", "high", "low", "close", "volume"]
 
 
+def ohlcv_aggs(with_counts: bool = False) -> list[Column]:
+    """D1's aggregate expressions over ticks (pair, slot, seq, mid, volumes)."""
+    vol = total_volume()
+    return [
+        *([F.count(F.lit(1)).alias("n_ticks")] if with_counts else []),
+        F.min_by("mid", "seq").alias("open"),
+        F.max("mid").alias("high"),
+        F.min("mid").alias("low"),
+        F.max_by("mid", "seq").alias("close"),
+        F.coalesce(F.sum(F.nanvl(vol, F.lit(None).cast("double"))), F.lit(0.0)).alias("volume"),
+    ]
+
+
 def minute_bars(ticks: DataFrame, source: str = DEFAULT_SOURCE, with_counts: bool = False) -> DataFrame:
     """1-minute OHLCV per (pair, slot file, minute).
 
@@ -25,19 +38,10 @@ def minute_bars(ticks: DataFrame, source: str = DEFAULT_SOURCE, with_counts: boo
     settles overlapping minutes. All aggregates are hash-aggregatable, so
     Spark combines map-side before the shuffle.
     """
-    vol = total_volume()
-    extra = [F.count(F.lit(1)).alias("n_ticks")] if with_counts else []
     out_cols = ["pair", "slot", "timestamp", "open", "high", "low", "close", "volume", "source"]
     return (
         ticks.groupBy("pair", "slot", F.date_trunc("minute", "timestamp").alias("timestamp"))
-        .agg(
-            *extra,
-            F.min_by("mid", "seq").alias("open"),
-            F.max("mid").alias("high"),
-            F.min("mid").alias("low"),
-            F.max_by("mid", "seq").alias("close"),
-            F.coalesce(F.sum(F.nanvl(vol, F.lit(None).cast("double"))), F.lit(0.0)).alias("volume"),
-        )
+        .agg(*ohlcv_aggs(with_counts))
         .withColumn("source", F.lit(source))
         .select(*out_cols, *(["n_ticks"] if with_counts else []))
     )

@@ -389,3 +389,9 @@ ORACLE["qa_spike_examples"] = qq(
     "SELECT *, CAST(row_number() OVER (PARTITION BY pair ORDER BY timestamp) AS INTEGER) AS rank "
     "FROM qa_spike_rows QUALIFY rank <= 10"
 )
+
+
+ORACLE["load_ticks"] = q("SELECT * FROM ticks")
+ORACLE["slot_from_path"] = q(f"SELECT DISTINCT pair, slot, {SLOT_PARTS_SQL} FROM raw_ticks")
+ORACLE["slot_outcome"] = qs("SELECT pair, year, month, day, hour, status FROM catalog")
+ORACLE["incremental_load"] = qb(f"SELECT {STORE_COLS} FROM stamped WHERE NOT {BAD_SQL}")

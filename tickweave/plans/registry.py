@@ -483,3 +483,104 @@ def q_qa_report_json(spark, sf_dir):
     from ..sources.instruments import instruments
 
     return qa_report_json(qa_report(qa_bars(spark, sf_dir), instruments(spark)))
+
+
+# ------------------------------------------------------- raw files and loads
+
+
+def land_fixture_files(spark, sf_dir) -> str:
+    """Encode the fixture ticks into one LZMA file per slot under a fresh
+    folder of the shared checkpoint root; the landing listing is written as
+    a table next to them (``_landed``, hidden from the file scan)."""
+    from ..session import scratch_path
+    from ..sources.tickfiles import write_tick_files
+
+    root = scratch_path(spark, "raw")
+    write_tick_files(FX.fixture_raw_ticks(spark, sf_dir), root).write.parquet(f"{root}/_landed")
+    return root
+
+
+@register("load_ticks")
+def q_load_ticks(spark, sf_dir):
+    """A1: ticks decoded from landed LZMA tick files (events encoded first)."""
+    from ..functions.prices import scale_ticks
+    from ..sources.instruments import instruments
+    from ..sources.tickfiles import read_tick_files
+
+    root = land_fixture_files(spark, sf_dir)
+    raw = read_tick_files(spark, root).where(F.col("error").isNull()).drop("error")
+    return scale_ticks(raw, instruments(spark))
+
+
+@register("slot_from_path")
+def q_slot_from_path(spark, sf_dir):
+    """A2: pair and slot parsed from every landed file path."""
+    from ..operators.slots import slot_parts
+    from ..sources.tickfiles import list_tick_files
+
+    files = list_tick_files(spark, land_fixture_files(spark, sf_dir))
+    return files.select("pair", "slot", *slot_parts("slot"))
+
+
+def _landing_log(spark, sf_dir):
+    """Feed responses of attempted slots without a file (mirrors the catalog
+    fixture): hour index % 17 = 0 -> 404, else % 29 = 0 -> 500."""
+    from ..functions.calendar import floor_div
+    from ..operators.slots import expected_slots
+    from ..session import utc_micros
+
+    start, as_of = FX.fixture_range(spark, sf_dir)
+    exp = expected_slots(spark, as_of, start)
+    idx = floor_div(F.unix_seconds("slot") - F.lit(utc_micros(start) // 1_000_000), 3600)
+    code = F.when(idx % 17 == 0, 404).when(idx % 29 == 0, 500)
+    return exp, exp.select("pair", "slot", code.alias("http_status")).where(F.col("http_status").isNotNull())
+
+
+@register("slot_outcome")
+def q_slot_outcome(spark, sf_dir):
+    """Status of every attempted slot from landed files, decode errors
+    and the landing log."""
+    from .load import load, slot_outcome
+
+    root = land_fixture_files(spark, sf_dir)
+    res = load(spark, root)
+    exp, log = _landing_log(spark, sf_dir)
+    out = slot_outcome(exp.select("pair", "slot", "year", "month", "day", "hour"), res.files, res.bad_files, log)
+    return out.where(F.col("status").isNotNull()).select("pair", "year", "month", "day", "hour", "status")
+
+
+@register("storage_size")
+def q_storage_size(spark, sf_dir):
+    """A10: bytes and MiB of the bar store and of the raw files."""
+    from ..operators.status import storage_size
+    from ..sources.tickfiles import list_tick_files
+
+    raw_root = land_fixture_files(spark, sf_dir)
+    store_root = _roundtrip_store(spark, sf_dir)
+    raw = list_tick_files(spark, raw_root).select(F.lit("raw").alias("kind"), "path", F.col("length").alias("size"))
+    bars = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true").load(store_root)
+        .select(F.lit("bars").alias("kind"), "path", F.col("length").alias("size"))
+    )
+    return storage_size(raw.unionByName(bars))
+
+
+@register("incremental_load")
+def q_incremental_load(spark, sf_dir):
+    """I1 + I2: landed files streamed in micro-batches of 1000 files, merged
+    into the store; the final store."""
+    from ..session import scratch_path
+    from ..sources.barstore import read_store
+    from ..streaming.incremental import incremental_load
+    from ..session import from_utc_micros, utc_micros
+    import datetime as dt
+
+    raw_root = land_fixture_files(spark, sf_dir)
+    store_root = scratch_path(spark, "bars")
+    kt = from_utc_micros(utc_micros(dt.datetime(2024, 2, 1)))
+    incremental_load(
+        spark, raw_root, store_root, scratch_path(spark, "stream-ckpt"),
+        catalog_path=scratch_path(spark, "catalog"), knowledge_time=kt, max_files_per_trigger=1000,
+    )
+    return read_store(spark, store_root)
