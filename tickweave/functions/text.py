@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _col(c) -> Column:
@@ -35,7 +36,7 @@ def ymd_text(d) -> Column:
     return F.date_format(_col(d), "yyyy-MM-dd")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _float_repr(s: pd.Series) -> pd.Series:
     return pd.Series([repr(v) for v in s.tolist()], index=s.index, dtype=object)
 

@@ -73,20 +73,27 @@ def slot_outcome(slots: DataFrame, files: DataFrame, bad_files: DataFrame,
     decode failure -> error; bytes -> fetched; empty body or 404 -> no_data;
     any other logged failure -> error; nothing landed and nothing logged ->
     NULL (not attempted). All inputs are keyed by (pair, slot).
+
+    Spark's file scans skip zero-length files, so an empty body is known from
+    the landing log (``http_status``, optional ``n_bytes``), not the listing.
     """
     f = files.groupBy("pair", "slot").agg(F.max("length").alias("length"))
     b = bad_files.groupBy("pair", "slot").agg(F.max("error").alias("error"))
     out = slots.join(f, ["pair", "slot"], "left").join(b, ["pair", "slot"], "left")
     if landing_log is not None:
-        log = landing_log.groupBy("pair", "slot").agg(F.max("http_status").alias("http_status"))
+        has_bytes = "n_bytes" in landing_log.columns
+        log = landing_log.groupBy("pair", "slot").agg(
+            F.max("http_status").alias("http_status"),
+            (F.max("n_bytes") if has_bytes else F.lit(None).cast("bigint")).alias("n_bytes"),
+        )
         out = out.join(log, ["pair", "slot"], "left")
-        http = F.col("http_status")
+        http, n_bytes = F.col("http_status"), F.col("n_bytes")
     else:
-        http = F.lit(None).cast("int")
+        http, n_bytes = F.lit(None).cast("int"), F.lit(None).cast("bigint")
     status = (
         F.when(F.col("error").isNotNull(), "error")
         .when(F.col("length") > 0, "fetched")
-        .when((F.col("length") == 0) | (http == 404), "no_data")
+        .when((F.col("length") == 0) | (http == 404) | ((http == 200) & (n_bytes == 0)), "no_data")
         .when(http.isNotNull(), "error")
     )
     return out.withColumn("status", status)
