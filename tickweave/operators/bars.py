@@ -118,13 +118,15 @@ def union_bars(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def dedup_bars(bars: DataFrame, order: list[Column] | None = None) -> DataFrame:
+def dedup_bars(bars: DataFrame, order: list[Column] | None = None,
+               keys: list[str] | None = None) -> DataFrame:
     """Keep the first bar per (pair, timestamp).
 
     "First" is stored before new (``is_new``), then newer slot first (the
     backward worklist buffers newest first), then hash for a total order.
     ``row_number() = 1`` lets Spark insert a partial WindowGroupLimit before
-    the shuffle, so duplicates are dropped map-side.
+    the shuffle, so duplicates are dropped map-side. ``keys`` may add columns
+    that are functions of the timestamp (to reuse an existing clustering).
     """
     if order is None:
         order = []
@@ -135,5 +137,5 @@ def dedup_bars(bars: DataFrame, order: list[Column] | None = None) -> DataFrame:
         if "bar_hash" in bars.columns:
             order.append(F.col("bar_hash").asc_nulls_last())
         order += [F.col(c).asc_nulls_last() for c in BAR_VALUE_COLUMNS if c in bars.columns]
-    w = Window.partitionBy("pair", "timestamp").orderBy(*order)
+    w = Window.partitionBy(*(keys or ["pair", "timestamp"])).orderBy(*order)
     return bars.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

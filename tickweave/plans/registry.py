@@ -355,12 +355,28 @@ def q_run_counts(spark, sf_dir):
 # ------------------------------------------------------------------- quality
 
 
-def qa_bars(spark, sf_dir):
+def qa_fixture(spark, sf_dir):
     """QA input: bad bars (batch 1) plus re-delivered copies (batch 2), stamped."""
     b1, b2 = _batches(spark, sf_dir)
     return B.union_bars(B.stamp_bars(b1, FX.KNOWLEDGE_TIME_1), B.stamp_bars(b2, FX.KNOWLEDGE_TIME_2))
 
 
+def qa_store(spark, sf_dir) -> str:
+    """The QA fixture written as a bar store (QA reads stored bars)."""
+    from ..session import scratch_path
+    from ..sources.barstore import write_store
+
+    root = scratch_path(spark, "qa-bars")
+    write_store(qa_fixture(spark, sf_dir), root)
+    return root
+
+
+def qa_bars(spark, sf_dir):
+    from ..sources.barstore import read_store
+
+    return read_store(spark, qa_store(spark, sf_dir))
+
+
 @register("qa_date_range")
 def q_qa_date_range(spark, sf_dir):
     """Bar count and ISO date range per pair."""

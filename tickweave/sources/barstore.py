@@ -43,18 +43,30 @@ def partition_filter(parts: list[tuple[str, int]]) -> Column:
     return cond
 
 
-def write_store(bars: DataFrame, root: str) -> None:
-    """A5 + F1: snappy Parquet under ``pair=/year=``; each written partition
-    is replaced as a whole (dynamic overwrite), others are untouched.
+def cluster_key() -> Column:
+    """Write clustering: (pair, year, day of year). A day holds at most 1440
+    bars per pair, so a large or skewed (pair, year) spreads over many tasks
+    instead of funnelling through one; AQE coalesces small ones."""
+    return F.dayofyear("timestamp").alias("_doy")
+
+
+def clustered(bars: DataFrame) -> DataFrame:
+    """Hash-cluster bars by (pair, year, day of year) — one shuffle, no sampling."""
+    b = bars if "_doy" in bars.columns else bars.withColumn("_doy", cluster_key())
+    return b.repartition("pair", "year", "_doy")
 
-    Range partitioning on (pair, year, timestamp) spreads a large or skewed
-    (pair, year) over many tasks, each writing one time-ordered file, instead
-    of funnelling a whole partition through one task.
+
+def write_store(bars: DataFrame, root: str, already_clustered: bool = False) -> None:
+    """A5 + F1: snappy Parquet under ``pair=/year=``; each written partition
+    is replaced as a whole (dynamic overwrite), others are untouched. Files
+    are time-ordered inside; ``already_clustered`` skips the shuffle when the
+    input is hash-clustered by (pair, year, day of year) already.
     """
     out = store_columns(bars)
+    if not already_clustered:
+        out = clustered(out).drop("_doy")
     (
-        out.repartitionByRange("pair", "year", "timestamp")
-        .sortWithinPartitions("pair", "year", "timestamp")
+        out.sortWithinPartitions("pair", "year", "timestamp")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

@@ -34,8 +34,13 @@ def instruments(spark: SparkSession, pairs: list[str] | None = None) -> DataFram
     if pairs:
         by_name = {p: (p, o, pv) for p, o, pv in INSTRUMENTS}
         rows = [by_name[p] for p in pairs if p in by_name]
-    df = spark.createDataFrame(rows, "pair string, pair_ord int, point_value int")
-    return df
+    # a VALUES relation: planned as a local table scan with a known size,
+    # no Python-side RDD behind it
+    vals = ", ".join(f"('{p}', {o}, {pv})" for p, o, pv in rows)
+    return spark.sql(
+        f"SELECT CAST(pair AS STRING) AS pair, CAST(pair_ord AS INT) AS pair_ord, "
+        f"CAST(point_value AS INT) AS point_value FROM VALUES {vals} AS t(pair, pair_ord, point_value)"
+    )
 
 
 def instruments_sql_values() -> str:
