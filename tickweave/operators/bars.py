@@ -139,3 +139,10 @@ def dedup_bars(bars: DataFrame, order: list[Column] | None = None,
         order += [F.col(c).asc_nulls_last() for c in BAR_VALUE_COLUMNS if c in bars.columns]
     w = Window.partitionBy(*(keys or ["pair", "timestamp"])).orderBy(*order)
     return bars.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
+def empty_bars(spark) -> DataFrame:
+    """A typed empty bar frame."""
+    from ..schemas import BAR_SCHEMA
+
+    return spark.createDataFrame([], BAR_SCHEMA)

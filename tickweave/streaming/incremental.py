@@ -15,13 +15,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.slots import catalog_upsert, slot_parts
-from ..plans.load import bars_and_errors
-from ..plans.merge import merge_bars
+from ..plans.backfill import ingest_files
 from ..schemas import BINARY_FILE_SCHEMA
-from ..session import ensure_utc, ts_lit
-from ..sources.catalog import read_catalog, write_catalog
-from ..sources.instruments import DEFAULT_SOURCE, instruments
+from ..session import ensure_utc
 from ..sources.tickfiles import FILE_GLOB, slot_from_path
 
 
@@ -37,42 +33,12 @@ def tick_file_stream(spark: SparkSession, raw_root: str, max_files_per_trigger:
     )
 
 
-def _batch_outcomes(files: DataFrame, bad: DataFrame, fetched_at) -> DataFrame:
-    """Catalog updates for the files of one batch (A11 on landed files)."""
-    f = files.select("pair", "slot", "length")
-    status = (
-        F.when(F.col("error").isNotNull(), "error")
-        .when(F.col("length") > 0, "fetched")
-        .otherwise("no_data")
-    )
-    return (
-        f.join(bad, ["pair", "slot"], "left")
-        .where(F.col("slot").isNotNull())
-        .select("pair", *slot_parts("slot"), status.alias("status"),
-                fetched_at.alias("fetched_at"), F.lit(1).alias("update_seq"))
-    )
-
-
 def make_batch_handler(spark: SparkSession, store_root: str, catalog_path: str | None,
-                       knowledge_time: dt.datetime | None, source: str = DEFAULT_SOURCE,
-                       pairs: list[str] | None = None):
-    inst = instruments(spark, pairs)
+                       knowledge_time: dt.datetime | None, pairs: list[str] | None = None):
+    """foreachBatch body: the batch ingest (decode once, merge, then catalog)."""
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        ensure_utc(spark)
-        # one decode pass per batch; both sinks read the checkpointed result
-        combined = bars_and_errors(batch, inst, source).checkpoint(eager=True)
-        bars = combined.where(F.col("error").isNull()).drop("error")
-        merge_bars(spark, bars.drop("n_ticks"), store_root, knowledge_time)
-        if catalog_path is None:
-            return
-        bad = combined.where(F.col("error").isNotNull()).select("pair", "slot", "error")
-        kt = ts_lit(knowledge_time) if knowledge_time is not None else F.current_timestamp()
-        updates = _batch_outcomes(batch, bad, kt)
-        current = read_catalog(spark, catalog_path)
-        # cut lineage before overwriting the catalog this plan reads
-        new_catalog = catalog_upsert(current, updates).checkpoint(eager=True)
-        write_catalog(new_catalog, catalog_path)
+        ingest_files(spark, batch, store_root, catalog_path, knowledge_time, pairs)
 
     return handle
 
