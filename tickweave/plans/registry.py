@@ -39,7 +39,7 @@ def register(name: str):
 
 
 def fixture_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.minute_bars(FX.fixture_ticks(spark, sf_dir))
+    return B.minute_bars(FX.fixture_ordered_ticks(spark, sf_dir))
 
 
 @register("minute_bars")
@@ -341,7 +341,7 @@ def q_slot_counts(spark, sf_dir):
     """Ticks and bars per slot file."""
     from ..operators.status import slot_counts
 
-    return slot_counts(B.minute_bars(FX.fixture_ticks(spark, sf_dir), with_counts=True))
+    return slot_counts(B.minute_bars(FX.fixture_ordered_ticks(spark, sf_dir), with_counts=True))
 
 
 @register("run_counts")
@@ -512,7 +512,8 @@ def land_fixture_files(spark, sf_dir) -> str:
     from ..sources.tickfiles import write_tick_files
 
     root = scratch_path(spark, "raw")
-    write_tick_files(FX.fixture_raw_ticks(spark, sf_dir), root).write.parquet(f"{root}/_landed")
+    records = FX.fixture_records(spark, sf_dir)
+    write_tick_files(records, root, order=["ts", "event_id"]).write.parquet(f"{root}/_landed")
     return root
 
 

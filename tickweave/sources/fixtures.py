@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import floor_div
+from ..operators.ranking import dense_sequence
 from ..functions.prices import scale_ticks
 from ..session import ensure_utc, from_utc_micros, ts_lit, utc_micros
 from .instruments import instruments
@@ -43,12 +44,10 @@ def event_pair(event_type="event_type"):
     return expr
 
 
-def raw_ticks_from_events(events: DataFrame) -> DataFrame:
-    """Raw tick records (RAW_TICK_SCHEMA) from ``events``.
-
-    ``seq`` is the record index inside the slot file: row number over
-    (pair, slot) by (ts, event_id), minus one.
-    """
+def event_records(events: DataFrame) -> DataFrame:
+    """Raw tick records from ``events`` with their file order as (ts, event_id)
+    instead of a record index: pair, slot, ts, event_id, ms, ask_int, bid_int,
+    ask_volume, bid_volume. No window: the order travels as columns."""
     ts = F.col("ts").cast("timestamp")
     base = (
         events.select(
@@ -61,11 +60,11 @@ def raw_ticks_from_events(events: DataFrame) -> DataFrame:
         .where(F.col("pair").isNotNull())
         .withColumn("slot", F.date_trunc("hour", F.col("ts")))
     )
-    w = Window.partitionBy("pair", "slot").orderBy("ts", "event_id")
     return base.select(
         "pair",
         "slot",
-        (F.row_number().over(w) - 1).cast("int").alias("seq"),
+        "ts",
+        "event_id",
         floor_div(F.unix_micros("ts") - F.unix_micros("slot"), 1000).alias("ms"),
         (F.col("bid_int") + 1 + F.pmod(F.col("k"), F.lit(5))).alias("ask_int"),
         "bid_int",
@@ -74,16 +73,47 @@ def raw_ticks_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def raw_ticks_from_events(events: DataFrame) -> DataFrame:
+    """Raw tick records (RAW_TICK_SCHEMA) from ``events``.
+
+    ``seq`` is the record index inside the slot file: row number over
+    (pair, slot) by (ts, event_id), minus one — computed skew-safely
+    (range partitioning + per-partition offsets), so a hot hour is never one
+    task. Only outputs that show ``seq`` need it; bars order by (ts, event_id).
+    """
+    numbered = dense_sequence(event_records(events), ["pair", "slot"], ["ts", "event_id"], name="_seq")
+    return numbered.select(
+        "pair", "slot", F.col("_seq").cast("int").alias("seq"),
+        "ms", "ask_int", "bid_int", "ask_volume", "bid_volume",
+    )
+
+
+def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    return event_records(read_table(spark, sf_dir, "events"))
+
+
 def fixture_raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     return raw_ticks_from_events(read_table(spark, sf_dir, "events"))
 
 
 def fixture_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks (TICK_SCHEMA) derived from ``events``."""
+    """Ticks (TICK_SCHEMA) derived from ``events``, with the dense ``seq``."""
     return scale_ticks(fixture_raw_ticks(spark, sf_dir), instruments(spark))
 
 
+def fixture_ordered_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks derived from ``events`` whose file order is carried as
+    ``seq = struct(ts, event_id)`` (no numbering pass); input of the bars.
+
+    A struct order key makes D1 a sort-based aggregate (partial map-side,
+    so still skew-safe); decoded ticks carry an int ``seq`` and hash-aggregate.
+    """
+    recs = fixture_records(spark, sf_dir).withColumn("seq", F.struct("ts", "event_id"))
+    return scale_ticks(recs, instruments(spark))
+
+
 def fixture_range(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
     """(start, as_of) of the catalog fixture: the whole days spanned by events.
 
@@ -131,7 +161,7 @@ def fixture_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     start, as_of = fixture_range(spark, sf_dir)
     exp = expected_slots(spark, as_of, start)
-    tick_slots = fixture_raw_ticks(spark, sf_dir).select("pair", "slot").distinct().withColumn("has_ticks", F.lit(True))
+    tick_slots = fixture_records(spark, sf_dir).select("pair", "slot").distinct().withColumn("has_ticks", F.lit(True))
     start_s = utc_micros(start) // 1_000_000
     idx = floor_div(F.unix_seconds("slot") - F.lit(start_s), 3600)
     status = (

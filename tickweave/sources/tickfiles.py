@@ -140,9 +140,9 @@ def _fs_for(path: str):
     return pafs.FileSystem.from_uri(path)
 
 
-def encode_ticks(pdf: pd.DataFrame) -> bytes:
-    """Records of one slot (sorted by seq) as an LZMA blob."""
-    pdf = pdf.sort_values("seq")
+def encode_ticks(pdf: pd.DataFrame, order: list[str] | None = None) -> bytes:
+    """Records of one slot, in ``order`` (default ``seq``), as an LZMA blob."""
+    pdf = pdf.sort_values(order or ["seq"])
     rec = np.empty(len(pdf), dtype=TICK_DTYPE)
     rec["ms"] = pdf["ms"].to_numpy()
     rec["ask"] = pdf["ask_int"].to_numpy()
@@ -159,8 +159,9 @@ def raw_path(root: str, pair: str, ts: pd.Timestamp) -> str:
 LANDED_SCHEMA = "pair string, slot timestamp, path string, n_bytes bigint"
 
 
-def write_tick_files(raw_ticks: DataFrame, root: str) -> DataFrame:
-    """Encode raw records (RAW_TICK_SCHEMA) into one file per (pair, slot).
+def write_tick_files(raw_ticks: DataFrame, root: str, order: list[str] | None = None) -> DataFrame:
+    """Encode raw records (RAW_TICK_SCHEMA, or any columns ``order`` names
+    for the record order) into one file per (pair, slot).
 
     Runs as ``applyInPandas`` per slot (a group is one hour of one pair, the
     unit the file format itself fixes). Files are written by the executors
@@ -170,7 +171,7 @@ def write_tick_files(raw_ticks: DataFrame, root: str) -> DataFrame:
     """
     def encode(pdf: pd.DataFrame) -> pd.DataFrame:
         pair, slot = pdf["pair"].iloc[0], pd.Timestamp(pdf["slot"].iloc[0])
-        blob = encode_ticks(pdf)
+        blob = encode_ticks(pdf, order)
         path = raw_path(root, pair, slot)
         fs, p = _fs_for(path)
         fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
@@ -178,4 +179,5 @@ def write_tick_files(raw_ticks: DataFrame, root: str) -> DataFrame:
             out.write(blob)
         return pd.DataFrame({"pair": [pair], "slot": [slot], "path": [path], "n_bytes": [len(blob)]})
 
-    return raw_ticks.groupBy("pair", "slot").applyInPandas(encode, LANDED_SCHEMA)
+    cols = ["pair", "slot", *(order or ["seq"]), "ms", "ask_int", "bid_int", "ask_volume", "bid_volume"]
+    return raw_ticks.select(*cols).groupBy("pair", "slot").applyInPandas(encode, LANDED_SCHEMA)
