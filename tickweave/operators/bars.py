@@ -118,27 +118,36 @@ def union_bars(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def dedup_bars(bars: DataFrame, order: list[Column] | None = None,
-               keys: list[str] | None = None) -> DataFrame:
+def keep_first_key(bars: DataFrame) -> Column:
+    """E3's priority as one ascending struct: stored before new (``is_new``),
+    newer slot first, then hash and values (NULLs last) for a total order."""
+    parts = []
+    if "is_new" in bars.columns:
+        parts.append(F.col("is_new"))
+    if "slot" in bars.columns:
+        parts.append(F.coalesce(-F.unix_micros("slot"), F.lit(2**62)))  # desc, NULLs last
+    for c in ["bar_hash", *BAR_VALUE_COLUMNS]:
+        if c in bars.columns:
+            parts += [F.col(c).isNull(), F.col(c)]
+    return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
+
+
+def dedup_bars(bars: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Keep the first bar per (pair, timestamp).
 
-    "First" is stored before new (``is_new``), then newer slot first (the
-    backward worklist buffers newest first), then hash for a total order.
-    ``row_number() = 1`` lets Spark insert a partial WindowGroupLimit before
-    the shuffle, so duplicates are dropped map-side. ``keys`` may add columns
-    that are functions of the timestamp (to reuse an existing clustering).
+    "First" is stored before new, then newer slot first (the backward
+    worklist buffers newest first), then hash for a total order. Written as
+    an aggregate — ``min_by(row, priority)`` per key — so copies collapse in
+    the map-side partial aggregation: a bar re-delivered many times never
+    funnels all its copies into one task.
     """
-    if order is None:
-        order = []
-        if "is_new" in bars.columns:
-            order.append(F.col("is_new").asc())
-        if "slot" in bars.columns:
-            order.append(F.col("slot").desc_nulls_last())
-        if "bar_hash" in bars.columns:
-            order.append(F.col("bar_hash").asc_nulls_last())
-        order += [F.col(c).asc_nulls_last() for c in BAR_VALUE_COLUMNS if c in bars.columns]
-    w = Window.partitionBy(*(keys or ["pair", "timestamp"])).orderBy(*order)
-    return bars.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    keys = keys or ["pair", "timestamp"]
+    rest = [c for c in bars.columns if c not in keys]
+    return (
+        bars.groupBy(*keys)
+        .agg(F.min_by(F.struct(*rest), keep_first_key(bars)).alias("_first"))
+        .select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in bars.columns])
+    )
 
 
 def empty_bars(spark) -> DataFrame:

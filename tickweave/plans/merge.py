@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.bars import bars_valid, dedup_bars, stamp_bars
 from ..session import delete_path, ensure_utc
 from .. import schemas
-from ..sources.barstore import clustered, partition_filter, read_store, write_store
+from ..sources.barstore import partition_filter, read_store, write_store
 
 
 @dataclass
@@ -61,12 +61,8 @@ def merge_bars(
         F.col("slot") if "slot" in new.columns else F.lit(None).cast("timestamp").alias("slot"),
         F.lit(1).alias("is_new"),
     )
-    # one shuffle: cluster by (pair, year, day of year); the dedup window's
-    # keys include those, so it and the write reuse that partitioning
-    unioned = clustered(stored.unionByName(incoming))
-    order = [F.col("is_new").asc(), F.col("slot").desc_nulls_last(), F.col("bar_hash").asc_nulls_last(),
-             *[F.col(c).asc_nulls_last() for c in ("open", "high", "low", "close", "volume")]]
-    merged = bars_valid(dedup_bars(unioned, order, keys=["pair", "year", "_doy", "timestamp"]))
+    # keep-first is an aggregate: copies collapse map-side before the shuffle
+    merged = bars_valid(dedup_bars(stored.unionByName(incoming), keys=["pair", "year", "timestamp"]))
 
     obs = Observation("merge")
     merged = merged.observe(
@@ -75,7 +71,7 @@ def merge_bars(
         F.sum(F.col("is_new")).alias("new_bars"),
         F.collect_set(F.concat_ws("\u0001", F.col("pair"), F.col("year").cast("string"))).alias("written"),
     )
-    write_store(merged, root, already_clustered=True)
+    write_store(merged, root)
     try:
         m = obs.get
     except Exception:  # noqa: BLE001 - metrics are absent when no task produced rows

@@ -43,28 +43,16 @@ def partition_filter(parts: list[tuple[str, int]]) -> Column:
     return cond
 
 
-def cluster_key() -> Column:
-    """Write clustering: (pair, year, day of year). A day holds at most 1440
-    bars per pair, so a large or skewed (pair, year) spreads over many tasks
-    instead of funnelling through one; AQE coalesces small ones."""
-    return F.dayofyear("timestamp").alias("_doy")
-
-
-def clustered(bars: DataFrame) -> DataFrame:
-    """Hash-cluster bars by (pair, year, day of year) — one shuffle, no sampling."""
-    b = bars if "_doy" in bars.columns else bars.withColumn("_doy", cluster_key())
-    return b.repartition("pair", "year", "_doy")
-
-
-def write_store(bars: DataFrame, root: str, already_clustered: bool = False) -> None:
+def write_store(bars: DataFrame, root: str) -> None:
     """A5 + F1: snappy Parquet under ``pair=/year=``; each written partition
-    is replaced as a whole (dynamic overwrite), others are untouched. Files
-    are time-ordered inside; ``already_clustered`` skips the shuffle when the
-    input is hash-clustered by (pair, year, day of year) already.
+    is replaced as a whole (dynamic overwrite), others are untouched.
+
+    ``rebalance(pair, year)`` clusters rows for the partitioned write and lets
+    AQE coalesce small partitions and split an oversized (pair, year) into
+    several tasks (advisory partition size), so a hot pair never becomes one
+    task; each file is time-ordered inside.
     """
-    out = store_columns(bars)
-    if not already_clustered:
-        out = clustered(out).drop("_doy")
+    out = store_columns(bars).hint("rebalance", "pair", "year")
     (
         out.sortWithinPartitions("pair", "year", "timestamp")
         .write.mode("overwrite")
