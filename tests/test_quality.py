@@ -61,3 +61,25 @@ def test_report_shape_and_no_data_pair(spark):
     assert c["completeness"]["expected"] == 3 and c["completeness"]["percent"] == 100.0
     assert c["yearly_row_counts"] == {"2024": 3}
     assert rep["EURUSD"]["date_range"]["start"] == "2024-01-03T10:00:00+00:00"
+
+
+def test_hot_group_of_identical_copies(spark):
+    """One bar copied many times: repeated copies follow an identical copy,
+    so each is a spike when open vs its own close is; counted without
+    funnelling the copies through one window partition."""
+    a = dt.datetime(2024, 1, 3, 10, 0)
+    base = [("EURUSD", None, a, 1.0, 1.0, 1.0, 1.0, 1.0, "dukascopy")]
+    copy = ("EURUSD", None, a + dt.timedelta(minutes=1), 1.0, 1.1, 1.0, 1.1, 1.0, "dukascopy")
+    bars = spark.createDataFrame(base, BAR_SCHEMA).unionByName(
+        spark.createDataFrame([copy], BAR_SCHEMA).crossJoin(spark.range(5000)).drop("id")
+    )
+    lag = Q.lagged_rows(bars)
+    (cnt,) = Q.spike_counts(lag).collect()
+    assert cnt["spike_count"] == 4999  # open 1.0 vs own close 1.1 (10 %) for copies 2..5000
+    assert Q.spikes(bars).count() == 4999
+    ex = Q.spike_examples(lag).collect()
+    assert len(ex) == 10 and {r["pct_change"] for r in ex} == {round(0.1 / 1.1 * 100, 3)}
+    rep = {r["pair"]: r for r in Q.qa_report(bars, instruments(spark)).collect()}
+    c = rep["EURUSD"]["checks"]
+    assert c["duplicates"]["count"] == 4999 and c["price_spikes_5pct"]["count"] == 4999
+    assert c["gaps_over_5min"]["count"] == 0

@@ -23,22 +23,29 @@ GAP_MINUTES = 5        # gaps over 5 minutes
 SPIKE_RATIO = 0.05     # |open - prev close| / prev close > 5 %
 
 
-def _order_cols(bars: DataFrame) -> list[Column]:
-    """Time order with a deterministic tie-break for duplicate timestamps:
-    earlier knowledge time first, then hash."""
-    cols = [F.col("timestamp")]
-    for c in ("knowledge_time", "bar_hash", "open", "close"):
-        if c in bars.columns:
-            cols.append(F.col(c).asc_nulls_last())
-    return cols
-
-
-def _lagged(bars: DataFrame) -> DataFrame:
-    """One window pass per (pair, date): previous timestamp and close."""
-    b = bars.withColumn("_d", F.to_date("timestamp"))
-    w = Window.partitionBy("pair", "_d").orderBy(*_order_cols(bars))
+def _order_cols(bars: DataFrame) -> list[str]:
+    """Row order of the checks: time, then a deterministic tie-break for
+    duplicate timestamps (earlier knowledge time, hash, values)."""
+    return ["timestamp"] + [c for c in ("knowledge_time", "bar_hash", "open", "close") if c in bars.columns]
+
+
+def _collapsed(bars: DataFrame) -> DataFrame:
+    """Rows identical in every column the row-to-row checks read collapse to
+    one row with multiplicity ``_n``. This is an aggregate, so even a bar
+    copied millions of times shrinks map-side; the window below then sees at
+    most the distinct variants of a pair-day."""
+    return bars.groupBy("pair", *_order_cols(bars)).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def lagged_rows(bars: DataFrame) -> DataFrame:
+    """One window pass per (pair, date) over the collapsed rows: previous
+    distinct row's timestamp and close, plus the row's own order key."""
+    order = _order_cols(bars)
+    b = _collapsed(bars).withColumn("_d", F.to_date("timestamp"))
+    w = Window.partitionBy("pair", "_d").orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return b.select(
-        "pair", "_d", "timestamp", "open", "close",
+        "pair", "_d", "timestamp", "open", "close", "_n",
+        F.struct(*[F.col(c) for c in order]).alias("_k"),
         F.lag("timestamp").over(w).alias("prev_ts"),
         F.lag("close").over(w).alias("prev_close"),
     )
@@ -65,8 +72,9 @@ def _gaps_from(pairs_prev: DataFrame, strict: bool = False) -> DataFrame:
 def gaps(bars: DataFrame, lagged: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """Consecutive bars more than 5 minutes apart whose hourly probes
     reach an open-market hour (parity: gaps of 60 minutes or less have no
-    probe and are never reported, Q1; ``strict`` reports them)."""
-    lagged = _lagged(bars) if lagged is None else lagged
+    probe and are never reported, Q1; ``strict`` reports them). Copies of a
+    timestamp are 0-minute steps, so the collapsed rows give the same gaps."""
+    lagged = lagged_rows(bars) if lagged is None else lagged
     within = lagged.select("pair", "prev_ts", "timestamp")
     days = bars.groupBy("pair", F.to_date("timestamp").alias("_d")).agg(
         F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts")
@@ -78,29 +86,91 @@ def gaps(bars: DataFrame, lagged: DataFrame | None = None, strict: bool = False)
     return _gaps_from(within.unionByName(across), strict)
 
 
-def spikes(bars: DataFrame, lagged: DataFrame | None = None) -> DataFrame:
-    """|open - previous close| / previous close > 5 % against the previous
-    row of the same UTC date. pandas rules: NaN compares False; a zero
-    previous close is a spike (inf) unless open is also zero (NaN)."""
-    lagged = _lagged(bars) if lagged is None else lagged
-    pc, o = F.col("prev_close"), F.col("open")
-    ratio = F.abs((o - pc) / pc)
-    is_spike = F.coalesce(
+def _spike_flag(o: Column, pc: Column) -> Column:
+    """pandas rules: NaN compares False; a zero previous close is a spike
+    (inf) unless open is also zero (NaN). Division only behind the guard."""
+    return F.coalesce(
         F.when(F.isnan(o) | F.isnan(pc), F.lit(False))
         .when(pc == 0, o != 0)
-        .otherwise(ratio > F.lit(SPIKE_RATIO)),
+        .otherwise(F.abs((o - pc) / F.when(pc != 0, pc)) > F.lit(SPIKE_RATIO)),
         F.lit(False),
     )
-    pct = F.when(pc == 0, F.lit(float("inf"))).otherwise(F.round(ratio * 100, 3))
-    return lagged.where(pc.isNotNull() & is_spike).select(
-        "pair", "timestamp", F.col("prev_close"), F.col("open"), pct.alias("pct_change")
+
+
+def _spike_pct(o: Column, pc: Column) -> Column:
+    return F.when(pc == 0, F.lit(float("inf"))).otherwise(
+        F.round(F.abs((o - pc) / F.when(pc != 0, pc)) * 100, 3)
+    )
+
+
+def _spike_parts(lagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(first copies vs the previous distinct row, repeated copies).
+
+    The k-th copy (k >= 2) of a row follows an identical copy, so its previous
+    close is its own close: it is a spike exactly when open vs own close is,
+    and it repeats ``_n - 1`` times. Counting needs no expansion."""
+    o, pc, c = F.col("open"), F.col("prev_close"), F.col("close")
+    inter = lagged.where(pc.isNotNull() & _spike_flag(o, pc)).select(
+        "pair", "timestamp", pc.alias("prev_close"), o.alias("open"), _spike_pct(o, pc).alias("pct_change"),
+        "_k", F.lit(0).cast("bigint").alias("_copy"),
+    )
+    repeated = lagged.where((F.col("_n") > 1) & _spike_flag(o, c)).select(
+        "pair", "timestamp", c.alias("prev_close"), o.alias("open"), _spike_pct(o, c).alias("pct_change"),
+        "_k", (F.col("_n") - 1).alias("_reps"),
+    )
+    return inter, repeated
+
+
+_EXPAND_CHUNK = 65536
+
+
+def _expand(repeated: DataFrame, cap: int | None = None) -> DataFrame:
+    """One row per repeated copy (``_copy`` = 1.._reps, capped at ``cap``).
+    Large repeat counts are cut into chunks that are spread over tasks before
+    the rows are generated."""
+    reps = F.col("_reps") if cap is None else F.least(F.col("_reps"), F.lit(cap))
+    chunks = repeated.withColumn("_r", reps).withColumn(
+        "_c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_r") - 1) / _EXPAND_CHUNK).cast("bigint")))
     )
+    if cap is None:
+        chunks = chunks.repartition("pair", "timestamp", "_c")
+    first = F.col("_c") * _EXPAND_CHUNK + 1
+    last = F.least((F.col("_c") + 1) * _EXPAND_CHUNK, F.col("_r"))
+    return chunks.withColumn("_copy", F.explode(F.sequence(first, last))).drop("_reps", "_r", "_c")
+
+
+def spikes(bars: DataFrame, lagged: DataFrame | None = None, keep_order: bool = False) -> DataFrame:
+    """|open - previous close| / previous close > 5 % against the previous
+    row of the same UTC date (previous row in time order, copies included)."""
+    lagged = lagged_rows(bars) if lagged is None else lagged
+    inter, repeated = _spike_parts(lagged)
+    out = inter.unionByName(_expand(repeated))
+    return out if keep_order else out.drop("_k", "_copy")
+
+
+def spike_counts(lagged: DataFrame) -> DataFrame:
+    """Spikes per pair without generating the repeated copies."""
+    inter, repeated = _spike_parts(lagged)
+    return (
+        inter.select("pair", F.lit(1).cast("bigint").alias("n"))
+        .unionByName(repeated.select("pair", F.col("_reps").cast("bigint").alias("n")))
+        .groupBy("pair").agg(F.sum("n").cast("bigint").alias("spike_count"))
+    )
+
+
+def spike_examples(lagged: DataFrame, n: int = EXAMPLES) -> DataFrame:
+    """F2 for spikes: the first ``n`` per pair in row order (copies capped
+    at ``n`` before expansion, so a hot group adds at most ``n`` rows)."""
+    inter, repeated = _spike_parts(lagged)
+    cand = inter.unionByName(_expand(repeated, cap=n))
+    return first_examples(cand, ["timestamp", "_k", "_copy"], n).drop("_k", "_copy")
 
 
-def first_examples(df: DataFrame, order_col: str, n: int = EXAMPLES) -> DataFrame:
-    """the first ``n`` rows per pair by ``order_col``, with their rank.
+def first_examples(df: DataFrame, order, n: int = EXAMPLES) -> DataFrame:
+    """the first ``n`` rows per pair by ``order``, with their rank.
     ``row_number() <= n`` is planned with a WindowGroupLimit (map-side top-n)."""
-    w = Window.partitionBy("pair").orderBy(order_col)
+    order = [order] if isinstance(order, str) else list(order)
+    w = Window.partitionBy("pair").orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
@@ -153,16 +223,15 @@ def source_values(bars: DataFrame) -> DataFrame:
 def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> DataFrame:
     """One row per configured pair with every check nested; pairs with
     no bars get ``status = 'no_data'`` (C4)."""
-    lagged = _lagged(bars)
+    lagged = lagged_rows(bars)
     g = gaps(bars, lagged, strict_gaps)
-    sp = spikes(bars, lagged)
     stats = per_pair_stats(bars)
 
     gap_ex = (
         first_examples(g, "from_ts")
         .groupBy("pair")
         .agg(F.array_sort(F.collect_list(F.struct(
-            "from_ts", iso_utc("from_ts").alias("from"), iso_utc("to_ts").alias("to"), "minutes"
+            "rank", iso_utc("from_ts").alias("from"), iso_utc("to_ts").alias("to"), "minutes"
         ))).alias("ex"))
         .select("pair", F.transform("ex", lambda x: F.struct(
             x["from"].alias("from"), x["to"].alias("to"), x["minutes"].alias("minutes")
@@ -170,17 +239,17 @@ def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> Da
     )
     gap_n = g.groupBy("pair").agg(F.count(F.lit(1)).alias("gap_count"))
     spike_ex = (
-        first_examples(sp, "timestamp")
+        spike_examples(lagged)
         .groupBy("pair")
         .agg(F.array_sort(F.collect_list(F.struct(
-            "timestamp", iso_utc("timestamp").alias("ts_text"), "prev_close", "open", "pct_change"
+            "rank", iso_utc("timestamp").alias("ts_text"), "prev_close", "open", "pct_change"
         ))).alias("ex"))
         .select("pair", F.transform("ex", lambda x: F.struct(
             x["ts_text"].alias("timestamp"), x["prev_close"].alias("prev_close"),
             x["open"].alias("open"), x["pct_change"].alias("pct_change"),
         )).alias("spike_examples"))
     )
-    spike_n = sp.groupBy("pair").agg(F.count(F.lit(1)).alias("spike_count"))
+    spike_n = spike_counts(lagged)
     yearly = (
         yearly_counts(bars)
         .groupBy("pair")

@@ -314,7 +314,7 @@ qa AS (
   SELECT pair, slot, timestamp, open, high, low, close, volume, source, knowledge_time, bar_hash FROM stamped2
 ),
 qa_lag AS (
-  SELECT pair, timestamp, open, close,
+  SELECT pair, timestamp, open, close, knowledge_time, bar_hash,
          lag(timestamp) OVER w AS prev_ts, lag(close) OVER w AS prev_close
   FROM qa WINDOW w AS (PARTITION BY pair ORDER BY timestamp, knowledge_time, bar_hash, open, close)
 ),
@@ -330,7 +330,7 @@ qa_gap_rows AS (
       WHERE NOT {closed('probes.p')})
 ),
 qa_spike_rows AS (
-  SELECT pair, timestamp, prev_close, open,
+  SELECT pair, timestamp, prev_close, open, knowledge_time, bar_hash,
          CASE WHEN prev_close = 0 THEN CAST('inf' AS DOUBLE)
               ELSE round(abs((open - prev_close) / prev_close) * 100, 3) END AS pct_change
   FROM qa_lag
@@ -379,14 +379,15 @@ ORACLE["qa_completeness"] = qq(
 ORACLE["qa_gaps"] = qq(
     f"SELECT pair, {ISO.format(c='from_ts')} AS \"from\", {ISO.format(c='to_ts')} AS \"to\", minutes FROM qa_gap_rows"
 )
-ORACLE["qa_spikes"] = qq("SELECT * FROM qa_spike_rows")
+ORACLE["qa_spikes"] = qq("SELECT pair, timestamp, prev_close, open, pct_change FROM qa_spike_rows")
 ORACLE["qa_gap_examples"] = qq(
     f"SELECT pair, CAST(row_number() OVER (PARTITION BY pair ORDER BY from_ts) AS INTEGER) AS rank, "
     f"{ISO.format(c='from_ts')} AS \"from\", {ISO.format(c='to_ts')} AS \"to\", minutes FROM qa_gap_rows "
     "QUALIFY rank <= 10"
 )
 ORACLE["qa_spike_examples"] = qq(
-    "SELECT *, CAST(row_number() OVER (PARTITION BY pair ORDER BY timestamp) AS INTEGER) AS rank "
+    "SELECT pair, timestamp, prev_close, open, pct_change, CAST(row_number() OVER (PARTITION BY pair "
+    "ORDER BY timestamp, knowledge_time, bar_hash, open) AS INTEGER) AS rank "
     "FROM qa_spike_rows QUALIFY rank <= 10"
 )
 

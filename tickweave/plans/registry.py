@@ -478,9 +478,9 @@ def q_qa_gap_examples(spark, sf_dir):
 @register("qa_spike_examples")
 def q_qa_spike_examples(spark, sf_dir):
     """first 10 spikes per pair by time."""
-    from ..operators.quality import first_examples, spikes
+    from ..operators.quality import lagged_rows, spike_examples
 
-    return first_examples(spikes(qa_bars(spark, sf_dir)), "timestamp")
+    return spike_examples(lagged_rows(qa_bars(spark, sf_dir)))
 
 
 @register("qa_report")
