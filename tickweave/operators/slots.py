@@ -153,18 +153,21 @@ def worklist(batch: DataFrame) -> DataFrame:
 def catalog_upsert(catalog: DataFrame, updates: DataFrame) -> DataFrame:
     """Last status wins per slot; an update replaces status and fetched_at.
 
-    ``updates`` carries ``update_seq`` (its order within the batch). Set-based:
-    one union and one ``row_number() = 1`` per slot key.
+    ``updates`` carries ``update_seq`` (its order within the batch). One union
+    and one ``max_by`` aggregate per slot key — many updates of one slot
+    collapse map-side instead of meeting in one window partition.
     """
     cols = [f.name for f in CATALOG_SCHEMA.fields]
+    rest = [c for c in cols if c not in SLOT_KEY]
     cur = catalog.select(*cols, F.lit(0).alias("_src"), F.lit(0).cast("long").alias("_seq"))
     upd = updates.select(*cols, F.lit(1).alias("_src"), F.col("update_seq").cast("long").alias("_seq"))
-    w = Window.partitionBy(*SLOT_KEY).orderBy(F.col("_src").desc(), F.col("_seq").desc())
+    latest = F.max_by(F.struct(*rest), F.struct("_src", "_seq")).alias("_last")
     return (
         cur.unionByName(upd)
-        .withColumn("_rn", F.row_number().over(w))
-        .where("_rn = 1")
-        .select(*[F.col(f.name).cast(f.dataType) for f in CATALOG_SCHEMA.fields])
+        .groupBy(*SLOT_KEY)
+        .agg(latest)
+        .select(*[(F.col(f.name) if f.name in SLOT_KEY else F.col(f"_last.{f.name}")).cast(f.dataType).alias(f.name)
+                  for f in CATALOG_SCHEMA.fields])
     )
 
 
