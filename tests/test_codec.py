@@ -71,3 +71,28 @@ def test_tick_prices_and_time(spark):
     ask1, bid1 = 110001 / 1000, 109991 / 1000
     assert b["open"] == (ask0 + bid0) / 2.0 and b["close"] == (ask1 + bid1) / 2.0
     assert b["timestamp"] == t and b["volume"] == 2 * (1.5 + 2.25) and b["n_ticks"] == 2
+
+
+def test_fractional_volume_is_compensated_sum_in_file_order(spark):
+    """pandas adds a minute's volumes with a compensated sum in row order;
+    the decoded bars must carry exactly that value (bar hashes depend on it)."""
+    import pandas as pd
+
+    root = _local(spark, "t-raw")
+    t = dt.datetime(2024, 1, 3, 10)
+    # chosen so that the compensated and the naive sums differ in the last bit
+    vols = np.array([0.0014053148915991187, 0.0654960572719574, 0.048505816608667374, 985017.6875,
+                     0.6143503785133362, 372132.46875, 82775.4140625, 0.0036385448183864355], dtype=np.float32)
+    rec = np.zeros(len(vols), dtype=TICK_DTYPE)
+    rec["ms"] = np.arange(len(vols)) * 100
+    rec["ask"], rec["bid"] = 110000, 109990
+    rec["ask_vol"], rec["bid_vol"] = vols, np.float32(0.3)
+    _write(root, "EURUSD", t, lzma.compress(rec.tobytes(), format=lzma.FORMAT_ALONE))
+    total = vols.astype(np.float64) + np.float64(np.float32(0.3))
+    expected = pd.DataFrame({"g": 0, "v": total}).groupby("g")["v"].sum().iloc[0]
+    naive = 0.0
+    for x in total:
+        naive += x
+    assert expected != naive
+    (b,) = load(spark, root).bars.collect()
+    assert b["volume"] == expected

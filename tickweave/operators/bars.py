@@ -15,16 +15,26 @@ from ..sources.instruments import DEFAULT_SOURCE
 BAR_VALUE_COLUMNS = ["open", "high", "low", "close", "volume"]
 
 
-def ohlcv_aggs(with_counts: bool = False) -> list[Column]:
-    """D1's aggregate expressions over ticks (pair, slot, seq, mid, volumes)."""
+def ohlcv_aggs(with_counts: bool = False, exact_volume_col: str | None = None) -> list[Column]:
+    """D1's aggregate expressions over ticks (pair, slot, seq, mid, volumes).
+
+    ``exact_volume_col`` names a per-tick column that already holds the exact
+    volume of the tick's minute (the decoder's compensated sum); every tick of
+    a group carries the same value, so ``max`` picks it and stays a partial,
+    skew-safe aggregate.
+    """
     vol = total_volume()
+    volume = (
+        F.coalesce(F.max(exact_volume_col), F.lit(0.0)) if exact_volume_col
+        else F.coalesce(F.sum(F.nanvl(vol, F.lit(None).cast("double"))), F.lit(0.0))
+    )
     return [
         *([F.count(F.lit(1)).alias("n_ticks")] if with_counts else []),
         F.min_by("mid", "seq").alias("open"),
         F.max("mid").alias("high"),
         F.min("mid").alias("low"),
         F.max_by("mid", "seq").alias("close"),
-        F.coalesce(F.sum(F.nanvl(vol, F.lit(None).cast("double"))), F.lit(0.0)).alias("volume"),
+        volume.alias("volume"),
     ]
 
 

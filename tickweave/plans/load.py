@@ -36,11 +36,12 @@ def bars_and_errors(files: DataFrame, inst: DataFrame, source: str = DEFAULT_SOU
     ticks = decoded.select(
         "pair", "slot", "seq", err.alias("error"),
         tick_time("slot", "ms").alias("timestamp"), *price_columns(), "ask_volume", "bid_volume",
+        "minute_volume",
     )
     minute: Column = F.when(F.col("error").isNull(), F.date_trunc("minute", "timestamp"))
     return (
         ticks.groupBy("pair", "slot", minute.alias("timestamp"))
-        .agg(*ohlcv_aggs(with_counts=True), F.max("error").alias("error"))
+        .agg(*ohlcv_aggs(with_counts=True, exact_volume_col="minute_volume"), F.max("error").alias("error"))
         .withColumn("source", F.lit(source))
     )
 

@@ -525,7 +525,7 @@ def q_load_ticks(spark, sf_dir):
     from ..sources.tickfiles import read_tick_files
 
     root = land_fixture_files(spark, sf_dir)
-    raw = read_tick_files(spark, root).where(F.col("error").isNull()).drop("error")
+    raw = read_tick_files(spark, root).where(F.col("error").isNull()).drop("error", "minute_volume")
     return scale_ticks(raw, instruments(spark))
 
 
