@@ -135,3 +135,25 @@ def save_qa_report(report: DataFrame, path: str, generated_at: dt.datetime | Non
         .coalesce(1)  # one row per configured pair
         .write.mode("overwrite").json(path)
     )
+
+
+def storage_usage(spark: SparkSession, store_root: str | None, raw_root: str | None) -> DataFrame:
+    """A10 over the two roots: bar Parquet files and raw tick files (listing
+    only — the scans select ``length`` so no file content is read)."""
+    from ..operators.status import storage_size
+
+    parts = []
+    if store_root:
+        parts.append(
+            spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(store_root)
+            .select(F.lit("bars").alias("kind"), "path", F.col("length").alias("size"))
+        )
+    if raw_root:
+        parts.append(
+            list_tick_files(spark, raw_root).select(F.lit("raw").alias("kind"), "path", F.col("length").alias("size"))
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return storage_size(out)

@@ -569,18 +569,9 @@ def q_slot_outcome(spark, sf_dir):
 @register("storage_size")
 def q_storage_size(spark, sf_dir):
     """A10: bytes and MiB of the bar store and of the raw files."""
-    from ..operators.status import storage_size
-    from ..sources.tickfiles import list_tick_files
+    from .backfill import storage_usage
 
-    raw_root = land_fixture_files(spark, sf_dir)
-    store_root = _roundtrip_store(spark, sf_dir)
-    raw = list_tick_files(spark, raw_root).select(F.lit("raw").alias("kind"), "path", F.col("length").alias("size"))
-    bars = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true").load(store_root)
-        .select(F.lit("bars").alias("kind"), "path", F.col("length").alias("size"))
-    )
-    return storage_size(raw.unionByName(bars))
+    return storage_usage(spark, _roundtrip_store(spark, sf_dir), land_fixture_files(spark, sf_dir))
 
 
 @register("incremental_load")
