@@ -259,10 +259,9 @@ def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> Da
     )
     src = source_values(bars)
 
-    per_pair = (
-        stats.join(gap_n, "pair", "left").join(gap_ex, "pair", "left")
-        .join(spike_n, "pair", "left").join(spike_ex, "pair", "left")
-        .join(yearly, "pair", "left").join(src, "pair", "left")
+    per_pair = _assemble(
+        inst.select("pair", "pair_ord"),
+        [stats, gap_n, gap_ex, spike_n, spike_ex, yearly, src],
     )
     empty_gaps = F.array().cast("array<struct<from:string,to:string,minutes:bigint>>")
     empty_spikes = F.array().cast(
@@ -286,8 +285,7 @@ def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> Da
         F.col("yearly_row_counts"),
     )
     return (
-        inst.select("pair", "pair_ord")
-        .join(per_pair, "pair", "left")
+        per_pair
         .select(
             "pair",
             "pair_ord",
@@ -299,6 +297,30 @@ def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> Da
     )
 
 
+def _assemble(base: DataFrame, pieces: list[DataFrame]) -> DataFrame:
+    """One row per ``base`` pair with every piece's columns: the pieces (each
+    at most one row per pair) are unioned on a common wide schema and folded
+    by one ``groupBy(pair)`` — a single small aggregation instead of a chain
+    of joins. Pairs missing from ``base`` (unconfigured) drop."""
+    fields: dict[str, object] = {}
+    for df in [base, *pieces]:
+        for f in df.schema.fields:
+            if f.name != "pair" and f.name not in fields:
+                fields[f.name] = f.dataType
+    aligned = [
+        df.select("pair", *[(F.col(c) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in fields.items()])
+        for df in [base, *pieces]
+    ]
+    u = aligned[0]
+    for df in aligned[1:]:
+        u = u.unionByName(df)
+    return (
+        u.groupBy("pair")
+        .agg(*[F.first(c, ignorenulls=True).alias(c) for c in fields])
+        .where(F.col("pair_ord").isNotNull())
+    )
+
+
 def qa_report_json(report: DataFrame) -> DataFrame:
     """The report as JSON text, one document per pair."""
     body = F.when(
