@@ -96,3 +96,26 @@ def test_fractional_volume_is_compensated_sum_in_file_order(spark):
     assert expected != naive
     (b,) = load(spark, root).bars.collect()
     assert b["volume"] == expected
+
+
+def test_encoder_groups_across_arrow_batches(spark):
+    """Slots cut by Arrow batch boundaries still become one complete file."""
+    from pyspark.sql import functions as F
+
+    from tickweave.sources.tickfiles import write_tick_files
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        t = dt.datetime(2024, 1, 3, 10)
+        rows = [(p, t + dt.timedelta(hours=h), i, i * 10, 110000 + i, 109990, 1.0, 2.0)
+                for p in ("EURUSD", "GBPUSD") for h in range(3) for i in range(5 + 6 * h)]
+        raw = spark.createDataFrame(rows, "pair string, slot timestamp, seq int, ms long, ask_int long, "
+                                          "bid_int long, ask_volume double, bid_volume double")
+        root = _local(spark, "t-raw")
+        landed = write_tick_files(raw.repartition(1), root).collect()
+        assert len(landed) == 6
+        dec = read_tick_files(spark, root).groupBy("pair", "slot").agg(F.count("*").alias("n"), F.max("seq").alias("m"))
+        got = sorted((r["pair"], r["slot"].hour, r["n"], r["m"]) for r in dec.collect())
+        assert got == sorted((p, 10 + h, 5 + 6 * h, 4 + 6 * h) for p in ("EURUSD", "GBPUSD") for h in range(3))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

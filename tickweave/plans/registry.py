@@ -590,5 +590,6 @@ def q_incremental_load(spark, sf_dir):
     incremental_load(
         spark, raw_root, store_root, scratch_path(spark, "stream-ckpt"),
         catalog_path=scratch_path(spark, "catalog"), knowledge_time=kt, max_files_per_trigger=1000,
+        listing_parallelism=max(2, spark.sparkContext.defaultParallelism),
     )
     return read_store(spark, store_root)

@@ -11,10 +11,37 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickweave`` importable on executors (``addPyFile``), once per
+    application: the decoder and the float-text helper run in Python workers
+    and are pickled by module reference. Equivalent to ``--py-files``."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tickweave-pyfiles-"), "tickweave.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.join("tickweave", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def ensure_utc(spark: SparkSession) -> SparkSession:
-    """All bar/slot arithmetic is defined in UTC; pin the session zone."""
+    """All bar/slot arithmetic is defined in UTC; pin the session zone (and
+    ship the package to the executors' Python workers)."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
@@ -101,4 +128,5 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tickw
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark

@@ -173,25 +173,59 @@ def raw_path(root: str, pair: str, ts: pd.Timestamp) -> str:
 LANDED_SCHEMA = "pair string, slot timestamp, path string, n_bytes bigint"
 
 
+def _write_file(root: str, pair: str, slot, pdf: pd.DataFrame, order: list[str]) -> tuple:
+    slot = pd.Timestamp(slot)
+    blob = encode_ticks(pdf, order)
+    path = raw_path(root, pair, slot)
+    fs, p = _fs_for(path)
+    fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(p) as out:
+        out.write(blob)
+    return pair, slot, path, len(blob)
+
+
 def write_tick_files(raw_ticks: DataFrame, root: str, order: list[str] | None = None) -> DataFrame:
     """Encode raw records (RAW_TICK_SCHEMA, or any columns ``order`` names
     for the record order) into one file per (pair, slot).
 
-    Runs as ``applyInPandas`` per slot (a group is one hour of one pair, the
-    unit the file format itself fixes). Files are written by the executors
-    through pyarrow's filesystem layer, so ``root`` can be any shared
-    filesystem URI; a retried task rewrites identical bytes. Returns the lazy
-    landing listing; run an action on it to write.
+    Rows are hash-partitioned by (pair, slot) and sorted, then a
+    ``mapInPandas`` writes each contiguous slot group as one file (a slot is
+    the unit the file format fixes); a group cut by an Arrow batch boundary is
+    carried into the next batch. Files are written by the executors through
+    pyarrow's filesystem layer, so ``root`` can be any shared filesystem URI;
+    a retried task rewrites identical bytes. Returns the lazy landing
+    listing; run an action on it to write.
     """
-    def encode(pdf: pd.DataFrame) -> pd.DataFrame:
-        pair, slot = pdf["pair"].iloc[0], pd.Timestamp(pdf["slot"].iloc[0])
-        blob = encode_ticks(pdf, order)
-        path = raw_path(root, pair, slot)
-        fs, p = _fs_for(path)
-        fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
-        with fs.open_output_stream(p) as out:
-            out.write(blob)
-        return pd.DataFrame({"pair": [pair], "slot": [slot], "path": [path], "n_bytes": [len(blob)]})
-
-    cols = ["pair", "slot", *(order or ["seq"]), "ms", "ask_int", "bid_int", "ask_volume", "bid_volume"]
-    return raw_ticks.select(*cols).groupBy("pair", "slot").applyInPandas(encode, LANDED_SCHEMA)
+    order = order or ["seq"]
+    cols = ["pair", "slot", *order, "ms", "ask_int", "bid_int", "ask_volume", "bid_volume"]
+
+    out_cols = ["pair", "slot", "path", "n_bytes"]
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_key, open_parts = None, []  # the slot group still running at a batch end
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            groups = [(k, g) for k, g in pdf.groupby(["pair", "slot"], sort=False)]
+            written = []
+            if open_parts and groups[0][0] == open_key:
+                open_parts.append(groups[0][1])
+                groups = groups[1:]
+            if open_parts and groups:  # the open group ended inside this batch
+                written.append(_write_file(root, *open_key, pd.concat(open_parts), order))
+                open_key, open_parts = None, []
+            if groups:
+                for k, g in groups[:-1]:
+                    written.append(_write_file(root, *k, g, order))
+                open_key, open_parts = groups[-1][0], [groups[-1][1]]
+            if written:
+                yield pd.DataFrame(written, columns=out_cols)
+        if open_parts:
+            yield pd.DataFrame([_write_file(root, *open_key, pd.concat(open_parts), order)], columns=out_cols)
+
+    return (
+        raw_ticks.select(*cols)
+        .repartition("pair", "slot")
+        .sortWithinPartitions("pair", "slot", *order)
+        .mapInPandas(encode, LANDED_SCHEMA)
+    )

@@ -53,10 +53,21 @@ def incremental_load(
     max_files_per_trigger: int = 1000,
     available_now: bool = True,
     pairs: list[str] | None = None,
+    listing_parallelism: int | None = None,
 ):
     """Start the incremental load; with ``available_now`` it processes every
-    file present and stops (use a processing-time trigger for a service)."""
+    file present and stops (use a processing-time trigger for a service).
+
+    Each micro-batch hands its new files to Spark as explicit paths, which the
+    file index lists with one task per path (up to
+    ``spark.sql.sources.parallelPartitionDiscovery.parallelism``). With
+    ``listing_parallelism`` that session setting is lowered so a batch of
+    ``max_files_per_trigger`` files is listed by a few tasks instead of one
+    task per file.
+    """
     ensure_utc(spark)
+    if listing_parallelism:
+        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(int(listing_parallelism)))
     stream = tick_file_stream(spark, raw_root, max_files_per_trigger)
     if pairs:
         stream = stream.where(F.col("pair").isin(list(pairs)))
