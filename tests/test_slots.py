@@ -56,3 +56,8 @@ def test_download_manifest_month_is_zero_based_in_url(spark):
     (r,) = S.download_manifest(df, "/data/raw").collect()
     assert r["url"].endswith("/EURUSD/2024/00/05/07h_ticks.bi5")
     assert r["path"] == "/data/raw/EURUSD/2024/01/05/07h_ticks.bi5"
+
+
+def test_quota_follows_given_pair_order(spark):
+    q = S.pair_quota(instruments(spark, ["USDJPY", "EURUSD", "GBPUSD"]), 5)
+    assert {r["pair"]: r["quota"] for r in q.collect()} == {"USDJPY": 2, "EURUSD": 2, "GBPUSD": 1}

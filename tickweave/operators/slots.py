@@ -91,17 +91,28 @@ def pair_quota(pairs: DataFrame, max_hours: int | None = DEFAULT_MAX_HOURS) -> D
     """E5: ``max_hours // n`` per pair; the first ``max_hours % n`` pairs (in
     ``pair_ord`` order) get one more. NULL means the default; 0 means none.
 
-    ``pairs`` is the (small, configured) pair list: pair, pair_ord.
+    ``pairs`` is a selection of the configured instruments (pair, pair_ord),
+    so at most one row per configured pair: like the reference, the quota is
+    plain arithmetic over that short list, returned as a VALUES table — no
+    window over a single partition.
     """
     if max_hours is None:
         max_hours = DEFAULT_MAX_HOURS
-    w = Window.orderBy("pair_ord")  # over the configured pairs only
-    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
-    i = F.row_number().over(w)
-    return pairs.select("pair", "pair_ord").select(
-        "pair", "pair_ord",
-        (F.floor(F.lit(max_hours) / n) + F.when(i <= F.pmod(F.lit(max_hours), n), 1).otherwise(0))
-        .cast("int").alias("quota"),
+    known = {p for p, _, _ in INSTRUMENTS}
+    chosen = sorted(
+        {(r["pair"], r["pair_ord"]) for r in pairs.select("pair", "pair_ord").distinct().collect()
+         if r["pair"] in known},  # bounded by the configured instruments
+        key=lambda t: t[1],
+    )
+    n = len(chosen)
+    rows = [(p, o, max_hours // n + (1 if i < max_hours % n else 0)) for i, (p, o) in enumerate(chosen)]
+    spark = pairs.sparkSession
+    if not rows:
+        return spark.createDataFrame([], "pair string, pair_ord int, quota int")
+    vals = ", ".join(f"('{p}', {o}, {q})" for p, o, q in rows)
+    return spark.sql(
+        "SELECT CAST(pair AS STRING) AS pair, CAST(pair_ord AS INT) AS pair_ord, CAST(quota AS INT) AS quota "
+        f"FROM VALUES {vals} AS t(pair, pair_ord, quota)"
     )
 
 

@@ -28,12 +28,15 @@ BASE_URL = "https://datafeed.dukascopy.com/datafeed"
 def instruments(spark: SparkSession, pairs: list[str] | None = None) -> DataFrame:
     """``pair string, pair_ord int, point_value int`` — 6 rows, size is fixed.
 
-    ``pairs`` narrows (and re-orders) the set like the reference's pair list.
+    ``pairs`` narrows and orders the set like the reference's pair list:
+    ``pair_ord`` then follows that list (quota remainders and the worklist
+    turn order go by it); unknown names are ignored.
     """
     rows = INSTRUMENTS
     if pairs:
-        by_name = {p: (p, o, pv) for p, o, pv in INSTRUMENTS}
-        rows = [by_name[p] for p in pairs if p in by_name]
+        pv_of = {p: pv for p, _, pv in INSTRUMENTS}
+        picked = [p for p in dict.fromkeys(pairs) if p in pv_of]
+        rows = [(p, i + 1, pv_of[p]) for i, p in enumerate(picked)]
     # a VALUES relation: planned as a local table scan with a known size,
     # no Python-side RDD behind it
     vals = ", ".join(f"('{p}', {o}, {pv})" for p, o, pv in rows)
