@@ -57,13 +57,19 @@ def test_status_and_validate_outputs(spark):
     local = out[len("file:"):] if out.startswith("file:") else out
     docs = []
     for name in os.listdir(local):
-        if name.endswith(".json"):
+        if name.startswith("part-"):
             with open(os.path.join(local, name)) as f:
                 docs += [json.loads(line) for line in f if line.strip()]
-    assert len(docs) == 6
-    by_pair = {d["pair"]: json.loads(d["report"]) for d in docs}
-    assert by_pair["USDCHF"] == {"status": "no_data"}
-    assert by_pair["EURUSD"]["checks"]["duplicates"]["pass"] is True
+    assert len(docs) == 1
+    doc = docs[0]
+    assert doc["generated_at"].startswith("2024-02-01T00:00:00")
+    assert list(doc["pairs"]) == ["EURUSD", "GBPUSD", "USDJPY", "USDCAD", "AUDUSD", "USDCHF"]
+    assert doc["pairs"]["USDCHF"] == {"status": "no_data"}
+    eur = doc["pairs"]["EURUSD"]
+    assert set(eur) == {"total_bars", "date_range", "checks"}
+    assert eur["checks"]["duplicates"]["pass"] is True
+    assert set(eur["checks"]) == {"duplicates", "ohlc_integrity", "zero_volume", "gaps_over_5min", "completeness",
+                                  "sources", "bar_hash_nulls", "price_spikes_5pct", "yearly_row_counts"}
 
 
 def test_stream_does_not_reread_a_replaced_file_batch_ingest_does(spark):

@@ -327,3 +327,23 @@ def qa_report_json(report: DataFrame) -> DataFrame:
         F.col("status") == "no_data", F.to_json(F.struct(F.col("status")))
     ).otherwise(F.to_json(F.struct("total_bars", "date_range", "checks")))
     return report.select("pair", body.alias("json"))
+
+
+def qa_report_document(report: DataFrame, generated_at: Column) -> DataFrame:
+    """The whole report as one JSON document, shaped like the reference's
+    file: ``{"generated_at": ..., "pairs": {PAIR: {...}}}`` with
+    ``{"status": "no_data"}`` for pairs without bars (``to_json`` drops NULL
+    fields). Pairs keep the configured order. One row per pair is folded, so
+    the collected list is bounded by the instrument count."""
+    value = F.struct(
+        F.when(F.col("status") == "no_data", F.lit("no_data")).alias("status"),
+        "total_bars", "date_range", "checks",
+    )
+    entries = F.array_sort(
+        F.collect_list(F.struct("pair_ord", "pair", value.alias("v"))),
+        lambda a, b: F.when(a["pair_ord"] < b["pair_ord"], -1).when(a["pair_ord"] > b["pair_ord"], 1).otherwise(0),
+    )
+    pairs = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["pair"], e["v"])))
+    return report.agg(
+        F.to_json(F.struct(generated_at.alias("generated_at"), pairs.alias("pairs"))).alias("json")
+    )

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import slots as S
-from ..operators.quality import qa_report, qa_report_json
+from ..operators.quality import qa_report, qa_report_document
 from ..operators.status import pair_status, status_rollup
 from ..session import ensure_utc, ts_lit
 from ..sources.barstore import read_store
@@ -126,15 +126,10 @@ def validate(spark: SparkSession, store_root: str, pairs: list[str] | None = Non
 
 
 def save_qa_report(report: DataFrame, path: str, generated_at: dt.datetime | None = None) -> None:
-    """The QA report as JSON lines (one document per pair), written by tasks."""
+    """The QA report saved as one JSON document (a single text row)."""
     stamp = ts_lit(generated_at) if generated_at is not None else F.current_timestamp()
-    (
-        qa_report_json(report)
-        .select("pair", F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("generated_at"),
-                F.col("json").alias("report"))
-        .coalesce(1)  # one row per configured pair
-        .write.mode("overwrite").json(path)
-    )
+    iso = F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    qa_report_document(report, iso).coalesce(1).write.mode("overwrite").text(path)
 
 
 def storage_usage(spark: SparkSession, store_root: str | None, raw_root: str | None) -> DataFrame:
