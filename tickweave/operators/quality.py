@@ -226,30 +226,8 @@ def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> Da
     lagged = lagged_rows(bars)
     g = gaps(bars, lagged, strict_gaps)
     stats = per_pair_stats(bars)
-
-    gap_ex = (
-        first_examples(g, "from_ts")
-        .groupBy("pair")
-        .agg(F.array_sort(F.collect_list(F.struct(
-            "rank", iso_utc("from_ts").alias("from"), iso_utc("to_ts").alias("to"), "minutes"
-        ))).alias("ex"))
-        .select("pair", F.transform("ex", lambda x: F.struct(
-            x["from"].alias("from"), x["to"].alias("to"), x["minutes"].alias("minutes")
-        )).alias("gap_examples"))
-    )
-    gap_n = g.groupBy("pair").agg(F.count(F.lit(1)).alias("gap_count"))
-    spike_ex = (
-        spike_examples(lagged)
-        .groupBy("pair")
-        .agg(F.array_sort(F.collect_list(F.struct(
-            "rank", iso_utc("timestamp").alias("ts_text"), "prev_close", "open", "pct_change"
-        ))).alias("ex"))
-        .select("pair", F.transform("ex", lambda x: F.struct(
-            x["ts_text"].alias("timestamp"), x["prev_close"].alias("prev_close"),
-            x["open"].alias("open"), x["pct_change"].alias("pct_change"),
-        )).alias("spike_examples"))
-    )
-    spike_n = spike_counts(lagged)
+    inter, repeated = _spike_parts(lagged)
+    event_counts, event_examples = _event_summaries(g, inter, repeated)
     yearly = (
         yearly_counts(bars)
         .groupBy("pair")
@@ -261,7 +239,7 @@ def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> Da
 
     per_pair = _assemble(
         inst.select("pair", "pair_ord"),
-        [stats, gap_n, gap_ex, spike_n, spike_ex, yearly, src],
+        [stats, event_counts, event_examples, yearly, src],
     )
     empty_gaps = F.array().cast("array<struct<from:string,to:string,minutes:bigint>>")
     empty_spikes = F.array().cast(
@@ -297,6 +275,85 @@ def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> Da
     )
 
 
+_EVENT_PAYLOAD = (
+    "struct<g_from:timestamp,g_to:timestamp,g_minutes:bigint,"
+    "s_ts:timestamp,s_prev:double,s_open:double,s_pct:double>"
+)
+
+
+def _event_summaries(g: DataFrame, inter: DataFrame, repeated: DataFrame):
+    """Gaps and spikes as one event table (pair, kind, order key, weight,
+    payload): counts come from one partial aggregate (repeated copies carry
+    their multiplicity as a weight, never expanded), examples from one window
+    per (pair, kind) with a map-side top-10 and one collect."""
+    k_type = inter.schema["_k"].dataType.simpleString()
+    order = lambda ts, k, c: F.struct(ts.alias("t"), k.alias("k"), c.alias("c"))
+    gap_ev = g.select(
+        "pair", F.lit("gap").alias("kind"),
+        order(F.col("from_ts"), F.lit(None).cast(k_type), F.lit(0).cast("bigint")).alias("_o"),
+        F.lit(1).cast("bigint").alias("_w"),
+        F.struct(F.col("from_ts").alias("g_from"), F.col("to_ts").alias("g_to"), F.col("minutes").alias("g_minutes"),
+                 *[F.lit(None).cast(t).alias(n) for n, t in
+                   (("s_ts", "timestamp"), ("s_prev", "double"), ("s_open", "double"), ("s_pct", "double"))]
+                 ).alias("_p"),
+    )
+
+    def spike_payload():
+        return F.struct(
+            *[F.lit(None).cast(t).alias(n) for n, t in
+              (("g_from", "timestamp"), ("g_to", "timestamp"), ("g_minutes", "bigint"))],
+            F.col("timestamp").alias("s_ts"), F.col("prev_close").alias("s_prev"),
+            F.col("open").alias("s_open"), F.col("pct_change").alias("s_pct"),
+        )
+
+    spike_first = inter.select(
+        "pair", F.lit("spike").alias("kind"), order(F.col("timestamp"), F.col("_k"), F.col("_copy")).alias("_o"),
+        F.lit(1).cast("bigint").alias("_w"), spike_payload().alias("_p"),
+    )
+    spike_rep = repeated.select(
+        "pair", F.lit("spike").alias("kind"), F.col("timestamp"), F.col("_k"), "_reps", spike_payload().alias("_p"),
+    )
+    counts = (
+        gap_ev.select("pair", "kind", "_w")
+        .unionByName(spike_first.select("pair", "kind", "_w"))
+        .unionByName(spike_rep.select("pair", "kind", F.col("_reps").cast("bigint").alias("_w")))
+        .groupBy("pair")
+        .agg(F.sum(F.when(F.col("kind") == "gap", F.col("_w"))).cast("bigint").alias("gap_count"),
+             F.sum(F.when(F.col("kind") == "spike", F.col("_w"))).cast("bigint").alias("spike_count"))
+    )
+    # examples: repeated copies are expanded at most EXAMPLES times
+    rep_ex = (
+        spike_rep.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"),
+                                                          F.least(F.col("_reps"), F.lit(EXAMPLES)).cast("bigint"))))
+        .select("pair", "kind", order(F.col("timestamp"), F.col("_k"), F.col("_copy")).alias("_o"),
+                F.lit(1).cast("bigint").alias("_w"), "_p")
+    )
+    ranked = first_examples_by(gap_ev.unionByName(spike_first).unionByName(rep_ex), ["pair", "kind"], "_o")
+    p = F.col("_p")
+    examples = ranked.groupBy("pair").agg(
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "gap", F.struct(
+            "rank", iso_utc(p["g_from"]).alias("from"), iso_utc(p["g_to"]).alias("to"),
+            p["g_minutes"].alias("minutes"))))).alias("_gx"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "spike", F.struct(
+            "rank", iso_utc(p["s_ts"]).alias("timestamp"), p["s_prev"].alias("prev_close"),
+            p["s_open"].alias("open"), p["s_pct"].alias("pct_change"))))).alias("_sx"),
+    ).select(
+        "pair",
+        F.transform("_gx", lambda x: F.struct(x["from"].alias("from"), x["to"].alias("to"),
+                                              x["minutes"].alias("minutes"))).alias("gap_examples"),
+        F.transform("_sx", lambda x: F.struct(x["timestamp"].alias("timestamp"), x["prev_close"].alias("prev_close"),
+                                              x["open"].alias("open"), x["pct_change"].alias("pct_change")))
+        .alias("spike_examples"),
+    )
+    return counts, examples
+
+
+def first_examples_by(df: DataFrame, keys: list[str], order: str, n: int = EXAMPLES) -> DataFrame:
+    """The first ``n`` rows per ``keys`` by ``order`` (WindowGroupLimit)."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
 def _assemble(base: DataFrame, pieces: list[DataFrame]) -> DataFrame:
     """One row per ``base`` pair with every piece's columns: the pieces (each
     at most one row per pair) are unioned on a common wide schema and folded
