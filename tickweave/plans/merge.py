@@ -32,6 +32,7 @@ def merge_bars(
     root: str,
     knowledge_time: dt.datetime | str | None = None,
     stamped: bool = False,
+    materialize: bool = False,
 ) -> MergeResult:
     """Merge ``new_bars`` (BAR_SCHEMA) into the store at ``root``.
 
@@ -39,11 +40,15 @@ def merge_bars(
     bounds the partitions read and rewritten. Reading and overwriting the same
     partitions is safe in dynamic mode: the old files are replaced only at job
     commit, after every task finished (a retried task re-reads the originals).
-    Empty input is a no-op.
+    Empty input is a no-op. ``materialize`` checkpoints the stamped batch
+    first (shared folder): worth it when ``new_bars`` is an expensive lazy
+    plan, since the partition list and the write both read the batch.
     """
     ensure_utc(spark)
     new = new_bars if stamped else stamp_bars(new_bars, knowledge_time)
     new = new.withColumn("year", F.year("timestamp").cast("int"))
+    if materialize:
+        new = new.checkpoint(eager=True)
     parts = [(r["pair"], int(r["year"])) for r in new.select("pair", "year").distinct().collect()]
     if not parts:
         return MergeResult([], 0, 0)
