@@ -39,9 +39,11 @@ def bars_and_errors(files: DataFrame, inst: DataFrame, source: str = DEFAULT_SOU
         "minute_volume",
     )
     minute: Column = F.when(F.col("error").isNull(), F.date_trunc("minute", "timestamp"))
+    # ``error`` is a grouping key, not a max(): string aggregation buffers
+    # would push the whole aggregate off HashAggregate (and codegen)
     return (
-        ticks.groupBy("pair", "slot", minute.alias("timestamp"))
-        .agg(*ohlcv_aggs(with_counts=True, exact_volume_col="minute_volume"), F.max("error").alias("error"))
+        ticks.groupBy("pair", "slot", minute.alias("timestamp"), "error")
+        .agg(*ohlcv_aggs(with_counts=True, exact_volume_col="minute_volume"))
         .withColumn("source", F.lit(source))
     )
 
