@@ -124,3 +124,12 @@ def test_merge_empty_is_noop(spark):
     root = scratch_path(spark, "t-store")
     res = merge_bars(spark, spark.createDataFrame([], BAR_SCHEMA), root, T0)
     assert res.partitions == [] and read_store(spark, root).count() == 0
+
+
+def test_fixture_order_key_fallback_gives_same_bars(spark, monkeypatch):
+    from tickweave.sources import fixtures as FX
+
+    packed = B.minute_bars(FX.fixture_ordered_ticks(spark, SF_SMALL))
+    monkeypatch.setattr(FX, "_ID_BITS", 2)  # id span too wide: struct(ts, event_id) order
+    wide = B.minute_bars(FX.fixture_ordered_ticks(spark, SF_SMALL))
+    assert rows(packed) == rows(wide)

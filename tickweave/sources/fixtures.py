@@ -103,15 +103,32 @@ def fixture_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scale_ticks(fixture_raw_ticks(spark, sf_dir), instruments(spark))
 
 
+_ID_BITS = 37  # 60e6 us per minute * 2**37 < 2**63
+
+
+def event_id_span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """(min, max) event_id: one aggregate row (Parquet statistics)."""
+    r = read_table(spark, sf_dir, "events").agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    return int(r["lo"] or 0), int(r["hi"] or 0)
+
+
 def fixture_ordered_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks derived from ``events`` whose file order is carried as
-    ``seq = struct(ts, event_id)`` (no numbering pass); input of the bars.
+    """Ticks derived from ``events`` whose file order (ts, event_id) is
+    carried in ``seq`` without a numbering pass; input of the bars.
 
-    A struct order key makes D1 a sort-based aggregate (partial map-side,
-    so still skew-safe); decoded ticks carry an int ``seq`` and hash-aggregate.
+    Bars compare order only inside one minute, where the microsecond offset
+    fits 26 bits: with ``event_id - min`` below 2**37 the pair packs into one
+    exact long, so D1 stays a hash aggregate. Wider id ranges fall back to
+    ``struct(ts, event_id)`` (exact too, sort-based aggregate).
     """
-    recs = fixture_records(spark, sf_dir).withColumn("seq", F.struct("ts", "event_id"))
-    return scale_ticks(recs, instruments(spark))
+    recs = fixture_records(spark, sf_dir)
+    lo, hi = event_id_span(spark, sf_dir)
+    if hi - lo < 2 ** _ID_BITS:
+        us_in_minute = F.unix_micros("ts") - F.unix_micros(F.date_trunc("minute", "ts"))
+        key = us_in_minute * F.lit(2 ** _ID_BITS) + (F.col("event_id") - F.lit(lo))
+    else:
+        key = F.struct("ts", "event_id")
+    return scale_ticks(recs.withColumn("seq", key), instruments(spark))
 
 
 def fixture_range(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
