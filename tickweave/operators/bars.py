@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prices import total_volume
@@ -45,8 +45,13 @@ def minute_bars(ticks: DataFrame, source: str = DEFAULT_SOURCE, with_counts: boo
     max/min mid (mid is integer/integer, never NaN), volume the sum of
     ask+bid volume with NaN skipped (f32 volumes can carry NaN). Grouping
     keeps the slot so two files never merge into one bar; the merge's dedup
-    settles overlapping minutes. All aggregates are hash-aggregatable, so
-    Spark combines map-side before the shuffle.
+    settles overlapping minutes. With a numeric ``seq`` all aggregates are
+    hash-aggregatable, so Spark combines map-side before the shuffle.
+
+    The volume here is a plain sum (exact for whole-number volumes); ticks
+    decoded from files go through ``plans.load.bars_and_errors``, which uses
+    the decoder's compensated per-minute sum to match the reference's pandas
+    summation bit for bit.
     """
     out_cols = ["pair", "slot", "timestamp", "open", "high", "low", "close", "volume", "source"]
     return (
