@@ -103,3 +103,30 @@ def test_stream_does_not_reread_a_replaced_file_batch_ingest_does(spark):
     api.ingest(spark, raw, store, cat, KT + dt.timedelta(hours=1))
     assert status() == ["fetched"]
     assert api.read_store(spark, store).count() == 1
+
+
+def test_ingest_rewrites_only_touched_catalog_partitions(spark):
+    import lzma
+
+    import numpy as np
+
+    from tickweave.sources.tickfiles import TICK_DTYPE
+
+    cat = scratch_path(spark, "t-cat")
+    api.write_catalog(fixture_catalog(spark, SF_SMALL), cat)
+    cols = ("pair", "year", "month", "day", "hour", "status", "fetched_at")
+    before = rows(api.read_catalog(spark, cat), *cols)
+    raw = scratch_path(spark, "t-raw")
+    local = raw[len("file:"):] if raw.startswith("file:") else raw
+    d = os.path.join(local, "EURUSD", "2024", "01", "31")
+    os.makedirs(d)
+    rec = np.zeros(2, dtype=TICK_DTYPE)
+    rec["ask"], rec["bid"] = 110000, 109990
+    with open(os.path.join(d, "05h_ticks.bi5"), "wb") as f:
+        f.write(lzma.compress(rec.tobytes(), format=lzma.FORMAT_ALONE))
+    api.ingest(spark, raw, scratch_path(spark, "t-store"), cat, KT)
+    after = rows(api.read_catalog(spark, cat), *cols)
+    assert [r for r in after if r[0] != "EURUSD"] == [r for r in before if r[0] != "EURUSD"]
+    new = [r for r in after if r[0] == "EURUSD" and (r[2], r[3], r[4]) == (1, 31, 5)]
+    assert [r[5] for r in new] == ["fetched"]
+    assert len(after) == len(before) + 1

@@ -20,7 +20,7 @@ from ..operators.quality import qa_report, qa_report_document
 from ..operators.status import pair_status, status_rollup
 from ..session import ensure_utc, ts_lit
 from ..sources.barstore import read_store
-from ..sources.catalog import read_catalog, write_catalog
+from ..sources.catalog import catalog_partitions, read_catalog, write_catalog
 from ..sources.instruments import BASE_URL, DEFAULT_SOURCE, instruments
 from ..sources.tickfiles import list_tick_files
 from .load import bars_and_errors
@@ -94,9 +94,13 @@ def ingest_files(
     )
     counts = updates.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "error").alias("e")).first()
     if catalog_path is not None:
-        current = read_catalog(spark, catalog_path)
-        # cut lineage before overwriting the catalog this plan reads
-        write_catalog(S.catalog_upsert(current, updates).checkpoint(eager=True), catalog_path)
+        # only the (pair, year) partitions the updates touch are read and
+        # rewritten; the list is bounded by the batch's pairs and years
+        touched = [(r["pair"], int(r["year"])) for r in updates.select("pair", "year").distinct().collect()]
+        if touched:
+            current = read_catalog(spark, catalog_path, catalog_partitions(touched))
+            # cut lineage before overwriting the partitions this plan reads
+            write_catalog(S.catalog_upsert(current, updates).checkpoint(eager=True), catalog_path)
     return IngestResult(res, int(counts["n"]), int(counts["e"]))
 
 

@@ -1,8 +1,14 @@
-"""Catalog (slot manifest) source and sink: A6, A7."""
+"""Catalog (slot manifest) source and sink: A6, A7.
+
+Stored as snappy Parquet partitioned by (pair, year), so an ingest rewrites
+only the partitions its status updates touch (dynamic overwrite) instead of
+the whole manifest. Entries are never deleted, so a partition that is not
+rewritten is never stale.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CATALOG_SCHEMA
@@ -14,18 +20,41 @@ def enforce_catalog(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CATALOG_SCHEMA.fields])
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """The catalog, or an empty typed catalog when none exists yet."""
+def read_catalog(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
+    """The catalog, or an empty typed catalog when none exists yet.
+
+    ``where`` on ``pair``/``year`` prunes partitions at planning time.
+    """
     if not path_exists(spark, path):
         return spark.createDataFrame([], CATALOG_SCHEMA)
-    return enforce_catalog(spark.read.schema(CATALOG_SCHEMA).parquet(path))
+    df = spark.read.schema(CATALOG_SCHEMA).option("basePath", path).parquet(path)
+    if where is not None:
+        df = df.where(where)
+    return enforce_catalog(df)
+
+
+def catalog_partitions(pairs_years: list[tuple[str, int]]) -> Column:
+    """(pair = p AND year = y) OR ... for the given partitions."""
+    cond = F.lit(False)
+    for pair, year in pairs_years:
+        cond = cond | ((F.col("pair") == F.lit(pair)) & (F.col("year") == F.lit(int(year))))
+    return cond
 
 
 def write_catalog(catalog: DataFrame, path: str) -> None:
-    """Snappy Parquet with the declared types.
+    """Snappy Parquet with the declared types, partitioned by
+    (pair, year); the (pair, year) partitions present in ``catalog`` are
+    replaced, others are left as they are.
 
-    The catalog is keyed by slot (one row per pair-hour) and stays small, but
-    it is still written by tasks, never through the driver. Callers that
-    overwrite the catalog they read from must cut lineage first (checkpoint).
+    Written by tasks, never through the driver. Callers that overwrite
+    partitions they read from cut lineage first (checkpoint).
     """
-    enforce_catalog(catalog).write.mode("overwrite").option("compression", "snappy").parquet(path)
+    (
+        enforce_catalog(catalog)
+        .repartition("pair", "year")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy("pair", "year")
+        .parquet(path)
+    )
