@@ -23,3 +23,17 @@ def test_golden_totals(spark):
     assert tot["is_total"] is True
     assert (tot["total"], tot["fetched"], tot["no_data"], tot["error"]) == (193812, 191861, 1941, 10)
     assert all(rows[p]["total"] == 32302 for p, *_ in GOLDEN)
+
+
+def test_progress_totals(spark):
+    from tickweave import api
+    from tickweave.plans.registry import _roundtrip_store, land_fixture_files
+    from tickweave.session import scratch_path
+    from tickweave.sources.fixtures import fixture_catalog
+
+    cat = scratch_path(spark, "t-cat")
+    api.write_catalog(fixture_catalog(spark, "/root/testdata/sf0.001"), cat)
+    raw = land_fixture_files(spark, "/root/testdata/sf0.001")
+    (r,) = api.progress_totals(spark, cat, _roundtrip_store(spark, "/root/testdata/sf0.001"), raw).collect()
+    assert r["slots_processed"] == r["fetched"] + r["no_data"] + r["errors"]
+    assert r["parquet_mb"] >= 0.0 and r["raw_mb"] >= 0.0

@@ -48,6 +48,8 @@ def main(argv: list[str] | None = None) -> int:
             q.add_argument("--max-files", type=int, default=1000)
     s = sub.add_parser("status", help="per-pair slot counts and totals")
     s.add_argument("--catalog", required=True)
+    s.add_argument("--store")
+    s.add_argument("--raw")
     v = sub.add_parser("validate", help="data-quality report over the stored bars")
     v.add_argument("--store", required=True)
     v.add_argument("--out")
@@ -75,6 +77,7 @@ def main(argv: list[str] | None = None) -> int:
                              listing_parallelism=spark.sparkContext.defaultParallelism)
     elif args.cmd == "status":
         api.status_report(spark, args.catalog).orderBy("is_total", "pair").show(truncate=False)
+        api.progress_totals(spark, args.catalog, args.store, args.raw).show(truncate=False)
     elif args.cmd == "validate":
         rep = api.validate(spark, args.store)
         if args.out:

@@ -156,3 +156,23 @@ def storage_usage(spark: SparkSession, store_root: str | None, raw_root: str | N
     for p in parts[1:]:
         out = out.unionByName(p)
     return storage_size(out)
+
+
+def progress_totals(spark: SparkSession, catalog_path: str, store_root: str | None = None,
+                    raw_root: str | None = None) -> DataFrame:
+    """The progress snapshot's totals: slots processed, fetched, no_data,
+    errors (D4's total row) and Parquet / raw MiB (A10), as one row."""
+    tot = status_report(spark, catalog_path).where(F.col("is_total")).select(
+        F.col("total").alias("slots_processed"), "fetched", "no_data", F.col("error").alias("errors"))
+    if not store_root and not raw_root:
+        return tot.select("*", F.lit(0.0).alias("parquet_mb"), F.lit(0.0).alias("raw_mb"))
+    sizes = storage_usage(spark, store_root, raw_root).select(
+        F.when(F.col("kind") == "bars", F.col("mib")).alias("parquet_mb"),
+        F.when(F.col("kind") == "raw", F.col("mib")).alias("raw_mb"),
+    )
+    # fold the one-row totals and the per-kind sizes into a single row
+    both = tot.unionByName(sizes, allowMissingColumns=True)
+    return both.agg(
+        *[F.max(c).alias(c) for c in ("slots_processed", "fetched", "no_data", "errors")],
+        *[F.coalesce(F.max(c), F.lit(0.0)).alias(c) for c in ("parquet_mb", "raw_mb")],
+    )
