@@ -70,9 +70,10 @@ def test_hot_group_of_identical_copies(spark):
     a = dt.datetime(2024, 1, 3, 10, 0)
     base = [("EURUSD", None, a, 1.0, 1.0, 1.0, 1.0, 1.0, "dukascopy")]
     copy = ("EURUSD", None, a + dt.timedelta(minutes=1), 1.0, 1.1, 1.0, 1.1, 1.0, "dukascopy")
-    bars = spark.createDataFrame(base, BAR_SCHEMA).unionByName(
-        spark.createDataFrame([copy], BAR_SCHEMA).crossJoin(spark.range(5000)).drop("id")
-    )
+    from pyspark.sql import functions as F
+
+    copies = spark.createDataFrame([copy], BAR_SCHEMA).withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(5000))))
+    bars = spark.createDataFrame(base, BAR_SCHEMA).unionByName(copies.drop("_i"))
     lag = Q.lagged_rows(bars)
     (cnt,) = Q.spike_counts(lag).collect()
     assert cnt["spike_count"] == 4999  # open 1.0 vs own close 1.1 (10 %) for copies 2..5000
