@@ -84,3 +84,33 @@ def test_hot_group_of_identical_copies(spark):
     c = rep["EURUSD"]["checks"]
     assert c["duplicates"]["count"] == 4999 and c["price_spikes_5pct"]["count"] == 4999
     assert c["gaps_over_5min"]["count"] == 0
+
+
+def test_iso_text_matches_python_isoformat(spark):
+    from tickweave.functions.text import iso_utc
+
+    stamps = [dt.datetime(2024, 1, 3, 10, 0), dt.datetime(2024, 1, 3, 10, 0, 5, 120000),
+              dt.datetime(2024, 12, 31, 23, 59, 59, 1)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(stamps)], "i int, t timestamp")
+    got = {r["i"]: r["s"] for r in df.select("i", iso_utc("t").alias("s")).collect()}
+    assert [got[i] for i in range(3)] == [t.replace(tzinfo=dt.timezone.utc).isoformat() for t in stamps]
+
+
+def test_spikes_nan_compares_false(spark):
+    a = dt.datetime(2024, 1, 3, 10, 0)
+    nan = float("nan")
+    data = [("EURUSD", None, a, 1.0, 1.0, 1.0, nan, 1.0, "dukascopy"),                          # NaN close
+            ("EURUSD", None, a + dt.timedelta(minutes=1), 2.0, 2.0, 2.0, 2.0, 1.0, "dukascopy"),  # vs NaN prev
+            ("EURUSD", None, a + dt.timedelta(minutes=2), nan, 2.0, 2.0, 2.0, 1.0, "dukascopy")]  # NaN open
+    assert Q.spikes(spark.createDataFrame(data, BAR_SCHEMA)).count() == 0
+
+
+def test_hash_nulls_counted(spark):
+    from pyspark.sql import functions as F
+
+    a = dt.datetime(2024, 1, 3, 10, 0)
+    bars = _bars(spark, [a, a + dt.timedelta(minutes=1)]).withColumn(
+        "bar_hash", F.when(F.minute("timestamp") == 1, F.lit(None).cast("string")).otherwise(F.lit("x")))
+    rep = {r["pair"]: r for r in Q.qa_report(bars, instruments(spark)).collect()}
+    c = rep["EURUSD"]["checks"]["bar_hash_nulls"]
+    assert c["count"] == 1 and c["pass"] is False
