@@ -100,7 +100,10 @@ def test_stream_does_not_reread_a_replaced_file_batch_ingest_does(spark):
     api.incremental_load(spark, raw, store, ck, cat, KT)
     assert status() == ["error"]  # same path: the stream skips it
 
-    api.ingest(spark, raw, store, cat, KT + dt.timedelta(hours=1))
+    # the retry names the slot's landing path (as a retry worklist would)
+    res = api.ingest_paths(spark, [raw + "/EURUSD/2024/01/03/10h_ticks.bi5", raw + "/EURUSD/2024/01/03/11h_ticks.bi5"],
+                           store, cat, KT + dt.timedelta(hours=1))
+    assert res.slots == 1 and res.errors == 0
     assert status() == ["fetched"]
     assert api.read_store(spark, store).count() == 1
 

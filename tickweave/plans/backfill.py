@@ -119,6 +119,25 @@ def ingest(
     return ingest_files(spark, files, store_root, catalog_path, knowledge_time, pairs)
 
 
+def ingest_paths(
+    spark: SparkSession,
+    paths: list[str],
+    store_root: str,
+    catalog_path: str | None = None,
+    knowledge_time: dt.datetime | None = None,
+) -> IngestResult | None:
+    """Ingest exactly these landed files (a run's worklist, a retry batch):
+    no listing of the whole raw tree. The list is bounded by the run's quota;
+    paths with no file (never landed) are skipped."""
+    from ..session import path_exists
+
+    present = [p for p in dict.fromkeys(paths) if path_exists(spark, p)]
+    if not present:
+        return None
+    return ingest_files(spark, list_tick_files(spark, present, with_content=True), store_root,
+                        catalog_path, knowledge_time)
+
+
 def status_report(spark: SparkSession, catalog_path: str, pairs: list[str] | None = None) -> DataFrame:
     """--status: per-pair counts and fetched range plus the totals row."""
     return status_rollup(pair_status(read_catalog(spark, catalog_path), instruments(spark, pairs)))

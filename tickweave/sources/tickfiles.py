@@ -58,16 +58,16 @@ def slot_from_path(path="path") -> list[Column]:
     return [part(1).alias("pair"), slot.alias("slot")]
 
 
-def list_tick_files(spark: SparkSession, root: str, with_content: bool = False) -> DataFrame:
-    """The landed files under ``root``: path, length (and content if asked),
-    plus the pair and slot from the path. Without ``content`` the scan only
-    lists files (ReadSchema prunes the bytes)."""
-    df = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", FILE_GLOB)
-        .option("recursiveFileLookup", "true")
-        .load(root)
-    )
+def list_tick_files(spark: SparkSession, root: str | list[str], with_content: bool = False) -> DataFrame:
+    """The landed files under ``root`` (or exactly the listed file paths):
+    path, length (and content if asked), plus the pair and slot from the
+    path. Without ``content`` the scan only lists files (ReadSchema prunes
+    the bytes)."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", FILE_GLOB)
+    if isinstance(root, str):
+        df = reader.option("recursiveFileLookup", "true").load(root)
+    else:
+        df = reader.load(list(root))
     cols = ["path", "length"] + (["content"] if with_content else [])
     return df.select(*cols, *slot_from_path("path"))
 
