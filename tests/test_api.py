@@ -133,3 +133,20 @@ def test_ingest_rewrites_only_touched_catalog_partitions(spark):
     new = [r for r in after if r[0] == "EURUSD" and (r[2], r[3], r[4]) == (1, 31, 5)]
     assert [r[5] for r in new] == ["fetched"]
     assert len(after) == len(before) + 1
+
+
+def test_stream_as_a_service(spark):
+    """Processing-time trigger: the query keeps running; new files are picked
+    up by later triggers."""
+    raw = land_fixture_files(spark, SF_SMALL)
+    store, cat, ck = scratch_path(spark, "t-s"), scratch_path(spark, "t-c"), scratch_path(spark, "t-k")
+    q = api.incremental_load(spark, raw, store, ck, cat, KT, available_now=False, max_files_per_trigger=500,
+                               trigger_interval="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    batch_store = scratch_path(spark, "t-b")
+    api.ingest(spark, raw, batch_store, None, KT)
+    assert _store_rows(spark, store) == _store_rows(spark, batch_store)

@@ -54,6 +54,7 @@ def incremental_load(
     available_now: bool = True,
     pairs: list[str] | None = None,
     listing_parallelism: int | None = None,
+    trigger_interval: str = "1 minute",
 ):
     """Start the incremental load; with ``available_now`` it processes every
     file present and stops (use a processing-time trigger for a service).
@@ -77,7 +78,7 @@ def incremental_load(
         )
         .option("checkpointLocation", checkpoint_location)
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     query = writer.start()
     if available_now:
         query.awaitTermination()
