@@ -396,3 +396,8 @@ ORACLE["load_ticks"] = q("SELECT * FROM ticks")
 ORACLE["slot_from_path"] = q(f"SELECT DISTINCT pair, slot, {SLOT_PARTS_SQL} FROM raw_ticks")
 ORACLE["slot_outcome"] = qs("SELECT pair, year, month, day, hour, status FROM catalog")
 ORACLE["incremental_load"] = qb(f"SELECT {STORE_COLS} FROM stamped WHERE NOT {BAD_SQL}")
+
+ORACLE["instruments"] = q(
+    "SELECT i.pair, i.pair_ord, i.point_value FROM instruments i "
+    "WHERE i.pair IN (SELECT DISTINCT pair FROM raw_ticks)"
+)

@@ -593,3 +593,13 @@ def q_incremental_load(spark, sf_dir):
         listing_parallelism=max(2, spark.sparkContext.defaultParallelism),
     )
     return read_store(spark, store_root)
+
+
+@register("instruments")
+def q_instruments(spark, sf_dir):
+    """The instrument dimension (pair, order, point value) restricted to
+    the pairs that occur in the tick feed derived from ``events``."""
+    from ..sources.instruments import instruments
+
+    present = FX.fixture_records(spark, sf_dir).select("pair").distinct()
+    return instruments(spark).join(present, "pair", "left_semi")
