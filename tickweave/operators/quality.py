@@ -174,16 +174,22 @@ def first_examples(df: DataFrame, order, n: int = EXAMPLES) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
-def per_pair_stats(bars: DataFrame) -> DataFrame:
-    """D5-D8, D10, D12 in one aggregation: first per (pair, timestamp) —
-    which also yields duplicates — then per pair."""
+def _per_ts(bars: DataFrame) -> DataFrame:
+    """Counts per (pair, timestamp): the shared first step of the stats and
+    the yearly counts (one shuffle, reused)."""
     has_hash = "bar_hash" in bars.columns
-    per_ts = bars.groupBy("pair", "timestamp").agg(
+    return bars.groupBy("pair", "timestamp").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(ohlc_bad(with_volume=False)).alias("bad"),
         F.count_if(F.coalesce(F.nanvl("volume", F.lit(None).cast("double")) <= 0, F.lit(False))).alias("zv"),
         (F.count_if(F.col("bar_hash").isNull()) if has_hash else F.lit(0).cast("bigint")).alias("hn"),
     )
+
+
+def per_pair_stats(bars: DataFrame, per_ts: DataFrame | None = None) -> DataFrame:
+    """D5-D8, D10, D12 in one aggregation: first per (pair, timestamp) —
+    which also yields duplicates — then per pair."""
+    per_ts = _per_ts(bars) if per_ts is None else per_ts
     s = per_ts.groupBy("pair").agg(
         F.sum("n").cast("bigint").alias("total_bars"),
         F.sum(F.col("n") - 1).cast("bigint").alias("duplicates"),
@@ -204,8 +210,12 @@ def per_pair_stats(bars: DataFrame) -> DataFrame:
     )
 
 
-def yearly_counts(bars: DataFrame) -> DataFrame:
-    """Rows per (pair, year)."""
+def yearly_counts(bars: DataFrame, per_ts: DataFrame | None = None) -> DataFrame:
+    """Rows per (pair, year); from the per-timestamp counts when given."""
+    if per_ts is not None:
+        return per_ts.groupBy("pair", F.year("timestamp").alias("year")).agg(
+            F.sum("n").cast("bigint").alias("n")
+        )
     return bars.groupBy("pair", F.year("timestamp").alias("year")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -225,11 +235,12 @@ def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> Da
     no bars get ``status = 'no_data'`` (C4)."""
     lagged = lagged_rows(bars)
     g = gaps(bars, lagged, strict_gaps)
-    stats = per_pair_stats(bars)
+    per_ts = _per_ts(bars)
+    stats = per_pair_stats(bars, per_ts)
     inter, repeated = _spike_parts(lagged)
     event_counts, event_examples = _event_summaries(g, inter, repeated)
     yearly = (
-        yearly_counts(bars)
+        yearly_counts(bars, per_ts)
         .groupBy("pair")
         .agg(F.map_from_entries(F.array_sort(F.collect_list(
             F.struct(F.col("year").cast("string").alias("k"), F.col("n").alias("v"))
