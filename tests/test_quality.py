@@ -114,3 +114,12 @@ def test_hash_nulls_counted(spark):
     rep = {r["pair"]: r for r in Q.qa_report(bars, instruments(spark)).collect()}
     c = rep["EURUSD"]["checks"]["bar_hash_nulls"]
     assert c["count"] == 1 and c["pass"] is False
+
+
+def test_strict_gaps_report_short_gaps(spark):
+    a = dt.datetime(2024, 1, 3, 10, 0)  # Wednesday
+    bars = _bars(spark, [a, a + dt.timedelta(minutes=6)])
+    assert Q.gaps(bars).count() == 0                      # parity: no hourly probe
+    assert [r["minutes"] for r in Q.gaps(bars, strict=True).collect()] == [6]
+    weekend = _bars(spark, [dt.datetime(2024, 1, 5, 21, 59), dt.datetime(2024, 1, 7, 22, 0)])
+    assert Q.gaps(weekend, strict=True).count() == 0     # closed minutes only

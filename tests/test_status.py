@@ -37,3 +37,26 @@ def test_progress_totals(spark):
     (r,) = api.progress_totals(spark, cat, _roundtrip_store(spark, "/root/testdata/sf0.001"), raw).collect()
     assert r["slots_processed"] == r["fetched"] + r["no_data"] + r["errors"]
     assert r["parquet_mb"] >= 0.0 and r["raw_mb"] >= 0.0
+
+
+def test_pair_status_nulls_and_zero_rows(spark):
+    import datetime as dt
+
+    from tickweave.operators.status import pair_status
+    from tickweave.schemas import CATALOG_SCHEMA
+    from tickweave.sources.instruments import instruments
+
+    t = dt.datetime(2024, 1, 31)
+    cat = spark.createDataFrame(
+        [("EURUSD", 2024, 1, 2, 3, "no_data", t), ("EURUSD", 2024, 1, 2, 4, "weird", t),
+         ("GBPUSD", 2024, 1, 5, 1, "fetched", t), ("GBPUSD", 2023, 12, 29, 1, "fetched", t),
+         ("XXXYYY", 2024, 1, 2, 3, "fetched", t)],
+        CATALOG_SCHEMA,
+    )
+    rows = {r["pair"]: r for r in pair_status(cat, instruments(spark)).collect()}
+    assert set(rows) == {"EURUSD", "GBPUSD", "USDJPY", "USDCAD", "AUDUSD", "USDCHF"}
+    e = rows["EURUSD"]
+    assert (e["total"], e["fetched"], e["no_data"], e["error"], e["oldest"], e["newest"]) == (2, 0, 1, 0, None, None)
+    g = rows["GBPUSD"]
+    assert (g["oldest"], g["newest"]) == ("2023-12-29", "2024-01-05")
+    assert rows["USDCHF"]["total"] == 0
