@@ -27,13 +27,13 @@ def run(flaky):
     M.merge_bars(spark, b1, root, FX.KNOWLEDGE_TIME_1)
     original = M.write_store
     if flaky:
-        def failing_write(df, r):
+        def failing_write(df, r, **kw):
             def f(it):
                 ctx = TaskContext.get()
                 if ctx.attemptNumber() == 0:
                     raise RuntimeError("executor lost")
                 yield from it
-            return original(df.mapInPandas(f, df.schema), r)
+            return original(df.mapInPandas(f, df.schema), r, **kw)
         M.write_store = failing_write
     try:
         M.merge_bars(spark, b2, root, FX.KNOWLEDGE_TIME_2)

@@ -43,19 +43,20 @@ def partition_filter(parts: list[tuple[str, int]]) -> Column:
     return cond
 
 
-def write_store(bars: DataFrame, root: str) -> None:
+def write_store(bars: DataFrame, root: str, mode: str = "overwrite") -> None:
     """A5 + F1: snappy Parquet under ``pair=/year=``; each written partition
     is replaced as a whole (dynamic overwrite), others are untouched.
 
     ``rebalance(pair, year)`` clusters rows for the partitioned write and lets
     AQE coalesce small partitions and split an oversized (pair, year) into
     several tasks (advisory partition size), so a hot pair never becomes one
-    task; each file is time-ordered inside.
+    task; each file is time-ordered inside. ``mode="append"`` adds files to
+    the partitions instead (used when the batch shares no minute with them).
     """
     out = store_columns(bars).hint("rebalance", "pair", "year")
     (
         out.sortWithinPartitions("pair", "year", "timestamp")
-        .write.mode("overwrite")
+        .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy("pair", "year")
