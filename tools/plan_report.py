@@ -83,10 +83,12 @@ def main(argv: list[str]) -> None:
     _ = fixture_bars  # documented elsewhere
     merge_note = [
         "## merge_bars (G3)", "",
-        "Stored scan pruned to the batch's (pair, year) partitions (`PartitionFilters`), "
-        "union with the new bars, partial `min_by` keep-first aggregate before one exchange, "
-        "final aggregate, integrity filter, `rebalance(pair, year)` exchange, sorted "
-        "dynamic-overwrite write. See README.", "",
+        "Stored timestamps of the batch's (pair, year) partitions (`PartitionFilters`, "
+        "timestamp-only `ReadSchema`) are semi-joined with the batch to find colliding "
+        "partitions. Colliding ones: union stored + new, partial `min_by` keep-first "
+        "aggregate before one exchange, final aggregate, integrity filter, "
+        "`rebalance(pair, year)` exchange, sorted dynamic-overwrite write. The others: the "
+        "batch's own keep-first and integrity filter, appended. See README.", "",
     ]
     out += merge_note
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
