@@ -154,3 +154,22 @@ def test_non_colliding_batch_appends_and_replay_is_idempotent(spark):
     assert len(snapshot) == 6
     merge_bars(spark, b, root, T0 + dt.timedelta(days=2))  # replay: collides, keep-first rewrite
     assert _store_rows(spark, root) == snapshot
+
+
+def test_compact_store_keeps_rows_and_cuts_files(spark):
+    import glob
+
+    from tickweave.sources.barstore import compact_store
+
+    root = scratch_path(spark, "t-store")
+    local = root[len("file:"):] if root.startswith("file:") else root
+    for h in range(4):  # four non-colliding batches: four appends
+        slot = T0 + dt.timedelta(hours=h)
+        rows4 = [bar(60 * h + m, 1.0, 1.1, 0.9, 1.0, 1.0, slot=slot) for m in range(3)]
+        merge_bars(spark, spark.createDataFrame(rows4, BAR_SCHEMA).repartition(2), root, T0)
+    before = _store_rows(spark, root)
+    n_before = len(glob.glob(f"{local}/pair=EURUSD/year=2024/*.parquet"))
+    assert compact_store(spark, root, min_files=2) == [("EURUSD", 2024)]
+    n_after = len(glob.glob(f"{local}/pair=EURUSD/year=2024/*.parquet"))
+    assert _store_rows(spark, root) == before and n_after < n_before
+    assert compact_store(spark, root, min_files=n_after + 1) == []

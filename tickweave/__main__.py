@@ -6,6 +6,7 @@
     python -m tickweave status   --catalog C
     python -m tickweave validate --store S [--out PATH]
     python -m tickweave storage  --store S --raw R
+    python -m tickweave compact  --store S [--min-files 16]
 
 Fetching from the network is outside this tool: files landed under the raw
 root are its input (see README). Output tables are printed with ``show``.
@@ -53,6 +54,9 @@ def main(argv: list[str] | None = None) -> int:
     v = sub.add_parser("validate", help="data-quality report over the stored bars")
     v.add_argument("--store", required=True)
     v.add_argument("--out")
+    c = sub.add_parser("compact", help="rewrite store partitions that accumulated many files")
+    c.add_argument("--store", required=True)
+    c.add_argument("--min-files", type=int, default=16)
     g = sub.add_parser("storage", help="bytes of the bar store and raw files")
     g.add_argument("--store")
     g.add_argument("--raw")
@@ -83,6 +87,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.out:
             api.save_qa_report(rep, args.out)
         api.qa_report_json(rep).orderBy("pair").show(truncate=120)
+    elif args.cmd == "compact":
+        print("compacted", api.compact_store(spark, args.store, args.min_files))
     elif args.cmd == "storage":
         api.storage_usage(spark, args.store, args.raw).show(truncate=False)
     return 0

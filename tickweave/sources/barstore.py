@@ -62,3 +62,29 @@ def write_store(bars: DataFrame, root: str, mode: str = "overwrite") -> None:
         .partitionBy("pair", "year")
         .parquet(root)
     )
+
+
+def compact_store(spark: SparkSession, root: str, min_files: int = 16) -> list[tuple[str, int]]:
+    """Rewrite the (pair, year) partitions holding at least ``min_files``
+    files (appends accumulate small files) as a few time-ordered files.
+
+    The file listing is a Spark scan that reads no content; only the list of
+    partitions to compact — at most one entry per (pair, year) — reaches the
+    driver. Rows are unchanged: the partitions are read and replaced by the
+    same dynamic-overwrite write (old files go at job commit).
+    """
+    if not path_exists(spark, root):
+        return []
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true").load(root)
+        .select(
+            F.regexp_extract("path", r"pair=([^/]+)/", 1).alias("pair"),
+            F.regexp_extract("path", r"year=(\d+)/", 1).cast("int").alias("year"),
+        )
+    )
+    heavy = files.groupBy("pair", "year").count().where(F.col("count") >= min_files)
+    parts = [(r["pair"], int(r["year"])) for r in heavy.collect()]
+    if parts:
+        write_store(read_store(spark, root).where(partition_filter(parts)), root)
+    return parts
