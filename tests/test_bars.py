@@ -173,3 +173,14 @@ def test_compact_store_keeps_rows_and_cuts_files(spark):
     n_after = len(glob.glob(f"{local}/pair=EURUSD/year=2024/*.parquet"))
     assert _store_rows(spark, root) == before and n_after < n_before
     assert compact_store(spark, root, min_files=n_after + 1) == []
+
+
+def test_force_rewrite_refilters_imported_rows(spark):
+    from tickweave.sources.barstore import write_store
+
+    root = scratch_path(spark, "t-store")
+    bad_imported = spark.createDataFrame([bar(0, 1.0, 0.5, 0.9, 1.0, 1.0)], BAR_SCHEMA)
+    write_store(B.stamp_bars(bad_imported, T0), root)  # an imported bad row
+    new = spark.createDataFrame([bar(5, 1.0, 1.1, 0.9, 1.0, 1.0)], BAR_SCHEMA)
+    merge_bars(spark, new, root, T0, force_rewrite=True)
+    assert [r["timestamp"].minute for r in read_store(spark, root).collect()] == [5]

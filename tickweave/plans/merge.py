@@ -33,6 +33,7 @@ def merge_bars(
     knowledge_time: dt.datetime | str | None = None,
     stamped: bool = False,
     materialize: bool = False,
+    force_rewrite: bool = False,
 ) -> MergeResult:
     """Merge ``new_bars`` (BAR_SCHEMA) into the store at ``root``.
 
@@ -43,6 +44,12 @@ def merge_bars(
     Empty input is a no-op. ``materialize`` checkpoints the stamped batch
     first (shared folder): worth it when ``new_bars`` is an expensive lazy
     plan, since the partition list and the write both read the batch.
+
+    Partitions that share no minute with the batch are appended to; stored
+    rows were validated when written, so the result equals a full rewrite for
+    stores written here. ``force_rewrite`` rewrites every affected partition
+    (re-filtering stored rows too, as the reference does on each write — use
+    it for stores imported from elsewhere).
     """
     ensure_utc(spark)
     new = new_bars if stamped else stamp_bars(new_bars, knowledge_time)
@@ -62,8 +69,8 @@ def merge_bars(
     # Which partitions already hold one of the batch's minutes? Only those
     # need the keep-first rewrite; the others just receive the batch's rows.
     # Reads the timestamp column of the affected partitions only.
-    collide = set()
-    if path_exists(spark, root):
+    collide = set(parts) if force_rewrite else set()
+    if not force_rewrite and path_exists(spark, root):
         stored_keys = read_store(spark, root).where(partition_filter(parts)).select("pair", "year", "timestamp")
         hits = incoming.select("pair", "year", "timestamp").join(
             stored_keys, ["pair", "year", "timestamp"], "left_semi").select("pair", "year").distinct()
