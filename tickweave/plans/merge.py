@@ -71,9 +71,11 @@ def merge_bars(
     # Reads the timestamp column of the affected partitions only.
     collide = set(parts) if force_rewrite else set()
     if not force_rewrite and path_exists(spark, root):
-        stored_keys = read_store(spark, root).where(partition_filter(parts)).select("pair", "year", "timestamp")
-        hits = incoming.select("pair", "year", "timestamp").join(
-            stored_keys, ["pair", "year", "timestamp"], "left_semi").select("pair", "year").distinct()
+        keys = ["pair", "year", "timestamp"]
+        stored_keys = read_store(spark, root).where(partition_filter(parts)).select(*keys)
+        # the batch is the build side (AQE broadcasts it when it is small, so
+        # the stored timestamps are probed where they are read)
+        hits = stored_keys.join(incoming.select(*keys), keys, "left_semi").select("pair", "year").distinct()
         collide = {(r["pair"], int(r["year"])) for r in hits.collect()}  # subset of ``parts``
     rewrite = [p for p in parts if p in collide]
     append = [p for p in parts if p not in collide]
