@@ -121,6 +121,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tickw
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # remove checkpoint files once their DataFrame is garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # raw tick files are ~17 KiB each: let one task read many of them
         .config("spark.sql.files.openCostInBytes", str(64 * 1024))
         .config("spark.driver.memory", os.environ.get("TICKWEAVE_DRIVER_MEMORY", "8g"))
