@@ -32,7 +32,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only <= {"qa_report", "qa_report_json", "storage_size"}
+    assert rows_only <= {"qa_report_json", "storage_size"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -415,3 +415,33 @@ def qa_report_document(report: DataFrame, generated_at: Column) -> DataFrame:
     return report.agg(
         F.to_json(F.struct(generated_at.alias("generated_at"), pairs.alias("pairs"))).alias("json")
     )
+
+
+def flatten_report(report: DataFrame) -> DataFrame:
+    """The report's checks as scalar columns (one row per pair): handy for
+    tabular consumers and for comparing with other engines. A pair without
+    bars gets zero counts (the reference's convention for an empty frame:
+    total 0, completeness 0.0 of 0) and NULL pass flags and dates; pass flags
+    are text ('true'/'false')."""
+    c = F.col("checks")
+    years = F.array_join(F.array_sort(F.transform(
+        F.map_entries(c["yearly_row_counts"]), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))
+    )), ",")
+    z = lambda col, t="bigint": F.coalesce(col, F.lit(0).cast(t))
+    return report.select(
+        "pair", "status", z(F.col("total_bars")).alias("total_bars"),
+        F.col("date_range.start").alias("start"), F.col("date_range.end").alias("end"),
+        z(c["duplicates"]["count"]).alias("duplicates"), c["duplicates"]["pass"].cast("string").alias("duplicates_pass"),
+        z(c["ohlc_integrity"]["failures"]).alias("ohlc_failures"), c["ohlc_integrity"]["pass"].cast("string").alias("ohlc_pass"),
+        z(c["zero_volume"]["count"]).alias("zero_volume"),
+        z(c["gaps_over_5min"]["count"]).alias("gap_count"),
+        z(F.when(c.isNotNull(), F.size(c["gaps_over_5min"]["examples"])), "int").alias("gap_examples"),
+        z(c["completeness"]["percent"], "double").alias("completeness_percent"),
+        z(c["completeness"]["actual"]).alias("completeness_actual"),
+        z(c["completeness"]["expected"]).alias("completeness_expected"),
+        F.array_join(c["sources"]["values"], ",").alias("sources"),
+        z(c["bar_hash_nulls"]["count"]).alias("hash_nulls"), c["bar_hash_nulls"]["pass"].cast("string").alias("hash_pass"),
+        z(c["price_spikes_5pct"]["count"]).alias("spike_count"),
+        z(F.when(c.isNotNull(), F.size(c["price_spikes_5pct"]["examples"])), "int").alias("spike_examples"),
+        years.alias("yearly_row_counts"),
+    )

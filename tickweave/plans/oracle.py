@@ -401,3 +401,36 @@ ORACLE["instruments"] = q(
     "SELECT i.pair, i.pair_ord, i.point_value FROM instruments i "
     "WHERE i.pair IN (SELECT DISTINCT pair FROM raw_ticks)"
 )
+
+ORACLE["qa_report"] = qq(f"""
+, g AS (SELECT pair, CAST(count(*) AS BIGINT) AS n FROM qa_gap_rows GROUP BY pair)
+, sp AS (SELECT pair, CAST(count(*) AS BIGINT) AS n FROM qa_spike_rows GROUP BY pair)
+, src AS (SELECT pair, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM qa GROUP BY pair)
+, yr AS (
+  SELECT pair, string_agg(k, ',' ORDER BY k) AS yearly FROM (
+    SELECT pair, CAST(year(timestamp) AS VARCHAR) || ':' || CAST(count(*) AS VARCHAR) AS k
+    FROM qa GROUP BY pair, year(timestamp)) GROUP BY pair
+)
+SELECT i.pair,
+       CASE WHEN s.pair IS NULL THEN 'no_data' ELSE 'ok' END AS status,
+       coalesce(s.total_bars, 0) AS total_bars,
+       {ISO.format(c='s.start_ts')} AS start, {ISO.format(c='s.end_ts')} AS "end",
+       coalesce(s.duplicates, 0) AS duplicates, CAST(s.duplicates = 0 AS VARCHAR) AS duplicates_pass,
+       coalesce(s.ohlc_failures, 0) AS ohlc_failures, CAST(s.ohlc_failures = 0 AS VARCHAR) AS ohlc_pass,
+       coalesce(s.zero_volume, 0) AS zero_volume,
+       coalesce(g.n, 0) AS gap_count,
+       CAST(least(coalesce(g.n, 0), 10) AS INTEGER) AS gap_examples,
+       CASE WHEN s.expected > 0 THEN round(s.total_bars / s.expected * 100, 2) ELSE 0.0 END AS completeness_percent,
+       coalesce(s.total_bars, 0) AS completeness_actual, coalesce(s.expected, 0) AS completeness_expected,
+       src.sources,
+       coalesce(s.hash_nulls, 0) AS hash_nulls, CAST(s.hash_nulls = 0 AS VARCHAR) AS hash_pass,
+       coalesce(sp.n, 0) AS spike_count,
+       CAST(least(coalesce(sp.n, 0), 10) AS INTEGER) AS spike_examples,
+       yr.yearly AS yearly_row_counts
+FROM instruments i
+LEFT JOIN qa_expected s ON s.pair = i.pair
+LEFT JOIN g ON g.pair = i.pair
+LEFT JOIN sp ON sp.pair = i.pair
+LEFT JOIN src ON src.pair = i.pair
+LEFT JOIN yr ON yr.pair = i.pair
+""")

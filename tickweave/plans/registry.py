@@ -485,11 +485,12 @@ def q_qa_spike_examples(spark, sf_dir):
 
 @register("qa_report")
 def q_qa_report(spark, sf_dir):
-    """The nested QA report, one row per configured pair."""
-    from ..operators.quality import qa_report
+    """The QA report, one row per configured pair, its nested checks
+    flattened to scalar columns (examples counted, yearly counts as text)."""
+    from ..operators.quality import flatten_report, qa_report
     from ..sources.instruments import instruments
 
-    return qa_report(qa_bars(spark, sf_dir), instruments(spark))
+    return flatten_report(qa_report(qa_bars(spark, sf_dir), instruments(spark)))
 
 
 @register("qa_report_json")
