@@ -76,7 +76,8 @@ def gaps(bars: DataFrame, lagged: DataFrame | None = None, strict: bool = False)
     timestamp are 0-minute steps, so the collapsed rows give the same gaps."""
     lagged = lagged_rows(bars) if lagged is None else lagged
     within = lagged.select("pair", "prev_ts", "timestamp")
-    days = bars.groupBy("pair", F.to_date("timestamp").alias("_d")).agg(
+    # the lagged rows are already clustered by (pair, date): no extra shuffle
+    days = lagged.groupBy("pair", "_d").agg(
         F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts")
     )
     wd = Window.partitionBy("pair").orderBy("_d")  # one row per pair-day
