@@ -123,3 +123,14 @@ def test_strict_gaps_report_short_gaps(spark):
     assert [r["minutes"] for r in Q.gaps(bars, strict=True).collect()] == [6]
     weekend = _bars(spark, [dt.datetime(2024, 1, 5, 21, 59), dt.datetime(2024, 1, 7, 22, 0)])
     assert Q.gaps(weekend, strict=True).count() == 0     # closed minutes only
+
+
+def test_flattened_report_no_data_row(spark):
+    a = dt.datetime(2024, 1, 3, 10, 0)
+    flat = {r["pair"]: r for r in Q.flatten_report(Q.qa_report(_bars(spark, [a]), instruments(spark))).collect()}
+    chf = flat["USDCHF"]
+    assert chf["status"] == "no_data" and chf["total_bars"] == 0 and chf["completeness_percent"] == 0.0
+    assert chf["gap_examples"] == 0 and chf["duplicates_pass"] is None and chf["start"] is None
+    eur = flat["EURUSD"]
+    assert eur["status"] == "ok" and eur["total_bars"] == 1 and eur["duplicates_pass"] == "true"
+    assert eur["yearly_row_counts"] == "2024:1" and eur["sources"] == "dukascopy"
