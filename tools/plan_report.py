@@ -46,7 +46,7 @@ def main(argv: list[str]) -> None:
     from tickweave.operators.bars import minute_bars
     from tickweave.operators.quality import qa_report
     from tickweave.plans.load import bars_and_errors
-    from tickweave.plans.registry import fixture_bars, land_fixture_files, qa_store
+    from tickweave.plans.registry import land_fixture_files, qa_store
     from tickweave.session import local_session
     from tickweave.sources import fixtures as FX
     from tickweave.sources.barstore import read_store
@@ -80,7 +80,6 @@ def main(argv: list[str]) -> None:
                 f"exchange nodes in the tree: {n_ex} (a subtree used by several branches is listed once per use; "
                 "adaptive execution reuses its shuffle)",
                 "", "```", t.rstrip(), "```", ""]
-    _ = fixture_bars  # documented elsewhere
     merge_note = [
         "## merge_bars (G3)", "",
         "Stored timestamps of the batch's (pair, year) partitions (`PartitionFilters`, "
