@@ -42,6 +42,8 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     ship_package(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        checkpoint_root(spark)  # checkpoint() needs it; uses spark.checkpoint.dir when set
     return spark
 
 
