@@ -29,3 +29,5 @@ def test_cli_ingest_status_validate_plan(spark, tmp_path):
     assert "no_data" in out  # USDCHF has no bars in the fixture
     out = run("plan", "--catalog", cat, "--as-of", "2024-01-31T00:00", "--max-hours", "12", cwd=str(tmp_path))
     assert "https://" in out
+    out = run("compact", "--store", store, "--min-files", "1", cwd=str(tmp_path))
+    assert "compacted" in out and "EURUSD" in out
