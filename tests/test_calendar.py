@@ -73,3 +73,28 @@ def test_gap_probe_closed_form_matches_walk(spark):
 def test_weekday_is_monday_zero(spark):
     r = spark.range(1).select(F.weekday(F.lit("2024-01-01").cast("date")).alias("w")).first()
     assert r["w"] == 0
+
+
+def test_closed_forms_before_the_week_origin(spark):
+    """Ranges before 2020-12-27 (negative offsets from the origin)."""
+    rnd = random.Random(5)
+    cases = []
+    for i in range(120):
+        a = dt.datetime(2010, 1, 1) + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 365 * 11))
+        b = a + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 9))
+        cases.append((i, a, b))
+    df = spark.createDataFrame(cases, "i int, a timestamp, b timestamp")
+    got = {r["i"]: (r["n"], r["g"]) for r in df.select(
+        "i", open_minutes_between("a", "b").alias("n"), gap_has_open_probe("a", "b").alias("g")).collect()}
+    for i, a, b in cases:
+        cur, n = a.replace(second=0, microsecond=0), 0
+        while cur <= b:
+            n += not closed_py(cur)
+            cur += dt.timedelta(minutes=1)
+        probe, report = a + dt.timedelta(hours=1), False
+        while probe < b:
+            if not closed_py(probe):
+                report = True
+                break
+            probe += dt.timedelta(hours=1)
+        assert got[i] == (n, report), (a, b)
