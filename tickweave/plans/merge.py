@@ -43,11 +43,14 @@ def merge_bars(
     commit, after every task finished (a retried task re-reads the originals).
     Empty input is a no-op. ``materialize`` checkpoints the stamped batch
     first (shared folder): worth it when ``new_bars`` is an expensive lazy
-    plan, since the partition list and the write both read the batch.
+    plan, since the partition list, the collision check and the write all
+    read the batch.
 
     Partitions that share no minute with the batch are appended to; stored
     rows were validated when written, so the result equals a full rewrite for
-    stores written here. ``force_rewrite`` rewrites every affected partition
+    stores written here. Rewrites run before appends; after a crash between
+    the two, a replay collides with its own rows and converges to the same
+    store. ``force_rewrite`` rewrites every affected partition
     (re-filtering stored rows too, as the reference does on each write — use
     it for stores imported from elsewhere).
     """
