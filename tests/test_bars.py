@@ -4,6 +4,8 @@ import datetime as dt
 import os
 import hashlib
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
@@ -184,3 +186,29 @@ def test_force_rewrite_refilters_imported_rows(spark):
     new = spark.createDataFrame([bar(5, 1.0, 1.1, 0.9, 1.0, 1.0)], BAR_SCHEMA)
     merge_bars(spark, new, root, T0, force_rewrite=True)
     assert [r["timestamp"].minute for r in read_store(spark, root).collect()] == [5]
+
+
+def test_crash_between_rewrite_and_append_then_replay(spark, monkeypatch):
+    import tickweave.plans.merge as M
+
+    t1 = dt.datetime(2023, 12, 31, 23, 0)  # year 2023: will collide (rewrite)
+    t2 = dt.datetime(2024, 1, 2, 10, 0)    # year 2024: new partition (append)
+    first = spark.createDataFrame([("EURUSD", t1, t1, 1.0, 1.1, 0.9, 1.0, 1.0, "dukascopy")], BAR_SCHEMA)
+    batch = spark.createDataFrame(
+        [("EURUSD", t1, t1, 1.0, 1.2, 0.9, 1.1, 2.0, "dukascopy"),
+         ("EURUSD", t2, t2, 1.0, 1.1, 0.9, 1.0, 3.0, "dukascopy")], BAR_SCHEMA)
+    clean = scratch_path(spark, "t-clean")
+    merge_bars(spark, first, clean, T0)
+    merge_bars(spark, batch, clean, T0)
+    crashed = scratch_path(spark, "t-crash")
+    merge_bars(spark, first, crashed, T0)
+
+    def boom(*a, **k):
+        raise RuntimeError("driver lost after the rewrite")
+
+    monkeypatch.setattr(M, "_append", boom)
+    with pytest.raises(RuntimeError):
+        merge_bars(spark, batch, crashed, T0)
+    monkeypatch.undo()
+    merge_bars(spark, batch, crashed, T0)  # replay
+    assert _store_rows(spark, crashed) == _store_rows(spark, clean)
