@@ -23,8 +23,8 @@ def test_cli_ingest_status_validate_plan(spark, tmp_path):
     store, cat = scratch_path(spark, "cli-store"), scratch_path(spark, "cli-cat")
     out = run("ingest", "--raw", raw, "--store", store, "--catalog", cat, cwd=str(tmp_path))
     assert "errors 0" in out
-    out = run("status", "--catalog", cat, cwd=str(tmp_path))
-    assert "EURUSD" in out and "true" in out
+    out = run("status", "--catalog", cat, "--store", store, "--raw", raw, cwd=str(tmp_path))
+    assert "EURUSD" in out and "true" in out and "slots_processed" in out and "parquet_mb" in out
     out = run("validate", "--store", store, "--out", scratch_path(spark, "cli-report"), cwd=str(tmp_path))
     assert "no_data" in out  # USDCHF has no bars in the fixture
     out = run("plan", "--catalog", cat, "--as-of", "2024-01-31T00:00", "--max-hours", "12", cwd=str(tmp_path))
