@@ -3,7 +3,7 @@
     python -m tickweave plan     --catalog C --as-of 2026-03-01T12:00 [--pairs EURUSD ...] [--max-hours N] [--retry-errors]
     python -m tickweave ingest   --raw R --store S --catalog C
     python -m tickweave stream   --raw R --store S --catalog C --checkpoint K [--max-files N]
-    python -m tickweave status   --catalog C
+    python -m tickweave status   --catalog C [--store S --raw R]
     python -m tickweave validate --store S [--out PATH]
     python -m tickweave storage  --store S --raw R
     python -m tickweave compact  --store S [--min-files 16]
