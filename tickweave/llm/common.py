@@ -36,12 +36,3 @@ def forget(spark: SparkSession, *paths: str) -> None:
 def text_of(name: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
-
-
-def free_name(df: DataFrame, wanted: str) -> str:
-    """``wanted``, or with underscores added until no column has that name
-    (Spark compares names without regard to case)."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted

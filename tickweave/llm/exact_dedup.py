@@ -54,7 +54,7 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ca
         seen += width
         live = F.col("next").isNotNull() & (F.col("size") > seen)
         step, path = written(
-            rows.join(counts, ["grp", "run"], "left").select(
+            rows.join(counts.hint("merge"), ["grp", "run"], "left").select(
                 "row", "id", "size", F.col("next").alias("grp"), "group_size", "keep_id",
                 F.when(live, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
                 F.monotonically_increasing_id().alias("place"),
@@ -75,7 +75,7 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ca
         copies.filter(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("level", "grp").agg(F.min("place").alias("place")).drop("grp"),
         "radix-first",
     )
-    marked = copies.join(first.withColumn("kept", F.lit(True)), ["level", "place"], "left").select(
+    marked = copies.join(first.withColumn("kept", F.lit(True)).hint("merge"), ["level", "place"], "left").select(
         "row", "keep_id", "group_size", F.coalesce("kept", F.lit(False)).alias("kept"))
     whole = reduce(DataFrame.unionByName, [*out, marked])
     fields = [F.col("row").getField(c).alias(c) for c in carry]

@@ -148,7 +148,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         nth, each = rank - rows["first"].to_numpy()[at], rows["each"].to_numpy()[at]
         return pd.DataFrame({"sequence_id": rows["sequence"].to_numpy()[at] + nth // each, "offset": rows["offset"].to_numpy()[at] + nth % each * size})
 
-    ranked = parts.join(bases, ["task", "length"]).withColumn("place", place("length", F.col("base") + F.col("nth")))
+    ranked = parts.join(bases.hint("merge"), ["task", "length"]).withColumn("place", place("length", F.col("base") + F.col("nth")))
     return ranked.select("*", "place.sequence_id", "place.offset").drop("place", "base")
 
 

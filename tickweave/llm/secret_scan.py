@@ -86,7 +86,7 @@ def scan_unseen(versions: DataFrame, ledger: str, key: str = "doc_id", text: str
     rows = versions.select(F.col(key).alias("path"), text_of(text).alias("body")).withColumn("blob", F.sha2("body", 256))
     one = rows.groupBy("blob").agg(F.min("path").alias("path"))
     unseen, _ = written(one.join(_ledger(spark, ledger).select("blob"), "blob", "left_anti"), "unseen-blobs")
-    todo = rows.join(unseen, (rows["blob"] == unseen["blob"]) & rows["path"].eqNullSafe(unseen["path"]), "left_semi")
+    todo = rows.join(unseen.hint("merge"), (rows["blob"] == unseen["blob"]) & rows["path"].eqNullSafe(unseen["path"]), "left_semi")
     found = todo.select("blob", "body").mapInPandas(_scan, f"blob string, spans {FOUND}")
     # a path listed twice with the same text is scanned twice but entered once
     found = found.groupBy("blob").agg(F.first("spans").alias("spans")).withColumn("rules", F.lit(RULES))
@@ -107,7 +107,7 @@ def findings(versions: DataFrame, ledger: str, key: str = "doc_id", text: str =
     spark = versions.sparkSession
     scan_unseen(versions, ledger, key, text)
     paths = versions.select(F.col(key), blob_of(text).alias("blob"))
-    return paths.join(hits(spark, ledger), "blob", "left").select(key, "blob", F.coalesce("spans", F.array().cast(FOUND)).alias("spans"))
+    return paths.join(hits(spark, ledger).hint("merge"), "blob", "left").select(key, "blob", F.coalesce("spans", F.array().cast(FOUND)).alias("spans"))
 
 
 def kind_name(kind: Column) -> Column:
@@ -126,7 +126,7 @@ def redact(docs: DataFrame, ledger: str, key: str = "doc_id", text: str = "text"
     scan_unseen(docs, ledger, key, text)
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), blob_of(text).alias("blob"))
-    rows = rows.join(hits(spark, ledger), "blob", "left")
+    rows = rows.join(hits(spark, ledger).hint("merge"), "blob", "left")
     old = F.col("row").getField(text)
     cut = F.aggregate(
         "spans", F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at")),

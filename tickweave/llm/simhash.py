@@ -157,7 +157,7 @@ def links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
         sizes, sizes_path = written(
             rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"), F.max("fp").alias("u"), F.min("fp").alias("v")).filter("n > 1"), "buckets")
         pairs = sizes.filter("n = 2").filter(near).select("u", "v")
-        full, _ = written(rows.join(sizes.filter("n > 2").select("t", "key", "n"), ["t", "key"]).select("t", "key", "shared", "fp", "n"), "members")
+        full, _ = written(rows.join(sizes.filter("n > 2").select("t", "key", "n").hint("merge"), ["t", "key"]).select("t", "key", "shared", "fp", "n"), "members")
         small = full.filter(F.col("n") <= bucket) if level < 2 else full
         more = (small.select("t", "key", "fp").repartition("t", "key").sortWithinPartitions("t", "key").mapInPandas(_bucket_links, "u long, v long"))
         step, _ = written(pairs.unionByName(more), "links")
@@ -207,7 +207,7 @@ def components(edges: DataFrame) -> DataFrame:
             else:  # the node and its smaller neighbours move to the smallest of them
                 near = stars
             least, least_path = written(near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
-            moved = near.join(least, "u")
+            moved = near.join(least.hint("merge"), "u")
             moved = moved.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else (
                 moved.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))))
             moved, moved_path = written(moved.filter("u <> v").distinct(), "stars")
@@ -223,11 +223,11 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
         "fp", F.coalesce("root", "fp").alias("root"), "least"), "fp-roots")
     ids, _ = written(least.groupBy("root").agg(F.min("least").alias("component")), "components")
     label, _ = written(least.join(ids, "root").select("fp", "component"), "fp-components")
-    return fps.join(label, "fp").select("id", "fp", "component")
+    return fps.join(label.hint("merge"), "fp").select("id", "fp", "component")
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose group has a smaller id; same columns.
     Rows without an id cannot be named, so they stay."""
     gone, _ = written(near_groups(docs, doc_id, text).filter("id <> component").select("id").distinct(), "near-gone")
-    return docs.join(gone, docs[doc_id] == gone["id"], "left_anti")
+    return docs.join(gone.hint("merge"), docs[doc_id] == gone["id"], "left_anti")
