@@ -149,9 +149,10 @@ def digests(formatted: DataFrame) -> DataFrame:
         out = []
         for text, spans in zip(texts, masks):
             turns = read_back(text)
-            loss = "".join(unescape(text[s["loss_start"] : s["loss_end"]]) for s in spans if s["loss_start"] is not None)
+            loss = "".join(unescape(text[s["loss_start"] : s["loss_end"]]) for s in spans)
             sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
             out.append((len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(text)))
         return pd.DataFrame(out, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return formatted.withColumn("back", back("formatted", "spans")).select("conv_id", "back.*", "rewritten_at")
+    masks = F.filter("spans", lambda s: s["loss_start"].isNotNull())
+    return formatted.withColumn("back", back("formatted", masks)).select("conv_id", "back.*", "rewritten_at")
