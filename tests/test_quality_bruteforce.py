@@ -1,47 +1,34 @@
-"""QA report vs a brute-force walk of the check semantics on random bars
+"""QA report vs the checks' definitions on random bars
 (weekends, midnight crossings, duplicates, zero closes)."""
 
 import datetime as dt
-import math
 import random
 
+import numpy as np
+import pandas as pd
+from test_calendar import has_open_probe, open_count
+
 from tickweave.operators import quality as Q
 from tickweave.schemas import BAR_SCHEMA
 from tickweave.sources.instruments import instruments
 
 
-def closed(t):
-    wd, h = t.weekday(), t.hour
-    return wd == 5 or (wd == 6 and h < 22) or (wd == 4 and h >= 22)
-
-
-def walk(rows):
-    """rows: (ts, open, close) of one pair, already in row order."""
-    out = {"gaps": [], "spikes": [], "expected": 0}
-    for (a, _, pc), (b, o, _) in zip(rows, rows[1:]):
-        diff = b - a
-        if diff > dt.timedelta(minutes=5):
-            cur, weekend = a + dt.timedelta(hours=1), True
-            while cur < b:
-                if not closed(cur):
-                    weekend = False
-                    break
-                cur += dt.timedelta(hours=1)
-            if not weekend:
-                out["gaps"].append((a, b, int(diff.total_seconds() / 60)))
-        if a.date() == b.date():
-            if pc == 0:
-                pct = math.inf if o != 0 else math.nan
-            else:
-                pct = abs((o - pc) / pc)
-            if pct > 0.05:
-                out["spikes"].append((b, pc, o))
-    start, end = rows[0][0], rows[-1][0]
-    cur = start.replace(second=0, microsecond=0)
-    while cur <= end:
-        out["expected"] += not closed(cur)
-        cur += dt.timedelta(minutes=1)
-    return out
+def expected_checks(rows):
+    """What the definitions say of one pair's rows (time, open, close, in row
+    order): gaps from the sets of probes and closed minutes, spikes from the
+    ratio table of neighbours on one date."""
+    times = sorted({t for t, _, _ in rows})
+    steps = [(a, b) for a, b in zip(times, times[1:]) if b - a > dt.timedelta(minutes=5) and has_open_probe(a, b)]
+    table = pd.DataFrame(rows, columns=["t", "open", "close"])
+    table["before"] = table.groupby(table["t"].dt.date)["close"].shift()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.abs((table["open"].to_numpy() - table["before"].to_numpy()) / table["before"].to_numpy())
+    hit = table[ratio > 0.05]
+    return {
+        "gaps": [(a, b, int((b - a).total_seconds() / 60)) for a, b in steps],
+        "spikes": [(t.to_pydatetime(), p, o) for t, p, o in zip(hit["t"], hit["before"], hit["open"])],
+        "expected": open_count(times[0], times[-1]),
+    }
 
 
 def test_report_matches_brute_force(spark):
@@ -62,7 +49,7 @@ def test_report_matches_brute_force(spark):
     rep = {r["pair"]: r for r in Q.qa_report(bars, instruments(spark)).collect()}
     for pair in ("EURUSD", "USDJPY"):
         rows = sorted(((r[2], r[3], r[6]) for r in data if r[0] == pair), key=lambda x: (x[0], x[1], x[2]))
-        want = walk(rows)
+        want = expected_checks(rows)
         c = rep[pair]["checks"]
         assert c["gaps_over_5min"]["count"] == len(want["gaps"])
         got_gaps = [(g["from"], g["to"], g["minutes"]) for g in c["gaps_over_5min"]["examples"]]

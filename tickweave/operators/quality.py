@@ -1,18 +1,19 @@
 """Data-quality checks over stored bars (D5-D14, E1, E2, F2), all pairs in
 one job.
 
-Layout for scale: nothing is windowed per pair alone. Row-to-row checks use
-one window partitioned by (pair, UTC date) — a day holds at most 1440
-distinct minutes — so the sort is spread over pair-days. The spike check only
-compares rows of the same date, so it is complete inside that partition; gaps
-that cross midnight come from a per-(pair, date) first/last summary whose
-size is the number of pair-days.
+Layout for scale: one pass. Identical rows collapse in an aggregate (combined
+map-side, so copies never meet in one task); one window per (pair, UTC date)
+looks at the row before; everything the report says about a day is folded
+without a further shuffle; one window over pair-days finds the gaps that cross
+midnight, and the days fold into pairs. The single-check queries read the same
+day and pair tables.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.calendar import gap_has_open_probe, open_minutes_between
 from ..functions.text import iso_utc
@@ -30,43 +31,43 @@ def _order_cols(bars: DataFrame) -> list[str]:
 
 
 def _collapsed(bars: DataFrame) -> DataFrame:
-    """Rows identical in every column the row-to-row checks read collapse to
-    one row with multiplicity ``_n``. This is an aggregate, so even a bar
-    copied millions of times shrinks map-side; the window below then sees at
-    most the distinct variants of a pair-day."""
-    return bars.groupBy("pair", *_order_cols(bars)).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows identical in every column the checks read collapse to one row with
+    multiplicity ``_n``. This is an aggregate, so even a bar copied millions of
+    times shrinks map-side; the window below then sees at most the distinct
+    variants of a pair-day."""
+    has_hash = "bar_hash" in bars.columns
+    return bars.withColumn("_d", F.to_date("timestamp")).groupBy("pair", "_d", *_order_cols(bars), "source").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(ohlc_bad(with_volume=False)).alias("_bad"),
+        F.count_if(F.coalesce(F.nanvl("volume", F.lit(None).cast("double")) <= 0, F.lit(False))).alias("_zero"),
+        (F.count_if(F.col("bar_hash").isNull()) if has_hash else F.lit(0).cast("bigint")).alias("_nohash"),
+    )
 
 
 def lagged_rows(bars: DataFrame) -> DataFrame:
     """One window pass per (pair, date) over the collapsed rows: previous
     distinct row's timestamp and close, plus the row's own order key."""
     order = _order_cols(bars)
-    b = _collapsed(bars).withColumn("_d", F.to_date("timestamp"))
-    w = Window.partitionBy("pair", "_d").orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return b.select(
-        "pair", "_d", "timestamp", "open", "close", "_n",
+    w = Window.partitionBy("pair", "_d").orderBy(*[F.col(c).asc_nulls_last() for c in [*order, "source"]])
+    return _collapsed(bars).select(
+        "pair", "_d", "timestamp", "open", "close", "source", "_n", "_bad", "_zero", "_nohash",
         F.struct(*[F.col(c) for c in order]).alias("_k"),
         F.lag("timestamp").over(w).alias("prev_ts"),
         F.lag("close").over(w).alias("prev_close"),
     )
 
 
-def _gaps_from(pairs_prev: DataFrame, strict: bool = False) -> DataFrame:
-    """Keep consecutive (prev_ts, timestamp) steps that are reported gaps."""
-    step = pairs_prev.where(F.col("prev_ts").isNotNull())
-    long = step.where(F.col("timestamp") > F.col("prev_ts") + F.expr(f"INTERVAL {GAP_MINUTES} MINUTES"))
-    if strict:
-        # Q1 fix: any >5 min gap that contains an open minute
-        cond = open_minutes_between(F.col("prev_ts") + F.expr("INTERVAL 1 MINUTE"),
-                                    F.col("timestamp") - F.expr("INTERVAL 1 MINUTE")) > 0
+def _gap(prev: Column, ts: Column, strict: bool) -> Column:
+    """The step from ``prev`` to ``ts`` as a gap struct, NULL if not reported."""
+    if strict:  # any gap over 5 minutes that contains an open minute
+        minute = F.expr("INTERVAL 1 MINUTE")
+        open_inside = open_minutes_between(prev + minute, ts - minute) > 0
     else:
-        cond = gap_has_open_probe("prev_ts", "timestamp")
-    return long.where(cond).select(
-        "pair",
-        F.col("prev_ts").alias("from_ts"),
-        F.col("timestamp").alias("to_ts"),
-        ((F.unix_micros("timestamp") - F.unix_micros("prev_ts")) / F.lit(60_000_000)).cast("bigint").alias("minutes"),
-    )
+        open_inside = gap_has_open_probe(prev, ts)
+    long = ts > prev + F.expr(f"INTERVAL {GAP_MINUTES} MINUTES")
+    return F.when(prev.isNotNull() & long & open_inside, F.struct(
+        prev.alias("from_ts"), ts.alias("to_ts"),
+        ((F.unix_micros(ts) - F.unix_micros(prev)) / F.lit(60_000_000)).cast("bigint").alias("minutes")))
 
 
 def gaps(bars: DataFrame, lagged: DataFrame | None = None, strict: bool = False) -> DataFrame:
@@ -77,14 +78,11 @@ def gaps(bars: DataFrame, lagged: DataFrame | None = None, strict: bool = False)
     lagged = lagged_rows(bars) if lagged is None else lagged
     within = lagged.select("pair", "prev_ts", "timestamp")
     # the lagged rows are already clustered by (pair, date): no extra shuffle
-    days = lagged.groupBy("pair", "_d").agg(
-        F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts")
-    )
+    days = lagged.groupBy("pair", "_d").agg(F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"))
     wd = Window.partitionBy("pair").orderBy("_d")  # one row per pair-day
-    across = days.select(
-        "pair", F.lag("last_ts").over(wd).alias("prev_ts"), F.col("first_ts").alias("timestamp")
-    )
-    return _gaps_from(within.unionByName(across), strict)
+    across = days.select("pair", F.lag("last_ts").over(wd).alias("prev_ts"), F.col("first_ts").alias("timestamp"))
+    steps = within.unionByName(across).select("pair", _gap(F.col("prev_ts"), F.col("timestamp"), strict).alias("g"))
+    return steps.where(F.col("g").isNotNull()).select("pair", "g.*")
 
 
 def _spike_flag(o: Column, pc: Column) -> Column:
@@ -125,268 +123,141 @@ def _spike_parts(lagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 _EXPAND_CHUNK = 65536
 
 
-def _expand(repeated: DataFrame, cap: int | None = None) -> DataFrame:
-    """One row per repeated copy (``_copy`` = 1.._reps, capped at ``cap``).
-    Large repeat counts are cut into chunks that are spread over tasks before
-    the rows are generated."""
-    reps = F.col("_reps") if cap is None else F.least(F.col("_reps"), F.lit(cap))
-    chunks = repeated.withColumn("_r", reps).withColumn(
-        "_c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_r") - 1) / _EXPAND_CHUNK).cast("bigint")))
-    )
-    if cap is None:
-        chunks = chunks.repartition("pair", "timestamp", "_c")
+def _expand(repeated: DataFrame) -> DataFrame:
+    """One row per repeated copy (``_copy`` = 1.._reps). Large repeat counts
+    are cut into chunks that are spread over tasks before the rows are
+    generated."""
+    chunks = repeated.withColumn(
+        "_c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_reps") - 1) / _EXPAND_CHUNK).cast("bigint")))
+    ).repartition("pair", "timestamp", "_c")
     first = F.col("_c") * _EXPAND_CHUNK + 1
-    last = F.least((F.col("_c") + 1) * _EXPAND_CHUNK, F.col("_r"))
-    return chunks.withColumn("_copy", F.explode(F.sequence(first, last))).drop("_reps", "_r", "_c")
+    last = F.least((F.col("_c") + 1) * _EXPAND_CHUNK, F.col("_reps"))
+    return chunks.withColumn("_copy", F.explode(F.sequence(first, last))).drop("_reps", "_c")
 
 
-def spikes(bars: DataFrame, lagged: DataFrame | None = None, keep_order: bool = False) -> DataFrame:
+def spikes(bars: DataFrame, lagged: DataFrame | None = None) -> DataFrame:
     """|open - previous close| / previous close > 5 % against the previous
     row of the same UTC date (previous row in time order, copies included)."""
     lagged = lagged_rows(bars) if lagged is None else lagged
     inter, repeated = _spike_parts(lagged)
-    out = inter.unionByName(_expand(repeated))
-    return out if keep_order else out.drop("_k", "_copy")
-
-
-def spike_counts(lagged: DataFrame) -> DataFrame:
-    """Spikes per pair without generating the repeated copies."""
-    inter, repeated = _spike_parts(lagged)
-    return (
-        inter.select("pair", F.lit(1).cast("bigint").alias("n"))
-        .unionByName(repeated.select("pair", F.col("_reps").cast("bigint").alias("n")))
-        .groupBy("pair").agg(F.sum("n").cast("bigint").alias("spike_count"))
-    )
+    return inter.unionByName(_expand(repeated)).drop("_k", "_copy")
 
 
-def spike_examples(lagged: DataFrame, n: int = EXAMPLES) -> DataFrame:
-    """F2 for spikes: the first ``n`` per pair in row order (copies capped
-    at ``n`` before expansion, so a hot group adds at most ``n`` rows)."""
-    inter, repeated = _spike_parts(lagged)
-    cand = inter.unionByName(_expand(repeated, cap=n))
-    return first_examples(cand, ["timestamp", "_k", "_copy"], n).drop("_k", "_copy")
+def _spike_examples_of_row() -> Column:
+    """A row's own spikes in order, at most EXAMPLES of its repeated copies."""
+    o, pc, c = F.col("open"), F.col("prev_close"), F.col("close")
 
+    def one(prev: Column, copy: Column) -> Column:
+        return F.struct(F.col("timestamp").alias("t"), F.col("_k").alias("k"), copy.cast("bigint").alias("copy"),
+                        prev.alias("prev_close"), o.alias("open"), _spike_pct(o, prev).alias("pct_change"))
 
-def first_examples(df: DataFrame, order, n: int = EXAMPLES) -> DataFrame:
-    """the first ``n`` rows per pair by ``order``, with their rank.
-    ``row_number() <= n`` is planned with a WindowGroupLimit (map-side top-n)."""
-    order = [order] if isinstance(order, str) else list(order)
-    w = Window.partitionBy("pair").orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    first = F.when(pc.isNotNull() & _spike_flag(o, pc), F.array(one(pc, F.lit(0))))
+    copies = F.when((F.col("_n") > 1) & _spike_flag(o, c), F.transform(
+        F.sequence(F.lit(1).cast("bigint"), F.least(F.col("_n") - 1, F.lit(EXAMPLES).cast("bigint"))), lambda k: one(c, k)))
+    return F.flatten(F.array_compact(F.array(first, copies)))
 
 
-def _per_ts(bars: DataFrame) -> DataFrame:
-    """Counts per (pair, timestamp): the shared first step of the stats and
-    the yearly counts (one shuffle, reused)."""
-    has_hash = "bar_hash" in bars.columns
-    return bars.groupBy("pair", "timestamp").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(ohlc_bad(with_volume=False)).alias("bad"),
-        F.count_if(F.coalesce(F.nanvl("volume", F.lit(None).cast("double")) <= 0, F.lit(False))).alias("zv"),
-        (F.count_if(F.col("bar_hash").isNull()) if has_hash else F.lit(0).cast("bigint")).alias("hn"),
+def day_summary(lagged: DataFrame, strict_gaps: bool = False) -> DataFrame:
+    """Everything the report needs of a pair-day, one row each. The lagged rows
+    lie together by (pair, date) already, so this costs no shuffle; a day's
+    lists hold at most its own rows."""
+    o, pc, c = F.col("open"), F.col("prev_close"), F.col("close")
+    spike_n = (F.when(pc.isNotNull() & _spike_flag(o, pc), 1).otherwise(0)
+               + F.when((F.col("_n") > 1) & _spike_flag(o, c), F.col("_n") - 1).otherwise(0))
+    rows = lagged.select(
+        "*", spike_n.alias("_spikes"), _spike_examples_of_row().alias("_sx"),
+        _gap(F.col("prev_ts"), F.col("timestamp"), strict_gaps).alias("_gap"),
+        F.when(F.col("prev_ts").isNull() | (F.col("prev_ts") != F.col("timestamp")), 1).otherwise(0).alias("_new"),
+    )
+    return rows.groupBy("pair", "_d").agg(
+        F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"),
+        F.sum("_n").alias("rows"), F.sum(F.col("_n") - F.col("_new")).alias("duplicates"),
+        F.sum("_bad").alias("bad"), F.sum("_zero").alias("zero"), F.sum("_nohash").alias("nohash"),
+        F.collect_set("source").alias("sources"),
+        F.sum("_spikes").alias("spikes"), F.count("_gap").alias("gaps"),
+        F.slice(F.array_sort(F.collect_list("_gap")), 1, EXAMPLES).alias("gx"),
+        F.slice(F.array_sort(F.flatten(F.collect_list("_sx"))), 1, EXAMPLES).alias("sx"),
     )
 
 
-def per_pair_stats(bars: DataFrame, per_ts: DataFrame | None = None) -> DataFrame:
-    """D5-D8, D10, D12 in one aggregation: first per (pair, timestamp) —
-    which also yields duplicates — then per pair."""
-    per_ts = _per_ts(bars) if per_ts is None else per_ts
-    s = per_ts.groupBy("pair").agg(
-        F.sum("n").cast("bigint").alias("total_bars"),
-        F.sum(F.col("n") - 1).cast("bigint").alias("duplicates"),
-        F.sum("bad").cast("bigint").alias("ohlc_failures"),
-        F.sum("zv").cast("bigint").alias("zero_volume"),
-        F.sum("hn").cast("bigint").alias("hash_nulls"),
-        F.min("timestamp").alias("start_ts"),
-        F.max("timestamp").alias("end_ts"),
+def pair_summary(days: DataFrame, strict_gaps: bool = False) -> DataFrame:
+    """D5-D12, E1, E2 and F2 per pair from its days (one shuffle of pair-days):
+    counts, ISO range, completeness, sources, rows per year, first examples."""
+    w = Window.partitionBy("pair").orderBy("_d")
+    across = _gap(F.lag("last_ts").over(w), F.col("first_ts"), strict_gaps)
+    days = days.withColumn("_across", across)
+    ex = F.when(F.col("_across").isNotNull(), F.concat(F.array("_across"), "gx")).otherwise(F.col("gx"))
+    years = days.withColumn("gx", ex).groupBy("pair", F.year("_d").alias("year")).agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("rows", "duplicates", "bad", "zero", "nohash", "spikes")],
+        (F.sum("gaps") + F.count("_across")).cast("bigint").alias("gaps"),
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+        F.array_distinct(F.flatten(F.collect_list("sources"))).alias("sources"),
+        F.slice(F.array_sort(F.flatten(F.collect_list("gx"))), 1, EXAMPLES).alias("gx"),
+        F.slice(F.array_sort(F.flatten(F.collect_list("sx"))), 1, EXAMPLES).alias("sx"),
+    )
+    out = years.groupBy("pair").agg(
+        *[F.sum(c).cast("bigint").alias(n) for c, n in (
+            ("rows", "total_bars"), ("duplicates", "duplicates"), ("bad", "ohlc_failures"), ("zero", "zero_volume"),
+            ("nohash", "hash_nulls"), ("spikes", "spike_count"), ("gaps", "gap_count"))],
+        F.min("first_ts").alias("start_ts"), F.max("last_ts").alias("end_ts"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"),
+        F.array_sort(F.collect_list(F.struct("year", F.col("rows").alias("n")))).alias("years"),
+        F.slice(F.array_sort(F.flatten(F.collect_list("gx"))), 1, EXAMPLES).alias("gx"),
+        F.slice(F.array_sort(F.flatten(F.collect_list("sx"))), 1, EXAMPLES).alias("sx"),
     )
     expected = open_minutes_between("start_ts", "end_ts")
-    return s.select(
-        "*",
-        iso_utc("start_ts").alias("start"),
-        iso_utc("end_ts").alias("end"),
-        expected.alias("expected"),
-        F.when(expected > 0, F.round(F.col("total_bars") / expected * 100, 2))
-        .otherwise(F.lit(0.0)).alias("percent"),
+    return out.select(
+        "*", iso_utc("start_ts").alias("start"), iso_utc("end_ts").alias("end"), expected.alias("expected"),
+        F.when(expected > 0, F.round(F.col("total_bars") / expected * 100, 2)).otherwise(F.lit(0.0)).alias("percent"),
     )
 
 
-def yearly_counts(bars: DataFrame, per_ts: DataFrame | None = None) -> DataFrame:
-    """Rows per (pair, year); from the per-timestamp counts when given."""
-    if per_ts is not None:
-        return per_ts.groupBy("pair", F.year("timestamp").alias("year")).agg(
-            F.sum("n").cast("bigint").alias("n")
-        )
-    return bars.groupBy("pair", F.year("timestamp").alias("year")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+def pair_checks(bars: DataFrame, strict_gaps: bool = False) -> DataFrame:
+    """The pair table of ``bars`` in one pass."""
+    return pair_summary(day_summary(lagged_rows(bars), strict_gaps), strict_gaps)
 
 
-def source_values(bars: DataFrame) -> DataFrame:
-    """Sorted distinct sources per pair (distinct first, then a list
-    bounded by the number of distinct sources)."""
-    return (
-        bars.select("pair", "source").distinct()
-        .groupBy("pair").agg(F.array_sort(F.collect_list("source")).alias("sources"))
-    )
+def yearly_counts(pairs: DataFrame) -> DataFrame:
+    """Rows per (pair, year)."""
+    return pairs.select("pair", F.explode("years").alias("y")).select("pair", "y.year", "y.n")
+
+
+def gap_examples(pairs: DataFrame) -> DataFrame:
+    """the first gaps per pair, with their rank."""
+    g = pairs.select("pair", F.posexplode("gx").alias("pos", "g"))
+    return g.select("pair", (F.col("pos") + 1).alias("rank"), "g.from_ts", "g.to_ts", "g.minutes")
+
+
+def spike_examples(pairs: DataFrame) -> DataFrame:
+    """the first spikes per pair in row order, with their rank."""
+    x = pairs.select("pair", F.posexplode("sx").alias("pos", "s"))
+    return x.select("pair", F.col("s.t").alias("timestamp"), "s.prev_close", "s.open", "s.pct_change", (F.col("pos") + 1).alias("rank"))
 
 
 def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> DataFrame:
     """One row per configured pair with every check nested; pairs with
     no bars get ``status = 'no_data'`` (C4)."""
-    lagged = lagged_rows(bars)
-    g = gaps(bars, lagged, strict_gaps)
-    per_ts = _per_ts(bars)
-    stats = per_pair_stats(bars, per_ts)
-    inter, repeated = _spike_parts(lagged)
-    event_counts, event_examples = _event_summaries(g, inter, repeated)
-    yearly = (
-        yearly_counts(bars, per_ts)
-        .groupBy("pair")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(
-            F.struct(F.col("year").cast("string").alias("k"), F.col("n").alias("v"))
-        ))).alias("yearly_row_counts"))
-    )
-    src = source_values(bars)
-
-    per_pair = _assemble(
-        inst.select("pair", "pair_ord"),
-        [stats, event_counts, event_examples, yearly, src],
-    )
-    empty_gaps = F.array().cast("array<struct<from:string,to:string,minutes:bigint>>")
-    empty_spikes = F.array().cast(
-        "array<struct<timestamp:string,prev_close:double,open:double,pct_change:double>>"
-    )
+    per_pair = inst.select("pair", "pair_ord").join(pair_checks(bars, strict_gaps), "pair", "left")
+    gap_list = F.transform("gx", lambda g: F.struct(
+        iso_utc(g["from_ts"]).alias("from"), iso_utc(g["to_ts"]).alias("to"), g["minutes"].alias("minutes")))
+    spike_list = F.transform("sx", lambda x: F.struct(
+        iso_utc(x["t"]).alias("timestamp"), x["prev_close"].alias("prev_close"), x["open"].alias("open"), x["pct_change"].alias("pct_change")))
+    passed = lambda c: F.struct(F.col(c).alias("count"), (F.col(c) == 0).alias("pass"))
     checks = F.struct(
-        F.struct(F.col("duplicates").alias("count"), (F.col("duplicates") == 0).alias("pass")).alias("duplicates"),
+        passed("duplicates").alias("duplicates"),
         F.struct(F.col("ohlc_failures").alias("failures"), (F.col("ohlc_failures") == 0).alias("pass")).alias("ohlc_integrity"),
         F.struct(F.col("zero_volume").alias("count")).alias("zero_volume"),
-        F.struct(
-            F.coalesce("gap_count", F.lit(0)).cast("bigint").alias("count"),
-            F.coalesce("gap_examples", empty_gaps).alias("examples"),
-        ).alias("gaps_over_5min"),
+        F.struct(F.col("gap_count").alias("count"), gap_list.alias("examples")).alias("gaps_over_5min"),
         F.struct("percent", F.col("total_bars").alias("actual"), "expected").alias("completeness"),
         F.struct(F.col("sources").alias("values")).alias("sources"),
-        F.struct(F.col("hash_nulls").alias("count"), (F.col("hash_nulls") == 0).alias("pass")).alias("bar_hash_nulls"),
-        F.struct(
-            F.coalesce("spike_count", F.lit(0)).cast("bigint").alias("count"),
-            F.coalesce("spike_examples", empty_spikes).alias("examples"),
-        ).alias("price_spikes_5pct"),
-        F.col("yearly_row_counts"),
+        passed("hash_nulls").alias("bar_hash_nulls"),
+        F.struct(F.col("spike_count").alias("count"), spike_list.alias("examples")).alias("price_spikes_5pct"),
+        F.map_from_entries(F.transform("years", lambda y: F.struct(y["year"].cast("string"), y["n"]))).alias("yearly_row_counts"),
     )
-    return (
-        per_pair
-        .select(
-            "pair",
-            "pair_ord",
-            F.when(F.col("total_bars").isNull(), F.lit("no_data")).otherwise(F.lit("ok")).alias("status"),
-            F.col("total_bars"),
-            F.when(F.col("total_bars").isNotNull(), F.struct("start", "end")).alias("date_range"),
-            F.when(F.col("total_bars").isNotNull(), checks).alias("checks"),
-        )
-    )
-
-
-_EVENT_PAYLOAD = (
-    "struct<g_from:timestamp,g_to:timestamp,g_minutes:bigint,"
-    "s_ts:timestamp,s_prev:double,s_open:double,s_pct:double>"
-)
-
-
-def _event_summaries(g: DataFrame, inter: DataFrame, repeated: DataFrame):
-    """Gaps and spikes as one event table (pair, kind, order key, weight,
-    payload): counts come from one partial aggregate (repeated copies carry
-    their multiplicity as a weight, never expanded), examples from one window
-    per (pair, kind) with a map-side top-10 and one collect."""
-    k_type = inter.schema["_k"].dataType.simpleString()
-    order = lambda ts, k, c: F.struct(ts.alias("t"), k.alias("k"), c.alias("c"))
-    gap_ev = g.select(
-        "pair", F.lit("gap").alias("kind"),
-        order(F.col("from_ts"), F.lit(None).cast(k_type), F.lit(0).cast("bigint")).alias("_o"),
-        F.lit(1).cast("bigint").alias("_w"),
-        F.struct(F.col("from_ts").alias("g_from"), F.col("to_ts").alias("g_to"), F.col("minutes").alias("g_minutes"),
-                 *[F.lit(None).cast(t).alias(n) for n, t in
-                   (("s_ts", "timestamp"), ("s_prev", "double"), ("s_open", "double"), ("s_pct", "double"))]
-                 ).alias("_p"),
-    )
-
-    def spike_payload():
-        return F.struct(
-            *[F.lit(None).cast(t).alias(n) for n, t in
-              (("g_from", "timestamp"), ("g_to", "timestamp"), ("g_minutes", "bigint"))],
-            F.col("timestamp").alias("s_ts"), F.col("prev_close").alias("s_prev"),
-            F.col("open").alias("s_open"), F.col("pct_change").alias("s_pct"),
-        )
-
-    spike_first = inter.select(
-        "pair", F.lit("spike").alias("kind"), order(F.col("timestamp"), F.col("_k"), F.col("_copy")).alias("_o"),
-        F.lit(1).cast("bigint").alias("_w"), spike_payload().alias("_p"),
-    )
-    spike_rep = repeated.select(
-        "pair", F.lit("spike").alias("kind"), F.col("timestamp"), F.col("_k"), "_reps", spike_payload().alias("_p"),
-    )
-    counts = (
-        gap_ev.select("pair", "kind", "_w")
-        .unionByName(spike_first.select("pair", "kind", "_w"))
-        .unionByName(spike_rep.select("pair", "kind", F.col("_reps").cast("bigint").alias("_w")))
-        .groupBy("pair")
-        .agg(F.sum(F.when(F.col("kind") == "gap", F.col("_w"))).cast("bigint").alias("gap_count"),
-             F.sum(F.when(F.col("kind") == "spike", F.col("_w"))).cast("bigint").alias("spike_count"))
-    )
-    # examples: repeated copies are expanded at most EXAMPLES times
-    rep_ex = (
-        spike_rep.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                                          F.least(F.col("_reps"), F.lit(EXAMPLES)).cast("bigint"))))
-        .select("pair", "kind", order(F.col("timestamp"), F.col("_k"), F.col("_copy")).alias("_o"),
-                F.lit(1).cast("bigint").alias("_w"), "_p")
-    )
-    ranked = first_examples_by(gap_ev.unionByName(spike_first).unionByName(rep_ex), ["pair", "kind"], "_o")
-    p = F.col("_p")
-    examples = ranked.groupBy("pair").agg(
-        F.array_sort(F.collect_list(F.when(F.col("kind") == "gap", F.struct(
-            "rank", iso_utc(p["g_from"]).alias("from"), iso_utc(p["g_to"]).alias("to"),
-            p["g_minutes"].alias("minutes"))))).alias("_gx"),
-        F.array_sort(F.collect_list(F.when(F.col("kind") == "spike", F.struct(
-            "rank", iso_utc(p["s_ts"]).alias("timestamp"), p["s_prev"].alias("prev_close"),
-            p["s_open"].alias("open"), p["s_pct"].alias("pct_change"))))).alias("_sx"),
-    ).select(
-        "pair",
-        F.transform("_gx", lambda x: F.struct(x["from"].alias("from"), x["to"].alias("to"),
-                                              x["minutes"].alias("minutes"))).alias("gap_examples"),
-        F.transform("_sx", lambda x: F.struct(x["timestamp"].alias("timestamp"), x["prev_close"].alias("prev_close"),
-                                              x["open"].alias("open"), x["pct_change"].alias("pct_change")))
-        .alias("spike_examples"),
-    )
-    return counts, examples
-
-
-def first_examples_by(df: DataFrame, keys: list[str], order: str, n: int = EXAMPLES) -> DataFrame:
-    """The first ``n`` rows per ``keys`` by ``order`` (WindowGroupLimit)."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-
-
-def _assemble(base: DataFrame, pieces: list[DataFrame]) -> DataFrame:
-    """One row per ``base`` pair with every piece's columns: the pieces (each
-    at most one row per pair) are unioned on a common wide schema and folded
-    by one ``groupBy(pair)`` — a single small aggregation instead of a chain
-    of joins. Pairs missing from ``base`` (unconfigured) drop."""
-    fields: dict[str, object] = {}
-    for df in [base, *pieces]:
-        for f in df.schema.fields:
-            if f.name != "pair" and f.name not in fields:
-                fields[f.name] = f.dataType
-    aligned = [
-        df.select("pair", *[(F.col(c) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in fields.items()])
-        for df in [base, *pieces]
-    ]
-    u = aligned[0]
-    for df in aligned[1:]:
-        u = u.unionByName(df)
-    return (
-        u.groupBy("pair")
-        .agg(*[F.first(c, ignorenulls=True).alias(c) for c in fields])
-        .where(F.col("pair_ord").isNotNull())
+    there = F.col("total_bars").isNotNull()
+    return per_pair.select(
+        "pair", "pair_ord", F.when(there, F.lit("ok")).otherwise(F.lit("no_data")).alias("status"), "total_bars",
+        F.when(there, F.struct("start", "end")).alias("date_range"), F.when(there, checks).alias("checks"),
     )
 
 
@@ -418,16 +289,32 @@ def qa_report_document(report: DataFrame, generated_at: Column) -> DataFrame:
     )
 
 
+def read_report_document(documents: DataFrame, schema) -> DataFrame:
+    """A9 read back: one row per pair of the saved documents (one text row
+    each), typed as the report's ``schema``, with ``generated_at`` as text."""
+    names = ["status", "total_bars", "date_range", "checks"]
+    value = T.StructType([schema[c] for c in names])
+    whole = T.StructType([T.StructField("generated_at", T.StringType()), T.StructField("pairs", T.MapType(T.StringType(), value))])
+    doc = documents.select(F.from_json("value", whole).alias("d"))
+    rows = doc.select("d.generated_at", F.explode("d.pairs").alias("pair", "v"))
+    return rows.select("pair", F.coalesce("v.status", F.lit("ok")).alias("status"), *[F.col(f"v.{c}").alias(c) for c in names[1:]], "generated_at")
+
+
 def flatten_report(report: DataFrame) -> DataFrame:
     """The report's checks as scalar columns (one row per pair): handy for
     tabular consumers and for comparing with other engines. A pair without
     bars gets zero counts (the reference's convention for an empty frame:
-    total 0, completeness 0.0 of 0) and NULL pass flags and dates; pass flags
-    are text ('true'/'false')."""
+    total 0, completeness 0.0 of 0) and NULL pass flags, dates and examples; pass
+    flags are text ('true'/'false'), examples comma-joined text with values in
+    millionths."""
     c = F.col("checks")
     years = F.array_join(F.array_sort(F.transform(
         F.map_entries(c["yearly_row_counts"]), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))
     )), ",")
+    gap_text = F.array_join(F.transform(c["gaps_over_5min"]["examples"], lambda g: F.concat_ws("/", g["from"], g["to"], g["minutes"].cast("string"))), ",")
+    micro = lambda v: F.round(v * 1_000_000).cast("bigint").cast("string")
+    spike_text = F.array_join(F.transform(c["price_spikes_5pct"]["examples"], lambda x: F.concat_ws(
+        "/", x["timestamp"], micro(x["prev_close"]), micro(x["open"]), micro(x["pct_change"]))), ",")
     z = lambda col, t="bigint": F.coalesce(col, F.lit(0).cast(t))
     return report.select(
         "pair", "status", z(F.col("total_bars")).alias("total_bars"),
@@ -436,13 +323,13 @@ def flatten_report(report: DataFrame) -> DataFrame:
         z(c["ohlc_integrity"]["failures"]).alias("ohlc_failures"), c["ohlc_integrity"]["pass"].cast("string").alias("ohlc_pass"),
         z(c["zero_volume"]["count"]).alias("zero_volume"),
         z(c["gaps_over_5min"]["count"]).alias("gap_count"),
-        z(F.when(c.isNotNull(), F.size(c["gaps_over_5min"]["examples"])), "int").alias("gap_examples"),
+        gap_text.alias("gap_examples"),
         z(c["completeness"]["percent"], "double").alias("completeness_percent"),
         z(c["completeness"]["actual"]).alias("completeness_actual"),
         z(c["completeness"]["expected"]).alias("completeness_expected"),
         F.array_join(c["sources"]["values"], ",").alias("sources"),
         z(c["bar_hash_nulls"]["count"]).alias("hash_nulls"), c["bar_hash_nulls"]["pass"].cast("string").alias("hash_pass"),
         z(c["price_spikes_5pct"]["count"]).alias("spike_count"),
-        z(F.when(c.isNotNull(), F.size(c["price_spikes_5pct"]["examples"])), "int").alias("spike_examples"),
+        spike_text.alias("spike_examples"),
         years.alias("yearly_row_counts"),
     )
