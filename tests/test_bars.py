@@ -129,13 +129,72 @@ def test_merge_empty_is_noop(spark):
     assert res.partitions == [] and read_store(spark, root).count() == 0
 
 
-def test_fixture_order_key_fallback_gives_same_bars(spark, monkeypatch):
+def test_fixture_order_is_time_then_id(spark):
+    """For any event ids: the bars open and close by (ts, event_id)."""
     from tickweave.sources import fixtures as FX
 
-    packed = B.minute_bars(FX.fixture_ordered_ticks(spark, SF_SMALL))
-    monkeypatch.setattr(FX, "_ID_BITS", 2)  # id span too wide: struct(ts, event_id) order
-    wide = B.minute_bars(FX.fixture_ordered_ticks(spark, SF_SMALL))
-    assert rows(packed) == rows(wide)
+    recs = FX.fixture_records(spark, SF_SMALL)
+    moved = {"event_id": F.when(F.col("event_id") % 2 == 0, F.col("event_id") + 2**62).otherwise(-F.col("event_id") - 2**61)}
+    original, FX.fixture_records = FX.fixture_records, lambda *_: recs.withColumns(moved)
+    try:
+        got = rows(B.minute_bars(FX.fixture_ordered_ticks(spark, SF_SMALL)), "pair", "timestamp", "open", "close")
+        ticks = FX.fixture_ticks(spark, SF_SMALL).collect()
+        ts = {r["event_id"]: r["ts"] for r in FX.fixture_records().collect()}
+    finally:
+        FX.fixture_records = original
+    want = {}
+    for r in sorted(ticks, key=lambda r: (ts[r["seq"]], r["seq"])):
+        key = (r["pair"], r["timestamp"].replace(second=0, microsecond=0))
+        want[key] = (want.get(key, (r["mid"],))[0], r["mid"])
+    assert got == sorted((*k, *v) for k, v in want.items())
+
+
+def test_volume_does_not_depend_on_task_order(spark):
+    """Fractional 32-bit volumes: the exact sum, rounded once."""
+    import math
+    import random
+
+    import numpy as np
+
+    rng = random.Random(8)
+    values = [float(np.float32(rng.choice([0.1, 1.7, 985017.7, 0.0036, 33.3]) * rng.random())) for _ in range(3000)]
+    want = math.fsum(values)
+    for seed in (1, 2):
+        shuffled = values[:]
+        random.Random(seed).shuffle(shuffled)
+        df = spark.createDataFrame([(v,) for v in shuffled], "v double").repartition(3 + seed)
+        assert df.agg(B.exact_sum(F.col("v")).alias("s")).first()["s"] == want
+    odd = spark.createDataFrame([(NAN,), (None,), (-1.25,), (2.0**50,), (0.25,)], "v double")
+    assert odd.agg(B.exact_sum(F.col("v")).alias("s")).first()["s"] == 2.0**50 - 1.0
+    assert odd.where("v IS NULL").agg(B.exact_sum(F.col("v")).alias("s")).first()["s"] is None
+    assert spark.createDataFrame([(float("inf"),), (1.0,)], "v double").agg(B.exact_sum(F.col("v"))).first()[0] == float("inf")
+
+
+def test_one_load_time_for_a_mixed_merge(spark):
+    """No time given; one partition is rewritten, another appended to."""
+    root = scratch_path(spark, "t-store")
+    t23 = dt.datetime(2023, 12, 31, 23, 0)
+    merge_bars(spark, spark.createDataFrame([("EURUSD", t23, t23, 1.0, 1.1, 0.9, 1.0, 1.0, "dukascopy")], BAR_SCHEMA), root, T0)
+    batch = [("EURUSD", t23, t23 + dt.timedelta(minutes=m), 1.0, 1.1, 0.9, 1.0, 1.0, "dukascopy") for m in range(2)]
+    batch += [bar(0, 1.0, 1.1, 0.9, 1.0, 1.0), bar(0, 1.0, 1.1, 0.9, 1.0, 1.0, pair="USDJPY")]
+    merge_bars(spark, spark.createDataFrame(batch, BAR_SCHEMA), root)
+    times = {r["knowledge_time"] for r in read_store(spark, root).where(F.col("knowledge_time") != F.lit(T0)).collect()}
+    assert len(times) == 1
+
+
+def test_partitions_are_emptied_without_write_metrics(spark, monkeypatch):
+    """A lost metric must not leave rejected rows stored."""
+    import tickweave.plans.merge as M
+    from tickweave.sources.barstore import write_store
+
+    class Lost:
+        get = None
+
+    monkeypatch.setattr(M, "_observed", lambda df, name: (df, Lost()))
+    root = scratch_path(spark, "t-store")
+    write_store(B.stamp_bars(spark.createDataFrame([bar(0, 1.0, 0.5, 0.9, 1.0, 1.0)], BAR_SCHEMA), T0), root)
+    res = merge_bars(spark, spark.createDataFrame([bar(0, 1.0, 1.1, 0.9, 1.0, 1.0)], BAR_SCHEMA), root, T0)
+    assert read_store(spark, root).count() == 0 and res.stored_bars == 0
 
 
 def test_non_colliding_batch_appends_and_replay_is_idempotent(spark):

@@ -33,35 +33,90 @@ def _local(spark, name):
     return root[len("file:"):] if root.startswith("file:") else root
 
 
-def test_decode_cases(spark):
+def test_every_landed_file_has_one_outcome(spark):
     root = _local(spark, "t-raw")
     t = dt.datetime(2024, 1, 3, 10)
     _write(root, "EURUSD", t, lzma.compress(_records(2) + b"\x00" * 5, format=lzma.FORMAT_ALONE))  # 45 bytes
-    _write(root, "GBPUSD", t, os.urandom(64))                                                     # corrupt
+    _write(root, "GBPUSD", t, b"\x11" * 64)                                                       # corrupt
     _write(root, "USDJPY", t, lzma.compress(b"\x01" * 5))                                          # < 20 bytes
     _write(root, "USDCAD", t, b"")                                                                 # empty
     _write(root, "XXXYYY", t, lzma.compress(_records(3)))                                          # unknown pair
+    _write(root, "XEURUSD", t, lzma.compress(_records(1)))                                         # a longer folder name
+    _write(root, "eurusd", t, lzma.compress(_records(1)))                                          # another spelling
+    for odd in ("AUDUSD/2024/02/30/10h_ticks.bi5", "AUDUSD/2024/01/03/29h_ticks.bi5", "AUDUSD/latest/10h_ticks.bi5"):
+        os.makedirs(os.path.dirname(os.path.join(root, odd)), exist_ok=True)
+        with open(os.path.join(root, odd), "wb") as f:
+            f.write(lzma.compress(_records(1)))
 
     dec = read_tick_files(spark, root)
-    ticks = dec.where("error IS NULL").collect()
-    assert sorted((r["pair"], r["seq"]) for r in ticks) == [("EURUSD", 0), ("EURUSD", 1), ("XXXYYY", 0), ("XXXYYY", 1), ("XXXYYY", 2)]
+    ticks = dec.where("path IS NULL").collect()
     eur = sorted((r for r in ticks if r["pair"] == "EURUSD"), key=lambda r: r["seq"])
-    assert eur[1]["ms"] == 1000 and eur[1]["ask_int"] == 110001 and eur[0]["bid_volume"] == 2.25
+    assert len(eur) == 2 and eur[1]["ms"] == 1000 and eur[1]["ask_int"] == 110001 and eur[0]["bid_volume"] == 2.25
 
     res = load(spark, root)
     assert {r["pair"] for r in res.bars.collect()} == {"EURUSD"}
-    bad = {r["pair"]: r["error"] for r in res.bad_files.collect()}
-    assert set(bad) == {"GBPUSD", "XXXYYY"} and bad["XXXYYY"] == "unknown pair"
+    got = {r["path"].split(root.rstrip("/"))[-1].lstrip("/"): (r["status"], r["records"], r["trailing"], (r["error"] or "").split(":")[0])
+           for r in res.outcomes.collect()}
+    at = "2024/01/03/10h_ticks.bi5"
+    assert got == {  # the empty file is invisible to Spark's file scans
+        f"EURUSD/{at}": ("fetched", 2, 5, ""),
+        f"GBPUSD/{at}": ("error", 0, 0, "lzma"),
+        f"USDJPY/{at}": ("fetched", 0, 5, ""),
+        f"XXXYYY/{at}": ("error", 3, 0, "unknown pair"),
+        f"XEURUSD/{at}": ("error", 1, 0, "unknown pair"),
+        f"eurusd/{at}": ("error", 1, 0, "unknown pair"),
+        "AUDUSD/2024/02/30/10h_ticks.bi5": ("error", 0, 0, "unrecognised path"),
+        "AUDUSD/2024/01/03/29h_ticks.bi5": ("error", 0, 0, "unrecognised path"),
+        "AUDUSD/latest/10h_ticks.bi5": ("error", 0, 0, "unrecognised path"),
+    }
 
     slots = spark.createDataFrame([(p, t) for p in ["EURUSD", "GBPUSD", "USDJPY", "USDCAD", "XXXYYY", "AUDUSD"]],
                                   "pair string, slot timestamp")
-    # zero-length files are invisible to Spark file scans: the landing log says so
+    # the landing log knows of the empty body
     log = spark.createDataFrame([("USDCAD", t, 200, 0)], "pair string, slot timestamp, http_status int, n_bytes bigint")
-    out = {r["pair"]: r["status"] for r in slot_outcome(slots, res.files, res.bad_files, log).collect()}
+    out = {r["pair"]: r["status"] for r in slot_outcome(slots, res.outcomes, res.bad_files, log).collect()}
     assert out == {"EURUSD": "fetched", "GBPUSD": "error", "USDJPY": "fetched",
                    "USDCAD": "no_data", "XXXYYY": "error", "AUDUSD": None}
 
 
+def test_ingest_counts_every_file_and_attempt(spark):
+    from tickweave import api
+
+    root = _local(spark, "t-raw")
+    t = dt.datetime(2024, 1, 3, 10)
+    _write(root, "EURUSD", t, lzma.compress(_records(2) + b"\x00" * 5, format=lzma.FORMAT_ALONE))
+    _write(root, "GBPUSD", t, b"\x11" * 64)
+    _write(root, "XEURUSD", t, lzma.compress(_records(1)))
+    os.makedirs(os.path.join(root, "EURUSD/odd"))
+    with open(os.path.join(root, "EURUSD/odd/10h_ticks.bi5"), "wb") as f:
+        f.write(b"x")
+    log = spark.createDataFrame(
+        [("USDCAD", t, 200, 0), ("USDJPY", t, 404, 0), ("AUDUSD", t, 503, None), ("EURUSD", t, 200, 99)],
+        "pair string, slot timestamp, http_status int, n_bytes bigint")
+    store, cat = scratch_path(spark, "t-s"), scratch_path(spark, "t-c")
+    statuses = lambda: {r["pair"]: r["status"] for r in api.read_catalog(spark, cat).collect()}
+    want = {"EURUSD": "fetched", "GBPUSD": "error", "XEURUSD": "error", "USDCAD": "no_data", "USDJPY": "no_data", "AUDUSD": "error"}
+    res = api.ingest(spark, root, store, cat, landing_log=log)
+    assert (res.files, res.slots, res.errors, res.skipped, res.unplaced, res.trailing) == (4, 6, 3, 0, 1, 1)
+    assert statuses() == want
+    # fetched files are left alone, the failed ones tried again, nothing is downgraded
+    res = api.ingest(spark, root, store, cat, landing_log=log)
+    assert (res.files, res.skipped, res.merge.new_bars) == (3, 1, 0) and statuses() == want
+    assert api.read_store(spark, store).select("knowledge_time").distinct().count() == 1
+
+
+def test_second_ingest_decodes_no_file(spark):
+    from tickweave import api
+
+    root = _local(spark, "t-raw")
+    for h in range(3):
+        _write(root, "EURUSD", dt.datetime(2024, 1, 3, 10 + h), lzma.compress(_records(2), format=lzma.FORMAT_ALONE))
+    store, cat = scratch_path(spark, "t-s"), scratch_path(spark, "t-c")
+    assert api.ingest(spark, root, store, cat).files == 3
+    again = api.ingest(spark, root, store, cat)
+    assert (again.files, again.skipped, again.merge.partitions) == (0, 3, [])
+
+
 def test_tick_prices_and_time(spark):
     root = _local(spark, "t-raw")
     t = dt.datetime(2024, 1, 3, 10)
@@ -114,7 +169,7 @@ def test_encoder_groups_across_arrow_batches(spark):
         root = _local(spark, "t-raw")
         landed = write_tick_files(raw.repartition(1), root).collect()
         assert len(landed) == 6
-        dec = read_tick_files(spark, root).groupBy("pair", "slot").agg(F.count("*").alias("n"), F.max("seq").alias("m"))
+        dec = read_tick_files(spark, root).where("path IS NULL").groupBy("pair", "slot").agg(F.count("*").alias("n"), F.max("seq").alias("m"))
         got = sorted((r["pair"], r["slot"].hour, r["n"], r["m"]) for r in dec.collect())
         assert got == sorted((p, 10 + h, 5 + 6 * h, 4 + 6 * h) for p in ("EURUSD", "GBPUSD") for h in range(3))
     finally:

@@ -1,7 +1,7 @@
 """Command line over the Spark entry points (run with spark-submit or python -m).
 
     python -m tickweave plan     --catalog C --as-of 2026-03-01T12:00 [--pairs EURUSD ...] [--max-hours N] [--retry-errors]
-    python -m tickweave ingest   --raw R --store S --catalog C
+    python -m tickweave ingest   --raw R --store S --catalog C [--log L]
     python -m tickweave stream   --raw R --store S --catalog C --checkpoint K [--max-files N]
     python -m tickweave status   --catalog C [--store S --raw R]
     python -m tickweave validate --store S [--out PATH]
@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> int:
         q.add_argument("--store", required=True)
         q.add_argument("--catalog", required=True)
         q.add_argument("--pairs", nargs="*")
+        q.add_argument("--log", help="landing log (Parquet: pair, slot, http_status, n_bytes)")
         if name == "stream":
             q.add_argument("--checkpoint", required=True)
             q.add_argument("--max-files", type=int, default=1000)
@@ -66,19 +67,21 @@ def main(argv: list[str] | None = None) -> int:
     from .session import ensure_utc
 
     spark = ensure_utc(SparkSession.builder.appName(f"tickweave-{args.cmd}").getOrCreate())
+    log = spark.read.parquet(args.log) if getattr(args, "log", None) else None
     if args.cmd == "plan":
         cat = api.read_catalog(spark, args.catalog)
         wl = api.plan_worklist(spark, cat, _as_of(args.as_of), args.pairs, args.max_hours,
                                args.retry_errors, raw_root=args.raw_root)
         wl.orderBy("position").show(args.show, truncate=False)
     elif args.cmd == "ingest":
-        res = api.ingest(spark, args.raw, args.store, args.catalog, pairs=args.pairs)
+        res = api.ingest(spark, args.raw, args.store, args.catalog, pairs=args.pairs, landing_log=log)
         print(f"slots {res.slots}  errors {res.errors}  new bars {res.merge.new_bars}  "
-              f"partitions {len(res.merge.partitions)}")
+              f"partitions {len(res.merge.partitions)}  files {res.files}  already fetched {res.skipped}  "
+              f"paths without a slot {res.unplaced}  with trailing bytes {res.trailing}")
+        res.outcomes.where("error IS NOT NULL OR trailing > 0").select("path", "status", "records", "trailing", "error").show(50, truncate=False)
     elif args.cmd == "stream":
         api.incremental_load(spark, args.raw, args.store, args.checkpoint, args.catalog,
-                             max_files_per_trigger=args.max_files, pairs=args.pairs,
-                             listing_parallelism=spark.sparkContext.defaultParallelism)
+                             max_files_per_trigger=args.max_files, pairs=args.pairs, landing_log=log)
     elif args.cmd == "status":
         api.status_report(spark, args.catalog).orderBy("is_total", "pair").show(truncate=False)
         api.progress_totals(spark, args.catalog, args.store, args.raw).show(truncate=False)

@@ -32,10 +32,6 @@ def hash_time_text(ts) -> Column:
     return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
 
 
-def ymd_text(d) -> Column:
-    return F.date_format(_col(d), "yyyy-MM-dd")
-
-
 @F.pandas_udf(T.StringType())
 def _float_repr(s: pd.Series) -> pd.Series:
     return pd.Series([repr(v) for v in s.tolist()], index=s.index, dtype=object)

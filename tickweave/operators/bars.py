@@ -9,12 +9,37 @@ from pyspark.sql import functions as F
 
 from ..functions.prices import total_volume
 from ..functions.text import float_repr, hash_time_text
-from ..session import ts_lit
+from ..session import load_time, ts_lit
 from ..sources.instruments import DEFAULT_SOURCE
 
 BAR_VALUE_COLUMNS = ["open", "high", "low", "close", "volume"]
 
 
+# exact_sum's fixed point: whole units of 2**-20, and of 2**-60 for the rest.
+_HIGH, _LOW = 20, 40
+_PLAIN = 2.0 ** 40  # magnitudes from here on (and infinities) are added as doubles
+
+
+def exact_sum(v: Column) -> Column:
+    """Sum of doubles that no task order changes: every value becomes whole
+    numbers of 2**-20 and 2**-60, which add exactly, and the total is rounded
+    once. 32-bit volumes are multiples of such units unless they are below
+    2**-37, so for them this is the exact sum rounded to a double, which is
+    what a compensated sum in file order gives. NaN is skipped; NULL if
+    nothing is left."""
+    v = F.nanvl(v, F.lit(None).cast("double"))
+    small = F.when(F.abs(v) < _PLAIN, v)
+    scaled = small * F.lit(float(1 << _HIGH))
+    high = F.floor(scaled).cast("bigint")
+    low = F.round((scaled - F.floor(scaled)) * F.lit(float(1 << _LOW))).cast("bigint")
+    highs, lows = F.sum(high), F.sum(low)
+    carried = highs + F.shiftright(lows, _LOW)
+    rest = F.pmod(lows, F.lit(1 << _LOW)).cast("double") / F.lit(float(1 << _LOW))
+    exact = (carried.cast("double") + rest) / F.lit(float(1 << _HIGH))
+    plain = F.sum(F.when(F.abs(v) >= _PLAIN, v))
+    return F.coalesce(exact + plain, exact, plain)
+
+
 def ohlcv_aggs(with_counts: bool = False, exact_volume_col: str | None = None) -> list[Column]:
     """D1's aggregate expressions over ticks (pair, slot, seq, mid, volumes).
 
@@ -24,10 +49,7 @@ def ohlcv_aggs(with_counts: bool = False, exact_volume_col: str | None = None) -
     skew-safe aggregate.
     """
     vol = total_volume()
-    volume = (
-        F.coalesce(F.max(exact_volume_col), F.lit(0.0)) if exact_volume_col
-        else F.coalesce(F.sum(F.nanvl(vol, F.lit(None).cast("double"))), F.lit(0.0))
-    )
+    volume = F.coalesce(F.max(exact_volume_col) if exact_volume_col else exact_sum(vol), F.lit(0.0))
     return [
         *([F.count(F.lit(1)).alias("n_ticks")] if with_counts else []),
         F.min_by("mid", "seq").alias("open"),
@@ -48,10 +70,9 @@ def minute_bars(ticks: DataFrame, source: str = DEFAULT_SOURCE, with_counts: boo
     settles overlapping minutes. With a numeric ``seq`` all aggregates are
     hash-aggregatable, so Spark combines map-side before the shuffle.
 
-    The volume here is a plain sum (exact for whole-number volumes); ticks
-    decoded from files go through ``plans.load.bars_and_errors``, which uses
-    the decoder's compensated per-minute sum to match the reference's pandas
-    summation bit for bit.
+    The volume is ``exact_sum``; ticks decoded from files go through
+    ``plans.load.bars_and_outcomes``, which carries the decoder's compensated
+    per-minute sum in record order.
     """
     out_cols = ["pair", "slot", "timestamp", "open", "high", "low", "close", "volume", "source"]
     return (
@@ -113,15 +134,10 @@ def bar_hash(ts="timestamp") -> Column:
 def stamp_bars(bars: DataFrame, knowledge_time: dt.datetime | str | None = None) -> DataFrame:
     """B7 + B8: one load time per batch, then the content hash.
 
-    ``knowledge_time`` defaults to the query's current timestamp; pass it
-    explicitly for reproducible runs.
+    ``knowledge_time`` defaults to the time of this call; pass it explicitly
+    for reproducible runs.
     """
-    if knowledge_time is None:
-        kt = F.current_timestamp()
-    elif isinstance(knowledge_time, str):
-        kt = F.to_timestamp(F.lit(knowledge_time))
-    else:
-        kt = ts_lit(knowledge_time)
+    kt = ts_lit(load_time(knowledge_time))  # a literal: the same in every job that reads the batch
     return bars.withColumn("knowledge_time", kt).withColumn("bar_hash", bar_hash())
 
 

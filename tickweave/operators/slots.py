@@ -124,7 +124,7 @@ def newest_first(slots: DataFrame, quota: DataFrame, max_quota: int) -> DataFram
     the per-pair quota then trims exactly.
     """
     w = Window.partitionBy("pair").orderBy(F.col("slot").desc())
-    q = F.broadcast(quota.select("pair", "pair_ord", "quota"))  # one row per configured pair
+    q = quota.select("pair", "pair_ord", "quota")  # a VALUES relation: Spark knows its size
     ranked = (
         slots.drop("pair_ord")
         .withColumn("rank", F.row_number().over(w))

@@ -14,13 +14,12 @@ def pair_status(catalog: DataFrame, inst: DataFrame) -> DataFrame:
     total counts every entry (unknown statuses too); oldest/newest are the
     first/last fetched dates as ``YYYY-MM-DD`` (NULL when none). Catalog rows
     of unconfigured pairs drop; configured pairs without rows get zeros.
-    The catalog is filtered against the broadcast instrument list (fixed
-    size) and aggregated map-side; only one row per pair is joined back.
+    The catalog is filtered against the instrument list and aggregated map-side; only one row per pair is joined back.
     """
     d = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
     fetched = F.col("status") == "fetched"
     agg = (
-        catalog.join(F.broadcast(inst.select("pair")), "pair", "left_semi")
+        catalog.join(inst.select("pair"), "pair", "left_semi")
         .groupBy("pair")
         .agg(
             F.count(F.lit(1)).alias("total"),
@@ -67,12 +66,14 @@ def slot_counts(bars: DataFrame) -> DataFrame:
     )
 
 
-def run_counts(bars: DataFrame) -> DataFrame:
-    """Slots processed and bars produced per pair in a batch."""
-    per_slot = bars.groupBy("pair", "slot").agg(F.count(F.lit(1)).alias("n"))
-    return per_slot.groupBy("pair").agg(
-        F.count(F.lit(1)).alias("slots"),
-        F.sum("n").cast("bigint").alias("bars"),
+def run_counts(outcomes: DataFrame, bars: DataFrame) -> DataFrame:
+    """Slots attempted and bars produced per pair in a batch. Every
+    attempted slot counts, with or without bars (``outcomes``: pair, slot, a
+    row for each)."""
+    per_slot = outcomes.select("pair", "slot", F.lit(1).alias("slot_n"), F.lit(0).cast("bigint").alias("bar_n")).distinct()
+    made = bars.select("pair", "slot", F.lit(0).alias("slot_n"), F.lit(1).cast("bigint").alias("bar_n"))
+    return per_slot.unionByName(made).groupBy("pair").agg(
+        F.sum("slot_n").cast("bigint").alias("slots"), F.sum("bar_n").cast("bigint").alias("bars")
     )
 
 

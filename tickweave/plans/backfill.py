@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from ..operators import slots as S
 from ..operators.quality import qa_report, qa_report_document
 from ..operators.status import pair_status, status_rollup
-from ..session import ensure_utc, ts_lit
-from ..sources.barstore import read_store
-from ..sources.catalog import catalog_partitions, read_catalog, write_catalog
+from ..session import ensure_utc, load_time, path_exists, ts_lit, written
+from ..sources.barstore import partition_filter, read_store
+from ..sources.catalog import read_catalog, write_catalog
 from ..sources.instruments import BASE_URL, DEFAULT_SOURCE, instruments
-from ..sources.tickfiles import list_tick_files
-from .load import bars_and_errors
+from ..sources.tickfiles import list_tick_files, no_tick_files
+from .load import bars_and_outcomes, bars_of, outcomes_of, slot_outcome
 from .merge import MergeResult, merge_bars
 
 
@@ -54,8 +54,38 @@ def plan_worklist(
 @dataclass
 class IngestResult:
     merge: MergeResult
-    slots: int
-    errors: int
+    slots: int                  # slots attempted: by a landed file or the landing log
+    errors: int                 # of them
+    files: int = 0              # files decoded
+    skipped: int = 0            # landed files whose slot the catalog has as fetched
+    unplaced: int = 0           # files whose path names no slot (listed in ``outcomes``)
+    trailing: int = 0           # files with bytes after their last whole record
+    outcomes: DataFrame | None = None  # one row per decoded file
+
+
+#: Landed files named to one read at a time, where some are left out.
+PATHS_PER_PASS = 20_000
+
+
+def _fetched(spark: SparkSession, catalog_path: str) -> DataFrame:
+    return read_catalog(spark, catalog_path, F.col("status") == "fetched").select(*S.SLOT_KEY)
+
+
+def _without(rows: DataFrame, slots: DataFrame) -> DataFrame:
+    """``rows`` (pair, slot, ...) whose slot is not among ``slots`` (SLOT_KEY)."""
+    parts = [p for p in S.slot_parts("slot")]
+    return rows.select("*", *parts).join(slots, S.SLOT_KEY, "left_anti").drop(*S.SLOT_KEY[1:])
+
+
+def _record(spark: SparkSession, outcomes: DataFrame, catalog_path: str, stamp: dt.datetime) -> None:
+    """Upsert slot outcomes (a written table: pair, slot, status). Only the
+    (pair, year) partitions that they touch are read and rewritten."""
+    updates = outcomes.select("pair", *S.slot_parts("slot"), "status", ts_lit(stamp).alias("fetched_at"), F.lit(1).alias("update_seq"))
+    touched = [(r["pair"], int(r["year"])) for r in updates.select("pair", "year").distinct().collect()]
+    if touched:
+        current = read_catalog(spark, catalog_path, partition_filter(touched))
+        # cut lineage before overwriting the partitions this plan reads
+        write_catalog(written(S.catalog_upsert(current, updates), "catalog-upsert"), catalog_path)
 
 
 def ingest_files(
@@ -66,42 +96,51 @@ def ingest_files(
     knowledge_time: dt.datetime | None = None,
     pairs: list[str] | None = None,
     source: str = DEFAULT_SOURCE,
+    landing_log: DataFrame | None = None,
 ) -> IngestResult:
     """Decode ``files`` (path, length, content, pair, slot) once, merge the
-    bars, then upsert one catalog row per file (fetched / no_data / error).
+    bars, then upsert one catalog row per attempted slot (A11).
 
-    The decoded aggregate is checkpointed (shared folder), so both sinks read
-    it without a second decode. Bars are written before the catalog.
+    The landing log (pair, slot, http_status, optional n_bytes) carries the
+    attempts that left no file: missing hours and empty bodies become no_data,
+    failed downloads error. Slots the catalog has as fetched are not
+    downgraded by it. The decoded aggregate is written once to the shared
+    folder and everything else reads that copy. Bars are written before the
+    catalog; the whole batch has one load time.
     """
     ensure_utc(spark)
+    stamp = load_time(knowledge_time)
     inst = instruments(spark, pairs)
-    combined = bars_and_errors(files, inst, source).checkpoint(eager=True)
-    bars = combined.where(F.col("error").isNull()).drop("error", "n_ticks")
-    res = merge_bars(spark, bars, store_root, knowledge_time)
-    bad = combined.where(F.col("error").isNotNull()).select("pair", "slot", "error")
-    stamp = ts_lit(knowledge_time) if knowledge_time is not None else F.current_timestamp()
-    status = (
-        F.when(F.col("error").isNotNull(), "error")
-        .when(F.col("length") > 0, "fetched")
-        .otherwise("no_data")
-    )
-    updates = (
-        files.select("pair", "slot", "length")
-        .where(F.col("slot").isNotNull())
-        .join(bad, ["pair", "slot"], "left")
-        .select("pair", *S.slot_parts("slot"), status.alias("status"),
-                stamp.alias("fetched_at"), F.lit(1).alias("update_seq"))
-    )
-    counts = updates.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "error").alias("e")).first()
+    combined = written(bars_and_outcomes(files, inst, source), "decoded")
+    outcomes = outcomes_of(combined)
+    res = merge_bars(spark, bars_of(combined).drop("n_ticks"), store_root, stamp)
+    placed = outcomes.where(F.col("slot").isNotNull())
+    attempted = placed.select("pair", "slot")
+    log = landing_log
+    if log is not None:
+        if pairs:
+            log = log.where(F.col("pair").isin(list(pairs)))
+        if catalog_path is not None:
+            log = _without(log, _fetched(spark, catalog_path))
+        attempted = attempted.unionByName(log.select("pair", "slot"))
+    bad = placed.where(F.col("error").isNotNull()).select("pair", "slot", "error")
+    slots = slot_outcome(attempted.distinct(), placed.select("pair", "slot", "length"), bad, log)
+    slots = written(slots.where(F.col("status").isNotNull()).select("pair", "slot", "status"), "slot-outcomes")
+    n = slots.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "error").alias("e")).first()
+    f = outcomes.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("slot").isNull()).alias("u"), F.count_if(F.col("trailing") > 0).alias("t")).first()
     if catalog_path is not None:
-        # only the (pair, year) partitions the updates touch are read and
-        # rewritten; the list is bounded by the batch's pairs and years
-        touched = [(r["pair"], int(r["year"])) for r in updates.select("pair", "year").distinct().collect()]
-        if touched:
-            current = read_catalog(spark, catalog_path, catalog_partitions(touched))
-            # cut lineage before overwriting the partitions this plan reads
-            write_catalog(S.catalog_upsert(current, updates).checkpoint(eager=True), catalog_path)
-    return IngestResult(res, int(counts["n"]), int(counts["e"]))
+        _record(spark, slots, catalog_path, stamp)
+    return IngestResult(res, int(n["n"]), int(n["e"]), int(f["n"]), 0, int(f["u"]), int(f["t"]), outcomes)
+
+
+def _together(results: list[IngestResult]) -> IngestResult:
+    merges = [r.merge for r in results]
+    outcomes = results[0].outcomes
+    for r in results[1:]:
+        outcomes = outcomes.unionByName(r.outcomes)
+    total = lambda name: sum(getattr(r, name) for r in results)
+    merge = MergeResult(sorted({p for m in merges for p in m.partitions}), sum(m.new_bars for m in merges), sum(m.stored_bars for m in merges))
+    return IngestResult(merge, total("slots"), total("errors"), total("files"), total("skipped"), total("unplaced"), total("trailing"), outcomes)
 
 
 def ingest(
@@ -111,12 +150,41 @@ def ingest(
     catalog_path: str | None = None,
     knowledge_time: dt.datetime | None = None,
     pairs: list[str] | None = None,
+    landing_log: DataFrame | None = None,
 ) -> IngestResult:
-    """Batch load of every landed file under ``raw_root``."""
-    files = list_tick_files(spark, raw_root, with_content=True)
+    """Batch load of the landed files under ``raw_root`` that the catalog does
+    not have as fetched yet. The listing is compared with the catalog before
+    any content is read. Where all files are new they are read as one folder,
+    else by name, ``PATHS_PER_PASS`` at a time, until none is left."""
+    ensure_utc(spark)
+    stamp = load_time(knowledge_time)
+    listing = list_tick_files(spark, raw_root)
     if pairs:
-        files = files.where(F.col("pair").isin(list(pairs)))
-    return ingest_files(spark, files, store_root, catalog_path, knowledge_time, pairs)
+        listing = listing.where(F.col("pair").isin(list(pairs)))
+    done = catalog_path is not None
+    todo = written(_without(listing, _fetched(spark, catalog_path)).select("path") if done else listing.select("path"), "to-ingest")
+    n, landed = todo.count(), listing.count() if done else 0
+    skipped = landed - n if done else 0
+
+    def run(files: DataFrame, log: DataFrame | None) -> IngestResult:
+        return ingest_files(spark, files, store_root, catalog_path, stamp, pairs, landing_log=log)
+
+    if not skipped:
+        files = list_tick_files(spark, raw_root, with_content=True)
+        return run(files.where(F.col("pair").isin(list(pairs))) if pairs else files, landing_log)
+    passes = -(-n // PATHS_PER_PASS)
+    results = []
+    for k in range(passes):
+        part = todo.where(F.pmod(F.xxhash64("path"), F.lit(passes)) == k)
+        paths = [r["path"] for r in part.collect()]  # about PATHS_PER_PASS
+        if paths:
+            results.append(run(list_tick_files(spark, paths, with_content=True), None))
+    if landing_log is not None or not results:
+        # the log last: the passes have recorded their files as fetched
+        results.append(run(no_tick_files(spark), landing_log))
+    out = _together(results)
+    out.skipped = skipped
+    return out
 
 
 def ingest_paths(
@@ -125,17 +193,22 @@ def ingest_paths(
     store_root: str,
     catalog_path: str | None = None,
     knowledge_time: dt.datetime | None = None,
+    landing_log: DataFrame | None = None,
 ) -> IngestResult | None:
     """Ingest exactly these landed files (a run's worklist, a retry batch):
     no listing of the whole raw tree. The list is bounded by the run's quota;
-    paths with no file (never landed) are skipped."""
-    from ..session import path_exists
+    paths with no file (never landed) are looked up side by side and left to
+    the landing log."""
+    from concurrent.futures import ThreadPoolExecutor
 
-    present = [p for p in dict.fromkeys(paths) if path_exists(spark, p)]
-    if not present:
+    ensure_utc(spark)
+    paths = list(dict.fromkeys(paths))
+    with ThreadPoolExecutor(16) as pool:
+        present = [p for p, there in zip(paths, pool.map(lambda p: path_exists(spark, p), paths)) if there]
+    if not present and landing_log is None:
         return None
-    return ingest_files(spark, list_tick_files(spark, present, with_content=True), store_root,
-                        catalog_path, knowledge_time)
+    files = list_tick_files(spark, present, with_content=True) if present else no_tick_files(spark)
+    return ingest_files(spark, files, store_root, catalog_path, knowledge_time, landing_log=landing_log)
 
 
 def status_report(spark: SparkSession, catalog_path: str, pairs: list[str] | None = None) -> DataFrame:

@@ -1,5 +1,5 @@
-"""Load landed tick files: decode (A1) -> bars (D1) plus per-slot outcomes
-(A11), in one decode pass."""
+"""Load landed tick files: decode (A1) -> bars (D1) plus one outcome per file
+and slot (A11), in one decode pass."""
 
 from __future__ import annotations
 
@@ -10,63 +10,75 @@ from pyspark.sql import functions as F
 
 from ..functions.prices import price_columns, tick_time
 from ..operators.bars import ohlcv_aggs
-from ..session import checkpoint_root, ensure_utc
-from ..sources.instruments import DEFAULT_SOURCE, instruments
+from ..session import ensure_utc, written
+from ..sources.instruments import DEFAULT_SOURCE, instruments, with_point_value
 from ..sources.tickfiles import decode_tick_files, list_tick_files
 
 
 @dataclass
 class LoadResult:
     bars: DataFrame       # BAR_SCHEMA + n_ticks
-    bad_files: DataFrame  # pair, slot, error
-    files: DataFrame      # landed files: path, length, pair, slot (no content)
+    outcomes: DataFrame   # one row per landed file: path, pair, slot, length, status, records, trailing, error
+    bad_files: DataFrame  # pair, slot, error of the files with an error
 
 
-def bars_and_errors(files: DataFrame, inst: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
+def bars_and_outcomes(files: DataFrame, inst: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
     """Decode ``files`` (with content) and aggregate to bars in one pass.
 
-    Ticks of a bad file (decode failure or unknown pair, C3) fall into one
-    per-slot group with the minute NULL and ``error`` set, so the bars and
-    the bad-file list come out of the same aggregation.
+    The decoder's row about each file is a group of its own (``path`` set), so
+    the bars and the outcomes come out of the same aggregation. Ticks of an
+    unknown pair (C3) make no bars; the file's row says why.
     """
-    decoded = decode_tick_files(files).join(
-        F.broadcast(inst.select("pair", "point_value")), "pair", "left"  # fixed-size dimension
+    decoded = with_point_value(decode_tick_files(files), inst)
+    about = F.col("path").isNotNull()
+    unknown = F.col("point_value").isNull() & (F.coalesce(F.col("pair"), F.lit("")) != "")
+    ticks = decoded.where(about | F.col("point_value").isNotNull()).select(
+        "pair", "slot", "seq", "path", "length", "records", "trailing",
+        F.coalesce("error", F.when(about & unknown, F.lit("unknown pair"))).alias("error"),
+        tick_time("slot", "ms").alias("timestamp"), *price_columns(), "ask_volume", "bid_volume", "minute_volume",
     )
-    err = F.coalesce(F.col("error"), F.when(F.col("point_value").isNull(), F.lit("unknown pair")))
-    ticks = decoded.select(
-        "pair", "slot", "seq", err.alias("error"),
-        tick_time("slot", "ms").alias("timestamp"), *price_columns(), "ask_volume", "bid_volume",
-        "minute_volume",
-    )
-    minute: Column = F.when(F.col("error").isNull(), F.date_trunc("minute", "timestamp"))
-    # ``error`` is a grouping key, not a max(): string aggregation buffers
-    # would push the whole aggregate off HashAggregate (and codegen)
+    minute: Column = F.when(F.col("path").isNull(), F.date_trunc("minute", "timestamp"))
+    # the file's columns are grouping keys, not max(): string aggregation
+    # buffers would push the whole aggregate off HashAggregate (and codegen)
     return (
-        ticks.groupBy("pair", "slot", minute.alias("timestamp"), "error")
+        ticks.groupBy("pair", "slot", minute.alias("timestamp"), "path", "length", "records", "trailing", "error")
         .agg(*ohlcv_aggs(with_counts=True, exact_volume_col="minute_volume"))
         .withColumn("source", F.lit(source))
     )
 
 
+_FILE = ["path", "length", "records", "trailing", "error"]
+
+
+def bars_of(combined: DataFrame) -> DataFrame:
+    return combined.where(F.col("path").isNull()).drop(*_FILE)
+
+
+def outcomes_of(combined: DataFrame) -> DataFrame:
+    """One row per landed file; ``trailing`` > 0 warns of a dropped partial record."""
+    status = F.when(F.col("error").isNotNull(), "error").when(F.col("length") > 0, "fetched").otherwise("no_data")
+    return combined.where(F.col("path").isNotNull()).select(
+        "path", "pair", "slot", "length", status.alias("status"), "records", "trailing", "error")
+
+
 def load(spark: SparkSession, raw_root: str, pairs: list[str] | None = None,
          source: str = DEFAULT_SOURCE, files: DataFrame | None = None) -> LoadResult:
     """Decode every landed file under ``raw_root`` (or the given listing).
 
-    The aggregated result (bars + error rows, ~1/60 of the ticks) is
-    checkpointed to the shared checkpoint folder: both consumers (bar merge
-    and catalog outcomes) read it without decoding twice, and an executor
-    lost later does not force a re-decode.
+    The aggregated result (bars + file rows, ~1/60 of the ticks) is written
+    once to the shared folder: every consumer (bar merge, catalog outcomes)
+    reads it without decoding again, and an executor lost later does not force
+    a re-decode.
     """
     ensure_utc(spark)
-    checkpoint_root(spark)
     inst = instruments(spark, pairs)
     listing = files if files is not None else list_tick_files(spark, raw_root, with_content=True)
     if pairs:
         listing = listing.where(F.col("pair").isin(list(pairs)))
-    combined = bars_and_errors(listing, inst, source).checkpoint(eager=True)
-    bars = combined.where(F.col("error").isNull()).drop("error")
-    bad = combined.where(F.col("error").isNotNull()).select("pair", "slot", "error")
-    return LoadResult(bars, bad, listing.drop("content"))
+    combined = written(bars_and_outcomes(listing, inst, source), "decoded")
+    outcomes = outcomes_of(combined)
+    bad = outcomes.where(F.col("error").isNotNull()).select("pair", "slot", "error")
+    return LoadResult(bars_of(combined), outcomes, bad)
 
 
 def slot_outcome(slots: DataFrame, files: DataFrame, bad_files: DataFrame,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.bars import bars_valid, dedup_bars, stamp_bars
-from ..session import delete_path, ensure_utc, path_exists
+from ..session import delete_path, ensure_utc, load_time, path_exists, written
 from .. import schemas
 from ..sources.barstore import partition_filter, read_store, write_store
 
@@ -32,7 +32,7 @@ def merge_bars(
     root: str,
     knowledge_time: dt.datetime | str | None = None,
     stamped: bool = False,
-    materialize: bool = False,
+    materialize: bool = True,
     force_rewrite: bool = False,
 ) -> MergeResult:
     """Merge ``new_bars`` (BAR_SCHEMA) into the store at ``root``.
@@ -41,10 +41,10 @@ def merge_bars(
     bounds the partitions read and rewritten. Reading and overwriting the same
     partitions is safe in dynamic mode: the old files are replaced only at job
     commit, after every task finished (a retried task re-reads the originals).
-    Empty input is a no-op. ``materialize`` checkpoints the stamped batch
-    first (shared folder): worth it when ``new_bars`` is an expensive lazy
-    plan, since the partition list, the collision check and the write all
-    read the batch.
+    Empty input is a no-op. The batch gets one load time. ``materialize``
+    writes the stamped batch once to the shared folder, and the partition
+    list, the collision check and both writes read that copy; switch it off
+    only for a batch that is a plain scan already.
 
     Partitions that share no minute with the batch are appended to; stored
     rows were validated when written, so the result equals a full rewrite for
@@ -55,10 +55,10 @@ def merge_bars(
     it for stores imported from elsewhere).
     """
     ensure_utc(spark)
-    new = new_bars if stamped else stamp_bars(new_bars, knowledge_time)
+    new = new_bars if stamped else stamp_bars(new_bars, load_time(knowledge_time))
     new = new.withColumn("year", F.year("timestamp").cast("int"))
     if materialize:
-        new = new.checkpoint(eager=True)
+        new = written(new, "merge-batch")
     parts = [(r["pair"], int(r["year"])) for r in new.select("pair", "year").distinct().collect()]
     if not parts:
         return MergeResult([], 0, 0)
@@ -103,16 +103,19 @@ def _observed(df: DataFrame, name: str):
     return out, obs
 
 
-def _metrics(obs, df: DataFrame) -> tuple[dict, set | None]:
-    """Observed metrics, and the written partitions (None if unknown)."""
+def _metrics(obs, df: DataFrame) -> tuple[int, int, set]:
+    """Rows, new bars and partitions written: as observed during the write, or
+    counted from the data where no metric came back (no task had rows, or the
+    listener lost them). Merging again after the write gives the same rows, so
+    the count is that of the write."""
     try:
         m = obs.get
-    except Exception:  # noqa: BLE001 - metrics are absent when no task produced rows
+    except Exception:  # noqa: BLE001 - absent when no task produced rows
         m = None
-    if m is None:
-        # confirm emptiness before relying on it (rare path)
-        return {}, (set() if df.limit(1).count() == 0 else None)
-    return m, {tuple(s.split("\u0001")) for s in (m.get("written") or [])}
+    if m and m.get("written") is not None:
+        return int(m["rows"] or 0), int(m["new_bars"] or 0), {tuple(s.split("\u0001")) for s in m["written"]}
+    counted = df.groupBy("pair", "year").agg(F.count(F.lit(1)).alias("n"), F.sum("is_new").alias("new")).collect()  # a row per partition
+    return (sum(r["n"] for r in counted), sum(r["new"] or 0 for r in counted), {(r["pair"], str(r["year"])) for r in counted})
 
 
 def _append(root: str, incoming: DataFrame) -> int:
@@ -122,10 +125,9 @@ def _append(root: str, incoming: DataFrame) -> int:
     its own rows stored and takes the rewrite path, so appends stay
     idempotent."""
     rows = bars_valid(dedup_bars(incoming, keys=["pair", "year", "timestamp"]))
-    rows, obs = _observed(rows, "merge-append")
-    write_store(rows, root, mode="append")
-    m, _ = _metrics(obs, rows)
-    return int(m.get("rows") or 0)
+    observed, obs = _observed(rows, "merge-append")
+    write_store(observed, root, mode="append")
+    return _metrics(obs, rows)[0]
 
 
 def _rewrite(spark: SparkSession, root: str, incoming: DataFrame, parts: list[tuple[str, int]]) -> tuple[int, int]:
@@ -139,12 +141,12 @@ def _rewrite(spark: SparkSession, root: str, incoming: DataFrame, parts: list[tu
     )
     # keep-first is an aggregate: copies collapse map-side before the shuffle
     merged = bars_valid(dedup_bars(stored.unionByName(incoming), keys=["pair", "year", "timestamp"]))
-    merged, obs = _observed(merged, "merge-rewrite")
-    write_store(merged, root)
-    m, written = _metrics(obs, merged)
+    observed, obs = _observed(merged, "merge-rewrite")
+    write_store(observed, root)
+    rows, new_bars, filled = _metrics(obs, merged)
     # A partition whose rows were all rejected produced no files; dynamic
     # overwrite would leave its old files, the reference leaves it empty.
-    for pair, year in parts if written is not None else []:
-        if (pair, str(year)) not in written:
+    for pair, year in parts:
+        if (pair, str(year)) not in filled:
             delete_path(spark, f"{root}/pair={pair}/year={year}")
-    return int(m.get("new_bars") or 0), int(m.get("rows") or 0)
+    return new_bars, rows

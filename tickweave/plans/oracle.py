@@ -7,12 +7,12 @@ where the Spark side uses a closed form), so agreement is a real check.
 
 from __future__ import annotations
 
-from ..sources.fixtures import EVENT_TYPE_PAIR, KNOWLEDGE_TIME_1, KNOWLEDGE_TIME_2
+from ..sources.fixtures import EVENT_TYPE_PAIR, KNOWLEDGE_TIME_1, KNOWLEDGE_TIME_2, OTHER_PAIR
 from ..sources.instruments import BASE_URL, DEFAULT_SOURCE, instruments_sql_values
 
 _PAIR_CASE = "CASE event_type " + " ".join(
     f"WHEN '{et}' THEN '{p}'" for et, p in EVENT_TYPE_PAIR
-) + " END"
+) + f" ELSE '{OTHER_PAIR}' END"
 
 CLOSED_SQL = (
     "(CASE WHEN (isodow({t}) - 1) * 24 + hour({t}) >= 118 "
@@ -34,17 +34,17 @@ ev AS (
   FROM events
 ),
 raw_ticks AS (
-  SELECT pair, slot,
+  SELECT pair, slot, event_id,
          CAST(row_number() OVER (PARTITION BY pair, slot ORDER BY ts, event_id) - 1 AS INTEGER) AS seq,
          CAST((epoch_us(ts) - epoch_us(slot)) // 1000 AS BIGINT) AS ms,
          CAST(bid_int + 1 + k % 5 AS BIGINT) AS ask_int,
          CAST(bid_int AS BIGINT) AS bid_int,
          CAST(k AS DOUBLE) AS ask_volume,
          CAST(event_id % 7 AS DOUBLE) AS bid_volume
-  FROM ev WHERE pair IS NOT NULL
+  FROM ev
 ),
 ticks AS (
-  SELECT r.pair, r.slot, r.seq,
+  SELECT r.pair, r.slot, r.seq, r.event_id,
          make_timestamp(epoch_us(r.slot) + r.ms * 1000) AS timestamp,
          CAST(r.ask_int AS DOUBLE) / i.point_value AS ask,
          CAST(r.bid_int AS DOUBLE) / i.point_value AS bid,
@@ -71,13 +71,13 @@ ORACLE: dict[str, str] = {}
 ORACLE["minute_bars"] = q("SELECT * FROM bars")
 
 ORACLE["tick_prices"] = q(
-    "SELECT pair, slot, seq, ask, bid, mid FROM ticks"
+    "SELECT pair, slot, event_id, ask, bid, mid FROM ticks"
 )
 
-ORACLE["tick_time"] = q("SELECT pair, slot, seq, timestamp FROM ticks")
+ORACLE["tick_time"] = q("SELECT pair, slot, event_id, timestamp FROM ticks")
 
 ORACLE["tick_volume"] = q(
-    "SELECT pair, slot, seq, ask_volume + bid_volume AS total_volume FROM ticks"
+    "SELECT pair, slot, event_id, ask_volume + bid_volume AS total_volume FROM ticks"
 )
 
 ORACLE["market_closed"] = q(
@@ -271,7 +271,7 @@ ORACLE["download_manifest"] = qs(
     "SELECT pair, year, month, day, hour, "
     f"printf('{BASE_URL}/%s/%d/%02d/%02d/%02dh_ticks.bi5', pair, year, month - 1, day, hour) AS url, "
     "printf('raw/%s/%d/%02d/%02d/%02dh_ticks.bi5', pair, year, month, day, hour) AS path "
-    "FROM next_batch"
+    "FROM pending"
 )
 ORACLE["catalog_upsert"] = qs("SELECT * FROM upserted")
 ORACLE["catalog_sink_roundtrip"] = qs("SELECT * FROM upserted")
@@ -300,9 +300,12 @@ ORACLE["slot_counts"] = q(
     "SELECT pair, slot, CAST(count(*) AS BIGINT) AS n_ticks, "
     "CAST(count(DISTINCT date_trunc('minute', timestamp)) AS BIGINT) AS n_bars FROM ticks GROUP BY pair, slot"
 )
-ORACLE["run_counts"] = q(
-    "SELECT pair, CAST(count(DISTINCT slot) AS BIGINT) AS slots, CAST(count(*) AS BIGINT) AS bars "
-    "FROM bars GROUP BY pair"
+ORACLE["run_counts"] = qs(
+    "SELECT a.pair, CAST(count(*) AS BIGINT) AS slots, CAST(sum(coalesce(b.n, 0)) AS BIGINT) AS bars FROM ("
+    "  SELECT pair, slot FROM tick_slots UNION"
+    "  SELECT pair, slot FROM expected WHERE idx % 17 = 0 OR idx % 29 = 0) a "
+    "LEFT JOIN (SELECT pair, slot, count(*) AS n FROM bars GROUP BY 1, 2) b ON b.pair = a.pair AND b.slot = a.slot "
+    "GROUP BY a.pair"
 )
 
 ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%S+00:00')"
@@ -392,7 +395,7 @@ ORACLE["qa_spike_examples"] = qq(
 )
 
 
-ORACLE["load_ticks"] = q("SELECT * FROM ticks")
+ORACLE["load_ticks"] = q("SELECT * EXCLUDE (event_id) FROM ticks")
 ORACLE["slot_from_path"] = q(f"SELECT DISTINCT pair, slot, {SLOT_PARTS_SQL} FROM raw_ticks")
 ORACLE["slot_outcome"] = qs("SELECT pair, year, month, day, hour, status FROM catalog")
 ORACLE["incremental_load"] = qb(f"SELECT {STORE_COLS} FROM stamped WHERE NOT {BAD_SQL}")
@@ -402,6 +405,46 @@ ORACLE["instruments"] = q(
     "WHERE i.pair IN (SELECT DISTINCT pair FROM raw_ticks)"
 )
 
+ORACLE["file_outcomes"] = q("""
+, files AS (SELECT pair, slot, CAST(count(*) AS BIGINT) AS n, hour(slot) % 7 AS kind FROM raw_ticks GROUP BY 1, 2),
+named AS (
+  SELECT *, CASE kind WHEN 3 THEN 'X' || pair WHEN 5 THEN lower(pair) ELSE pair END AS folder,
+         CASE kind WHEN 4 THEN 13 ELSE month(slot) END AS m FROM files
+)
+SELECT printf('%s/%d/%02d/%02d/%02dh_ticks.bi5', folder, year(slot), m, day(slot), hour(slot)) AS name,
+       folder AS pair, CASE WHEN kind = 4 THEN NULL ELSE slot END AS slot,
+       CASE WHEN kind IN (1, 3, 4, 5) THEN 'error' ELSE 'fetched' END AS status,
+       CASE WHEN kind IN (1, 4) THEN 0 ELSE n END AS records,
+       CAST(CASE kind WHEN 2 THEN 7 ELSE 0 END AS INTEGER) AS trailing,
+       CASE kind WHEN 1 THEN 'lzma' WHEN 4 THEN 'unrecognised path' WHEN 3 THEN 'unknown pair' WHEN 5 THEN 'unknown pair' END AS error
+FROM named
+""")
+ORACLE["ingest_loop"] = qs(
+    "SELECT pair, pair_ord, slot, year, month, day, hour, CAST(0 AS BIGINT) AS decoded_again FROM pending"
+)
+
+FRACTIONAL = """,
+frac AS (
+  SELECT r.pair, r.slot, r.seq, t.timestamp, t.mid,
+         CAST(CAST(r.ask_volume + (r.event_id % 10) / 10.0 AS FLOAT) AS DOUBLE)
+         + CAST(CAST(r.bid_volume / 7.0 AS FLOAT) AS DOUBLE) AS vol
+  FROM raw_ticks r JOIN ticks t ON t.event_id = r.event_id
+),
+fbars AS (
+  SELECT pair, slot, date_trunc('minute', timestamp) AS timestamp,
+         arg_min(mid, seq) AS open, max(mid) AS high, min(mid) AS low, arg_max(mid, seq) AS close,
+         fsum(vol) AS volume, '{source}' AS source
+  FROM frac GROUP BY 1, 2, 3
+)
+""".replace("{source}", DEFAULT_SOURCE)
+ORACLE["fractional_bars"] = q(FRACTIONAL + f"SELECT pair, slot, timestamp, volume, {hash_sql()} AS bar_hash FROM fbars")
+ORACLE["fractional_volumes"] = q(FRACTIONAL + "SELECT pair, slot, timestamp, volume FROM fbars")
+ORACLE["storage_size"] = qb(f"""
+SELECT 'raw' AS kind, CAST(count(*) AS BIGINT) AS n, 'true' AS agrees FROM (SELECT DISTINCT pair, slot FROM raw_ticks)
+UNION ALL
+SELECT 'bars', CAST(count(*) AS BIGINT), 'true' FROM (SELECT DISTINCT pair, year(timestamp) FROM stamped WHERE NOT {BAD_SQL})
+""")
+
 ORACLE["qa_report"] = qq(f"""
 , g AS (SELECT pair, CAST(count(*) AS BIGINT) AS n FROM qa_gap_rows GROUP BY pair)
 , sp AS (SELECT pair, CAST(count(*) AS BIGINT) AS n FROM qa_spike_rows GROUP BY pair)
@@ -411,6 +454,17 @@ ORACLE["qa_report"] = qq(f"""
     SELECT pair, CAST(year(timestamp) AS VARCHAR) || ':' || CAST(count(*) AS VARCHAR) AS k
     FROM qa GROUP BY pair, year(timestamp)) GROUP BY pair
 )
+, gr AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY from_ts) AS rank FROM qa_gap_rows)
+, gx AS (
+  SELECT pair, string_agg({ISO.format(c='from_ts')} || '/' || {ISO.format(c='to_ts')} || '/' || minutes, ',' ORDER BY rank) AS examples
+  FROM gr WHERE rank <= 10 GROUP BY pair
+)
+, sr AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY timestamp, knowledge_time, bar_hash, open) AS rank FROM qa_spike_rows)
+, sx AS (
+  SELECT pair, string_agg({ISO.format(c='timestamp')} || '/' || CAST(round(prev_close * 1000000) AS BIGINT) || '/'
+                          || CAST(round(open * 1000000) AS BIGINT) || '/' || CAST(round(pct_change * 1000000) AS BIGINT), ',' ORDER BY rank) AS examples
+  FROM sr WHERE rank <= 10 GROUP BY pair
+)
 SELECT i.pair,
        CASE WHEN s.pair IS NULL THEN 'no_data' ELSE 'ok' END AS status,
        coalesce(s.total_bars, 0) AS total_bars,
@@ -419,18 +473,24 @@ SELECT i.pair,
        coalesce(s.ohlc_failures, 0) AS ohlc_failures, CAST(s.ohlc_failures = 0 AS VARCHAR) AS ohlc_pass,
        coalesce(s.zero_volume, 0) AS zero_volume,
        coalesce(g.n, 0) AS gap_count,
-       CAST(least(coalesce(g.n, 0), 10) AS INTEGER) AS gap_examples,
+       gx.examples AS gap_examples,
        CASE WHEN s.expected > 0 THEN round(s.total_bars / s.expected * 100, 2) ELSE 0.0 END AS completeness_percent,
        coalesce(s.total_bars, 0) AS completeness_actual, coalesce(s.expected, 0) AS completeness_expected,
        src.sources,
        coalesce(s.hash_nulls, 0) AS hash_nulls, CAST(s.hash_nulls = 0 AS VARCHAR) AS hash_pass,
        coalesce(sp.n, 0) AS spike_count,
-       CAST(least(coalesce(sp.n, 0), 10) AS INTEGER) AS spike_examples,
+       sx.examples AS spike_examples,
        yr.yearly AS yearly_row_counts
 FROM instruments i
 LEFT JOIN qa_expected s ON s.pair = i.pair
 LEFT JOIN g ON g.pair = i.pair
 LEFT JOIN sp ON sp.pair = i.pair
+LEFT JOIN gx ON gx.pair = i.pair
+LEFT JOIN sx ON sx.pair = i.pair
 LEFT JOIN src ON src.pair = i.pair
 LEFT JOIN yr ON yr.pair = i.pair
 """)
+ORACLE["qa_report_json"] = (
+    "SELECT *, strftime(TIMESTAMP '" + KNOWLEDGE_TIME_2 + "', '%Y-%m-%dT%H:%M:%S.%f+00:00') AS generated_at FROM ("
+    + ORACLE["qa_report"] + ")"
+)

@@ -6,6 +6,7 @@ with the fixture mapping, so its work grows with the tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,20 +52,20 @@ def q_minute_bars(spark, sf_dir):
 @register("tick_prices")
 def q_tick_prices(spark, sf_dir):
     """B1 + C3: price scaling with the point-value lookup."""
-    return FX.fixture_ticks(spark, sf_dir).select("pair", "slot", "seq", "ask", "bid", "mid")
+    return FX.fixture_ticks(spark, sf_dir).select("pair", "slot", F.col("seq").alias("event_id"), "ask", "bid", "mid")
 
 
 @register("tick_time")
 def q_tick_time(spark, sf_dir):
     """B2: hour start + ms."""
-    return FX.fixture_ticks(spark, sf_dir).select("pair", "slot", "seq", "timestamp")
+    return FX.fixture_ticks(spark, sf_dir).select("pair", "slot", F.col("seq").alias("event_id"), "timestamp")
 
 
 @register("tick_volume")
 def q_tick_volume(spark, sf_dir):
     """Ask + bid volume."""
     return FX.fixture_ticks(spark, sf_dir).select(
-        "pair", "slot", "seq", total_volume().alias("total_volume")
+        "pair", "slot", F.col("seq").alias("event_id"), total_volume().alias("total_volume")
     )
 
 
@@ -205,10 +206,17 @@ def _quota(spark, sf_dir, catalog):
     from ..operators.slots import pair_quota
     from ..sources.instruments import instruments
 
-    pairs = catalog.select("pair").distinct().join(F.broadcast(instruments(spark)), "pair")
+    pairs = catalog.select("pair").distinct().join(instruments(spark), "pair")
     return pair_quota(pairs, QUOTA_MAX_HOURS)
 
 
+def _configured_quota(spark):
+    from ..operators.slots import pair_quota
+    from ..sources.instruments import instruments
+
+    return pair_quota(instruments(spark), QUOTA_MAX_HOURS)
+
+
 @register("expected_slots")
 def q_expected_slots(spark, sf_dir):
     """Open hours of the events' date range, per configured pair."""
@@ -265,7 +273,7 @@ def q_next_batch(spark, sf_dir):
     from ..operators.slots import next_batch
 
     exp, cat = _slot_inputs(spark, sf_dir)
-    return next_batch(exp, cat, _quota(spark, sf_dir, cat), QUOTA_MAX_HOURS)
+    return next_batch(exp, cat, _configured_quota(spark), QUOTA_MAX_HOURS)
 
 
 @register("error_batch")
@@ -274,7 +282,7 @@ def q_error_batch(spark, sf_dir):
     from ..operators.slots import error_batch
 
     cat = FX.fixture_catalog(spark, sf_dir)
-    return error_batch(cat, _quota(spark, sf_dir, cat), QUOTA_MAX_HOURS)
+    return error_batch(cat, _configured_quota(spark), QUOTA_MAX_HOURS)
 
 
 @register("worklist")
@@ -283,16 +291,16 @@ def q_worklist(spark, sf_dir):
     from ..operators.slots import next_batch, worklist
 
     exp, cat = _slot_inputs(spark, sf_dir)
-    return worklist(next_batch(exp, cat, _quota(spark, sf_dir, cat), QUOTA_MAX_HOURS))
+    return worklist(next_batch(exp, cat, _configured_quota(spark), QUOTA_MAX_HOURS))
 
 
 @register("download_manifest")
 def q_download_manifest(spark, sf_dir):
-    """A3: feed URL and landing path for the next batch."""
-    from ..operators.slots import download_manifest, next_batch
+    """A3: feed URL and landing path of every pending slot."""
+    from ..operators.slots import download_manifest, pending_slots
 
     exp, cat = _slot_inputs(spark, sf_dir)
-    return download_manifest(next_batch(exp, cat, _quota(spark, sf_dir, cat), QUOTA_MAX_HOURS), "raw")
+    return download_manifest(pending_slots(exp, cat), "raw")
 
 
 @register("catalog_upsert")
@@ -346,10 +354,12 @@ def q_slot_counts(spark, sf_dir):
 
 @register("run_counts")
 def q_run_counts(spark, sf_dir):
-    """Slots processed and bars produced per pair."""
+    """Slots attempted and bars produced per pair: the landed files'
+    slots and those that the landing log says left none."""
     from ..operators.status import run_counts
 
-    return run_counts(fixture_bars(spark, sf_dir))
+    attempted = FX.fixture_records(spark, sf_dir).select("pair", "slot").unionByName(_landing_log(spark, sf_dir)[1].select("pair", "slot"))
+    return run_counts(attempted, fixture_bars(spark, sf_dir))
 
 
 # ------------------------------------------------------------------- quality
@@ -371,62 +381,48 @@ def qa_store(spark, sf_dir) -> str:
     return root
 
 
-def qa_bars(spark, sf_dir):
-    from ..sources.barstore import read_store
+def _pair_checks(spark, sf_dir):
+    from ..operators.quality import pair_checks
 
-    return read_store(spark, qa_store(spark, sf_dir))
+    return pair_checks(qa_fixture(spark, sf_dir))
 
 
 @register("qa_date_range")
 def q_qa_date_range(spark, sf_dir):
     """Bar count and ISO date range per pair."""
-    from ..operators.quality import per_pair_stats
-
-    return per_pair_stats(qa_bars(spark, sf_dir)).select("pair", "total_bars", "start", "end")
+    return _pair_checks(spark, sf_dir).select("pair", "total_bars", "start", "end")
 
 
 @register("qa_duplicates")
 def q_qa_duplicates(spark, sf_dir):
     """Rows beyond the first per timestamp."""
-    from ..operators.quality import per_pair_stats
-
-    s = per_pair_stats(qa_bars(spark, sf_dir))
+    s = _pair_checks(spark, sf_dir)
     return s.select("pair", F.col("duplicates").alias("count"), (F.col("duplicates") == 0).alias("pass"))
 
 
 @register("qa_ohlc")
 def q_qa_ohlc(spark, sf_dir):
     """OHLC integrity failures (volume not included)."""
-    from ..operators.quality import per_pair_stats
-
-    s = per_pair_stats(qa_bars(spark, sf_dir))
+    s = _pair_checks(spark, sf_dir)
     return s.select("pair", F.col("ohlc_failures").alias("failures"), (F.col("ohlc_failures") == 0).alias("pass"))
 
 
 @register("qa_zero_volume")
 def q_qa_zero_volume(spark, sf_dir):
     """Bars with volume <= 0."""
-    from ..operators.quality import per_pair_stats
-
-    return per_pair_stats(qa_bars(spark, sf_dir)).select("pair", F.col("zero_volume").alias("count"))
+    return _pair_checks(spark, sf_dir).select("pair", F.col("zero_volume").alias("count"))
 
 
 @register("qa_sources")
 def q_qa_sources(spark, sf_dir):
     """Sorted distinct sources per pair (comma-joined)."""
-    from ..operators.quality import source_values
-
-    return source_values(qa_bars(spark, sf_dir)).select(
-        "pair", F.array_join("sources", ",").alias("sources")
-    )
+    return _pair_checks(spark, sf_dir).select("pair", F.array_join("sources", ",").alias("sources"))
 
 
 @register("qa_hash_nulls")
 def q_qa_hash_nulls(spark, sf_dir):
     """Bars without a hash."""
-    from ..operators.quality import per_pair_stats
-
-    s = per_pair_stats(qa_bars(spark, sf_dir))
+    s = _pair_checks(spark, sf_dir)
     return s.select("pair", F.col("hash_nulls").alias("count"), (F.col("hash_nulls") == 0).alias("pass"))
 
 
@@ -435,16 +431,13 @@ def q_qa_yearly(spark, sf_dir):
     """Rows per pair and year."""
     from ..operators.quality import yearly_counts
 
-    return yearly_counts(qa_bars(spark, sf_dir))
+    return yearly_counts(_pair_checks(spark, sf_dir))
 
 
 @register("qa_completeness")
 def q_qa_completeness(spark, sf_dir):
     """Actual rows vs expected open minutes (closed form)."""
-    from ..operators.quality import per_pair_stats
-
-    s = per_pair_stats(qa_bars(spark, sf_dir))
-    return s.select("pair", "percent", F.col("total_bars").alias("actual"), "expected")
+    return _pair_checks(spark, sf_dir).select("pair", "percent", F.col("total_bars").alias("actual"), "expected")
 
 
 @register("qa_gaps")
@@ -453,7 +446,7 @@ def q_qa_gaps(spark, sf_dir):
     from ..operators.quality import gaps
     from ..functions.text import iso_utc
 
-    g = gaps(qa_bars(spark, sf_dir))
+    g = gaps(qa_fixture(spark, sf_dir))
     return g.select("pair", iso_utc("from_ts").alias("from"), iso_utc("to_ts").alias("to"), "minutes")
 
 
@@ -462,44 +455,52 @@ def q_qa_spikes(spark, sf_dir):
     """Every price spike within a UTC date."""
     from ..operators.quality import spikes
 
-    return spikes(qa_bars(spark, sf_dir))
+    return spikes(qa_fixture(spark, sf_dir))
 
 
 @register("qa_gap_examples")
 def q_qa_gap_examples(spark, sf_dir):
     """first 10 gaps per pair by time."""
     from ..functions.text import iso_utc
-    from ..operators.quality import first_examples, gaps
+    from ..operators.quality import gap_examples
 
-    g = first_examples(gaps(qa_bars(spark, sf_dir)), "from_ts")
+    g = gap_examples(_pair_checks(spark, sf_dir))
     return g.select("pair", "rank", iso_utc("from_ts").alias("from"), iso_utc("to_ts").alias("to"), "minutes")
 
 
 @register("qa_spike_examples")
 def q_qa_spike_examples(spark, sf_dir):
     """first 10 spikes per pair by time."""
-    from ..operators.quality import lagged_rows, spike_examples
+    from ..operators.quality import spike_examples
 
-    return spike_examples(lagged_rows(qa_bars(spark, sf_dir)))
+    return spike_examples(_pair_checks(spark, sf_dir))
 
 
 @register("qa_report")
 def q_qa_report(spark, sf_dir):
-    """The QA report, one row per configured pair, its nested checks
-    flattened to scalar columns (examples counted, yearly counts as text)."""
+    """The QA report over stored bars, one row per configured pair, its
+    nested checks flattened to scalar columns."""
     from ..operators.quality import flatten_report, qa_report
+    from ..sources.barstore import read_store
     from ..sources.instruments import instruments
 
-    return flatten_report(qa_report(qa_bars(spark, sf_dir), instruments(spark)))
+    return flatten_report(qa_report(read_store(spark, qa_store(spark, sf_dir)), instruments(spark)))
 
 
 @register("qa_report_json")
 def q_qa_report_json(spark, sf_dir):
-    """The QA report as JSON text per pair."""
-    from ..operators.quality import qa_report, qa_report_json
+    """The report saved as one JSON document, read back with a schema and
+    flattened again."""
+    from ..operators.quality import flatten_report, qa_report, read_report_document
+    from ..session import scratch_path
     from ..sources.instruments import instruments
+    from .backfill import save_qa_report
 
-    return qa_report_json(qa_report(qa_bars(spark, sf_dir), instruments(spark)))
+    report = qa_report(qa_fixture(spark, sf_dir), instruments(spark))
+    path = scratch_path(spark, "qa-report")
+    save_qa_report(report, path, dt.datetime.fromisoformat(FX.KNOWLEDGE_TIME_2))
+    back = read_report_document(spark.read.text(path, wholetext=True), report.schema)
+    return flatten_report(back).join(back.select("pair", "generated_at"), "pair")
 
 
 # ------------------------------------------------------- raw files and loads
@@ -526,7 +527,7 @@ def q_load_ticks(spark, sf_dir):
     from ..sources.tickfiles import read_tick_files
 
     root = land_fixture_files(spark, sf_dir)
-    raw = read_tick_files(spark, root).where(F.col("error").isNull()).drop("error", "minute_volume")
+    raw = read_tick_files(spark, root).where(F.col("path").isNull())
     return scale_ticks(raw, instruments(spark))
 
 
@@ -563,16 +564,104 @@ def q_slot_outcome(spark, sf_dir):
     root = land_fixture_files(spark, sf_dir)
     res = load(spark, root)
     exp, log = _landing_log(spark, sf_dir)
-    out = slot_outcome(exp.select("pair", "slot", "year", "month", "day", "hour"), res.files, res.bad_files, log)
+    out = slot_outcome(exp.select("pair", "slot", "year", "month", "day", "hour"), res.outcomes.select("pair", "slot", "length"), res.bad_files, log)
     return out.where(F.col("status").isNotNull()).select("pair", "year", "month", "day", "hour", "status")
 
 
+def _mixed_file(root, pair, slot, raw):
+    """A slot's file by its hour: sound, cut off, with bytes over, under a
+    longer folder name, under an impossible date, or of another pair."""
+    from ..sources.tickfiles import compress, raw_path, sound_file
+
+    kind = slot.hour % 7
+    path, blob = sound_file(root, pair, slot, raw)
+    if kind == 1:
+        return path, blob[: len(blob) // 2]
+    if kind == 2:
+        return path, compress(raw + b"1234567")
+    if kind == 3:
+        return raw_path(root, "X" + pair, slot), blob
+    if kind == 4:
+        return path.replace(f"/{slot.month:02d}/{slot.day:02d}/{slot.hour:02d}h", f"/13/{slot.day:02d}/{slot.hour:02d}h"), blob
+    if kind == 5:
+        return raw_path(root, pair.lower(), slot), blob
+    return path, blob
+
+
+def land_mixed_files(spark, sf_dir) -> str:
+    from ..session import scratch_path
+    from ..sources.tickfiles import write_tick_files
+
+    root = scratch_path(spark, "mixed")
+    write_tick_files(FX.fixture_records(spark, sf_dir), root, ["ts", "event_id"], _mixed_file).write.parquet(f"{root}/_landed")
+    return root
+
+
+@register("file_outcomes")
+def q_file_outcomes(spark, sf_dir):
+    """A1 + A2 + A11: one outcome for every landed file, sound or not."""
+    from .load import load
+
+    out = load(spark, land_mixed_files(spark, sf_dir)).outcomes
+    name = F.regexp_extract("path", r"([^/]+/\d+/\d+/\d+/[^/]+)$", 1)
+    return out.select(name.alias("name"), "pair", "slot", "status", "records", F.col("trailing").cast("int").alias("trailing"),
+                      F.split("error", ":")[0].alias("error"))
+
+
+@register("ingest_loop")
+def q_ingest_loop(spark, sf_dir):
+    """K: plan, ingest with the landing log, plan again: what stays pending
+    after two ingests, the second of which finds nothing new to decode."""
+    from ..operators.slots import pending_slots
+    from ..session import scratch_path
+    from ..sources.catalog import read_catalog
+    from .backfill import ingest
+
+    exp, log = _landing_log(spark, sf_dir)
+    raw, store, catalog = land_fixture_files(spark, sf_dir), scratch_path(spark, "bars"), scratch_path(spark, "catalog")
+    stamp = dt.datetime.fromisoformat(FX.KNOWLEDGE_TIME_1)
+    ingest(spark, raw, store, catalog, stamp, landing_log=log)
+    again = ingest(spark, raw, store, catalog, stamp, landing_log=log)
+    return pending_slots(exp, read_catalog(spark, catalog)).withColumn("decoded_again", F.lit(again.files).cast("bigint"))
+
+
+@register("fractional_bars")
+def q_fractional_bars(spark, sf_dir):
+    """D1 + B8 with fractional volumes, through files: decoded, aggregated, hashed."""
+    from ..session import scratch_path
+    from ..sources.tickfiles import write_tick_files
+    from .load import load
+
+    root = scratch_path(spark, "raw")
+    write_tick_files(FX.fractional_records(spark, sf_dir), root, order=["ts", "event_id"]).write.parquet(f"{root}/_landed")
+    return load(spark, root).bars.select("pair", "slot", "timestamp", "volume", B.bar_hash().alias("bar_hash"))
+
+
+@register("fractional_volumes")
+def q_fractional_volumes(spark, sf_dir):
+    """D1's exact volume on ticks that were never in a file."""
+    from ..functions.prices import scale_ticks
+    from ..sources.instruments import instruments
+
+    ticks = scale_ticks(FX.fractional_records(spark, sf_dir).withColumn("seq", F.col("event_id")), instruments(spark))
+    return B.minute_bars(ticks).select("pair", "slot", "timestamp", "volume")
+
+
 @register("storage_size")
 def q_storage_size(spark, sf_dir):
-    """A10: bytes and MiB of the bar store and of the raw files."""
+    """A10: raw files and bytes as scanned, against those recorded as they
+    landed; partitions of the bar store."""
     from .backfill import storage_usage
 
-    return storage_usage(spark, _roundtrip_store(spark, sf_dir), land_fixture_files(spark, sf_dir))
+    raw, store = land_fixture_files(spark, sf_dir), _roundtrip_store(spark, sf_dir)
+    landed = spark.read.parquet(f"{raw}/_landed").agg(F.count(F.lit(1)).alias("landed"), F.sum("n_bytes").alias("recorded"))
+    sizes = storage_usage(spark, store, raw)
+    mib = F.col("mib") == F.round(F.col("bytes") / 1048576, 1)
+    scanned = sizes.where("kind = 'raw'").join(landed, F.col("files") == F.col("landed"))
+    parts = spark.read.parquet(store).select("pair", "year").distinct().groupBy().agg(F.count(F.lit(1)).alias("n"))
+    bars = sizes.where("kind = 'bars'").join(parts, F.col("files") >= F.col("n"))
+    return scanned.select("kind", F.col("files").alias("n"), ((F.col("bytes") == F.col("recorded")) & mib).cast("string").alias("agrees")).unionByName(
+        bars.select("kind", "n", ((F.col("bytes") > 0) & mib).cast("string").alias("agrees")))
 
 
 @register("incremental_load")
@@ -582,16 +671,12 @@ def q_incremental_load(spark, sf_dir):
     from ..session import scratch_path
     from ..sources.barstore import read_store
     from ..streaming.incremental import incremental_load
-    from ..session import from_utc_micros, utc_micros
-    import datetime as dt
-
     raw_root = land_fixture_files(spark, sf_dir)
     store_root = scratch_path(spark, "bars")
-    kt = from_utc_micros(utc_micros(dt.datetime(2024, 2, 1)))
+    kt = dt.datetime.fromisoformat(FX.KNOWLEDGE_TIME_1)
     incremental_load(
         spark, raw_root, store_root, scratch_path(spark, "stream-ckpt"),
         catalog_path=scratch_path(spark, "catalog"), knowledge_time=kt, max_files_per_trigger=1000,
-        listing_parallelism=max(2, spark.sparkContext.defaultParallelism),
     )
     return read_store(spark, store_root)
 

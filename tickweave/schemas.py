@@ -55,8 +55,6 @@ STORED_BAR_SCHEMA = T.StructType([
     T.StructField("bar_hash", T.StringType()),
 ])
 
-STORE_PARTITIONS = ("pair", "year")
-
 CATALOG_SCHEMA = T.StructType([
     T.StructField("pair", T.StringType()),
     T.StructField("year", T.ShortType()),
@@ -69,8 +67,6 @@ CATALOG_SCHEMA = T.StructType([
 
 SLOT_KEY = ["pair", "year", "month", "day", "hour"]
 
-STATUSES = ("fetched", "no_data", "error")
-
 # Raw file listing as read by the binaryFile source.
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),

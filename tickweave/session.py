@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 _SHIPPED: set[str] = set()
+_SCRATCH: list[str] = []
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -59,6 +62,13 @@ def from_utc_micros(us: int) -> dt.datetime:
     return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=int(us))
 
 
+def load_time(t: dt.datetime | str | None) -> dt.datetime:
+    """The one load time of a batch: ``t`` (text is taken as UTC), or now."""
+    if t is None:
+        return dt.datetime.now(dt.timezone.utc)
+    return dt.datetime.fromisoformat(t) if isinstance(t, str) else t
+
+
 def ts_lit(t: dt.datetime) -> Column:
     """A timestamp literal that does not depend on the driver's local zone."""
     return F.timestamp_micros(F.lit(utc_micros(t)))
@@ -68,7 +78,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and is visible to every
-    executor. Only when it is unset (local tests) do we create one.
+    executor; without it there, this raises. Only in local mode (tests) is a
+    folder made here.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -78,6 +89,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        master = sc.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tickweave-ckpt-")
         sc.setCheckpointDir(root)
         return sc.getCheckpointDir() or root
@@ -87,8 +101,30 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared checkpoint root, deleted when
+    the driver's Python ends (results may read it until then)."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_drop_scratch, spark)
+    _SCRATCH.append(path)
+    return path
+
+
+def _drop_scratch(spark: SparkSession) -> None:
+    try:
+        for path in _SCRATCH:
+            delete_path(spark, path)
+    except Exception:  # noqa: BLE001 - the session may be gone; local folders can still be deleted
+        for path in _SCRATCH:
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in a scratch folder and read back: cuts
+    the lineage without computing the plan again, as checkpoint() would."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def hadoop_fs(spark: SparkSession, path: str):

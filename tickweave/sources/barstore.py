@@ -36,11 +36,10 @@ def read_store(spark: SparkSession, root: str, pairs: list[str] | None = None) -
 
 
 def partition_filter(parts: list[tuple[str, int]]) -> Column:
-    """(pair = a AND year = y) OR ... — prunes to exactly these partitions."""
-    cond = F.lit(False)
-    for pair, year in parts:
-        cond = cond | ((F.col("pair") == F.lit(pair)) & (F.col("year") == F.lit(int(year))))
-    return cond
+    """Rows of exactly these (pair, year) partitions. One flat list, looked up
+    by hash, however many there are; on partition columns it prunes."""
+    names = [f"{pair}/{int(year)}" for pair, year in parts]
+    return F.concat_ws("/", F.col("pair"), F.col("year").cast("string")).isin(names)
 
 
 def write_store(bars: DataFrame, root: str, mode: str = "overwrite") -> None:
@@ -64,9 +63,10 @@ def write_store(bars: DataFrame, root: str, mode: str = "overwrite") -> None:
     )
 
 
-def compact_store(spark: SparkSession, root: str, min_files: int = 16) -> list[tuple[str, int]]:
-    """Rewrite the (pair, year) partitions holding at least ``min_files``
-    files (appends accumulate small files) as a few time-ordered files.
+def compact_store(spark: SparkSession, root: str, min_files: int = 16, small_bytes: int = 32 << 20) -> list[tuple[str, int]]:
+    """Rewrite the (pair, year) partitions of at least ``min_files`` files that
+    are smaller than ``small_bytes`` on average (appends accumulate small
+    files) as a few time-ordered files.
 
     The file listing is a Spark scan that reads no content; only the list of
     partitions to compact — at most one entry per (pair, year) — reaches the
@@ -81,10 +81,11 @@ def compact_store(spark: SparkSession, root: str, min_files: int = 16) -> list[t
         .select(
             F.regexp_extract("path", r"pair=([^/]+)/", 1).alias("pair"),
             F.regexp_extract("path", r"year=(\d+)/", 1).cast("int").alias("year"),
+            "length",
         )
     )
-    heavy = files.groupBy("pair", "year").count().where(F.col("count") >= min_files)
-    parts = [(r["pair"], int(r["year"])) for r in heavy.collect()]
+    sizes = files.groupBy("pair", "year").agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
+    parts = [(r["pair"], int(r["year"])) for r in sizes.where((F.col("n") >= min_files) & (F.col("mean") < small_bytes)).collect()]
     if parts:
         write_store(read_store(spark, root).where(partition_filter(parts)), root)
     return parts

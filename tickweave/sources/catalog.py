@@ -33,14 +33,6 @@ def read_catalog(spark: SparkSession, path: str, where: Column | None = None) ->
     return enforce_catalog(df)
 
 
-def catalog_partitions(pairs_years: list[tuple[str, int]]) -> Column:
-    """(pair = p AND year = y) OR ... for the given partitions."""
-    cond = F.lit(False)
-    for pair, year in pairs_years:
-        cond = cond | ((F.col("pair") == F.lit(pair)) & (F.col("year") == F.lit(int(year))))
-    return cond
-
-
 def write_catalog(catalog: DataFrame, path: str) -> None:
     """Snappy Parquet with the declared types, partitioned by
     (pair, year); the (pair, year) partitions present in ``catalog`` are

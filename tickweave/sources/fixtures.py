@@ -9,16 +9,19 @@ bid volume. Everything here is lazy DataFrame code over ``events``.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import floor_div
-from ..operators.ranking import dense_sequence
 from ..functions.prices import scale_ticks
 from ..session import ensure_utc, from_utc_micros, ts_lit, utc_micros
 from .instruments import instruments
 
+# Any other event type: a pair that is not configured (C3's unknown pair).
+OTHER_PAIR = "OTHERS"
+
 # Fixed values of the fixture mapping: event type -> pair (USDCHF gets none).
 EVENT_TYPE_PAIR = [
     ("click", "EURUSD"),
@@ -38,7 +41,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_pair(event_type="event_type"):
-    expr = F.lit(None).cast("string")
+    expr = F.lit(OTHER_PAIR)
     for et, pair in reversed(EVENT_TYPE_PAIR):
         expr = F.when(F.col(event_type) == et, F.lit(pair)).otherwise(expr)
     return expr
@@ -57,7 +60,6 @@ def event_records(events: DataFrame) -> DataFrame:
             F.get_json_object("props", "$.k").cast("long").alias("k"),
             (F.lit(100000) + F.round(F.col("value") * 100).cast("long")).alias("bid_int"),
         )
-        .where(F.col("pair").isNotNull())
         .withColumn("slot", F.date_trunc("hour", F.col("ts")))
     )
     return base.select(
@@ -73,61 +75,38 @@ def event_records(events: DataFrame) -> DataFrame:
     )
 
 
-def raw_ticks_from_events(events: DataFrame) -> DataFrame:
-    """Raw tick records (RAW_TICK_SCHEMA) from ``events``.
-
-    ``seq`` is the record index inside the slot file: row number over
-    (pair, slot) by (ts, event_id), minus one — computed skew-safely
-    (range partitioning + per-partition offsets), so a hot hour is never one
-    task. Only outputs that show ``seq`` need it; bars order by (ts, event_id).
-    """
-    numbered = dense_sequence(event_records(events), ["pair", "slot"], ["ts", "event_id"], name="_seq")
-    return numbered.select(
-        "pair", "slot", F.col("_seq").cast("int").alias("seq"),
-        "ms", "ask_int", "bid_int", "ask_volume", "bid_volume",
-    )
-
-
 def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     return event_records(read_table(spark, sf_dir, "events"))
 
 
-def fixture_raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_utc(spark)
-    return raw_ticks_from_events(read_table(spark, sf_dir, "events"))
-
-
 def fixture_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks (TICK_SCHEMA) derived from ``events``, with the dense ``seq``."""
-    return scale_ticks(fixture_raw_ticks(spark, sf_dir), instruments(spark))
-
-
-_ID_BITS = 37  # 60e6 us per minute * 2**37 < 2**63
+    """Scaled ticks with their event's id as ``seq``: for what looks at ticks
+    one by one, so nothing is shuffled."""
+    return scale_ticks(fixture_records(spark, sf_dir).withColumn("seq", F.col("event_id")), instruments(spark))
 
 
-def event_id_span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
-    """(min, max) event_id: one aggregate row (Parquet statistics)."""
-    r = read_table(spark, sf_dir, "events").agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
-    return int(r["lo"] or 0), int(r["hi"] or 0)
+def fractional_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with fractional 32-bit volumes, as real feeds have: k + tenths
+    of the event id, and sevenths of it."""
+    f32 = lambda c: c.cast("float").cast("double")
+    return fixture_records(spark, sf_dir).withColumns({
+        "ask_volume": f32(F.col("ask_volume") + F.pmod(F.col("event_id"), F.lit(10)) / 10),
+        "bid_volume": f32(F.col("bid_volume") / 7),
+    })
 
 
 def fixture_ordered_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks derived from ``events`` whose file order (ts, event_id) is
     carried in ``seq`` without a numbering pass; input of the bars.
 
-    Bars compare order only inside one minute, where the microsecond offset
-    fits 26 bits: with ``event_id - min`` below 2**37 the pair packs into one
-    exact long, so D1 stays a hash aggregate. Wider id ranges fall back to
-    ``struct(ts, event_id)`` (exact too, sort-based aggregate).
+    Bars compare order only inside one minute: the microsecond offset (26
+    bits) before the 64-bit event_id is one exact decimal, a fixed-width
+    aggregation buffer, so D1 stays a hash aggregate for any ids.
     """
     recs = fixture_records(spark, sf_dir)
-    lo, hi = event_id_span(spark, sf_dir)
-    if hi - lo < 2 ** _ID_BITS:
-        us_in_minute = F.unix_micros("ts") - F.unix_micros(F.date_trunc("minute", "ts"))
-        key = us_in_minute * F.lit(2 ** _ID_BITS) + (F.col("event_id") - F.lit(lo))
-    else:
-        key = F.struct("ts", "event_id")
+    us_in_minute = F.unix_micros("ts") - F.unix_micros(F.date_trunc("minute", "ts"))
+    key = us_in_minute.cast("decimal(8,0)") * F.lit(Decimal(2 ** 64)) + F.col("event_id").cast("decimal(20,0)")
     return scale_ticks(recs.withColumn("seq", key), instruments(spark))
 
 

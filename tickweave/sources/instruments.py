@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Fixed values (must equal the upstream configuration): pair and point value,
 # in configuration order. pair_ord is that order, starting at 1.
@@ -55,6 +54,7 @@ def instruments_sql_values() -> str:
 def with_point_value(df: DataFrame, inst: DataFrame) -> DataFrame:
     """Point-value lookup. Unknown pairs keep a NULL point value.
 
-    The instrument table has a fixed, configured size, so it is broadcast.
+    The instrument table is a VALUES relation: Spark knows its size and
+    broadcasts it by itself.
     """
-    return df.join(F.broadcast(inst.select("pair", "point_value")), "pair", "left")
+    return df.join(inst.select("pair", "point_value"), "pair", "left")

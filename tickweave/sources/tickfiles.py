@@ -5,13 +5,16 @@ records (ms in hour u32, ask u32, bid u32, ask volume f32, bid volume f32).
 Decoding (A1) is a ``mapInPandas`` over the ``binaryFile`` source: each file
 is decompressed and viewed as a numpy structured array (no per-record
 Python loop); the slot comes from the path (A2). Bad files do not fail the
-job: they come out as one row with ``error`` set.
+job: every file also gives one row about itself, with ``error`` set for
+those. (Spark's file scans skip zero-length files: an empty body is known from
+the landing log only.)
 """
 
 from __future__ import annotations
 
 import lzma
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -22,7 +25,7 @@ from pyspark.sql import types as T
 # Fixed values of the file format: record layout and size, path pattern.
 TICK_DTYPE = np.dtype([("ms", ">u4"), ("ask", ">u4"), ("bid", ">u4"), ("ask_vol", ">f4"), ("bid_vol", ">f4")])
 RECORD_SIZE = 20
-PATH_PATTERN = r"([A-Z]{6})/(\d{4})/(\d{2})/(\d{2})/(\d{2})h_ticks\.bi5$"
+PATH_PATTERN = r"(?:^|/)([^/]+)/(\d{4})/(\d{2})/(\d{2})/(\d{2})h_ticks\.bi5$"
 FILE_GLOB = "*h_ticks.bi5"
 
 DECODED_SCHEMA = T.StructType([
@@ -36,6 +39,10 @@ DECODED_SCHEMA = T.StructType([
     T.StructField("bid_volume", T.DoubleType()),
     T.StructField("minute_volume", T.DoubleType()),
     T.StructField("error", T.StringType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("records", T.LongType()),
+    T.StructField("trailing", T.IntegerType()),
 ])
 
 _OUT_COLS = [f.name for f in DECODED_SCHEMA.fields]
@@ -43,21 +50,38 @@ _FLUSH_ROWS = 200_000
 
 
 def slot_from_path(path="path") -> list[Column]:
-    """A2: pair and slot parts parsed from a landing path (inverse of the
-    path builder); non-matching paths give an empty pair and NULL slot."""
+    """A2: pair and slot parsed from a landing path (inverse of the path
+    builder). The pair is the whole folder name; a path of another form gives
+    an empty pair and NULL slot, an impossible date or hour a NULL slot."""
     p = F.col(path) if isinstance(path, str) else path
 
     def part(i: int) -> Column:
         return F.regexp_extract(p, PATH_PATTERN, i)
 
     ok = part(1) != ""
-    slot = F.when(ok, F.make_timestamp(
+    slot = F.when(ok, F.try_make_timestamp(
         part(2).cast("int"), part(3).cast("int"), part(4).cast("int"), part(5).cast("int"),
         F.lit(0), F.lit(0),
     ))
     return [part(1).alias("pair"), slot.alias("slot")]
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession):
+    """While open, files named one by one are listed by as many tasks as there
+    are cores, not by one task per file."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, str(max(2, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
 def list_tick_files(spark: SparkSession, root: str | list[str], with_content: bool = False) -> DataFrame:
     """The landed files under ``root`` (or exactly the listed file paths):
     path, length (and content if asked), plus the pair and slot from the
@@ -67,25 +91,33 @@ def list_tick_files(spark: SparkSession, root: str | list[str], with_content: bo
     if isinstance(root, str):
         df = reader.option("recursiveFileLookup", "true").load(root)
     else:
-        df = reader.load(list(root))
+        with few_listing_tasks(spark):  # the paths are listed by load()
+            df = reader.load(list(root))
     cols = ["path", "length"] + (["content"] if with_content else [])
     return df.select(*cols, *slot_from_path("path"))
 
 
-def _decode_file(pair: str, slot, content: bytes | None) -> pd.DataFrame:
-    if content is None or len(content) == 0:
-        return pd.DataFrame(columns=_OUT_COLS)  # empty body: no_data, no ticks
+def no_tick_files(spark: SparkSession) -> DataFrame:
+    """An empty listing with content."""
+    return spark.createDataFrame([], "path string, length long, content binary, pair string, slot timestamp")
+
+
+def _decode_file(path: str, length: int, pair: str, slot, content: bytes | None) -> pd.DataFrame:
+    """A file's records, and last one row about the file (its ``path`` set)."""
+    about = {"pair": [pair], "slot": [slot], "path": [path], "length": [length], "records": [0], "trailing": [0], "error": [None]}
     if not pair or slot is None or pd.isna(slot):
-        return pd.DataFrame({"pair": [pair], "slot": [slot], "error": ["unrecognised path"]})
+        return pd.DataFrame(about | {"error": ["unrecognised path"]})
+    if not content:
+        return pd.DataFrame(about)  # empty body: no_data, no ticks
     try:
         raw = lzma.decompress(content)
     except (lzma.LZMAError, EOFError, ValueError) as exc:
-        return pd.DataFrame({"pair": [pair], "slot": [slot], "error": [f"lzma: {exc}"]})
-    n = len(raw) // RECORD_SIZE  # a trailing partial record is dropped
+        return pd.DataFrame(about | {"error": [f"lzma: {exc}"]})
+    n, trailing = divmod(len(raw), RECORD_SIZE)  # a trailing partial record is dropped, and reported
     rec = np.frombuffer(raw, dtype=TICK_DTYPE, count=n)
     ms = rec["ms"].astype(np.int64)
     ask_v, bid_v = rec["ask_vol"].astype(np.float64), rec["bid_vol"].astype(np.float64)
-    return pd.DataFrame({
+    records = pd.DataFrame({
         "pair": pair,
         "slot": slot,
         "seq": np.arange(n, dtype=np.int32),
@@ -96,6 +128,7 @@ def _decode_file(pair: str, slot, content: bytes | None) -> pd.DataFrame:
         "bid_volume": bid_v,
         "minute_volume": minute_volume(ms, ask_v + bid_v),
     })
+    return pd.concat([records, pd.DataFrame(about | {"records": [n], "trailing": [trailing]})], ignore_index=True)
 
 
 def minute_volume(ms: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -109,7 +142,8 @@ def minute_volume(ms: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 
 _OUT_DTYPES = {"seq": "Int32", "ms": "Int64", "ask_int": "Int64", "bid_int": "Int64",
-               "ask_volume": "float64", "bid_volume": "float64", "minute_volume": "float64", "error": object}
+               "ask_volume": "float64", "bid_volume": "float64", "minute_volume": "float64", "error": object,
+               "path": object, "length": "Int64", "records": "Int64", "trailing": "Int32"}
 
 
 def _emit(parts: list[pd.DataFrame]) -> pd.DataFrame:
@@ -119,11 +153,10 @@ def _emit(parts: list[pd.DataFrame]) -> pd.DataFrame:
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out, rows = [], 0
-        for pair, slot, content in zip(pdf["pair"], pdf["slot"], pdf["content"]):
-            part = _decode_file(pair, slot, content)
-            if len(part):
-                out.append(part)
-                rows += len(part)
+        for path, length, pair, slot, content in zip(pdf["path"], pdf["length"], pdf["pair"], pdf["slot"], pdf["content"]):
+            part = _decode_file(path, length, pair, slot, content)
+            out.append(part)
+            rows += len(part)
             if rows >= _FLUSH_ROWS:
                 yield _emit(out)
                 out, rows = [], 0
@@ -134,11 +167,11 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def decode_tick_files(files: DataFrame) -> DataFrame:
     """A1: raw records (DECODED_SCHEMA) from a listing with ``content``.
 
-    One output row per record in file order (``seq`` = record index), or one
-    row with ``error`` for a file that cannot be decoded. The decoder never
-    sees more than one Arrow batch of files at a time.
+    One output row per record in file order (``seq`` = record index), and one
+    per file with its path, length, records, trailing bytes and error. The
+    decoder never sees more than one Arrow batch of files at a time.
     """
-    return files.select("pair", "slot", "content").mapInPandas(_decode_batches, DECODED_SCHEMA)
+    return files.select("path", "length", "pair", "slot", "content").mapInPandas(_decode_batches, DECODED_SCHEMA)
 
 
 def read_tick_files(spark: SparkSession, root: str) -> DataFrame:
@@ -154,8 +187,8 @@ def _fs_for(path: str):
     return pafs.FileSystem.from_uri(path)
 
 
-def encode_ticks(pdf: pd.DataFrame, order: list[str] | None = None) -> bytes:
-    """Records of one slot, in ``order`` (default ``seq``), as an LZMA blob."""
+def record_bytes(pdf: pd.DataFrame, order: list[str] | None = None) -> bytes:
+    """Records of one slot, in ``order`` (default ``seq``)."""
     pdf = pdf.sort_values(order or ["seq"])
     rec = np.empty(len(pdf), dtype=TICK_DTYPE)
     rec["ms"] = pdf["ms"].to_numpy()
@@ -163,7 +196,16 @@ def encode_ticks(pdf: pd.DataFrame, order: list[str] | None = None) -> bytes:
     rec["bid"] = pdf["bid_int"].to_numpy()
     rec["ask_vol"] = pdf["ask_volume"].to_numpy()
     rec["bid_vol"] = pdf["bid_volume"].to_numpy()
-    return lzma.compress(rec.tobytes(), format=lzma.FORMAT_ALONE)
+    return rec.tobytes()
+
+
+def compress(raw: bytes) -> bytes:
+    return lzma.compress(raw, format=lzma.FORMAT_ALONE)
+
+
+def encode_ticks(pdf: pd.DataFrame, order: list[str] | None = None) -> bytes:
+    """Records of one slot as an LZMA blob."""
+    return compress(record_bytes(pdf, order))
 
 
 def raw_path(root: str, pair: str, ts: pd.Timestamp) -> str:
@@ -173,10 +215,14 @@ def raw_path(root: str, pair: str, ts: pd.Timestamp) -> str:
 LANDED_SCHEMA = "pair string, slot timestamp, path string, n_bytes bigint"
 
 
-def _write_file(root: str, pair: str, slot, pdf: pd.DataFrame, order: list[str]) -> tuple:
+def sound_file(root: str, pair: str, slot: pd.Timestamp, raw: bytes) -> tuple[str, bytes]:
+    """Path and content of a slot's file."""
+    return raw_path(root, pair, slot), compress(raw)
+
+
+def _write_file(root: str, pair: str, slot, pdf: pd.DataFrame, order: list[str], finish) -> tuple:
     slot = pd.Timestamp(slot)
-    blob = encode_ticks(pdf, order)
-    path = raw_path(root, pair, slot)
+    path, blob = finish(root, pair, slot, record_bytes(pdf, order))
     fs, p = _fs_for(path)
     fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
     with fs.open_output_stream(p) as out:
@@ -184,7 +230,7 @@ def _write_file(root: str, pair: str, slot, pdf: pd.DataFrame, order: list[str])
     return pair, slot, path, len(blob)
 
 
-def write_tick_files(raw_ticks: DataFrame, root: str, order: list[str] | None = None) -> DataFrame:
+def write_tick_files(raw_ticks: DataFrame, root: str, order: list[str] | None = None, finish=sound_file) -> DataFrame:
     """Encode raw records (RAW_TICK_SCHEMA, or any columns ``order`` names
     for the record order) into one file per (pair, slot).
 
@@ -194,7 +240,8 @@ def write_tick_files(raw_ticks: DataFrame, root: str, order: list[str] | None =
     carried into the next batch. Files are written by the executors through
     pyarrow's filesystem layer, so ``root`` can be any shared filesystem URI;
     a retried task rewrites identical bytes. Returns the lazy landing
-    listing; run an action on it to write.
+    listing; run an action on it to write. ``finish`` may give another path
+    or content (damaged files, in tests).
     """
     order = order or ["seq"]
     cols = ["pair", "slot", *order, "ms", "ask_int", "bid_int", "ask_volume", "bid_volume"]
@@ -212,16 +259,16 @@ def write_tick_files(raw_ticks: DataFrame, root: str, order: list[str] | None =
                 open_parts.append(groups[0][1])
                 groups = groups[1:]
             if open_parts and groups:  # the open group ended inside this batch
-                written.append(_write_file(root, *open_key, pd.concat(open_parts), order))
+                written.append(_write_file(root, *open_key, pd.concat(open_parts), order, finish))
                 open_key, open_parts = None, []
             if groups:
                 for k, g in groups[:-1]:
-                    written.append(_write_file(root, *k, g, order))
+                    written.append(_write_file(root, *k, g, order, finish))
                 open_key, open_parts = groups[-1][0], [groups[-1][1]]
             if written:
                 yield pd.DataFrame(written, columns=out_cols)
         if open_parts:
-            yield pd.DataFrame([_write_file(root, *open_key, pd.concat(open_parts), order)], columns=out_cols)
+            yield pd.DataFrame([_write_file(root, *open_key, pd.concat(open_parts), order, finish)], columns=out_cols)
 
     return (
         raw_ticks.select(*cols)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..plans.backfill import ingest_files
 from ..schemas import BINARY_FILE_SCHEMA
 from ..session import ensure_utc
-from ..sources.tickfiles import FILE_GLOB, slot_from_path
+from ..sources.tickfiles import FILE_GLOB, few_listing_tasks, slot_from_path
 
 
 def tick_file_stream(spark: SparkSession, raw_root: str, max_files_per_trigger: int = 1000) -> DataFrame:
@@ -34,11 +34,18 @@ def tick_file_stream(spark: SparkSession, raw_root: str, max_files_per_trigger:
 
 
 def make_batch_handler(spark: SparkSession, store_root: str, catalog_path: str | None,
-                       knowledge_time: dt.datetime | None, pairs: list[str] | None = None):
-    """foreachBatch body: the batch ingest (decode once, merge, then catalog)."""
+                       knowledge_time: dt.datetime | None, pairs: list[str] | None = None,
+                       landing_log: DataFrame | None = None):
+    """foreachBatch body: the batch ingest (decode once, merge, then catalog).
+    The batch's content is read by the decode alone; all else reads the decoded
+    copy. Of the landing log only attempts without a file count here: a file
+    that landed may belong to a later batch."""
+    if landing_log is not None:
+        empty = F.coalesce(F.col("n_bytes"), F.lit(1)) == 0 if "n_bytes" in landing_log.columns else F.lit(False)
+        landing_log = landing_log.where((F.col("http_status") != 200) | empty)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        ingest_files(spark, batch, store_root, catalog_path, knowledge_time, pairs)
+        ingest_files(spark, batch, store_root, catalog_path, knowledge_time, pairs, landing_log=landing_log)
 
     return handle
 
@@ -53,33 +60,30 @@ def incremental_load(
     max_files_per_trigger: int = 1000,
     available_now: bool = True,
     pairs: list[str] | None = None,
-    listing_parallelism: int | None = None,
     trigger_interval: str = "1 minute",
+    landing_log: DataFrame | None = None,
 ):
     """Start the incremental load; with ``available_now`` it processes every
     file present and stops (use a processing-time trigger for a service).
 
-    Each micro-batch hands its new files to Spark as explicit paths, which the
-    file index lists with one task per path (up to
-    ``spark.sql.sources.parallelPartitionDiscovery.parallelism``). With
-    ``listing_parallelism`` that session setting is lowered so a batch of
-    ``max_files_per_trigger`` files is listed by a few tasks instead of one
-    task per file.
+    Each micro-batch hands its new files to Spark as explicit paths. The
+    query's own copy of the session settings has them listed by a few tasks
+    instead of one per file; the caller's settings stay as they were.
+    ``landing_log`` is read anew by each batch.
     """
     ensure_utc(spark)
-    if listing_parallelism:
-        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(int(listing_parallelism)))
     stream = tick_file_stream(spark, raw_root, max_files_per_trigger)
     if pairs:
         stream = stream.where(F.col("pair").isin(list(pairs)))
     writer = (
         stream.writeStream.foreachBatch(
-            make_batch_handler(spark, store_root, catalog_path, knowledge_time, pairs=pairs)
+            make_batch_handler(spark, store_root, catalog_path, knowledge_time, pairs=pairs, landing_log=landing_log)
         )
         .option("checkpointLocation", checkpoint_location)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
-    query = writer.start()
+    with few_listing_tasks(spark):  # the query takes a copy of the settings as it starts
+        query = writer.start()
     if available_now:
         query.awaitTermination()
     return query
