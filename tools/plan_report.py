@@ -45,7 +45,7 @@ def main(argv: list[str]) -> None:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     from tickweave.operators.bars import minute_bars
     from tickweave.operators.quality import qa_report
-    from tickweave.plans.load import bars_and_errors
+    from tickweave.plans.load import bars_and_outcomes
     from tickweave.plans.registry import land_fixture_files, qa_store
     from tickweave.session import local_session
     from tickweave.sources import fixtures as FX
@@ -60,7 +60,7 @@ def main(argv: list[str]) -> None:
     start, as_of = FX.fixture_range(spark, sf_dir)
     cat = FX.fixture_catalog(spark, sf_dir)
     plans = {
-        "load (decode + 1-minute bars, A1 + D1)": bars_and_errors(
+        "load (decode + 1-minute bars, A1 + D1)": bars_and_outcomes(
             list_tick_files(spark, raw, with_content=True), instruments(spark)),
         "minute_bars over the events fixture (D1)": minute_bars(FX.fixture_ordered_ticks(spark, sf_dir)),
         "QA report over the stored bars (D14)": qa_report(read_store(spark, store), instruments(spark)),
