@@ -155,4 +155,4 @@ def digests(formatted: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
     masks = F.filter("spans", lambda s: s["loss_start"].isNotNull())
-    return formatted.withColumn("back", back("formatted", masks)).select("conv_id", "back.*", "rewritten_at")
+    return formatted.withColumn("back", back("formatted", masks)).select("conv_id", "back.*", F.col("rewritten_at").isNotNull().alias("rewrites_history"))

@@ -98,7 +98,7 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text", carry: list
     out = rows.join(verdicts, "host", "left")
     return out.select(
         *[F.col("row").getField(c).alias(c) for c in carry], *COUNTS,
-        "base_failed", F.col("shrunk_rate").alias("host_rate"), kept.alias("kept"))
+        "base_failed", F.round("shrunk_rate", 9).alias("host_rate"), kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:

@@ -91,3 +91,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 ORACLE: dict[str, str] = {}
+
+ORACLE["op5_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+win AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3),
+seen AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM win),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM seen WHERE n > 1) GROUP BY doc_id),
+c AS (
+  SELECT d.doc_id, d.source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id
+),
+j AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM c),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS k FROM j WHERE source IS NOT NULL GROUP BY source),
+m AS (SELECT sum(k) / sum(n) AS mean FROM h),
+v AS (SELECT any_value(mean) AS mean, sum(n * pow(k / n - mean, 2)) / sum(n) AS spread FROM h, m),
+p AS (
+  SELECT mean, least(greatest(CASE WHEN spread > 0 THEN mean * (1 - mean) / spread - 1 ELSE {quality_rules.PRIOR_WEIGHT[1]} END,
+                              {quality_rules.PRIOR_WEIGHT[0]}), {quality_rules.PRIOR_WEIGHT[1]}) AS weight FROM v
+),
+r AS (SELECT source, (k + mean * weight) / (n + weight) AS rate FROM h, p)
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words,
+       base_failed, round(rate, 9) AS host_rate, NOT base_failed AND NOT coalesce(rate >= {quality_rules.MAX_HOST_RATE}, FALSE) AS kept
+FROM j LEFT JOIN r ON r.source = j.source
+"""
+
+ORACLE["op6_exact_dedup"] = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, CAST(count(*) AS BIGINT) AS group_size FROM n GROUP BY t)
+SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256 FROM n JOIN g ON g.t = n.t
+"""
+
+ORACLE["op10_chat_format"] = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{FORGED}' UNION ALL SELECT -1, 1, 'assistant', '{FORGED}'
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({len(chat_format.START) + len(chat_format.END) + 2} + length(role) + length(text)
+                + len(regexp_extract_all(text, '<\\*\|'))) AS BIGINT) AS formatted_chars,
+       FALSE AS rewrites_history
+FROM c GROUP BY conv_id
+"""
