@@ -654,14 +654,15 @@ def q_storage_size(spark, sf_dir):
     from .backfill import storage_usage
 
     raw, store = land_fixture_files(spark, sf_dir), _roundtrip_store(spark, sf_dir)
-    landed = spark.read.parquet(f"{raw}/_landed").agg(F.count(F.lit(1)).alias("landed"), F.sum("n_bytes").alias("recorded"))
-    sizes = storage_usage(spark, store, raw)
+    landed = spark.read.parquet(f"{raw}/_landed").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("recorded"))
+    parts = spark.read.parquet(store).select("pair", "year").distinct().agg(F.count(F.lit(1)).alias("n"))
+    known = landed.select(F.lit("raw").alias("kind"), "n", "recorded").unionByName(
+        parts.select(F.lit("bars").alias("kind"), "n", F.lit(None).cast("bigint").alias("recorded")))
+    raw_ok = (F.col("files") == F.col("n")) & (F.col("bytes") == F.col("recorded"))
+    bars_ok = (F.col("files") >= F.col("n")) & (F.col("bytes") > 0)  # a partition may hold several files
     mib = F.col("mib") == F.round(F.col("bytes") / 1048576, 1)
-    scanned = sizes.where("kind = 'raw'").join(landed, F.col("files") == F.col("landed"))
-    parts = spark.read.parquet(store).select("pair", "year").distinct().groupBy().agg(F.count(F.lit(1)).alias("n"))
-    bars = sizes.where("kind = 'bars'").join(parts, F.col("files") >= F.col("n"))
-    return scanned.select("kind", F.col("files").alias("n"), ((F.col("bytes") == F.col("recorded")) & mib).cast("string").alias("agrees")).unionByName(
-        bars.select("kind", "n", ((F.col("bytes") > 0) & mib).cast("string").alias("agrees")))
+    agrees = F.when(F.col("kind") == "raw", raw_ok).otherwise(bars_ok) & mib
+    return storage_usage(spark, store, raw).join(known, "kind").select("kind", "n", agrees.cast("string").alias("agrees"))
 
 
 @register("incremental_load")
