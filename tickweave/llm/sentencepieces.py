@@ -21,12 +21,15 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm.common import text_of
-from tickweave.llm.wordtable import WordTable
+from tickweave.llm.wordtable import Ids, WordTable, from_lists
 
 MARK = "▁"
 CHUNK = re.compile(" *[^ ]+| +")
@@ -50,18 +53,30 @@ def check_model(path: str) -> None:
         raise ValueError(f"chunks of this model cannot be segmented apart: {crossing[:5]}")
 
 
-def split_chunks(text: str) -> list[str]:
+def split_chunks(texts: pa.Array) -> pa.ListArray:
     """Chunks with a space for each marker; the first has the one put in front."""
-    return CHUNK.findall(" " + text.replace(MARK, " ")) if text else []
+    texts = pc.replace_substring(texts, MARK, " ")
+    if pc.any(pc.or_(pc.starts_with(texts, " "), pc.match_substring(texts, "  "))).as_py():
+        return pa.array([CHUNK.findall(" " + t) if t else [] for t in texts.to_pylist()], pa.list_(pa.string()))
+    texts = pc.if_else(pc.equal(texts, ""), pa.scalar(None, pa.string()), texts)
+    return _marked(pc.split_pattern(texts, " "))  # one marker each
+
+
+def _marked(lists: pa.ListArray) -> pa.ListArray:
+    """The words with a space in front; nulls become empty lists."""
+    words = pc.binary_join_element_wise(pa.scalar(""), lists.flatten(), " ")
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), words)
 
 
 def chunk_encoder(processor):
-    """Ids of each chunk; the library puts one marker in front itself."""
+    """Ids of chunks; the library puts one marker in front itself."""
     lone = [processor.piece_to_id(MARK)]
 
-    def encode(chunks: list[str]) -> list[list[int]]:
+    def encode(chunks: pa.Array) -> Ids:
+        chunks = chunks.to_pylist()
         ids = processor.encode([c[1:] for c in chunks], num_threads=1)
-        return [lone if c == " " else x for c, x in zip(chunks, ids)]
+        return from_lists([lone if c == " " else x for c, x in zip(chunks, ids)])
 
     return encode
 
@@ -74,7 +89,7 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("body"))
 
 
-def _encoded(bodies: list[str], table: WordTable, end: int) -> Iterator[list[int]]:
+def _encoded(bodies: pa.Array, table: WordTable, end: int) -> Iterator[list[int]]:
     for ids in table.texts(bodies, split_chunks):
         out = ids.tolist()
         out.append(end)
@@ -83,8 +98,6 @@ def _encoded(bodies: list[str], table: WordTable, end: int) -> Iterator[list[int
 
 def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id, ids): every text's ids and the end id."""
-    import pyarrow as pa
-
     path = model_path(path)
     check_model(path)
 
@@ -94,7 +107,7 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
         p = sentencepiece.SentencePieceProcessor(model_file=path)
         table = WordTable(chunk_encoder(p))
         for b in batches:
-            ids = pa.array(list(_encoded(b.column("body").to_pylist(), table, p.eos_id())), pa.list_(pa.int32()))
+            ids = pa.array(list(_encoded(b.column("body"), table, p.eos_id())), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids], ["doc_id", "ids"])
 
     return _rows(docs, doc_id, text).mapInArrow(run, f"doc_id {_id_type(docs, doc_id)}, ids array<int>")
@@ -117,8 +130,6 @@ def decode(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFr
 
 def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode and decode in one pass."""
-    import pyarrow as pa
-
     path = model_path(path)
     check_model(path)
 
@@ -130,7 +141,7 @@ def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for b in batches:
             n, own, back = [], [], []
-            for ids in _encoded(b.column("body").to_pylist(), table, end):
+            for ids in _encoded(b.column("body"), table, end):
                 n.append(len(ids))
                 own.append(sha(" ".join([digits[i] for i in ids])))
                 back.append(sha(p.decode(ids)))
