@@ -4,6 +4,7 @@ import re
 import zlib
 
 import brute
+import pyarrow as pa
 import pytest
 from fixtures import awkward, awkward_texts, empty
 
@@ -55,7 +56,8 @@ def test_chunks_alone_give_the_same_ids(library):
     alphabet = [" ", " ", "  ", "a", "the", "ing", "é", "\n", "\t", "▁", "\U0001f600", "\x00", "<s>", "</s>", "<0x41>", "Ω", ".", "42", "́", "ﬁ"]
     for _ in range(3000):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 25)))
-        assert [i for x in encode(sentencepieces.split_chunks(text)) for i in x] == library.encode(text), repr(text)
+        chunks = sentencepieces.split_chunks(pa.array([text])).flatten()
+        assert encode(chunks)[0].tolist() == library.encode(text), repr(text)
 
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -160,11 +162,13 @@ def test_language_awkward(spark):
     assert {r["lang_pred"] for r in language_id.predict(df, language_id.learn(empty(spark))).collect()} == {"und"}
 
 
-def test_forward_backward_against_all_paths():
+@pytest.mark.parametrize("stretch", [1, 2, 3, 64])
+def test_forward_backward_against_all_paths(monkeypatch, stretch):
     import itertools
 
     import numpy as np
 
+    monkeypatch.setattr(language_id, "STRETCH", stretch)
     rng = np.random.default_rng(3)
     sizes = np.array([3, 1, 5, 0, 2])
     score, trans, first = rng.normal(size=(11, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
@@ -191,7 +195,7 @@ def test_words_of_switched_texts_get_their_own_language(spark, docs):
     rows = docs.filter("lang in ('en', 'de') and length(text) > 400").collect()
     en, de = (next(r["text"] for r in rows if r["lang"] == k and "|" not in r["text"]) for k in ("en", "de"))
     a, b = language_id.words_of(en)[:40], language_id.words_of(de)[:40]
-    _, prob, _ = language_id.label(model, [" ".join(a + b)])
+    _, prob = language_id.label(language_id.Scorer(model), [" ".join(a + b)])
     best = [model.langs[k] for k in prob.argmax(1)]
     assert best[:40].count("en") >= 35 and best[40:].count("de") >= 35
 

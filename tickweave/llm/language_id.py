@@ -1,17 +1,17 @@
 """Language of words and texts by a linear-chain conditional random field.
 
-The words of a text are a chain with one label, a language, each. A word's
+The words of a line are a chain with one label, a language, each. A word's
 score for a language sums hashed character n-grams (those at its ends are its
 affixes) and its share in a lexicon; learned transitions join neighbours.
 Forward-backward gives every word's probabilities; the text's language is the
 one with the largest share of its words, the share is the score.
 
-The lexicon counts the words of all texts learned from, by language; its
-``LEXICON`` most frequent words are broadcast. The field is fitted on the driver
+The lexicon counts the words of all texts learned from, by language; its most
+frequent words, at most ``LEXICON``, are broadcast. The field is fitted on the driver
 on at most ``TRAIN_DOCS`` labelled texts a language, of ``TRAIN_CHARS``
 characters at most, chosen by a hash of their ids. Prediction reads whole texts
-without a shuffle: each distinct word of a batch is scored once, and the chains
-of a batch step forward together.
+without a shuffle: each distinct word of a task is scored once, and the chains
+of a block of texts step forward together.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0, as is everything if no language can be learned. Ties go to the language
@@ -21,12 +21,12 @@ the empty text in the fold). An empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,13 +37,15 @@ LEXICON = 20_000
 TRAIN_DOCS = 200
 TRAIN_CHARS = 20_000
 BUCKETS = 1 << 15
-GRAMS = (1, 2, 3, 4)
+GRAMS = (2, 3)
 ROUNDS = 30
 #: Distinct (word, language) counts that a task holds before it passes them on.
-HELD = 200_000
-#: Characters of text whose words are scored together.
+HELD = 500_000
+#: Characters of text whose words are scored together, and distinct words whose scores a task keeps.
 BLOCK = 4_000_000
-WORD = re.compile(r"[^\W\d_]+")
+KEPT = 600_000
+#: Words of a chain that are stepped through one after the other.
+STRETCH = 256
 BEGIN, STOP = "\x02", "\x03"
 
 
@@ -51,38 +53,86 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
+class Words:
+    """The letter words of texts, lower-cased, as codes into the distinct ones,
+    cut into chains: the lines of each text."""
+
+    def __init__(self, texts: list[str]):
+        low = pc.utf8_lower(pa.array(texts, pa.string()))
+        lines = pc.replace_substring(pc.replace_substring_regex(low, r"[^\p{L}\n]+", " "), "\n", " \n ")
+        lists = pc.split_pattern(lines, " ")
+        coded = lists.flatten().dictionary_encode()
+        code, self.distinct = coded.indices.to_numpy(), coded.dictionary
+        line_end, nothing = (pc.index(self.distinct, x).as_py() for x in ("\n", ""))
+        begins = lists.offsets.to_numpy()
+        starts = code == line_end
+        starts[begins[:-1][begins[:-1] < len(code)]] = True
+        word = (code != line_end) & (code != nothing)
+        sizes = np.bincount(np.cumsum(starts)[word]) if len(code) else np.zeros(0, dtype=np.int64)
+        #: code of each word, words of each chain, words of each text
+        self.code, self.sizes = code[word], sizes[sizes > 0]
+        ends = np.concatenate(([0], np.cumsum(word)))[begins]
+        self.by_text = ends[1:] - ends[:-1]
+
+
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    w = Words([text])
+    return w.distinct.take(pa.array(w.code)).to_pylist()
 
 
-def has_letter(word: str) -> bool:
-    return any(map(str.isalpha, word))
+def blocks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """The texts in blocks of about BLOCK characters, each with its first position."""
+    first, size = 0, 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size >= BLOCK or k == len(texts) - 1:
+            yield first, texts[first : k + 1]
+            first, size = k + 1, 0
 
 
 def lexicon(rows: DataFrame, size: int = LEXICON) -> pd.DataFrame:
     """The most frequent words of ``rows`` (body, lang) with their counts by language."""
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter[tuple[str, str]] = Counter()
-
-        def out() -> pd.DataFrame:
-            frame = pd.DataFrame([(w, lang, n) for (w, lang), n in held.items()], columns=["word", "lang", "n"])
-            held.clear()
-            return frame
-
-        for frame in frames:
-            for text, lang in zip(frame["body"], frame["lang"]):
-                for word, n in Counter(words_of(text)).items():
-                    held[word, lang] += n
-                if len(held) > HELD:
-                    yield out()
-        yield out()
-
-    counts = rows.mapInPandas(count, "word string, lang string, n long")
+    kinds = pa.schema([("word", pa.string()), ("lang", pa.string()), ("n", pa.int64())])
+
+    def count(batches):
+        held: list[pa.Table] = []
+
+        def merged() -> pa.Table:
+            return pa.concat_tables(held).group_by(["word", "lang"]).aggregate([("n", "sum")]).rename_columns(["word", "lang", "n"]).cast(kinds)
+
+        for b in batches:
+            langs = b.column("lang").to_pylist()
+            bodies = b.column("body").to_pylist()
+            for lang in sorted(set(langs)):
+                for _, texts in blocks([t for t, x in zip(bodies, langs) if x == lang]):
+                    w = Words(texts)
+                    n = np.bincount(w.code, minlength=len(w.distinct))
+                    there = pa.array(n > 0)
+                    words = w.distinct.filter(there)
+                    held.append(pa.table([words, pa.array([lang] * len(words), pa.string()), pa.array(n[n > 0], pa.int64())], schema=kinds))
+            if sum(map(len, held)) > HELD:
+                held = [merged()]
+                if len(held[0]) > HELD:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from merged().to_batches()
+
+    counts = rows.mapInArrow(count, "word string, lang string, n long")
     by_word = counts.groupBy("word", "lang").agg(F.sum("n").alias("n"))
     by_word, _ = written(by_word, "lexicon")
-    top = by_word.groupBy("word").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "word").limit(size)
-    return by_word.join(top.select("word"), "word").toPandas()  # at most ``size`` words
+    totals = by_word.groupBy("word").agg(F.sum("n").alias("total"))
+    # from how many occurrences on are there at most ``size`` words: by steps of an eighth of a doubling
+    step = F.floor(8 * F.log2("total")).cast("int")
+    least, words = None, 0
+    for r in sorted(totals.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["step"]):  # at most 504 rows
+        words += r["n"]
+        if words > size:
+            break
+        least = r["step"]
+    if least is None:
+        return by_word.limit(0).toPandas()
+    top = totals.filter(step >= least).select("word")
+    return by_word.join(top, "word", "left_semi").toPandas()  # at most ``size`` words
 
 
 def gram_ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -135,52 +185,92 @@ class Model:
         return out + self.shares_of(words) @ self.lex
 
 
+def _unit(a: np.ndarray) -> np.ndarray:
+    return a / a.sum(axis=-1, keepdims=True)
+
+
 def forward_backward(score: np.ndarray, sizes: np.ndarray, trans: np.ndarray, first: np.ndarray, pairs: bool = False):
-    """Word probabilities of chains laid end to end, log-likelihoods' normalisers,
-    and expected transitions if asked for. Chains step together, longest first."""
-    order = np.argsort(-sizes, kind="stable")
-    size = sizes[order]
-    start = (np.cumsum(sizes) - sizes)[order]
+    """Word probabilities of chains laid end to end, the sum of their log
+    normalisers, and expected transitions if asked for.
+
+    Chains are cut into stretches of STRETCH words that step together. What a
+    stretch does to the probabilities before it is a small matrix; multiplied
+    along each chain, these give every stretch its exact start and end, so the
+    steps do not grow with the longest chain."""
+    sizes = sizes[sizes > 0]
+    k = score.shape[1]
+    if not len(sizes):
+        return np.zeros((0, k)), 0.0, np.zeros((k, k))
     top = score.max(axis=1, keepdims=True)
-    e, m = np.exp(score - top), np.exp(trans)
-    alpha, scale = np.empty_like(e), np.empty(len(e))
-    longest = int(size[0]) if len(size) else 0
-    live = np.searchsorted(-size, -np.arange(longest), side="left")  # chains longer than t
-    for t in range(longest):
-        at = start[: live[t]] + t
-        a = np.exp(first - first.max()) * e[at] if t == 0 else (alpha[at - 1] @ m) * e[at]
+    e, m, f = np.exp(score - top), np.exp(trans), np.exp(first - first.max())
+    begins = np.cumsum(sizes) - sizes
+    parts = -(-sizes // STRETCH)
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    start = np.repeat(begins, parts) + nth * STRETCH
+    size = np.minimum(STRETCH, np.repeat(begins + sizes, parts) - start)
+
+    def together(of: np.ndarray):
+        """Those stretches longest first, and how many have a step t."""
+        order = of[np.argsort(-size[of], kind="stable")]
+        longest = int(size[order[0]]) if len(order) else 0
+        return order, np.searchsorted(-size[order], -np.arange(longest), side="left")
+
+    before, after = np.ones((len(start), k)), np.ones((len(start), k))  # probabilities entering, weights leaving
+    long = np.flatnonzero(np.repeat(parts, parts) > 1)
+    if len(long):
+        effect = np.repeat(np.eye(k)[None], len(start), axis=0)
+        order, live = together(long)
+        for t in range(len(live)):
+            s, at = order[: live[t]], start[order[: live[t]]] + t
+            step = effect[s] @ m * e[at][:, None, :]
+            if t == 0:  # a chain's first word has no word before it
+                step[nth[s] == 0] = np.eye(k) * (f * e[at[nth[s] == 0]])[:, None, :]
+            effect[s] = step / step.sum(axis=(1, 2), keepdims=True)
+        for j in range(1, int(parts.max())):
+            s = long[nth[long] == j]
+            before[s] = _unit((before[s - 1][:, None, :] @ effect[s - 1])[:, 0])
+        for j in range(int(parts.max()) - 1, 0, -1):
+            s = long[nth[long] == j]
+            w = (effect[s] @ after[s][:, :, None])[:, :, 0]
+            after[s - 1] = w / (before[s] * w).sum(1, keepdims=True)
+    alpha, scale, beta = np.empty_like(e), np.empty(len(e)), np.empty_like(e)
+    order, live = together(np.arange(len(start)))
+    opening = nth[order] == 0
+    for t in range(len(live)):
+        at = start[order[: live[t]]] + t
+        if t:
+            a = alpha[at - 1] @ m * e[at]
+        else:
+            a = np.where(opening[:, None], f, before[order] @ m) * e[at]
         s = a.sum(1)
         alpha[at], scale[at] = a / s[:, None], s
-    beta = np.ones_like(e)
+    ends = start + size - 1
+    beta[ends] = after
+    beta[ends] /= (alpha[ends] * beta[ends]).sum(1, keepdims=True)
+    for t in range(len(live) - 2, -1, -1):
+        at = start[order[: live[t + 1]]] + t
+        beta[at] = (e[at + 1] * beta[at + 1] / scale[at + 1][:, None]) @ m.T
     expected = np.zeros_like(m)
-    for t in range(longest - 2, -1, -1):
-        at = start[: live[t + 1]] + t
-        b = e[at + 1] * beta[at + 1] / scale[at + 1][:, None]
-        if pairs:
-            expected += m * (alpha[at].T @ b)
-        beta[at] = b @ m.T
-    norm = (np.log(scale) + top[:, 0]).sum() + first.max() * np.count_nonzero(size)
-    return alpha * beta, norm, expected
+    if pairs:
+        inner = np.ones(len(e), dtype=bool)
+        inner[begins] = False
+        at = np.flatnonzero(inner)
+        expected = m * (alpha[at - 1].T @ (e[at] * beta[at] / scale[at][:, None]))
+    return alpha * beta, np.log(scale).sum() + top.sum() + first.max() * len(sizes), expected
 
 
 def fit(rows: list[tuple[str, str]], langs: list[str], counts: pd.DataFrame, rounds: int = ROUNDS) -> Model:
     """Maximum likelihood with a quadratic penalty by adaptive gradient steps;
     a chain is a line of a text, its labels the text's language."""
     model, k = Model(langs, counts), len(langs)
-    index: dict[str, int] = {}
-    chains, labels = [], []
-    for text, lang in rows:
-        for line in text.split("\n"):
-            if words := [w for w in words_of(line) if has_letter(w)]:
-                chains.append([index.setdefault(w, len(index)) for w in words])
-                labels.append(langs.index(lang))
-    if not chains or k < 2:
+    words = Words([text for text, _ in rows])
+    if not len(words.code) or k < 2:
         return model
-    sizes = np.array([len(c) for c in chains])
-    word = np.array([w for c in chains for w in c])
-    label = np.repeat(labels, sizes)
+    used, word = np.unique(words.code, return_inverse=True)
+    distinct = words.distinct.take(pa.array(used)).to_pylist()
+    label = np.repeat([langs.index(lang) for _, lang in rows], words.by_text)
+    sizes = words.sizes
     begins = np.cumsum(sizes) - sizes
-    distinct = list(index)
     bucket, owner = gram_ids(distinct)
     shares = model.shares_of(distinct)
     gold = np.zeros((len(word), k))
@@ -219,24 +309,31 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     return fit(found, langs, counts)
 
 
-def label(model: Model, texts: list[str]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
-    """The words of each text, and all words' probabilities with the texts' sizes."""
-    chains = [words_of(t) for t in texts]
-    index: dict[str, int] = {}
-    for c in chains:
-        for w in c:
-            if w not in index:
-                index[w] = len(index)
-    if odd := {w for w in index if not has_letter(w)}:
-        return label_chains(model, [[w for w in c if w not in odd] for c in chains], index)
-    return label_chains(model, chains, index)
+class Scorer:
+    """Scores each distinct word of a task once (up to KEPT)."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.words = pa.array([], pa.string())
+        self.scores = np.zeros((0, len(model.langs)))
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        if len(self.words) > KEPT:
+            self.__init__(self.model)
+        at = pc.index_in(words, value_set=self.words)
+        if at.null_count:
+            new = words.filter(at.is_null())
+            at = pc.replace_with_mask(at, at.is_null(), pa.array(np.arange(len(self.words), len(self.words) + len(new), dtype=np.int32)))
+            self.words = pa.concat_arrays([self.words, new])
+            self.scores = np.concatenate([self.scores, self.model.scores(new.to_pylist())])
+        return self.scores[at.to_numpy()]
 
 
-def label_chains(model: Model, chains: list[list[str]], index: dict[str, int]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
-    sizes = np.fromiter(map(len, chains), dtype=np.int64, count=len(chains))
-    at = np.fromiter((index[w] for c in chains for w in c), dtype=np.int64, count=int(sizes.sum()))
-    prob, _, _ = forward_backward(model.scores(list(index))[at], sizes, model.trans, model.first)
-    return chains, prob, sizes
+def label(scorer: Scorer, texts: list[str]) -> tuple[Words, np.ndarray]:
+    """The words of the texts and each one's probabilities."""
+    words = Words(texts)
+    prob, _, _ = forward_backward(scorer.of(words.distinct)[words.code], words.sizes, scorer.model.trans, scorer.model.first)
+    return words, prob
 
 
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -248,30 +345,26 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
 
     @F.pandas_udf("lang_pred string, score double, n_words long, n_switches long")
     def run(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = sent.value
+        scorer = Scorer(sent.value)
         for texts in frames:
-            out, block, size = [], [], 0
-            for k, t in enumerate(texts.tolist()):
-                block.append(t)
-                size += len(t)
-                if size >= BLOCK or k == len(texts) - 1:
-                    out += summed(m, block)
-                    block, size = [], 0
-            yield pd.DataFrame(out, columns=["lang_pred", "score", "n_words", "n_switches"])
+            parts = [summed(scorer, block) for _, block in blocks(texts.tolist())]
+            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"lang_pred": [], "score": [], "n_words": [], "n_switches": []})
 
     return docs.select(F.col(doc_id).alias("doc_id"), run(text_of(text)).alias("x")).select("doc_id", "x.*")
 
 
-def summed(model: Model, texts: list[str]) -> list[tuple[str, float, int, int]]:
-    _, prob, sizes = label(model, texts)
-    out, at = [], 0
-    best = prob.argmax(1) if len(prob) else np.zeros(0, dtype=int)
-    for n in sizes.tolist():
-        if not n:
-            out.append(("und", 0.0, 0, 0))
-            continue
-        share = prob[at : at + n].mean(0)
-        top = int(share.argmax())
-        out.append((model.langs[top], float(min(1.0, share[top])), n, int((best[at + 1 : at + n] != best[at : at + n - 1]).sum())))
-        at += n
-    return out
+def summed(scorer: Scorer, texts: list[str]) -> pd.DataFrame:
+    """Language, score, words and changes of language of each text."""
+    words, prob = label(scorer, texts)
+    n, langs = words.by_text, np.array([*scorer.model.langs, "und"], dtype=object)
+    some = n > 0
+    top, score, switches = np.full(len(n), len(langs) - 1), np.zeros(len(n)), np.zeros(len(n), dtype=np.int64)
+    if some.any():
+        begins = (np.cumsum(n) - n)[some]
+        share = np.add.reduceat(prob, begins, axis=0) / n[some][:, None]
+        top[some], score[some] = share.argmax(1), np.minimum(share.max(1), 1.0)
+        best = prob.argmax(1)
+        change = np.concatenate(([False], best[1:] != best[:-1]))
+        change[begins] = False
+        switches[some] = np.add.reduceat(change.astype(np.int64), begins)
+    return pd.DataFrame({"lang_pred": langs[top], "score": score, "n_words": n.astype(np.int64), "n_switches": switches})
