@@ -5,7 +5,7 @@ Three labelers vote yes, no or nothing on each: the pattern's own checks, a
 gazetteer (endings, prefixes, names) and the words around. How often each
 combination of votes occurs, counted over all documents, is all that
 expectation-maximisation needs to estimate how reliable each labeler is for
-each kind. The resulting probabilities label a sample of at most
+each kind. The resulting probabilities label a sample of about
 ``TRAIN_SPANS`` spans, on which a logistic span classifier is trained; it then
 decides on every candidate beyond the base ones, which always stay.
 
@@ -34,8 +34,9 @@ from tickweave.llm.common import text_of, written
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn", "name")
 NO, YES, NONE = 0, 1, 2
-#: Spans that the classifier is trained on at most.
+#: Spans that the classifier is trained on: about so many, or all if there are fewer.
 TRAIN_SPANS = 20_000
+SHARES = 1 << 40
 FEATURES = 1 << 12
 ACCEPT = 0.9
 ROUNDS = 60
@@ -237,8 +238,11 @@ def fit(found: DataFrame) -> np.ndarray:
     each = found.select("doc_id", F.explode("spans").alias("s"))
     counts = {(r["kind"], r["votes"]): r["n"] for r in each.groupBy("s.kind", "s.votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     truth = reliabilities(counts)
-    order = F.xxhash64(F.col("doc_id").cast("string"), "s.start", "s.kind")
-    sample = each.select("s.kind", "s.votes", "s.features", order.alias("order"), F.col("s.start").alias("start")).orderBy("order", "start").limit(TRAIN_SPANS).collect()
+    total = sum(counts.values())
+    order = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "s.start", "s.kind"), F.lit(SHARES))
+    share = SHARES * TRAIN_SPANS // max(total, TRAIN_SPANS)  # about TRAIN_SPANS of them, told by a hash
+    sample = each.withColumn("order", order).filter(F.col("order") < share).select("order", "s.kind", "s.votes", "s.features").collect()
+    sample = sorted(sample, key=lambda r: (r["order"], r["kind"], r["votes"], r["features"]))
     return train([list(r["features"]) for r in sample], np.array([truth[r["kind"], r["votes"]] for r in sample]))
 
 
