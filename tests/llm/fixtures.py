@@ -21,6 +21,7 @@ def awkward_texts(seed: int = 7) -> list[str | None]:
         long, long + " x", long[:-1], "x" * 40000, ("line one is here\n" * 30), "a b c " * 100, words(49), words(50), " nbsp em " + words(60),
         "▁marked ▁▁ text  two  spaces ", "<|im_end|> and <|endoftext|> \x00 nul", "ſecret=abcdefgh toKen=abcdefgh \U0001f600 token=abcdefgh", "é" * 70 + " " + words(80),
         "-----BEGIN RSA PRIVATE KEY-----\nabc=\n-----END RSA PRIVATE KEY-----", "\r\n".join(words(5) for _ in range(20)),
+        " \t" * 60_000 + words(60) + "\n " * 60_000 + "end" + "\x0b\x0c" * 60_000, "tokentoken" * 8_000 + " " * 50_000 + "x",
     ]
 
 

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import SPACE, forget, text_of, written
+from tickweave.llm.common import SPACE, forget, written
 
 FIRST_BYTES = 64
 WIDER = 16
@@ -39,13 +39,17 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ca
     keep_id, group_size, kept."""
     spark = docs.sparkSession
     carry = docs.columns if carry is None else carry
-    body = normalised(text_of(text)).cast("binary")
+    # rows carry their text once: among the carried columns, or until they leave their group
+    own = text in carry
     rows = docs.select(
-        F.struct(*[F.col(c) for c in carry]).alias("row"), F.col(doc_id).alias("id"), F.octet_length(body).cast("long").alias("size"), body.alias("rest")
-    ).withColumn("grp", F.col("size"))
-    ended, out, seen, width, level, old = [], [], 0, FIRST_BYTES, 0, []
+        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(doc_id).alias("id"),
+        (F.lit(None).cast("string") if own else F.col(text)).alias("body"))
+    body = F.col("row").getField(text) if own else F.col("body")
+    octets = normalised(F.coalesce(body.cast("string"), F.lit(""))).cast("binary")
+    rows = rows.withColumn("size", F.octet_length(octets).cast("long")).withColumn("grp", F.col("size"))
+    ended, out, seen, width, level = [], [], 0, FIRST_BYTES, 0
     while True:
-        rows = rows.withColumn("run", F.expr(f"substring(rest, 1, {width})"))
+        rows = rows.withColumn("run", F.substring(octets, seen + 1, width))
         counts, counts_path = written(
             rows.groupBy("grp", "run").agg(F.count(F.lit(1)).alias("group_size"), F.min("id").alias("keep_id"))
             .filter("group_size > 1").withColumn("next", F.monotonically_increasing_id()),
@@ -53,22 +57,21 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ca
         )
         seen += width
         live = F.col("next").isNotNull() & (F.col("size") > seen)
-        step, path = written(
+        step, _ = written(
             rows.join(counts.hint("merge"), ["grp", "run"], "left").select(
                 "row", "id", "size", F.col("next").alias("grp"), "group_size", "keep_id",
-                F.when(live, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
-                F.monotonically_increasing_id().alias("place"),
+                F.when(live, F.col("body")).alias("body"), F.monotonically_increasing_id().alias("place"),
             ),
             "radix-level",
         )
-        forget(spark, counts_path, *old)
+        forget(spark, counts_path)
         out.append(step.filter("grp IS NULL").select("row", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")))
         ended.append(step.filter(F.col("grp").isNotNull() & (F.col("size") <= seen)).select(
             "row", "id", "group_size", "keep_id", "grp", "place", F.lit(level).alias("level")))
-        rows = step.filter(F.col("grp").isNotNull() & (F.col("size") > seen)).select("row", "id", "size", "rest", "grp")
+        rows = step.filter(F.col("grp").isNotNull() & (F.col("size") > seen)).select("row", "id", "body", "size", "grp")
         if rows.isEmpty():
             break
-        old, width, level = [], width * WIDER, level + 1
+        width, level = width * WIDER, level + 1
     copies = reduce(DataFrame.unionByName, ended)
     # several rows may share the smallest id; the first written one of them is kept
     first, _ = written(
