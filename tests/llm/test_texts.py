@@ -200,5 +200,21 @@ def test_words_of_switched_texts_get_their_own_language(spark, docs):
     assert best[:40].count("en") >= 35 and best[40:].count("de") >= 35
 
 
+def test_a_text_is_one_chain_however_its_lines_are_cut(spark, docs):
+    import numpy as np
+
+    model = language_id.learn(docs)
+    assert np.abs(model.trans).max() > 0.1
+    rows = docs.filter("lang in ('en', 'de') and length(text) > 400").collect()
+    words = [w for k in ("en", "de") for w in language_id.words_of(next(r["text"] for r in rows if r["lang"] == k and "|" not in r["text"]))[:20]]
+    (_, one), (_, cut) = (language_id.label(language_id.Scorer(model), [between.join(words)]) for between in (" ", "\n"))
+    assert np.allclose(one, cut)
+
+
+def test_grams_from_single_letters_to_affixes_of_three():
+    _, owner = language_id.gram_ids(["abcd", "e"])
+    assert [(owner == k).sum() for k in (0, 1)] == [6 + 5 + 4 + 3, 3 + 2 + 1]
+
+
 def test_fixture_has_what_it_should():
     assert None in awkward_texts() and "" in awkward_texts()

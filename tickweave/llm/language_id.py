@@ -1,6 +1,7 @@
 """Language of words and texts by a linear-chain conditional random field.
 
-The words of a line are a chain with one label, a language, each. A word's
+The words of a text are a chain with one label, a language, each; the chains
+learned from are the lines of labelled texts. A word's
 score for a language sums hashed character n-grams (those at its ends are its
 affixes) and its share in a lexicon; learned transitions join neighbours.
 Forward-backward gives every word's probabilities; the text's language is the
@@ -37,7 +38,7 @@ LEXICON = 20_000
 TRAIN_DOCS = 200
 TRAIN_CHARS = 20_000
 BUCKETS = 1 << 15
-GRAMS = (2, 3)
+GRAMS = (1, 2, 3, 4)
 ROUNDS = 30
 #: Distinct (word, language) counts that a task holds before it passes them on.
 HELD = 500_000
@@ -55,7 +56,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 class Words:
     """The letter words of texts, lower-cased, as codes into the distinct ones,
-    cut into chains: the lines of each text."""
+    with how many there are in each line and each text."""
 
     def __init__(self, texts: list[str]):
         low = pc.utf8_lower(pa.array(texts, pa.string()))
@@ -69,7 +70,7 @@ class Words:
         starts[begins[:-1][begins[:-1] < len(code)]] = True
         word = (code != line_end) & (code != nothing)
         sizes = np.bincount(np.cumsum(starts)[word]) if len(code) else np.zeros(0, dtype=np.int64)
-        #: code of each word, words of each chain, words of each text
+        #: code of each word, words of each line, words of each text
         self.code, self.sizes = code[word], sizes[sizes > 0]
         ends = np.concatenate(([0], np.cumsum(word)))[begins]
         self.by_text = ends[1:] - ends[:-1]
@@ -332,7 +333,7 @@ class Scorer:
 def label(scorer: Scorer, texts: list[str]) -> tuple[Words, np.ndarray]:
     """The words of the texts and each one's probabilities."""
     words = Words(texts)
-    prob, _, _ = forward_backward(scorer.of(words.distinct)[words.code], words.sizes, scorer.model.trans, scorer.model.first)
+    prob, _, _ = forward_backward(scorer.of(words.distinct)[words.code], words.by_text, scorer.model.trans, scorer.model.first)
     return words, prob
 
 
