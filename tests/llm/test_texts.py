@@ -124,6 +124,27 @@ def test_labelers_are_weighed_and_the_classifier_adds_spans(spark):
     assert all(any(s["base"] and s["kind"] == 0 for s in spans) for spans in got.values())
 
 
+def test_adjacent_number_fields_keep_their_own_spans(spark):
+    loose = lambda t: {(k, t[a:b]) for a, k, b in pii.loose_spans(t, pii.base_spans(t))}
+    assert (5, "123-45-6789") in loose("SSN 123-45-6789 1990-01-02")
+    assert {(5, "123-45-6789"), (3, "415-555-0132")} <= loose("123-45-6789 415-555-0132")
+    assert (3, "415-555-0132") in loose("call 415-555-0132 2024")
+    assert (5, "123-45-6789") in loose("id 10023 123-45-6789")
+    assert loose("tel +1 (988) 555-2485") == set()
+    body = next(x for n in range(10**11, 10**11 + 10_000) for x in [f"BE{98 - int(f'{n}111400') % 97:02d}{n}"] if luhn(x[2:]))
+    iban = " ".join(body[k : k + 4] for k in range(0, 16, 4))
+    assert [k for _, k, _ in pii.base_spans(iban)] == [2] and (4, iban) in loose(iban) and pii._by_pattern(4, iban, False) == pii.YES
+    rows = [(i, f"SSN {100 + i}-45-{1000 + i} 1990-01-02 call 415-{200 + i}-{1000 + i} 2024") for i in range(400)]
+    got = {r["doc_id"]: {(s["kind"], s["start"], s["end"]) for s in r["spans"]} for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum({(5, 4, 15), (3, 32, 44)} <= spans for spans in got.values()) >= 390
+
+
+def test_overlaps_are_resolved_last_by_score():
+    start, end, base = [0, 0, 5, 20, 22], [12, 6, 30, 25, 24], [False, False, False, True, False]
+    assert pii.resolved([0.96, 0.95, 0.97, 0.1, 0.99], start, end, base) == [0.96, None, None, 0.1, 0.99]
+    assert pii.resolved([0.5, 0.95, 0.89, 0.1, 0.99], start, end, base) == [None, 0.95, None, 0.1, 0.99]
+
+
 def test_reliabilities_recover_a_known_mixture():
     import random
 

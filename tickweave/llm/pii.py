@@ -7,7 +7,9 @@ combination of votes occurs, counted over all documents, is all that
 expectation-maximisation needs to estimate how reliable each labeler is for
 each kind. The resulting probabilities label a sample of about
 ``TRAIN_SPANS`` spans, on which a logistic span classifier is trained; it then
-decides on every candidate beyond the base ones, which always stay.
+decides on every candidate beyond the base ones, which always stay. Candidates
+may overlap; where accepted ones do, those of higher score stay, beside any base
+spans (a loose candidate within a base span of its own kind is that span).
 
 Texts are read once and never shuffled: what later steps need of a document is
 its candidates. Vote counts are at most kinds times 27 rows; the classifier has
@@ -22,7 +24,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -109,17 +112,34 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Candidates that overlap no base span and no earlier candidate."""
-    taken = sorted((a, b) for a, _, b in base)
+    """All candidates that are not within a base span of their own kind."""
     found = [(m.start(), kind, m.end()) for kind, pattern in LOOSE for m in pattern.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in CARD.finditer(text) if 13 <= len(_digits(m[0])) <= 19]
-    out, k, last = [], 0, 0
+    same: dict[int, tuple[list[int], list[int]]] = {}
+    for a, kind, b in base:
+        starts, ends = same.setdefault(kind, ([], []))
+        starts.append(a)
+        ends.append(b)
+    out = []
     for a, kind, b in sorted(found):
-        while k < len(taken) and taken[k][1] <= a:
-            k += 1
-        if a >= last and (k == len(taken) or taken[k][0] >= b):
+        starts, ends = same.get(kind, ((), ()))
+        if not (k := bisect_right(starts, a)) or ends[k - 1] < b:
             out.append((a, kind, b))
-            last = b
+    return out
+
+
+def resolved(score: Sequence[float], start: Sequence[int], end: Sequence[int], base: Sequence[bool]) -> list[float | None]:
+    """The scores of the spans that stay, None for the others: base spans, and
+    the accepted ones that overlap no accepted one of higher score."""
+    out: list[float | None] = [float(x) if b else None for x, b in zip(score, base)]
+    starts: list[int] = []
+    ends: list[int] = []
+    for k in sorted((k for k, b in enumerate(base) if not b and score[k] >= ACCEPT), key=lambda k: (-score[k], start[k], k)):
+        at = bisect_left(starts, start[k])
+        if (at == 0 or ends[at - 1] <= start[k]) and (at == len(starts) or starts[at] >= end[k]):
+            starts.insert(at, start[k])
+            ends.insert(at, end[k])
+            out[k] = float(score[k])
     return out
 
 
@@ -253,10 +273,12 @@ def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     weights = found.sparkSession.sparkContext.broadcast(fit(found))
 
     @F.pandas_udf("array<double>")
-    def score(features: pd.Series) -> pd.Series:
+    def score(features: pd.Series, start: pd.Series, end: pd.Series, base: pd.Series) -> pd.Series:
         w = weights.value
-        return pd.Series([[float(1 / (1 + np.exp(-np.clip(w[np.asarray(f, dtype=int)].sum() + w[-1], -30, 30)))) for f in fs] for fs in features], dtype=object)
+        scores = ([float(1 / (1 + np.exp(-np.clip(w[np.asarray(f, dtype=int)].sum() + w[-1], -30, 30)))) for f in fs] for fs in features)
+        return pd.Series([resolved(*x) for x in zip(scores, start, end, base)], dtype=object)
 
-    scored = found.withColumn("score", score(F.transform("spans", lambda s: s["features"])))
+    part = lambda name: F.transform("spans", lambda s: s[name])
+    scored = found.withColumn("score", score(part("features"), part("start"), part("end"), part("base")))
     whole = F.transform("spans", lambda s, k: F.struct(s["start"], s["kind"], s["end"], s["base"], F.get("score", k).alias("score")))
-    return scored.select("doc_id", F.sort_array(F.filter(whole, lambda s: s["base"] | (s["score"] >= ACCEPT))).alias("spans"))
+    return scored.select("doc_id", F.sort_array(F.filter(whole, lambda s: s["score"].isNotNull())).alias("spans"))
