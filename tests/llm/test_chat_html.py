@@ -105,6 +105,24 @@ PAGES = [
 ]
 
 
+FORMULA = "<math><semantics><mrow><mi>y</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation encoding='application/x-tex'>y=\\frac12</annotation></semantics></math>"
+MORE_PAGES = [
+    (f"<p>so {FORMULA}.", "so y= 1 2 ."),
+    (f"so <span class=katex><span class=katex-mathml>{FORMULA}</span><span class=katex-html aria-hidden='true'>y=21</span></span>!", "so y= 1 2 !"),
+    ("a <svg width='9'><title>t</title><defs/><style>x{}</style><path d='M0'/>no<text x=1>10</text><g><text>2<tspan>0</tspan></text></g></svg> b", "a 10 20 b"),
+    ("<svg><foreignObject><p>in</p></foreignObject><symbol><text>no</text></symbol></svg><text>out</text>", "in\n\nout"),
+    ("<svg/>a<math/>b", "ab"),
+    ("<p>a<xmp>  <b>x</b> &amp;\n y</xmp>c", "a\n\n  <b>x</b> &amp;\n y\n\nc"),
+]
+
+
+def test_formulas_drawings_and_xmp_are_visible():
+    for page, text in MORE_PAGES:
+        assert html_text.visible_text(page) == text, page
+    assert html_text.visible_text("<svg>" * 20_000 + "<text>x") == "x"
+    assert html_text.visible_text("<math><mfrac>" * 20_000 + "x") == "x"
+
+
 def test_pages():
     for page, text in PAGES:
         assert html_text.visible_text(page) == text, page

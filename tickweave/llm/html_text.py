@@ -4,7 +4,12 @@ Each page's tags build a tree with implied end tags; the tree is then rendered:
 hidden elements give nothing, blocks stand on lines of their own (headings and
 paragraphs with a blank line between), list items get their mark and depth, the
 cells of a table are padded to its columns, preformatted text keeps its white
-space. Both steps use explicit stacks and read the page once, so deep or broken
+space. Of a drawing the text elements and embedded HTML are read (not what only
+``use`` would show), of a formula its MathML, without annotations and with its
+parts (numerator, exponent) set apart by a space. Where a formula stands twice,
+as MathML and as a rendered copy under ``aria-hidden``, the MathML is the one
+kept: what has ``aria-hidden`` gives nothing, nor do the options of ``select``.
+Both steps use explicit stacks and read the page once, so deep or broken
 pages are no special case.
 
 Defined results: null and empty pages give the empty text. An unclosed comment,
@@ -30,12 +35,21 @@ SPACES = re.compile(r"[ \t\n\r\f]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript iframe object svg math datalist noembed noframes audio video canvas select title".split())
+HIDDEN = frozenset("""head script style template noscript iframe object datalist noembed noframes audio video canvas select title
+    annotation annotation-xml mphantom""".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
-    h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul caption thead tbody tfoot tr td th""".split())
-SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
+    h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul xmp caption thead tbody tfoot tr td th""".split())
+SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul xmp".split())
+PRE = frozenset(["pre", "xmp"])
 CLOSES_P = BLOCK - frozenset("body html caption thead tbody tfoot tr td th legend".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose start tags may be their own end, what a drawing shows of text and what it only defines.
+FOREIGN = frozenset(["svg", "math"])
+UNQUOTED_END = re.compile(r"""=\s*[^\s"']+$""")
+DRAWN = frozenset(["text", "foreignobject"])
+UNDRAWN = frozenset("defs symbol metadata desc clippath mask marker pattern".split())
+#: Parts of a formula that stand above, below or beside each other.
+PARTS = frozenset("mfrac msub msup msubsup munder mover munderover mmultiscripts mroot mtr mtable".split())
 #: A start tag ends an open element of the set, looked for up to the scope.
 IMPLIED = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu", "dir", "table"])),
@@ -161,10 +175,16 @@ def parse(page: str) -> Node:
             b.end(tag)
             continue
         b.start(tag, m[2])
+        if m[2].endswith("/") and (tag in FOREIGN or any(b.count.get(t) for t in FOREIGN)) and not UNQUOTED_END.search(m[2]):
+            if b.open[-1].tag == tag:
+                b.cut(len(b.open) - 1)
+            continue
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(page, at)
             if tag == "textarea":
                 b.text(page[at : close.start() if close else n])
+            elif tag == "xmp":
+                b.open[-1].children.append(page[at : close.start() if close else n])
             at = close.start() if close else n
     return b.root
 
@@ -251,11 +271,14 @@ def table_lines(rows: list[list[tuple[str, int]]]) -> list[str]:
 def visible_text(page: str | None) -> str:
     sinks, tables, lists = [Sink()], [], []  # tables: rows of cells; lists: next number or None
     pre = 0
+    drawn = [True]  # within a drawing: whether text shows here
     stack: list[tuple[object, bool]] = [(parse(page or ""), False)]
     while stack:
         node, leaving = stack.pop()
         out = sinks[-1]
         if isinstance(node, str):
+            if not drawn[-1]:
+                continue
             if pre:
                 out.exact(node)
             else:
@@ -263,8 +286,12 @@ def visible_text(page: str | None) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if node.hidden():
+            if node.hidden() or len(drawn) > 1 and tag in UNDRAWN:
                 continue
+            if tag == "svg" or len(drawn) > 1 and tag in DRAWN:
+                if tag != "svg":
+                    (out.exact if pre else out.words)(" ")
+                drawn.append(tag != "svg")
             if tag == "br":
                 out.begin()
                 out.lines.append(out.line)
@@ -294,11 +321,18 @@ def visible_text(page: str | None) -> str:
                     out.indent.append("  ")
                 elif tag == "blockquote":
                     out.indent.append("  ")
-            pre += tag == "pre"
+            pre += tag in PRE
             stack.append((node, True))
-            stack.extend((c, False) for c in reversed(node.children))
+            if tag in PARTS:
+                stack.extend((c, False) for child in reversed(node.children) for c in (" ", child, " "))
+            else:
+                stack.extend((c, False) for c in reversed(node.children))
             continue
-        pre -= tag == "pre"
+        pre -= tag in PRE
+        if tag == "svg" or len(drawn) > 1 and tag in DRAWN:
+            drawn.pop()
+            if tag != "svg":
+                (out.exact if pre else out.words)(" ")
         if tag == "table":
             rows = tables.pop()
             out.end_line(True)
