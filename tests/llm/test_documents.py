@@ -164,6 +164,17 @@ def check_secrets(df, got):
         assert set(filter(None, joined.split(","))) <= set(r["spans"].split(","))
 
 
+def test_private_keys_are_found_to_their_end_line():
+    keys = lambda t: [t[a:b] for a, k, b in secret_scan.find(t) if secret_scan.KINDS[k] == "private_key"]
+    line = "MIIEpAIBAAKCAQEA" * 4
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    for body in (f"\n{line}\nAb+/=\n", f"\\n{line}\\nAb+/=\\n", f"\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A-1B\n\n{line}\n", f'\\n" +\n  "{line}\\n" +\n  "'):
+        key = begin + body + end
+        assert keys(f'k = "{key}" and more {key}.') == [key, key]
+    assert keys(f"{begin}\n{line}\\n{line}\nthen prose {begin} in a text") == [f"{begin}\n{line}\\n{line}", begin]
+    assert len(keys(begin * 50_000)) == 50_000 and keys(begin + "- " * 200_000) == [begin]
+
+
 def test_secrets_query(spark, docs):
     check_secrets(docs, by_id(queries.op2_secret_scan(spark, SF)))
 

@@ -35,8 +35,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 BASE_KINDS = ("assign", "access", "hex")
 #: Rules beyond the base ones. Each pattern starts at a fixed mark, so a scan is linear.
+#: A private key runs to its END line over any text without five dashes (headers, escaped
+#: line ends); where none follows, over the long lines of base64 right behind its BEGIN line.
 MORE = {
-    "private_key": re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----)?"),
+    "private_key": re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----"
+                              r"(?:[^-]*+(?:-{1,4}+(?!-)[^-]*+)*+-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{32,}+)*+)"),
     "jwt": re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     "github": re.compile(r"(?<![A-Za-z0-9_])gh[pousr]_[A-Za-z0-9]{36,}"),
     "slack": re.compile(r"(?<![A-Za-z0-9-])xox[abprs]-[A-Za-z0-9-]{10,}"),
