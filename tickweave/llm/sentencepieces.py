@@ -3,7 +3,8 @@
 Where no piece of the model has a character before a whitespace marker, merges
 never cross from a character to a marker. A text, with the marker that the
 library puts in front, then falls apart into chunks (markers, then characters)
-that are segmented alone. Each task segments each distinct chunk once and joins
+that are segmented alone. Each task segments a distinct chunk once while its
+table holds it (the table starts anew beyond ``wordtable.WORDS`` chunks) and joins
 the ids back by position. The table stays within the task: chunks that occur in
 many tasks are cheap to segment again, and sending every task's own chunks to
 one place and back would move more bytes than the texts hold (see README).

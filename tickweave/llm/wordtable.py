@@ -23,8 +23,9 @@ def from_lists(ids: list[list[int]]) -> Ids:
 
 
 class WordTable:
-    """Encodes each distinct word of a task once. ``encode`` gives the ids of
-    words end to end, and how many each has."""
+    """Encodes each distinct word of a task once while the table holds it: beyond
+    WORDS it starts anew, and words that come again are encoded again.
+    ``encode`` gives the ids of words end to end, and how many each has."""
 
     def __init__(self, encode: Callable[[pa.Array], Ids]):
         self.encode = encode
