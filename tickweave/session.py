@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 
 _SHIPPED: set[str] = set()
-_SCRATCH: list[str] = []
+#: Scratch folders of this driver; for a written table, a weak reference to what reads it.
+_SCRATCH: dict[str, object] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -106,7 +107,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     if not _SCRATCH:
         atexit.register(_drop_scratch, spark)
-    _SCRATCH.append(path)
+    _SCRATCH[path] = None
     return path
 
 
@@ -121,10 +122,44 @@ def _drop_scratch(spark: SparkSession) -> None:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in a scratch folder and read back: cuts
-    the lineage without computing the plan again, as checkpoint() would."""
-    path = scratch_path(df.sparkSession, name)
+    the lineage without computing the plan again, as checkpoint() would.
+
+    The table belongs to the frames that read it, like the files of a
+    checkpoint: every frame derived from the result shares its file index, and
+    once the JVM has collected that index no frame can read the table any more,
+    so the next call deletes it (see ``sweep``)."""
+    spark = df.sparkSession
+    sweep(spark)
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return read_tracked(spark, path, df.schema)
+
+
+def read_tracked(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table at a scratch path, which from now on lives as long as what reads it."""
+    back = spark.read.schema(schema).parquet(path)
+    index = back._jdf.queryExecution().analyzed().relation().location()
+    _SCRATCH[path] = spark.sparkContext._jvm.java.lang.ref.WeakReference(index)
+    return back
+
+
+def written_path(back: DataFrame) -> str:
+    """The scratch path of a frame that ``written`` returned."""
+    return back._jdf.queryExecution().analyzed().relation().options().apply("path")
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete the written tables that no frame can read any more."""
+    for path, reader in list(_SCRATCH.items()):
+        if reader is not None and reader.get() is None:
+            forget(spark, path)
+
+
+def forget(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders now; for callers that know all their readers to have ended."""
+    for path in paths:
+        delete_path(spark, path)
+        _SCRATCH.pop(path, None)
 
 
 def hadoop_fs(spark: SparkSession, path: str):
