@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.session import delete_path, ensure_utc, scratch_path
+from tickweave import session
+from tickweave.session import ensure_utc, forget  # noqa: F401 - forget is for the operators
 
 #: The whitespace of the operators' contracts: space and the controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -16,34 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_WRITTEN: list[str] = []
-
-
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written as Parquet under the shared checkpoint folder and read
     back, and its path. Cuts the lineage: a lost executor costs the tasks that
-    were running, and every reader sees the same rows."""
-    spark = df.sparkSession
-    ensure_utc(spark)
-    path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def forget(spark: SparkSession, *paths: str) -> None:
-    """Delete written tables whose readers have all been written themselves."""
-    for path in paths:
-        delete_path(spark, path)
-        _WRITTEN.remove(path)
-
-
-def forget_all_but(read: DataFrame) -> None:
-    """Delete the written tables that ``read`` does not read from. For a caller
-    that knows everything made from them to be written elsewhere."""
-    name = lambda path: path.rstrip("/").rpartition("/")[2]
-    used = {part for f in read.inputFiles() for part in f.split("/") if part.startswith("llm-")} if _WRITTEN else set()
-    forget(read.sparkSession, *[p for p in _WRITTEN if name(p) not in used])
+    were running, and every reader sees the same rows. The table lives as long
+    as a frame that reads it (``session.written``); ``forget`` deletes it
+    sooner, where all its readers have been written themselves."""
+    ensure_utc(df.sparkSession)
+    back = session.written(df, f"llm-{name}")
+    return back, session.written_path(back)
 
 
 def text_of(name: str = "text") -> Column:

@@ -104,13 +104,12 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text", carry: list
 
 
 def keep_good(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that their rules or their host reject. The
-    rules are counted twice, once for the hosts and once for the rows: that
-    costs less than writing all texts with their counts."""
-    counted = rule_counts(docs.select(F.col(host).cast("string").alias("host"), F.col(text).alias("body")), "body")
-    verdicts, _ = written(host_verdicts(counted.withColumn("base_failed", _base_failed()), "host", "base_failed").select("host", "host_failed"), "host-verdicts")
+    """``docs`` without the rows that their rules or their host reject. Rules
+    are counted once: rows that pass their own are written whole, the others
+    as their host only, and the host verdicts are joined to what was written."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(host).cast("string").alias("host"), F.col(text).alias("body"))
-    # the id keeps the filter from being pushed into the steps above, which would compute them anew within each other
-    rows = rule_counts(rows, "body").withColumn("nth", F.monotonically_increasing_id()).filter(~_base_failed() & (F.col("nth") >= 0))
-    rows = rows.join(verdicts, "host", "left")
-    return rows.filter(~F.coalesce("host_failed", F.lit(False))).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    rows = rule_counts(rows, "body").withColumn("base_failed", _base_failed())
+    rows, _ = written(rows.select(F.when(~F.col("base_failed"), F.col("row")).alias("row"), "host", "base_failed"), "rule-verdicts")
+    verdicts, _ = written(host_verdicts(rows, "host", "base_failed").select("host", "host_failed"), "host-verdicts")
+    good = rows.filter(~F.col("base_failed")).join(verdicts, "host", "left")
+    return good.filter(~F.coalesce("host_failed", F.lit(False))).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

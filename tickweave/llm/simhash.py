@@ -18,16 +18,16 @@ large-star and small-star rounds over written tables.
 Defined results: null text is the empty text; a text without words has
 fingerprint zero and links like any other. Rows with a null id get their
 component's smallest non-null id, or null if there is none. Repeated rows and
-ids each give one row. An empty table gives an empty result.
+ids each give one row; ``near_dedup`` keeps exactly one row of a group. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm.common import forget, text_of, written
@@ -80,8 +80,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): fp as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, carry: Sequence[Column] = ()) -> DataFrame:
+    """(id, fp) and the columns ``carry``: fp as a signed 64-bit number."""
 
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
@@ -93,7 +93,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
             out.append(seen[t])
         return pd.Series(out, dtype="int64")
 
-    return docs.select(F.col(doc_id).alias("id"), fp(text_of(text)).alias("fp"))
+    return docs.select(F.col(doc_id).alias("id"), fp(text_of(text)).alias("fp"), *carry)
 
 
 def forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -215,19 +215,34 @@ def components(edges: DataFrame) -> DataFrame:
             stars, path = moved, moved_path
 
 
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp, component) of every row: component is the smallest id reachable."""
-    fps, _ = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+def labels(fps: DataFrame) -> DataFrame:
+    """(fp, root, component) of every distinct ``fp``: the smallest fingerprint
+    and the smallest id reachable. ``fps`` is a written table (id, fp, ..)."""
     stars = components(links(fps.select("fp").distinct())).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     least, _ = written(fps.groupBy("fp").agg(F.min("id").alias("least")).join(stars, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least"), "fp-roots")
     ids, _ = written(least.groupBy("root").agg(F.min("least").alias("component")), "components")
-    label, _ = written(least.join(ids, "root").select("fp", "component"), "fp-components")
-    return fps.join(label.hint("merge"), "fp").select("id", "fp", "component")
+    return written(least.join(ids, "root").select("fp", "root", "component"), "fp-components")[0]
+
+
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(id, fp, component) of every row: component is the smallest id reachable."""
+    fps, _ = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    return fps.join(labels(fps).hint("merge"), "fp").select("id", "fp", "component")
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose group has a smaller id; same columns.
-    Rows without an id cannot be named, so they stay."""
-    gone, _ = written(near_groups(docs, doc_id, text).filter("id <> component").select("id").distinct(), "near-gone")
-    return docs.join(gone.hint("merge"), docs[doc_id] == gone["id"], "left_anti")
+    """``docs`` with one row of each group of linked fingerprints; same columns.
+
+    Rows go by their place in a written table, not by their id: of a group the
+    row of the smallest id stays (null ids last), of several such rows exactly
+    one. A row whose id also stands in another group is not touched by that."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows, _ = written(fingerprints(docs, doc_id, text, carry=[whole]).withColumn("place", F.monotonically_increasing_id()), "near-rows")
+    at = rows.select("id", "fp", "place")
+    groups, _ = written(at.join(labels(at).select("fp", "root").hint("merge"), "fp").select("root", "id", "place"), "near-places")
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "place")
+    stay = groups.groupBy("root").agg(F.min(rank)["place"].alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("root", "stays")
+    gone, _ = written(groups.join(stay.hint("merge"), "root").filter("place <> stays").select("place"), "near-gone")
+    left = rows.join(gone.hint("merge"), "place", "left_anti")
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
