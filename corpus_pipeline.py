@@ -1,8 +1,7 @@
 """A training-data pipeline over ``documents``: STAGES in order, each one reading what the one before kept.
 
-A stage's result is to be written before the next stage is called with what was
-written: a stage begins by deleting the scratch tables of those before it (but
-for any that its own input still reads).
+A stage's scratch tables belong to the frame that it returns: they are deleted
+once nothing can read that frame any more, and not before.
 """
 
 from __future__ import annotations
@@ -10,36 +9,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickweave.llm import exact_dedup, packing, quality_rules, secret_scan, simhash
-from tickweave.llm.common import forget_all_but, table, written
+from tickweave.llm.common import table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that their rules or their host reject go."""
-    forget_all_but(docs)
     return quality_rules.keep_good(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays."""
-    forget_all_but(docs)
     return exact_dedup.exact_dedup(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints one document stays."""
-    forget_all_but(docs)
     return simhash.near_dedup(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by their kind."""
-    forget_all_but(docs)
     return secret_scan.redact(docs, secret_scan.new_ledger(spark))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents with their places in sequences."""
-    forget_all_but(docs)
     return packing.pack_documents(docs)
 
 
