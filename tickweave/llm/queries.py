@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import chat_format, exact_dedup, html_text, language_id, packing, pii, quality_rules, secret_scan, sentencepieces, simhash
-from tickweave.llm.common import table
+from tickweave.llm import chat_format, exact_dedup, html_text, language_id, merkle, mixing, packing, pii, quality_rules, secret_scan, sentencepieces, simhash, variants
+from tickweave.llm.common import table, written
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +77,35 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.unionByName(forged)))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words, _ = written(variants.noisy_words(table(spark, sf_dir, "documents").select("doc_id", "text")), "variant-words")
+    return variants.group_variants(words)
+
+
+#: The fields of a leaf, in order.
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+#: One document in TAMPERED is checked with its text lower-cased.
+TAMPERED = 5
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*LEAF)
+    fields = [F.col(c) for c in LEAF]
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED == 0
+    tampered = F.when(hit, merkle.leaf([*fields[:-1], F.translate("text", variants.UPPER, variants.LOWER)]))
+    rows = merkle.manifest(docs, merkle.leaf(fields), "source", "doc_id", {"doc_id": F.col("doc_id"), "tampered": tampered})
+    rows = rows.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), carry=["doc_id"])
+    taken = F.aggregate("copies", F.lit(0).cast("long"), lambda n, copy: n + copy["words"])
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,7 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_secret_scan, op3_simhash_dedup, op4_html_text, op5_quality_rules, op6_exact_dedup, op7_best_fit_packing, op8_pii,
-        op9_language_id, op10_chat_format, pipeline,
+        op9_language_id, op10_chat_format, op11_spelling_variants, op12_merkle_manifest, op13_source_mix, pipeline,
     )
 }
 ORACLE: dict[str, str] = {}
@@ -140,3 +169,111 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
        FALSE AS rewrites_history
 FROM c GROUP BY conv_id
 """
+
+#: The unsigned CRC-32 of an ASCII or UTF-8 text, byte by byte over its hex digits.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(hex(encode({0}))) // 2), lambda i: ('0x' || hex(encode({0}))[2 * i + 1 : 2 * i + 2])::BIGINT)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT)"""
+
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+
+
+def _run_siblings(level: int) -> str:
+    """The next level of nodes: each run of 16 of a group, hashed while the group has several nodes."""
+    return f"""
+u{level} AS (
+  SELECT grp, pos // 16 AS pos, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h, any_value((n + 15) // 16) AS n,
+         string_agg(h, '' ORDER BY pos) AS run FROM n{level} GROUP BY grp, pos // 16
+),
+n{level + 1} AS (SELECT grp, pos, h, n FROM u{level})"""
+
+
+def _merkle_sql() -> str:
+    """Six levels of leaves (16.7 million a source), three of subroots (4,096 sources)."""
+    inner, outer = range(6), range(10, 13)
+    ups = ",".join(_run_siblings(k) for k in inner)
+    outs = ",".join(_run_siblings(k) for k in outer)
+    steps, last = [], "p"
+    for k in [*inner, *outer]:
+        at, grp = ("s.pos", "s.grp IS NOT DISTINCT FROM u.grp") if k < 10 else ("s.spos", "TRUE")
+        left, right = f"left(u.run, 64 * (({at} // {16 ** (k % 10)}) % 16))", f"substr(u.run, 64 * (({at} // {16 ** (k % 10)}) % 16) + 65)"
+        steps.append(f"""
+s{k} AS (
+  SELECT s.* EXCLUDE (proof, folded), proof || {left} || {right} AS proof,
+         CASE WHEN strlen(u.run) > 64 OR many > 1 THEN sha256({left} || folded || {right}) ELSE folded END AS folded
+  FROM (SELECT *, {"(cnt + " + str(16 ** k - 1) + ") // " + str(16 ** k) if k < 10 else "(scnt + " + str(16 ** (k - 10) - 1) + ") // " + str(16 ** (k - 10))} AS many FROM {last}) s
+  JOIN u{k} u ON {grp} AND u.pos = {at} // {16 ** (k % 10 + 1)}
+)""")
+        steps[-1] = steps[-1].replace("EXCLUDE (proof, folded)", "EXCLUDE (proof, folded, many)")
+        last = f"s{k}"
+    leaf = lambda text: "sha256(" + " || ".join(_FIELD.format(c) for c in (*LEAF[:-1], text)) + ")"
+    return f"""
+WITH l AS (
+  SELECT doc_id, source AS grp, {leaf("text")} AS leaf, CASE WHEN {CRC32.format("doc_id::VARCHAR")} % {TAMPERED} = 0 THEN {leaf(_LOWER.format("text"))} END AS tampered FROM documents
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS cnt FROM l),
+n0 AS (SELECT grp, pos, leaf AS h, cnt AS n FROM r),{ups},
+n10 AS (SELECT 0 AS grp, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos, h, count(*) OVER () AS n, grp AS name FROM n6),{outs},
+p AS (
+  SELECT r.*, n10.pos AS spos, n10.n AS scnt, n10.h AS subroot, (SELECT h FROM n13) AS root, '' AS proof, coalesce(tampered, leaf) AS folded
+  FROM r JOIN n10 ON n10.name IS NOT DISTINCT FROM r.grp
+),{",".join(steps)}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM {last}
+"""
+
+
+ORACLE["op12_merkle_manifest"] = _merkle_sql()
+
+ORACLE["op13_source_mix"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS size, row_number() OVER () AS place FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [1, 2, 3][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM d GROUP BY source
+),
+o AS (SELECT *, row_number() OVER (ORDER BY 3 * source_size / weight, source NULLS LAST) AS i FROM s),
+c AS (
+  SELECT *, CAST((SELECT sum(source_size) FROM s) AS BIGINT) AS budget, coalesce(sum(3 * source_size) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
+         sum(weight) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_weight FROM o
+),
+lv AS (SELECT (budget - spent)::DOUBLE / left_weight::DOUBLE AS level FROM c WHERE (budget - spent)::DOUBLE / left_weight::DOUBLE * weight <= 3 * source_size ORDER BY i LIMIT 1),
+t AS (SELECT source, source_size, budget, least((SELECT level FROM lv) * weight, (3 * source_size)::DOUBLE) AS target FROM c),
+q AS (
+  SELECT d.*, md5('{mixing.SEED}:' || id) AS shuffled, source_size, target, budget,
+         sum(size) OVER (PARTITION BY d.source ORDER BY md5('{mixing.SEED}:' || id), id, size, place ROWS UNBOUNDED PRECEDING) AS sent
+  FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source WHERE size > 0
+),
+e AS (SELECT *, unnest([1, 2, 3]) AS epoch FROM q),
+f AS (SELECT *, ((epoch - 1) * source_size + sent)::DOUBLE / target AS finish FROM e),
+w AS (SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, epoch, shuffled, id, size, place ROWS UNBOUNDED PRECEDING) AS upto FROM f),
+k AS (SELECT place, CAST(sum(greatest(0, least(size, budget - (upto - size)))) AS BIGINT) AS taken FROM w GROUP BY place)
+SELECT d.doc_id, d.size, t.source_size, t.target, coalesce(k.taken, 0) AS taken
+FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source LEFT JOIN k ON k.place = d.place
+"""
+
+ORACLE["op11_spelling_variants"] = rf"""
+WITH RECURSIVE r AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+),
+l AS MATERIALIZED (SELECT id || ':' || {_LOWER.format("run")} AS x, {_LOWER.format("run")} AS run FROM r WHERE length(run) >= {variants.LEAST_LENGTH}),
+h AS MATERIALIZED (SELECT run, {CRC32.format("x")} AS h FROM l),
+w AS (SELECT CASE WHEN h % {variants.NOISE_MOD} = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h),
+v AS MATERIALIZED (SELECT word, count(*) AS n FROM w WHERE length(word) >= {variants.LEAST_LENGTH} GROUP BY word HAVING count(*) >= {variants.LEAST_COUNT}),
+-- words one edit apart are a word and its shortening, or share the shortening at one position
+x AS MATERIALIZED (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM x a JOIN x b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION SELECT x.word, v.word, v.n FROM x JOIN v ON v.word = x.less
+  UNION SELECT v.word, x.word, x.n FROM x JOIN v ON v.word = x.less
+),
+b AS (SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word),
+f AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.most >= {variants.RATIO} * v.n THEN b.most END AS form_n,
+         CASE WHEN b.most >= {variants.RATIO} * v.n THEN (SELECT min(other) FROM near WHERE near.word = v.word AND near.other_n = b.most) END AS form
+  FROM v LEFT JOIN b ON b.word = v.word
+),
+chain AS (
+  SELECT word, word AS root, 0 AS step FROM f
+  UNION ALL SELECT chain.word, f.form, step + 1 FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM f JOIN (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word) e ON e.word = f.word
+"""
