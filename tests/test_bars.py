@@ -3,6 +3,9 @@
 import datetime as dt
 import os
 import hashlib
+import math
+import random
+import struct
 
 import pytest
 
@@ -170,6 +173,26 @@ def test_volume_does_not_depend_on_task_order(spark):
     assert spark.createDataFrame([(float("inf"),), (1.0,)], "v double").agg(B.exact_sum(F.col("v"))).first()[0] == float("inf")
 
 
+def test_exact_sum_at_any_magnitude(spark):
+    """Against a correctly rounded sum: large volumes, digits far apart, both signs, infinities and NaN."""
+    f32 = lambda x: struct.unpack("f", struct.pack("f", x))[0]
+    r, inf = random.Random(11), float("inf")
+    groups = [[1.09e12] * 20, [1e9] * 9000, [1e18, 1e-18, -1e18, 0.1], [3.4e38] * 3 + [-3.4e38] * 2 + [1e-40], [2.0**53, 1.0], [2.0**53, 1.0, 2.0**-100],
+              [-(2.0**53), -1.0, -(2.0**-100)], [0.0, -0.0], [NAN, 1.5, inf], [-inf, 2.0], [inf, -inf], [NAN], [1e9, 1e12, 1e18, NAN, 0.5, 3e-45]]
+    groups += [[f32(r.choice([-1, 1]) * r.random() * 10 ** r.randint(-44, 38)) + f32(r.random()) for _ in range(40)] for _ in range(60)]
+    rows = [(g, v) for g, vs in enumerate(groups) for v in vs]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, v double").repartition(5)
+    got = {x["g"]: x["s"] for x in df.groupBy("g").agg(B.exact_sum(F.col("v")).alias("s")).collect()}
+    for g, vs in enumerate(groups):
+        some = [v for v in vs if v == v]
+        both = {inf, -inf} <= set(some)
+        want = None if not some else NAN if both else math.fsum(some)
+        assert got[g] == want or (both and math.isnan(got[g])), (g, got[g], want)
+    with pytest.raises(Exception, match="not a volume"):
+        spark.createDataFrame([(1e300,)], "v double").agg(B.exact_sum(F.col("v"))).collect()
+
+
 def test_one_load_time_for_a_mixed_merge(spark):
     """No time given; one partition is rewritten, another appended to."""
     root = scratch_path(spark, "t-store")

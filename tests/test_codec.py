@@ -99,8 +99,11 @@ def test_ingest_counts_every_file_and_attempt(spark):
     res = api.ingest(spark, root, store, cat, landing_log=log)
     assert (res.files, res.slots, res.errors, res.skipped, res.unplaced, res.trailing) == (4, 6, 3, 0, 1, 1)
     assert statuses() == want
-    # fetched files are left alone, the failed ones tried again, nothing is downgraded
+    # what has an entry is left alone, and a path without a slot is not read again
     res = api.ingest(spark, root, store, cat, landing_log=log)
+    assert (res.files, res.skipped, res.slots, res.unplaced) == (0, 4, 0, 1) and statuses() == want
+    # on a retry fetched files are left alone, the failed ones tried again, nothing is downgraded
+    res = api.ingest(spark, root, store, cat, landing_log=log, retry_errors=True)
     assert (res.files, res.skipped, res.merge.new_bars) == (3, 1, 0) and statuses() == want
     assert api.read_store(spark, store).select("knowledge_time").distinct().count() == 1
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,43 +17,79 @@ from ..sources.instruments import DEFAULT_SOURCE
 BAR_VALUE_COLUMNS = ["open", "high", "low", "close", "volume"]
 
 
-# exact_sum's fixed point: whole units of 2**-20, and of 2**-60 for the rest.
-_HIGH, _LOW = 20, 40
-_PLAIN = 2.0 ** 40  # magnitudes from here on (and infinities) are added as doubles
+# exact_sum's lanes: signed digits to the base 2**32 from 2**-160 up to 2**160. They
+# hold every 32-bit float and the sums of two; 32 bits leave a 64-bit counter
+# room for 2**31 rows of one group.
+_BITS, _LEAST, _LANES = 32, -160, 10
+_BEYOND = 2.0 ** (_LEAST + _BITS * _LANES - 1)
 
 
 def exact_sum(v: Column) -> Column:
-    """Sum of doubles that no task order changes: every value becomes whole
-    numbers of 2**-20 and 2**-60, which add exactly, and the total is rounded
-    once. 32-bit volumes are multiples of such units unless they are below
-    2**-37, so for them this is the exact sum rounded to a double, which is
-    what a compensated sum in file order gives. NaN is skipped; NULL if
-    nothing is left."""
+    """Sum of 32-bit floats, or of sums of two, that no task order changes.
+
+    A value is cut into whole digits of 32 bits, one lane each; every step of
+    the cut is exact. Lanes are sums of integers, so they combine in any order,
+    and the total is rounded once: this is the exact sum rounded to the nearest
+    double, at any magnitude such volumes have. (Of other doubles, bits below
+    2**-160 are rounded off value by value, and a finite value of 2**159 or
+    more, which no volume reaches, is an error rather than a rounded sum.)
+    Infinities add as usual. NaN is skipped; NULL if nothing is left."""
     v = F.nanvl(v, F.lit(None).cast("double"))
-    small = F.when(F.abs(v) < _PLAIN, v)
-    scaled = small * F.lit(float(1 << _HIGH))
-    high = F.floor(scaled).cast("bigint")
-    low = F.round((scaled - F.floor(scaled)) * F.lit(float(1 << _LOW))).cast("bigint")
-    highs, lows = F.sum(high), F.sum(low)
-    carried = highs + F.shiftright(lows, _LOW)
-    rest = F.pmod(lows, F.lit(1 << _LOW)).cast("double") / F.lit(float(1 << _LOW))
-    exact = (carried.cast("double") + rest) / F.lit(float(1 << _HIGH))
-    plain = F.sum(F.when(F.abs(v) >= _PLAIN, v))
-    return F.coalesce(exact + plain, exact, plain)
+    endless = F.abs(v) == float("inf")
+    beyond = F.raise_error(F.concat(F.lit("not a volume of a tick: "), v.cast("string"))).cast("double")
+    finite = F.when(F.abs(v) < _BEYOND, v).when(~endless, beyond)
+    cut = [F.rint(finite * F.lit(2.0 ** -(_LEAST + _BITS * k))) for k in range(_LANES)]
+    digits = [low - high * F.lit(2.0**_BITS) for low, high in zip(cut, cut[1:])] + [cut[-1]]
+    lanes = [F.coalesce(F.sum(d.cast("bigint")), F.lit(0).cast("bigint")) for d in digits]
+    return F.coalesce(F.sum(F.when(endless, v)), F.when(F.count(finite) > 0, _rounded(lanes)))
+
+
+def _carried(lanes: Column) -> Column:
+    """Lanes as digits from 0 to 2**32 - 1 and what is carried beyond them (negative for a negative total)."""
+    start = F.struct(F.array().cast("array<bigint>").alias("digits"), F.lit(0).cast("bigint").alias("carry"))
+    return F.aggregate(lanes, start, lambda acc, lane: F.struct(
+        F.concat(acc["digits"], F.array((lane + acc["carry"]).bitwiseAND(F.lit(2**_BITS - 1)))).alias("digits"),
+        F.shiftright(lane + acc["carry"], _BITS).alias("carry")))
+
+
+def _with(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` computed once, however often it is used."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _rounded(lanes: list[Column]) -> Column:
+    """The double nearest to the total of the lanes. Three digits from the first
+    that is not 0 hold 65 bits or more; one more bit says whether any follow."""
+    zero = F.lit(0).cast("bigint")
+
+    def magnitude(digits: Column) -> Column:
+        top = F.array_max(F.transform(digits, lambda d, i: F.when(d != 0, i).otherwise(-1)))
+        return _with(top, lambda k: nearest(digits, k))
+
+    def nearest(digits: Column, top: Column) -> Column:
+        digit = lambda k: F.coalesce(F.get(digits, k), zero).cast("decimal(20,0)")
+        head = digit(top) * F.lit(Decimal(2 ** (2 * _BITS))) + digit(top - 1) * F.lit(Decimal(2**_BITS)) + digit(top - 2)
+        more = F.exists(F.slice(digits, F.lit(1), F.greatest(top - 2, F.lit(0))), lambda d: d != 0)
+        return (head.cast("decimal(37,0)") * 2 + more.cast("int")).cast("double") * F.pow(F.lit(2.0), (top - 2) * _BITS + (_LEAST - 1))
+
+    def signed(up: Column) -> Column:
+        down = _carried(F.transform(F.array(*lanes, zero, zero), lambda x: -x))
+        return F.when(up["carry"] < 0, -_with(down["digits"], magnitude)).otherwise(magnitude(up["digits"]))
+
+    return _with(_carried(F.array(*lanes, zero, zero)), signed)
 
 
 def ohlcv_aggs(with_counts: bool = False, exact_volume_col: str | None = None) -> list[Column]:
     """D1's aggregate expressions over ticks (pair, slot, seq, mid, volumes).
 
-    ``exact_volume_col`` names a per-tick column that already holds the exact
-    volume of the tick's minute (the decoder's compensated sum); every tick of
-    a group carries the same value, so ``max`` picks it and stays a partial,
-    skew-safe aggregate.
+    ``exact_volume_col`` names a column that already holds the volume of the
+    minute (the decoder's compensated sum) on a row of its own, without
+    ``seq``; ``max`` picks it and stays a partial, skew-safe aggregate.
     """
     vol = total_volume()
     volume = F.coalesce(F.max(exact_volume_col) if exact_volume_col else exact_sum(vol), F.lit(0.0))
     return [
-        *([F.count(F.lit(1)).alias("n_ticks")] if with_counts else []),
+        *([F.count("seq" if exact_volume_col else F.lit(1)).alias("n_ticks")] if with_counts else []),
         F.min_by("mid", "seq").alias("open"),
         F.max("mid").alias("high"),
         F.min("mid").alias("low"),

@@ -22,8 +22,9 @@ from ..session import ensure_utc, load_time, path_exists, ts_lit, written
 from ..sources.barstore import partition_filter, read_store
 from ..sources.catalog import read_catalog, write_catalog
 from ..sources.instruments import BASE_URL, DEFAULT_SOURCE, instruments
-from ..sources.tickfiles import list_tick_files, no_tick_files
-from .load import bars_and_outcomes, bars_of, outcomes_of, slot_outcome
+from ..sources.tickfiles import decode_tick_files, list_tick_files, no_tick_files
+from ..sources.tickformat import decode_listed
+from .load import aggregated, bars_of, outcomes_of, slot_outcome
 from .merge import MergeResult, merge_bars
 
 
@@ -57,18 +58,16 @@ class IngestResult:
     slots: int                  # slots attempted: by a landed file or the landing log
     errors: int                 # of them
     files: int = 0              # files decoded
-    skipped: int = 0            # landed files whose slot the catalog has as fetched
+    skipped: int = 0            # landed files left alone: their slot is in the catalog, or their path names none
     unplaced: int = 0           # files whose path names no slot (listed in ``outcomes``)
     trailing: int = 0           # files with bytes after their last whole record
     outcomes: DataFrame | None = None  # one row per decoded file
 
 
-#: Landed files named to one read at a time, where some are left out.
-PATHS_PER_PASS = 20_000
-
-
-def _fetched(spark: SparkSession, catalog_path: str) -> DataFrame:
-    return read_catalog(spark, catalog_path, F.col("status") == "fetched").select(*S.SLOT_KEY)
+def _catalogued(spark: SparkSession, catalog_path: str, fetched_only: bool = False) -> DataFrame:
+    """Slots that the catalog has, whatever came of them; or those fetched."""
+    where = F.col("status") == "fetched" if fetched_only else None
+    return read_catalog(spark, catalog_path, where).select(*S.SLOT_KEY)
 
 
 def _without(rows: DataFrame, slots: DataFrame) -> DataFrame:
@@ -98,8 +97,24 @@ def ingest_files(
     source: str = DEFAULT_SOURCE,
     landing_log: DataFrame | None = None,
 ) -> IngestResult:
-    """Decode ``files`` (path, length, content, pair, slot) once, merge the
-    bars, then upsert one catalog row per attempted slot (A11).
+    """``ingest_decoded`` over files at hand (path, length, content, pair, slot)."""
+    return ingest_decoded(spark, decode_tick_files(files), store_root, catalog_path, knowledge_time, pairs, source, landing_log)
+
+
+def ingest_decoded(
+    spark: SparkSession,
+    decoded: DataFrame,
+    store_root: str,
+    catalog_path: str | None,
+    knowledge_time: dt.datetime | None = None,
+    pairs: list[str] | None = None,
+    source: str = DEFAULT_SOURCE,
+    landing_log: DataFrame | None = None,
+    skip_known: bool = False,
+) -> IngestResult:
+    """Read ``decoded`` files once, merge the bars, then upsert one catalog row
+    per attempted slot (A11). ``skip_known`` leaves alone files of slots that
+    the catalog has, whatever came of them.
 
     The landing log (pair, slot, http_status, optional n_bytes) carries the
     attempts that left no file: missing hours and empty bodies become no_data,
@@ -111,7 +126,9 @@ def ingest_files(
     ensure_utc(spark)
     stamp = load_time(knowledge_time)
     inst = instruments(spark, pairs)
-    combined = written(bars_and_outcomes(files, inst, source), "decoded")
+    combined = written(aggregated(decoded, inst, source), "decoded")
+    if skip_known and catalog_path is not None:
+        combined = _without(combined, _catalogued(spark, catalog_path))
     outcomes = outcomes_of(combined)
     res = merge_bars(spark, bars_of(combined).drop("n_ticks"), store_root, stamp)
     placed = outcomes.where(F.col("slot").isNotNull())
@@ -121,7 +138,7 @@ def ingest_files(
         if pairs:
             log = log.where(F.col("pair").isin(list(pairs)))
         if catalog_path is not None:
-            log = _without(log, _fetched(spark, catalog_path))
+            log = _without(log, _catalogued(spark, catalog_path, fetched_only=True))
         attempted = attempted.unionByName(log.select("pair", "slot"))
     bad = placed.where(F.col("error").isNotNull()).select("pair", "slot", "error")
     slots = slot_outcome(attempted.distinct(), placed.select("pair", "slot", "length"), bad, log)
@@ -133,16 +150,6 @@ def ingest_files(
     return IngestResult(res, int(n["n"]), int(n["e"]), int(f["n"]), 0, int(f["u"]), int(f["t"]), outcomes)
 
 
-def _together(results: list[IngestResult]) -> IngestResult:
-    merges = [r.merge for r in results]
-    outcomes = results[0].outcomes
-    for r in results[1:]:
-        outcomes = outcomes.unionByName(r.outcomes)
-    total = lambda name: sum(getattr(r, name) for r in results)
-    merge = MergeResult(sorted({p for m in merges for p in m.partitions}), sum(m.new_bars for m in merges), sum(m.stored_bars for m in merges))
-    return IngestResult(merge, total("slots"), total("errors"), total("files"), total("skipped"), total("unplaced"), total("trailing"), outcomes)
-
-
 def ingest(
     spark: SparkSession,
     raw_root: str,
@@ -151,39 +158,35 @@ def ingest(
     knowledge_time: dt.datetime | None = None,
     pairs: list[str] | None = None,
     landing_log: DataFrame | None = None,
+    retry_errors: bool = False,
 ) -> IngestResult:
-    """Batch load of the landed files under ``raw_root`` that the catalog does
-    not have as fetched yet. The listing is compared with the catalog before
-    any content is read. Where all files are new they are read as one folder,
-    else by name, ``PATHS_PER_PASS`` at a time, until none is left."""
+    """Batch load of the landed files under ``raw_root`` whose slot the catalog
+    does not have yet, whatever came of it; with ``retry_errors`` also of those
+    that it does not have as fetched. Files whose path names no slot can never
+    be recorded: they are read (to be reported) only by a first ingest, when
+    there is no catalog, and on a retry.
+
+    The listing is compared with the catalog before any content is read. What
+    is left is one table of paths, dealt to tasks by bytes and decoded there,
+    however many files it has, and merged once."""
     ensure_utc(spark)
     stamp = load_time(knowledge_time)
     listing = list_tick_files(spark, raw_root)
     if pairs:
         listing = listing.where(F.col("pair").isin(list(pairs)))
-    done = catalog_path is not None
-    todo = written(_without(listing, _fetched(spark, catalog_path)).select("path") if done else listing.select("path"), "to-ingest")
-    n, landed = todo.count(), listing.count() if done else 0
-    skipped = landed - n if done else 0
-
-    def run(files: DataFrame, log: DataFrame | None) -> IngestResult:
-        return ingest_files(spark, files, store_root, catalog_path, stamp, pairs, landing_log=log)
-
-    if not skipped:
-        files = list_tick_files(spark, raw_root, with_content=True)
-        return run(files.where(F.col("pair").isin(list(pairs))) if pairs else files, landing_log)
-    passes = -(-n // PATHS_PER_PASS)
-    results = []
-    for k in range(passes):
-        part = todo.where(F.pmod(F.xxhash64("path"), F.lit(passes)) == k)
-        paths = [r["path"] for r in part.collect()]  # about PATHS_PER_PASS
-        if paths:
-            results.append(run(list_tick_files(spark, paths, with_content=True), None))
-    if landing_log is not None or not results:
-        # the log last: the passes have recorded their files as fetched
-        results.append(run(no_tick_files(spark), landing_log))
-    out = _together(results)
-    out.skipped = skipped
+    known = catalog_path is not None and path_exists(spark, catalog_path)
+    if known:
+        rows = _without(listing, _catalogued(spark, catalog_path, fetched_only=retry_errors))
+        todo = written(rows if retry_errors else rows.where(F.col("slot").isNotNull()), "to-ingest")
+        n = listing.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("slot").isNull()).alias("unplaced")).first()
+    else:
+        todo = written(listing, "to-ingest")
+    log = landing_log
+    if known and log is not None and not retry_errors:
+        log = _without(log, _catalogued(spark, catalog_path))
+    out = ingest_decoded(spark, decode_listed(todo), store_root, catalog_path, stamp, pairs, landing_log=log)
+    if known:
+        out.skipped, out.unplaced = n["n"] - out.files, n["unplaced"]
     return out
 
 

@@ -12,7 +12,8 @@ from ..functions.prices import price_columns, tick_time
 from ..operators.bars import ohlcv_aggs
 from ..session import ensure_utc, written
 from ..sources.instruments import DEFAULT_SOURCE, instruments, with_point_value
-from ..sources.tickfiles import decode_tick_files, list_tick_files
+from ..sources.tickfiles import decode_tick_files
+from ..sources.tickformat import tick_format
 
 
 @dataclass
@@ -23,13 +24,18 @@ class LoadResult:
 
 
 def bars_and_outcomes(files: DataFrame, inst: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
-    """Decode ``files`` (with content) and aggregate to bars in one pass.
+    """``aggregated`` over files at hand (with content)."""
+    return aggregated(decode_tick_files(files), inst, source)
+
+
+def aggregated(decoded: DataFrame, inst: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
+    """Decoded rows to bars in one pass.
 
     The decoder's row about each file is a group of its own (``path`` set), so
     the bars and the outcomes come out of the same aggregation. Ticks of an
     unknown pair (C3) make no bars; the file's row says why.
     """
-    decoded = with_point_value(decode_tick_files(files), inst)
+    decoded = with_point_value(decoded, inst)
     about = F.col("path").isNotNull()
     unknown = F.col("point_value").isNull() & (F.coalesce(F.col("pair"), F.lit("")) != "")
     ticks = decoded.where(about | F.col("point_value").isNotNull()).select(
@@ -38,11 +44,11 @@ def bars_and_outcomes(files: DataFrame, inst: DataFrame, source: str = DEFAULT_S
         tick_time("slot", "ms").alias("timestamp"), *price_columns(), "ask_volume", "bid_volume", "minute_volume",
     )
     minute: Column = F.when(F.col("path").isNull(), F.date_trunc("minute", "timestamp"))
-    # the file's columns are grouping keys, not max(): string aggregation
+    # the file's texts are grouping keys, not max(): string aggregation
     # buffers would push the whole aggregate off HashAggregate (and codegen)
     return (
-        ticks.groupBy("pair", "slot", minute.alias("timestamp"), "path", "length", "records", "trailing", "error")
-        .agg(*ohlcv_aggs(with_counts=True, exact_volume_col="minute_volume"))
+        ticks.groupBy("pair", "slot", minute.alias("timestamp"), "path", "error")
+        .agg(*ohlcv_aggs(with_counts=True, exact_volume_col="minute_volume"), *[F.max(c).alias(c) for c in ("length", "records", "trailing")])
         .withColumn("source", F.lit(source))
     )
 
@@ -71,11 +77,10 @@ def load(spark: SparkSession, raw_root: str, pairs: list[str] | None = None,
     a re-decode.
     """
     ensure_utc(spark)
-    inst = instruments(spark, pairs)
-    listing = files if files is not None else list_tick_files(spark, raw_root, with_content=True)
+    decoded = decode_tick_files(files) if files is not None else tick_format(spark).load(raw_root)
     if pairs:
-        listing = listing.where(F.col("pair").isin(list(pairs)))
-    combined = written(bars_and_outcomes(listing, inst, source), "decoded")
+        decoded = decoded.where(F.col("pair").isin(list(pairs)))
+    combined = written(aggregated(decoded, instruments(spark, pairs), source), "decoded")
     outcomes = outcomes_of(combined)
     bad = outcomes.where(F.col("error").isNotNull()).select("pair", "slot", "error")
     return LoadResult(bars_of(combined), outcomes, bad)

@@ -2,22 +2,22 @@
 ``<root>/<PAIR>/<YYYY>/<MM>/<DD>/<HH>h_ticks.bi5`` holding 20-byte big-endian
 records (ms in hour u32, ask u32, bid u32, ask volume f32, bid volume f32).
 
-Decoding (A1) is a ``mapInPandas`` over the ``binaryFile`` source: each file
-is decompressed and viewed as a numpy structured array (no per-record
-Python loop); the slot comes from the path (A2). Bad files do not fail the
+Decoding (A1) reads, decompresses and views a file chunk by chunk as a numpy
+structured array; the slot comes from the path (A2). Bad files do not fail the
 job: every file also gives one row about itself, with ``error`` set for
-those. (Spark's file scans skip zero-length files: an empty body is known from
-the landing log only.)
+those. (Spark's file scans skip zero-length files, and so does the data source:
+an empty body is known from the landing log only.)
 """
 
 from __future__ import annotations
 
 import lzma
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,9 +45,6 @@ DECODED_SCHEMA = T.StructType([
     T.StructField("trailing", T.IntegerType()),
 ])
 
-_OUT_COLS = [f.name for f in DECODED_SCHEMA.fields]
-_FLUSH_ROWS = 200_000
-
 
 def slot_from_path(path="path") -> list[Column]:
     """A2: pair and slot parsed from a landing path (inverse of the path
@@ -102,43 +99,134 @@ def no_tick_files(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "path string, length long, content binary, pair string, slot timestamp")
 
 
-def _decode_file(path: str, length: int, pair: str, slot, content: bytes | None) -> pd.DataFrame:
-    """A file's records, and last one row about the file (its ``path`` set)."""
-    about = {"pair": [pair], "slot": [slot], "path": [path], "length": [length], "records": [0], "trailing": [0], "error": [None]}
+_ARROW = pa.schema([
+    ("pair", pa.string()), ("slot", pa.timestamp("us", tz="UTC")), ("seq", pa.int32()), ("ms", pa.int64()), ("ask_int", pa.int64()), ("bid_int", pa.int64()),
+    ("ask_volume", pa.float64()), ("bid_volume", pa.float64()), ("minute_volume", pa.float64()),
+    ("error", pa.string()), ("path", pa.string()), ("length", pa.int64()), ("records", pa.int64()), ("trailing", pa.int32()),
+])
+#: Bytes read and decompressed at a time; a file of any size is decoded within a few times that.
+CHUNK = 1 << 20
+
+
+class _MinuteVolumes:
+    """Volume of each minute of a file: a compensated (Kahan) sum in record
+    order with NaN skipped, which goes on from one chunk to the next. It is how
+    the reference's pandas grouped sum adds fractional volumes, so bar hashes
+    reproduce bit for bit."""
+
+    def __init__(self) -> None:
+        self.sums: dict[int, tuple[float, float]] = {}
+
+    def add(self, minute: np.ndarray, total: np.ndarray) -> None:
+        starts = np.flatnonzero(np.diff(minute, prepend=-1)).tolist()
+        values = total.tolist()
+        for a, b in zip(starts, [*starts[1:], len(values)]):
+            s, c = self.sums.get(m := int(minute[a]), (0.0, 0.0))
+            for v in values[a:b]:
+                if v == v:
+                    y = v - c
+                    t = s + y
+                    c = t - s - y
+                    if c != c:
+                        c = 0.0
+                    s = t
+            self.sums[m] = s, c
+
+
+def _batch(n: int, pair: str | None, slot, **columns) -> pa.RecordBatch:
+    known = {"pair": pa.repeat(pa.scalar(pair, pa.string()), n), "slot": pa.repeat(pa.scalar(slot, _ARROW.field("slot").type), n)}
+    known |= {k: pa.array(v, _ARROW.field(k).type) for k, v in columns.items()}
+    return pa.RecordBatch.from_arrays([known[f.name] if f.name in known else pa.nulls(n, f.type) for f in _ARROW], schema=_ARROW)
+
+
+def _inflated(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """The decompressed bytes of LZMA streams set end to end, ``CHUNK`` at a time."""
+    d = lzma.LZMADecompressor()
+    some = False
+    for chunk in chunks:
+        some = True
+        while True:
+            if d.eof:  # bytes behind a stream begin another one, or are padding
+                chunk = (d.unused_data + chunk).lstrip(b"\0")
+                if not chunk:
+                    break
+                d = lzma.LZMADecompressor()
+            out = d.decompress(chunk, CHUNK)
+            chunk = b""
+            if out:
+                yield out
+            if d.eof:
+                if not d.unused_data:
+                    break
+            elif d.needs_input:
+                break
+    if some and not d.eof:
+        raise EOFError("Compressed data ended before the end-of-stream marker was reached")
+
+
+class _Records:
+    """One pass over a file's records."""
+
+    def __init__(self, pair: str, slot) -> None:
+        self.pair, self.slot, self.n, self.rest, self.volumes = pair, slot, 0, b"", _MinuteVolumes()
+
+    def batches(self, chunks: Iterable[bytes]) -> Iterator[pa.RecordBatch]:
+        for raw in _inflated(chunks):
+            raw = self.rest + raw
+            count = len(raw) // RECORD_SIZE
+            self.rest = raw[count * RECORD_SIZE :]  # a record cut by the chunk's end; at last a trailing one, which is dropped
+            rec = np.frombuffer(raw, dtype=TICK_DTYPE, count=count)
+            ms = rec["ms"].astype(np.int64)
+            ask_v, bid_v = rec["ask_vol"].astype(np.float64), rec["bid_vol"].astype(np.float64)
+            self.volumes.add(ms // 60000, ask_v + bid_v)
+            yield _batch(
+                count, self.pair, self.slot, seq=np.arange(self.n, self.n + count, dtype=np.int32), ms=ms, ask_int=rec["ask"].astype(np.int64),
+                bid_int=rec["bid"].astype(np.int64), ask_volume=ask_v, bid_volume=bid_v)
+            self.n += count
+
+
+#: Decoded bytes of a file that are held until it is known to end well.
+HELD = 32 << 20
+
+
+def decode_file(path: str, length: int, pair: str, slot, chunks: Callable[[], Iterable[bytes]]) -> Iterator[pa.RecordBatch]:
+    """A file's records in order, then one row a minute with its volume
+    (``seq`` null), and last one row about the file (``path`` set). A file that
+    does not end well has that last row alone; as this is known at its end
+    only, a file of more than ``HELD`` decoded bytes is read a second time."""
+    about = {"path": [path], "length": [length]}
     if not pair or slot is None or pd.isna(slot):
-        return pd.DataFrame(about | {"error": ["unrecognised path"]})
-    if not content:
-        return pd.DataFrame(about)  # empty body: no_data, no ticks
+        yield _batch(1, pair, None, **about, records=[0], trailing=[0], error=["unrecognised path"])
+        return
+    held, size, records = [], 0, _Records(pair, slot)
     try:
-        raw = lzma.decompress(content)
+        for batch in records.batches(chunks()):
+            size += batch.nbytes
+            held = [*held, batch] if size <= HELD else []
     except (lzma.LZMAError, EOFError, ValueError) as exc:
-        return pd.DataFrame(about | {"error": [f"lzma: {exc}"]})
-    n, trailing = divmod(len(raw), RECORD_SIZE)  # a trailing partial record is dropped, and reported
-    rec = np.frombuffer(raw, dtype=TICK_DTYPE, count=n)
-    ms = rec["ms"].astype(np.int64)
-    ask_v, bid_v = rec["ask_vol"].astype(np.float64), rec["bid_vol"].astype(np.float64)
-    records = pd.DataFrame({
-        "pair": pair,
-        "slot": slot,
-        "seq": np.arange(n, dtype=np.int32),
-        "ms": ms,
-        "ask_int": rec["ask"].astype(np.int64),
-        "bid_int": rec["bid"].astype(np.int64),
-        "ask_volume": ask_v,
-        "bid_volume": bid_v,
-        "minute_volume": minute_volume(ms, ask_v + bid_v),
-    })
-    return pd.concat([records, pd.DataFrame(about | {"records": [n], "trailing": [trailing]})], ignore_index=True)
-
-
-def minute_volume(ms: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Per tick, the volume of its minute within this file: a compensated
-    (Kahan) sum in record order with NaN skipped — how the reference's pandas
-    grouped sum adds fractional volumes, so bar hashes reproduce bit for bit.
-    Vectorised per file (pandas' grouped sum); Spark then only carries it."""
-    minute = ms // 60000
-    sums = pd.Series(total).groupby(minute, sort=False).sum()
-    return sums.reindex(minute).to_numpy(dtype=np.float64)
+        yield _batch(1, pair, slot, **about, records=[0], trailing=[0], error=[f"lzma: {exc}"])
+        return
+    yield from held if size <= HELD else _Records(pair, slot).batches(chunks())
+    sums = records.volumes.sums
+    if sums:
+        yield _batch(len(sums), pair, slot, ms=[60000 * m for m in sums], minute_volume=[s for s, _ in sums.values()])
+    yield _batch(1, pair, slot, **about, records=[records.n], trailing=[len(records.rest)])
+
+
+_FLUSH_ROWS = 100_000
+
+
+def together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= _FLUSH_ROWS:
+            yield from pa.Table.from_batches(held, _ARROW).combine_chunks().to_batches()
+            held, rows = [], 0
+    if held:
+        yield from pa.Table.from_batches(held, _ARROW).combine_chunks().to_batches()
 
 
 _OUT_DTYPES = {"seq": "Int32", "ms": "Int64", "ask_int": "Int64", "bid_int": "Int64",
@@ -146,36 +234,29 @@ _OUT_DTYPES = {"seq": "Int32", "ms": "Int64", "ask_int": "Int64", "bid_int": "In
                "path": object, "length": "Int64", "records": "Int64", "trailing": "Int32"}
 
 
-def _emit(parts: list[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(parts, ignore_index=True).reindex(columns=_OUT_COLS).astype(_OUT_DTYPES)
-
-
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        out, rows = [], 0
-        for path, length, pair, slot, content in zip(pdf["path"], pdf["length"], pdf["pair"], pdf["slot"], pdf["content"]):
-            part = _decode_file(path, length, pair, slot, content)
-            out.append(part)
-            rows += len(part)
-            if rows >= _FLUSH_ROWS:
-                yield _emit(out)
-                out, rows = [], 0
-        if out:
-            yield _emit(out)
+        files = zip(pdf["path"], pdf["length"], pdf["pair"], pdf["slot"], pdf["content"])
+        parts = (part for path, length, pair, slot, content in files for part in decode_file(path, length, pair, slot, lambda content=content: [content] if content else []))
+        for batch in together(parts):
+            yield batch.to_pandas().astype(_OUT_DTYPES)
 
 
 def decode_tick_files(files: DataFrame) -> DataFrame:
-    """A1: raw records (DECODED_SCHEMA) from a listing with ``content``.
-
-    One output row per record in file order (``seq`` = record index), and one
-    per file with its path, length, records, trailing bytes and error. The
-    decoder never sees more than one Arrow batch of files at a time.
-    """
+    """A1: raw records (DECODED_SCHEMA) from a listing with ``content``, as
+    ``decode_file`` gives them. For frames of files at hand; whole folders are
+    read by the data source (sources/tickformat.py)."""
     return files.select("path", "length", "pair", "slot", "content").mapInPandas(_decode_batches, DECODED_SCHEMA)
 
 
-def read_tick_files(spark: SparkSession, root: str) -> DataFrame:
-    return decode_tick_files(list_tick_files(spark, root, with_content=True))
+def read_tick_files(spark: SparkSession, root: str, pairs: list[str] | None = None) -> DataFrame:
+    """Records of all files under ``root``, and one row about each file."""
+    from .tickformat import tick_format
+
+    rows = tick_format(spark).load(root)
+    if pairs:
+        rows = rows.where(F.col("pair").isin(list(pairs)))
+    return rows.where(F.col("seq").isNotNull() | F.col("path").isNotNull())
 
 
 # ------------------------------------------------------------------ encoder

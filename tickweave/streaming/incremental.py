@@ -1,11 +1,11 @@
 """Incremental load as a Structured Streaming job.
 
-New tick files landing under the raw root are picked up by the streaming
-``binaryFile`` source (bounded by ``maxFilesPerTrigger``); every micro-batch
-decodes and aggregates its files once, merges the bars into the store (dedup
-keeps stored bars, so a replayed batch is harmless), then records the slot
-outcomes in the catalog. Bars are written before the catalog: a crash in
-between only causes a replay, never a slot marked fetched without its bars.
+New tick files landing under the raw root are picked up by the tick file
+source (sources/tickformat.py; ``maxFilesPerTrigger`` bounds a batch); every
+micro-batch decodes and aggregates its files once, merges the bars into the
+store (dedup keeps stored bars, so a replayed batch is harmless), then records
+the slot outcomes in the catalog. Bars are written before the catalog: a crash
+in between only causes a replay, never a slot marked fetched without its bars.
 """
 
 from __future__ import annotations
@@ -15,22 +15,17 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.backfill import ingest_files
-from ..schemas import BINARY_FILE_SCHEMA
+from ..plans.backfill import ingest_decoded
 from ..session import ensure_utc
-from ..sources.tickfiles import FILE_GLOB, few_listing_tasks, slot_from_path
+from ..sources.tickformat import last_mark, tick_stream
 
 
-def tick_file_stream(spark: SparkSession, raw_root: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_FILE_SCHEMA)
-        .option("pathGlobFilter", FILE_GLOB)
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(raw_root)
-        .select("path", "length", "content", *slot_from_path("path"))
-    )
+def tick_file_stream(spark: SparkSession, raw_root: str, checkpoint_location: str, max_files_per_trigger: int = 1000,
+                     pairs: list[str] | None = None, settle_seconds: float = 2) -> DataFrame:
+    """Decoded rows of the files that land under ``raw_root``."""
+    reader = tick_stream(spark).option("maxFilesPerTrigger", max_files_per_trigger).option("checkpoint", checkpoint_location)
+    reader = reader.option("settleSeconds", settle_seconds)
+    return (reader.option("pairs", ",".join(pairs)) if pairs else reader).load(raw_root)
 
 
 def make_batch_handler(spark: SparkSession, store_root: str, catalog_path: str | None,
@@ -38,14 +33,15 @@ def make_batch_handler(spark: SparkSession, store_root: str, catalog_path: str |
                        landing_log: DataFrame | None = None):
     """foreachBatch body: the batch ingest (decode once, merge, then catalog).
     The batch's content is read by the decode alone; all else reads the decoded
-    copy. Of the landing log only attempts without a file count here: a file
-    that landed may belong to a later batch."""
+    copy. A file that landed again for a slot with an entry is left to a retry
+    by the batch ingest. Of the landing log only attempts without a file count
+    here: a file that landed may belong to a later batch."""
     if landing_log is not None:
         empty = F.coalesce(F.col("n_bytes"), F.lit(1)) == 0 if "n_bytes" in landing_log.columns else F.lit(False)
         landing_log = landing_log.where((F.col("http_status") != 200) | empty)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        ingest_files(spark, batch, store_root, catalog_path, knowledge_time, pairs, landing_log=landing_log)
+        ingest_decoded(spark, batch, store_root, catalog_path, knowledge_time, pairs, landing_log=landing_log, skip_known=True)
 
     return handle
 
@@ -64,27 +60,19 @@ def incremental_load(
     landing_log: DataFrame | None = None,
 ):
     """Start the incremental load; with ``available_now`` it processes every
-    file present and stops (use a processing-time trigger for a service).
-
-    Each micro-batch hands its new files to Spark as explicit paths. The
-    query's own copy of the session settings has them listed by a few tasks
-    instead of one per file; the caller's settings stay as they were.
-    ``landing_log`` is read anew by each batch.
-    """
+    file present, ``max_files_per_trigger`` at a time, and stops (use a
+    processing-time trigger for a service). ``landing_log`` is read anew by
+    each batch."""
     ensure_utc(spark)
-    stream = tick_file_stream(spark, raw_root, max_files_per_trigger)
-    if pairs:
-        stream = stream.where(F.col("pair").isin(list(pairs)))
-    writer = (
-        stream.writeStream.foreachBatch(
-            make_batch_handler(spark, store_root, catalog_path, knowledge_time, pairs=pairs, landing_log=landing_log)
-        )
-        .option("checkpointLocation", checkpoint_location)
-    )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
-    with few_listing_tasks(spark):  # the query takes a copy of the settings as it starts
-        query = writer.start()
-    if available_now:
+    # what is there when the load is asked for counts as landed
+    stream = tick_file_stream(spark, raw_root, checkpoint_location, max_files_per_trigger, pairs, 0 if available_now else 2)
+    handle = make_batch_handler(spark, store_root, catalog_path, knowledge_time, pairs=pairs, landing_log=landing_log)
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
+    if not available_now:
+        return writer.trigger(processingTime=trigger_interval).start()
+    while True:  # Spark asks a source once for all that is available: each run takes one batch
+        before = last_mark(checkpoint_location)
+        query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
-    return query
-
+        if last_mark(checkpoint_location) == before:
+            return query
