@@ -291,3 +291,14 @@ def test_layout_takes_every_piece_and_overfills_nothing():
 
 def test_digest_of_nothing():
     assert brute.sha("") == hashlib.sha256(b"").hexdigest()
+
+
+def test_a_blob_entered_twice_is_found_once_and_a_rerun_moves_nothing(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "token: abcdefgh"), (2, "none"), (2, "see ftp://u:" + "p" * 80 + "@h")], "doc_id long, text string")
+    ledger = secret_scan.new_ledger(spark)
+    first = sorted((r["doc_id"], len(r["spans"])) for r in secret_scan.findings(docs, ledger).collect())
+    assert first == [(1, 1), (2, 0), (2, 1)]
+    entries, _ = queries.written(spark.read.parquet(ledger), "ledger-copy")
+    entries.write.mode("append").partitionBy("rules").parquet(ledger)
+    monkeypatch.setattr(secret_scan, "_scan", None)  # nothing is scanned again
+    assert sorted((r["doc_id"], len(r["spans"])) for r in secret_scan.findings(docs, ledger).collect()) == first

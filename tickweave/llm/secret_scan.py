@@ -8,7 +8,8 @@ joins the ledger's findings back to every path that ever held the blob. New
 rules get a new version and so scan everything again; a rerun after a crash
 scans only what no finished run has appended.
 
-Texts move once, by (blob, path), which no group of copies makes uneven. Paths
+Where many blobs are new, texts move once, by (blob, path), which no group of
+copies makes uneven; where few or none are, no text moves. Paths
 join findings by blob as two written tables, so adaptive execution can split a
 blob that many paths hold.
 
@@ -43,7 +44,7 @@ MORE = {
     "jwt": re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     "github": re.compile(r"(?<![A-Za-z0-9_])gh[pousr]_[A-Za-z0-9]{36,}"),
     "slack": re.compile(r"(?<![A-Za-z0-9-])xox[abprs]-[A-Za-z0-9-]{10,}"),
-    "url_password": re.compile(r"://[^\s/:@]{1,64}:[^\s/:@]{1,64}@"),
+    "url_password": re.compile(r"://[^\s/:@]++:[^\s/:@]++@"),
 }
 KINDS = (*BASE_KINDS, *MORE)
 #: Keywords of ASSIGN, looked for first: most texts hold none.
@@ -89,7 +90,10 @@ def scan_unseen(versions: DataFrame, ledger: str, key: str = "doc_id", text: str
     rows = versions.select(F.col(key).alias("path"), text_of(text).alias("body")).withColumn("blob", F.sha2("body", 256))
     one = rows.groupBy("blob").agg(F.min("path").alias("path"))
     unseen, _ = written(one.join(_ledger(spark, ledger).select("blob"), "blob", "left_anti"), "unseen-blobs")
-    todo = rows.join(unseen.hint("merge"), (rows["blob"] == unseen["blob"]) & rows["path"].eqNullSafe(unseen["path"]), "left_semi")
+    if unseen.isEmpty():
+        return
+    # while few blobs are new, their table is broadcast (Spark knows its size) and no text moves
+    todo = rows.join(unseen, (rows["blob"] == unseen["blob"]) & rows["path"].eqNullSafe(unseen["path"]), "left_semi")
     found = todo.select("blob", "body").mapInPandas(_scan, f"blob string, spans {FOUND}")
     # a path listed twice with the same text is scanned twice but entered once
     found = found.groupBy("blob").agg(F.first("spans").alias("spans")).withColumn("rules", F.lit(RULES))
@@ -97,8 +101,9 @@ def scan_unseen(versions: DataFrame, ledger: str, key: str = "doc_id", text: str
 
 
 def hits(spark, ledger: str) -> DataFrame:
-    """(blob, spans) of the blobs with findings."""
-    return _ledger(spark, ledger).filter(F.size("spans") > 0).select("blob", "spans")
+    """(blob, spans) of the blobs with findings. Scans side by side, or one that
+    is run again, may have entered a blob twice; its spans are the same."""
+    return _ledger(spark, ledger).filter(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"])
 
 
 def new_ledger(spark) -> str:
