@@ -93,20 +93,29 @@ PAGES = [
     ("x<table><tr><td>a<br>b<td>c</table>y", "x\n\na | c\nb |\n\ny"),
     ("<table><tr><td>o<table><tr><td>i<td>j</table><td>p</table>", "o     | p\n      |\ni | j |"),
     ("<head><title>t</title><style>p{}</style></head><body>v<script>var t='</p>'</script>w", "vw"),
-    ("<p hidden>no<p style='color:red; display: none'>no<p>yes<span aria-hidden=\"true\">no</span>", "yes"),
+    ("<p hidden>no<p style='color:red; display: none'>no<p>yes<span aria-hidden=\"true\">too</span>", "yestoo"),
     ("<pre>  a\n   b </pre>c", "  a\n   b\n\nc"),
     ("a &amp; b &lt;c&gt; &eacute;&nbsp;d", "a & b <c> é\xa0d"),
     ("x<!-- > no -->y<!---->z<!-- open", "xyz"),
     ("1 < 2 and <3 but <a href='>'>link</a> <b", "1 < 2 and <3 but link"),
     ("<h1>H</h1><p>p</p><blockquote>q</blockquote><dl><dt>t<dd>d</dl>", "H\n\np\n\n  q\n\nt\n  d"),
     ("</p>a</div></b>b</p>c", "ab\n\nc"),
-    ("<select><option>o</select><textarea>t</textarea><noscript>n</noscript>", "t"),
+    ("<select><option>o<option>p</select><textarea>t</textarea><noscript>n</noscript>", "o p t"),
     ("<p>a<table><tr><td>b</p>c</table>", "a\n\nb\n\nc"),
 ]
 
 
 FORMULA = "<math><semantics><mrow><mi>y</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation encoding='application/x-tex'>y=\\frac12</annotation></semantics></math>"
 MORE_PAGES = [
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a | b\n  | c"),
+    ("<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e<tr><td colspan=2>f<td>g</table>", "a | b | c\nd |   | e\nf |   | g"),
+    ("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c</table>", "a |  | b\n  |  | c"),
+    ("<p style='display:\tnone'>no<p style=\"visibility : hidden\">no<b style='visibility:visible'>yes</b>no", "yes"),
+    ("<b><p>x</b>y</p>z", "xy\n\nz"),
+    ("<a><div>one</a> two</div>three", "one two\nthree"),
+    ("<p>a<span>b</p>c</span>d", "ab\n\ncd"),
+    ("<ol><li>a<li value=7>b<li>c<li value=x>d</ol>", "1. a\n7. b\n8. c\n9. d"),
+    ("<p>x <span aria-hidden=true>star</span> <math><mi>y</mi></math><p><i aria-hidden='true'>z</i>", "x star y\n\nz"),
     (f"<p>so {FORMULA}.", "so y= 1 2 ."),
     (f"so <span class=katex><span class=katex-mathml>{FORMULA}</span><span class=katex-html aria-hidden='true'>y=21</span></span>!", "so y= 1 2 !"),
     ("a <svg width='9'><title>t</title><defs/><style>x{}</style><path d='M0'/>no<text x=1>10</text><g><text>2<tspan>0</tspan></text></g></svg> b", "a 10 20 b"),
@@ -169,3 +178,11 @@ def test_pages_awkward(spark):
     got = sorted((r["page_id"] or 0, len(r["text"])) for r in html_text.extract(df).collect())
     assert got == [(0, 1), (1, 0), (2, 0), (2, 99_999)]
     assert html_text.extract(df.filter(F.lit(False))).count() == 0
+
+
+def test_a_rewritten_conversation_has_no_digests(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "user", "c")], "conv_id long, turn long, role string, text string")
+    counting = lambda turns: f"{len(turns)}:" + "".join(t for _, t in turns) if len(turns) > 1 else "".join(t for _, t in turns)
+    got = {r["conv_id"]: r for r in chat_format.digests(chat_format.format_conversations(rows, counting)).collect()}
+    assert (got[1]["rewrites_history"], got[1]["n_turns"], got[1]["loss_sha256"], got[1]["formatted_chars"]) == (True, None, None, 4)
+    assert got[2]["rewrites_history"] is False

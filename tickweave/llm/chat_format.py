@@ -143,16 +143,22 @@ def format_conversations(rows: DataFrame, template: Callable[[list[Turn]], str]
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What the formatted texts and their loss masks hold when read back."""
+    """What the formatted texts and their loss masks hold when read back. A
+    conversation whose template rewrites history has no spans: all but its
+    length is null."""
     @F.pandas_udf("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
     def back(texts: pd.Series, masks: pd.Series) -> pd.DataFrame:
         out = []
         for text, spans in zip(texts, masks):
+            if spans is None:
+                out.append((None, None, None, None, len(text)))
+                continue
             turns = read_back(text)
             loss = "".join(unescape(text[s["loss_start"] : s["loss_end"]]) for s in spans)
             sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
             out.append((len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(text)))
-        return pd.DataFrame(out, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+        columns = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        return pd.DataFrame(out, columns=columns).astype({"n_turns": "Int64", "loss_chars": "Int64"})
 
     masks = F.filter("spans", lambda s: s["loss_start"].isNotNull())
     return formatted.withColumn("back", back("formatted", masks)).select("conv_id", "back.*", F.col("rewritten_at").isNotNull().alias("rewrites_history"))

@@ -6,10 +6,12 @@ paragraphs with a blank line between), list items get their mark and depth, the
 cells of a table are padded to its columns, preformatted text keeps its white
 space. Of a drawing the text elements and embedded HTML are read (not what only
 ``use`` would show), of a formula its MathML, without annotations and with its
-parts (numerator, exponent) set apart by a space. Where a formula stands twice,
-as MathML and as a rendered copy under ``aria-hidden``, the MathML is the one
-kept: what has ``aria-hidden`` gives nothing, nor do the options of ``select``.
-Both steps use explicit stacks and read the page once, so deep or broken
+parts (numerator, exponent) set apart by a space. What has ``aria-hidden`` is on
+the screen and is emitted, but for the rendered copy of a formula that stands
+right behind its MathML: of the two the MathML is kept. All options of a
+``select`` are emitted. Visibility is inherited as in CSS, from ``style``
+attributes; rules of style sheets are not applied. Cells stand in the columns
+that ``colspan`` and ``rowspan`` leave them. Both steps use explicit stacks and read the page once, so deep or broken
 pages are no special case.
 
 Defined results: null and empty pages give the empty text. An unclosed comment,
@@ -32,10 +34,11 @@ from tickweave.llm.common import text_of
 TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?>[^>"'=]+|=\s*+(?:"[^"]*"|'[^']*'|(?!["']))|["'])*+)>""")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 SPACES = re.compile(r"[ \t\n\r\f]+")
+VISIBILITY = re.compile(r"(?:^|;)visibility:(visible|hidden|collapse)")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("""head script style template noscript iframe object datalist noembed noframes audio video canvas select title
+HIDDEN = frozenset("""head script style template noscript iframe object datalist noembed noframes audio video canvas title
     annotation annotation-xml mphantom""".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul xmp caption thead tbody tfoot tr td th""".split())
@@ -50,6 +53,7 @@ DRAWN = frozenset(["text", "foreignobject"])
 UNDRAWN = frozenset("defs symbol metadata desc clippath mask marker pattern".split())
 #: Parts of a formula that stand above, below or beside each other.
 PARTS = frozenset("mfrac msub msup msubsup munder mover munderover mmultiscripts mroot mtr mtable".split())
+CHOICES = frozenset(["select", "option", "optgroup"])
 #: A start tag ends an open element of the set, looked for up to the scope.
 IMPLIED = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu", "dir", "table"])),
@@ -68,25 +72,28 @@ WALLS = frozenset(["table", "td", "th", "caption"])
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "math", "behind_math")
 
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.math = self.behind_math = False  # holds a formula; stands right behind what does
 
     def attributes(self) -> dict[str, str]:
         return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(self.attrs)}
 
-    def hidden(self) -> bool:
+    def shown(self) -> tuple[bool, bool | None]:
+        """Whether the element is rendered, and its own visibility if it says so."""
         if self.tag in HIDDEN:
-            return True
-        if not self.attrs:
-            return False
+            return False, None
         low = self.attrs.lower()
         if "hidden" not in low and "style" not in low:
-            return False
+            return True, None
         a = self.attributes()
-        style = a.get("style", "").lower().replace(" ", "")
-        return "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style
+        style = SPACES.sub("", a.get("style", "").lower())
+        if "hidden" in a or "display:none" in style or self.behind_math and a.get("aria-hidden", "").lower() == "true":
+            return False, None
+        own = VISIBILITY.findall(style)
+        return True, own[-1] == "visible" if own else None
 
 
 class Builder:
@@ -96,7 +103,15 @@ class Builder:
         self.count = {"html": 1}  # open elements by tag: an end tag without a start is told at once
 
     def push(self, node: Node) -> None:
+        near = next((c for c in reversed(self.open[-1].children) if not isinstance(c, str) or c.strip()), None)
+        node.behind_math = isinstance(near, Node) and near.math
         self.open[-1].children.append(node)
+        if node.tag == "math":
+            node.math = True
+            for k in range(len(self.open) - 1, -1, -1):
+                if self.open[k].math:
+                    break
+                self.open[k].math = True
         if node.tag not in VOID:
             self.open.append(node)
             self.count[node.tag] = self.count.get(node.tag, 0) + 1
@@ -138,8 +153,27 @@ class Builder:
             self.push(Node("p"))
             self.cut(len(self.open) - 1)
         elif tag not in ("html", "body"):
+            if tag not in BLOCK and not any(self.count.get(t) for t in FOREIGN) and self.end_inline(tag):
+                return
             self.close(frozenset([tag]), WALLS - {tag} if tag not in ("table", "tr", "thead", "tbody", "tfoot") else frozenset(["table"]) - {tag})
 
+    def end_inline(self, tag: str) -> bool:
+        """An inline end tag leaves the blocks open that began within its
+        element. False if there are none, so that the element may end as others do."""
+        if not self.count.get(tag):
+            return True
+        blocks = False
+        for k in range(len(self.open) - 1, 0, -1):
+            if self.open[k].tag == tag:
+                if blocks:
+                    del self.open[k]
+                    self.count[tag] -= 1
+                return blocks
+            if self.open[k].tag in WALLS:
+                break
+            blocks |= self.open[k].tag in BLOCK
+        return True
+
     def text(self, text: str) -> None:
         if text:
             self.open[-1].children.append(entities.unescape(text) if "&" in text else text)
@@ -250,34 +284,62 @@ class Sink:
         return "\n".join(x.rstrip(" ") for x in self.lines).strip("\n")
 
 
-def table_lines(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Rows of (text, columns) cells, padded so that columns begin alike."""
-    grid: list[list[list[str]]] = []
-    for row in rows:
-        cells: list[list[str]] = []
-        for text, span in row:
-            cells += [text.split("\n")] + [[""]] * (span - 1)
+#: A cell: its text, and the columns and rows that it takes (0 rows: all that are left).
+Cell = tuple[str, int, int]
+
+
+def table_lines(rows: list[list[Cell]]) -> list[str]:
+    """Rows of cells, padded so that columns begin alike. A cell takes the first
+    columns that no cell of a row above still holds."""
+    grid: list[dict[int, list[str]]] = []
+    held: dict[int, int] = {}  # column: rows that a cell above still takes
+    for at, row in enumerate(rows):
+        cells = {k: [""] for k in held}
+        left = {k: n - 1 for k, n in held.items() if n > 1}
+        column = 0
+        for text, span, down in row:
+            while column in cells:
+                column += 1
+            down = min(down or len(rows), len(rows) - at)
+            for k in range(column, column + span):
+                cells[k] = [""]
+                if down > 1:
+                    left[k] = down - 1
+            cells[column] = text.split("\n")
+            column += span
         grid.append(cells)
-    n = max((len(r) for r in grid), default=0)
-    wide = [max((width(x) for r in grid if k < len(r) for x in r[k]), default=0) for k in range(n)]
+        held = left
+    n = max((max(r, default=-1) + 1 for r in grid), default=0)
+    wide = [0] * n
+    for r in grid:
+        for k, lines in r.items():
+            wide[k] = max(wide[k], *map(width, lines))
     out = []
     for r in grid:
-        for i in range(max((len(c) for c in r), default=0)):
-            parts = [c[i] if i < len(c) else "" for c in r]
+        cells = [r.get(k, [""]) for k in range(max(r, default=-1) + 1)]
+        for i in range(max(map(len, cells), default=0)):
+            parts = [c[i] if i < len(c) else "" for c in cells]
             out.append(" | ".join(p + " " * (wide[k] - width(p)) for k, p in enumerate(parts)).rstrip())
     return out
 
 
+def _number(node: Node, name: str, most: int, least: int = 1) -> int:
+    """A cell's span: 1 if it is not a number from ``least`` on."""
+    value = node.attributes().get(name, "1") if node.attrs else "1"
+    return min(int(value), most) if re.fullmatch("[0-9]{1,9}", value) and int(value) >= least else 1
+
+
 def visible_text(page: str | None) -> str:
     sinks, tables, lists = [Sink()], [], []  # tables: rows of cells; lists: next number or None
     pre = 0
     drawn = [True]  # within a drawing: whether text shows here
+    seen = [True]  # visibility of the element and those around it
     stack: list[tuple[object, bool]] = [(parse(page or ""), False)]
     while stack:
         node, leaving = stack.pop()
         out = sinks[-1]
         if isinstance(node, str):
-            if not drawn[-1]:
+            if not drawn[-1] or not seen[-1]:
                 continue
             if pre:
                 out.exact(node)
@@ -286,7 +348,8 @@ def visible_text(page: str | None) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if node.hidden() or len(drawn) > 1 and tag in UNDRAWN:
+            rendered, own = node.shown()
+            if not rendered or len(drawn) > 1 and tag in UNDRAWN:
                 continue
             if tag == "svg" or len(drawn) > 1 and tag in DRAWN:
                 if tag != "svg":
@@ -297,6 +360,9 @@ def visible_text(page: str | None) -> str:
                 out.lines.append(out.line)
                 out.line, out.space = "", False
                 continue
+            seen.append(seen[-1] if own is None else own)
+            if tag in CHOICES:
+                out.words(" ")
             if tag == "table":
                 out.end_line(True)
                 tables.append([])
@@ -314,6 +380,8 @@ def visible_text(page: str | None) -> str:
                 elif tag == "li":
                     mark = "- "
                     if lists and lists[-1] is not None:
+                        if re.fullmatch(r"-?[0-9]{1,9}", own_number := node.attributes().get("value", "") if node.attrs else ""):
+                            lists[-1] = int(own_number)
                         mark, lists[-1] = f"{lists[-1]}. ", lists[-1] + 1
                     out.mark = mark
                     out.indent.append(" " * len(mark))
@@ -329,6 +397,9 @@ def visible_text(page: str | None) -> str:
                 stack.extend((c, False) for c in reversed(node.children))
             continue
         pre -= tag in PRE
+        seen.pop()
+        if tag in CHOICES:
+            out.words(" ")
         if tag == "svg" or len(drawn) > 1 and tag in DRAWN:
             drawn.pop()
             if tag != "svg":
@@ -343,8 +414,7 @@ def visible_text(page: str | None) -> str:
             out.end_line(True)
         elif tag in ("td", "th") and tables:
             cell = sinks.pop().text()
-            span = node.attributes().get("colspan", "1") if node.attrs else "1"
-            tables[-1][-1].append((cell, min(int(span), 1000) if re.fullmatch("[1-9][0-9]{0,8}", span) else 1))
+            tables[-1][-1].append((cell, _number(node, "colspan", 1000), _number(node, "rowspan", 65534, least=0)))
         elif tag in BLOCK and not (tag == "tr" and tables):
             out.end_line(tag in SPACED and not (tag in ("ul", "ol") and len(lists) > 1))
             if tag in ("ul", "ol", "menu", "dir"):
