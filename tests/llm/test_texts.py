@@ -239,3 +239,21 @@ def test_grams_from_single_letters_to_affixes_of_three():
 
 def test_fixture_has_what_it_should():
     assert None in awkward_texts() and "" in awkward_texts()
+
+
+def test_marks_go_on_with_a_word():
+    assert language_id.words_of("हिन्दी भाषा") == ["हिन्दी", "भाषा"]
+    assert language_id.words_of("ภาษาไทยนี้ กำลัง") == ["ภาษาไทยนี้", "กำลัง"]
+    assert language_id.words_of("مُحَمَّد می\u200cخواهم 12 \u0301 \u0301abc e\u0301t\u0301") == ["مُحَمَّد", "می\u200cخواهم", "abc", "e\u0301t\u0301"]
+
+
+def test_small_languages_keep_their_words_and_long_texts_teach(spark):
+    many = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + k % 26)}{chr(97 + i // 26 % 26)}{chr(97 + k // 26)}" for k in range(200)), "en") for i in range(400)]
+    few = [(1000 + i, "xyzzy qwqwq zzyzx", "pt") for i in range(5)]
+    counts = language_id.lexicon(spark.createDataFrame([(t, g) for _, t, g in many + few], "body string, lang string"), 300)
+    assert {"xyzzy", "qwqwq", "zzyzx"} <= set(counts["word"]) and counts["word"].nunique() <= 300
+    assert len(counts[counts["lang"] == "en"]) >= 100
+    long = [(i, "uma casa muito grande e bonita. " * 800, "pt") for i in range(20)] + [(100 + i, f"the house number {i} is big", "en") for i in range(60)]
+    docs = spark.createDataFrame(long, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(docs, language_id.learn(docs)).collect()}
+    assert {got[i] for i in range(20)} == {"pt"} and {got[100 + i] for i in range(60)} == {"en"}

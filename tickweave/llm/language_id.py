@@ -7,10 +7,12 @@ affixes) and its share in a lexicon; learned transitions join neighbours.
 Forward-backward gives every word's probabilities; the text's language is the
 one with the largest share of its words, the share is the score.
 
-The lexicon counts the words of all texts learned from, by language; its most
-frequent words, at most ``LEXICON``, are broadcast. The field is fitted on the driver
-on at most ``TRAIN_DOCS`` labelled texts a language, of ``TRAIN_CHARS``
-characters at most, chosen by a hash of their ids. Prediction reads whole texts
+The lexicon counts the words of all texts learned from, by language; the most
+frequent ones of each language, at most ``LEXICON`` in equal parts, are
+broadcast. At most ``LANGS`` languages are learned, those of the most labelled
+texts. The field is fitted on the driver on at most ``TRAIN_DOCS`` labelled
+texts a language, chosen by a hash of their ids; of a text of more than
+``TRAIN_CHARS`` characters it takes as many from a place that the hash gives. Prediction reads whole texts
 without a shuffle: each distinct word of a task is scored once, and the chains
 of a block of texts step forward together.
 
@@ -35,6 +37,8 @@ from tickweave.llm.common import text_of, written
 
 FOLDS, HELD_OUT = 4, 2
 LEXICON = 20_000
+#: Languages that are learned: the most frequent labels.
+LANGS = 64
 TRAIN_DOCS = 200
 TRAIN_CHARS = 20_000
 BUCKETS = 1 << 15
@@ -42,12 +46,14 @@ GRAMS = (1, 2, 3, 4)
 ROUNDS = 30
 #: Distinct (word, language) counts that a task holds before it passes them on.
 HELD = 500_000
-#: Characters of text whose words are scored together, and distinct words whose scores a task keeps.
+#: Characters of text whose words are scored together, and scores of distinct words that a task keeps.
 BLOCK = 4_000_000
-KEPT = 600_000
+KEPT = 2_400_000
 #: Words of a chain that are stepped through one after the other.
 STRETCH = 256
 BEGIN, STOP = "\x02", "\x03"
+#: What goes on with a word beside letters: marks (vowel signs, accents) and the two joiners.
+JOINED = r"\p{M}\x{200C}\x{200D}"
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -60,7 +66,8 @@ class Words:
 
     def __init__(self, texts: list[str]):
         low = pc.utf8_lower(pa.array(texts, pa.string()))
-        lines = pc.replace_substring(pc.replace_substring_regex(low, r"[^\p{L}\n]+", " "), "\n", " \n ")
+        lines = pc.replace_substring(pc.replace_substring_regex(low, rf"[^\p{{L}}{JOINED}\n]+", " "), "\n", " \n ")
+        lines = pc.replace_substring_regex(lines, f"(^| )[{JOINED}]+", r"\1")  # a word begins with a letter
         lists = pc.split_pattern(lines, " ")
         coded = lists.flatten().dictionary_encode()
         code, self.distinct = coded.indices.to_numpy(), coded.dictionary
@@ -92,7 +99,7 @@ def blocks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 
 
 def lexicon(rows: DataFrame, size: int = LEXICON) -> pd.DataFrame:
-    """The most frequent words of ``rows`` (body, lang) with their counts by language."""
+    """The most frequent words of each language in ``rows`` (body, lang) with their counts in all of them."""
     kinds = pa.schema([("word", pa.string()), ("lang", pa.string()), ("n", pa.int64())])
 
     def count(batches):
@@ -121,18 +128,15 @@ def lexicon(rows: DataFrame, size: int = LEXICON) -> pd.DataFrame:
     counts = rows.mapInArrow(count, "word string, lang string, n long")
     by_word = counts.groupBy("word", "lang").agg(F.sum("n").alias("n"))
     by_word, _ = written(by_word, "lexicon")
-    totals = by_word.groupBy("word").agg(F.sum("n").alias("total"))
-    # from how many occurrences on are there at most ``size`` words: by steps of an eighth of a doubling
-    step = F.floor(8 * F.log2("total")).cast("int")
-    least, words = None, 0
-    for r in sorted(totals.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["step"]):  # at most 504 rows
-        words += r["n"]
-        if words > size:
-            break
-        least = r["step"]
-    if least is None:
-        return by_word.limit(0).toPandas()
-    top = totals.filter(step >= least).select("word")
+    # from which band on (an eighth of a doubling) a language has its part, then the part itself by rank
+    part = max(1, size // max(1, by_word.select("lang").distinct().count()))
+    band = F.floor(8 * F.log2("n")).cast("int")
+    bands = by_word.groupBy("lang", band.alias("band")).agg(F.count(F.lit(1)).alias("words"))  # at most 504 rows a language
+    above = F.sum("words").over(Window.partitionBy("lang").orderBy(F.col("band").desc()).rowsBetween(Window.unboundedPreceding, -1))
+    least = bands.withColumn("above", F.coalesce(above, F.lit(0))).filter(F.col("above") < part).groupBy("lang").agg(F.min("band").alias("least"))
+    few = by_word.join(F.broadcast(least), "lang").filter(band >= F.col("least"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
+    top = few.withColumn("nth", nth).filter(F.col("nth") <= part).select("word").distinct()
     return by_word.join(top, "word", "left_semi").toPandas()  # at most ``size`` words
 
 
@@ -299,8 +303,13 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     """A model of the labelled texts outside the held-out fold."""
     rows = docs.filter(~held_out(doc_id) & F.col(lang).isNotNull()).select(
         F.col(doc_id).cast("string").alias("id"), text_of(text).alias("body"), F.col(lang).cast("string").alias("lang"))
+    many = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGS)
+    many, _ = written(many.select("lang"), "languages")
+    rows = rows.join(F.broadcast(many), "lang", "left_semi")  # at most LANGS rows
     counts = lexicon(rows.select("body", "lang"))
-    short = rows.withColumn("chars", F.char_length("body")).filter(F.col("chars").between(1, TRAIN_CHARS))
+    chars = F.char_length("body")
+    at = F.when(chars > TRAIN_CHARS, F.pmod(F.xxhash64("id"), chars - TRAIN_CHARS)).otherwise(0).cast("int")
+    short = rows.filter(chars > 0).select("id", "lang", F.substring("body", at + 1, F.lit(TRAIN_CHARS)).alias("body"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id"))
     picked = short.select("id", "lang", F.xxhash64("id").alias("order")).withColumn("nth", nth).filter(F.col("nth") <= TRAIN_DOCS).select("id", "lang")
     picked, _ = written(picked.distinct(), "language-sample")
@@ -311,7 +320,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
 
 class Scorer:
-    """Scores each distinct word of a task once (up to KEPT)."""
+    """Scores each distinct word of a task once (up to KEPT scores)."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -319,7 +328,7 @@ class Scorer:
         self.scores = np.zeros((0, len(model.langs)))
 
     def of(self, words: pa.Array) -> np.ndarray:
-        if len(self.words) > KEPT:
+        if self.scores.size > KEPT:
             self.__init__(self.model)
         at = pc.index_in(words, value_set=self.words)
         if at.null_count:
