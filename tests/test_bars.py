@@ -294,3 +294,11 @@ def test_crash_between_rewrite_and_append_then_replay(spark, monkeypatch):
     monkeypatch.undo()
     merge_bars(spark, batch, crashed, T0)  # replay
     assert _store_rows(spark, crashed) == _store_rows(spark, clean)
+
+
+def test_empty_bars_are_typed(spark):
+    """No rows, the bars' columns and types, and a frame the operators take."""
+    empty = B.empty_bars(spark)
+    assert empty.schema == BAR_SCHEMA and empty.count() == 0
+    assert B.dedup_bars(B.stamp_bars(empty, T0)).count() == 0 and B.bars_valid(empty).schema == BAR_SCHEMA
+    assert merge_bars(spark, empty, scratch_path(spark, "t-store"), T0).partitions == []

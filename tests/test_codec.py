@@ -177,3 +177,72 @@ def test_encoder_groups_across_arrow_batches(spark):
         assert got == sorted((p, 10 + h, 5 + 6 * h, 4 + 6 * h) for p in ("EURUSD", "GBPUSD") for h in range(3))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_source_prunes_folders_and_deals_by_bytes(spark):
+    """Filters on pair and slot are taken over whole; a large file is decoded in pieces that add up."""
+    from tickweave.sources import tickfiles, tickformat
+
+    root = _local(spark, "t-raw")
+    times = [dt.datetime(2023, 12, 31, 23), dt.datetime(2024, 1, 3, 10), dt.datetime(2024, 1, 3, 11), dt.datetime(2024, 2, 1, 0)]
+    for pair in ("EURUSD", "USDJPY", "GBPUSD"):
+        for t in times:
+            _write(root, pair, t, lzma.compress(_records(3), format=lzma.FORMAT_ALONE))
+    os.makedirs(os.path.join(root, "EURUSD/latest"))
+    with open(os.path.join(root, "EURUSD/latest/10h_ticks.bi5"), "wb") as f:
+        f.write(b"x")
+    rows = tickformat.tick_format(spark).load(root).where("path IS NOT NULL")
+    assert rows.count() == 13
+    slots = lambda df: sorted((r["pair"], r["slot"]) for r in df.collect())
+    got = rows.where("pair IN ('EURUSD', 'USDJPY') AND slot >= timestamp'2024-01-03 11:00:00' AND slot < timestamp'2024-02-01 00:00:00'")
+    assert slots(got) == [("EURUSD", times[2]), ("USDJPY", times[2])]
+    scan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "EURUSD" not in scan and "2024-01-03" not in scan  # no filter is left for Spark but those on nulls
+    assert slots(rows.where("slot = timestamp'2024-02-01 00:00:00'")) == [(p, times[3]) for p in ("EURUSD", "GBPUSD", "USDJPY")]
+    wanted = tickformat.Wanted({"EURUSD"})
+    wanted.slots.append(("LessThan", times[1].replace(tzinfo=dt.timezone.utc)))
+    assert [w.folder(p) for w in (wanted,) for p in (["EURUSD"], ["EURUSD", "2023"], ["EURUSD", "2024", "01"], ["EURUSD", "2024", "02"], ["EURUSD", "latest"], ["USDJPY"])] == [
+        True, True, True, False, False, False]
+    parts = tickformat.partitions(root, [(f"f{i}", 100) for i in range(10)], 350, 10)
+    assert [len(p.files) for p in parts] == [3, 3, 3, 1]
+    assert tickfiles.read_tick_files(spark, root, ["USDJPY"]).where("path IS NULL").count() == 12
+
+
+def test_a_large_file_is_decoded_in_bounded_memory(monkeypatch):
+    """Chunks cut records anywhere; what is yielded equals one decode of the whole, and little is held."""
+    import tracemalloc
+
+    from tickweave.sources import tickfiles as F
+
+    rng = np.random.default_rng(5)
+    rec = np.zeros(400_000, dtype=TICK_DTYPE)
+    rec["ms"] = np.sort(rng.integers(0, 3_600_000, len(rec)))
+    rec["ask"], rec["bid"] = 110000, 109990
+    rec["ask_vol"], rec["bid_vol"] = rng.random(len(rec), dtype=np.float32) * 1e3, np.nan
+    rec["bid_vol"][::2] = 0.3
+    blob = lzma.compress(rec.tobytes() + b"1234567", format=lzma.FORMAT_ALONE)
+
+    def decoded(size, held, blob=blob):
+        monkeypatch.setattr(F, "CHUNK", size)
+        monkeypatch.setattr(F, "HELD", held)
+        chunks = lambda: (blob[i : i + size] for i in range(0, len(blob), size))
+        return F.decode_file("p", len(blob), "EURUSD", dt.datetime(2024, 1, 3, 10), chunks)
+
+    whole = list(decoded(1 << 30, 1 << 30))
+    total = lambda name: np.concatenate([b.column(name).to_numpy(zero_copy_only=False) for b in whole])
+    want = {c: total(c) for c in ("seq", "ms", "minute_volume", "records", "trailing")}
+    import pandas as pd
+
+    volume = rec["ask_vol"].astype(float) + rec["bid_vol"].astype(float)
+    assert [x for x in want["minute_volume"] if x == x] == pd.Series(volume).groupby(rec["ms"] // 60000).sum().tolist()
+    tracemalloc.start()
+    got = {c: [] for c in want}
+    for b in decoded(7001, 50_000):
+        for c in got:
+            got[c].append(b.column(c).to_numpy(zero_copy_only=False))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(np.array_equal(np.concatenate(got[c]), want[c], equal_nan=True) for c in ("ms", "minute_volume", "records", "trailing"))
+    assert peak < 30_000_000 and want["records"][-1] == len(rec) and want["trailing"][-1] == 7
+    bad = list(decoded(7001, 50_000, blob[: len(blob) // 2]))
+    assert [b.num_rows for b in bad] == [1] and bad[0].column("error")[0].as_py().startswith("lzma")

@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
         q.add_argument("--catalog", required=True)
         q.add_argument("--pairs", nargs="*")
         q.add_argument("--log", help="landing log (Parquet: pair, slot, http_status, n_bytes)")
+        q.add_argument("--retry-errors", action="store_true", help="ingest: read again what is not fetched")
         if name == "stream":
             q.add_argument("--checkpoint", required=True)
             q.add_argument("--max-files", type=int, default=1000)
@@ -71,12 +72,12 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "plan":
         cat = api.read_catalog(spark, args.catalog)
         wl = api.plan_worklist(spark, cat, _as_of(args.as_of), args.pairs, args.max_hours,
-                               args.retry_errors, raw_root=args.raw_root)
+                               args.retry_errors, raw_root=args.raw_root, maps=api.read_hour_maps(spark, args.catalog))
         wl.orderBy("position").show(args.show, truncate=False)
     elif args.cmd == "ingest":
-        res = api.ingest(spark, args.raw, args.store, args.catalog, pairs=args.pairs, landing_log=log)
+        res = api.ingest(spark, args.raw, args.store, args.catalog, pairs=args.pairs, landing_log=log, retry_errors=args.retry_errors)
         print(f"slots {res.slots}  errors {res.errors}  new bars {res.merge.new_bars}  "
-              f"partitions {len(res.merge.partitions)}  files {res.files}  already fetched {res.skipped}  "
+              f"partitions {len(res.merge.partitions)}  files {res.files}  left alone {res.skipped}  "
               f"paths without a slot {res.unplaced}  with trailing bytes {res.trailing}")
         res.outcomes.where("error IS NOT NULL OR trailing > 0").select("path", "status", "records", "trailing", "error").show(50, truncate=False)
     elif args.cmd == "stream":

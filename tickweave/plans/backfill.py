@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import hourmaps as H
 from ..operators import slots as S
 from ..operators.quality import qa_report, qa_report_document
 from ..operators.status import pair_status, status_rollup
@@ -38,8 +39,11 @@ def plan_worklist(
     start: dt.datetime = S.TARGET_START,
     raw_root: str = "raw",
     base_url: str = BASE_URL,
+    maps: DataFrame | None = None,
 ) -> DataFrame:
-    """E5 + E4/F3 + E7 + A3: the slots a run would fetch, in fetch order."""
+    """E5 + E4/F3 + E7 + A3: the slots a run would fetch, in fetch order.
+    Pending slots come from the catalog's hour maps (``read_hour_maps``, or made
+    from ``catalog`` here); the catalog itself is read for errors only."""
     ensure_utc(spark)
     inst = instruments(spark, pairs)
     limit = S.DEFAULT_MAX_HOURS if max_hours is None else max_hours
@@ -47,7 +51,7 @@ def plan_worklist(
     if retry_errors:
         batch = S.error_batch(catalog, quota, limit)
     else:
-        batch = S.next_batch(S.expected_slots(spark, as_of, start, pairs), catalog, quota, limit)
+        batch = H.next_batch(spark, H.slot_maps(catalog) if maps is None else maps, as_of, quota, limit, start, pairs)
     manifest = S.download_manifest(batch, raw_root, base_url)
     return S.worklist(batch).join(manifest, S.SLOT_KEY, "left")
 

@@ -234,13 +234,24 @@ def q_catalog_scan(spark, sf_dir):
     return read_catalog(spark, path)
 
 
+def _hour_maps(spark, sf_dir):
+    """Hour maps kept beside the fixture's catalog, and the range to plan."""
+    from ..session import scratch_path
+    from ..sources.catalog import read_hour_maps, write_catalog
+
+    path = scratch_path(spark, "catalog")
+    write_catalog(FX.fixture_catalog(spark, sf_dir), path)
+    start, as_of = FX.fixture_range(spark, sf_dir)
+    return read_hour_maps(spark, path), start, as_of
+
+
 @register("pending_slots")
 def q_pending_slots(spark, sf_dir):
-    """Expected slots without a catalog entry."""
-    from ..operators.slots import pending_slots
+    """Expected slots without a catalog entry, from the hour maps."""
+    from ..operators.hourmaps import pending
 
-    exp, cat = _slot_inputs(spark, sf_dir)
-    return pending_slots(exp, cat)
+    maps, start, as_of = _hour_maps(spark, sf_dir)
+    return pending(spark, maps, as_of, start)
 
 
 @register("slot_status")
@@ -269,11 +280,11 @@ def q_pair_quota(spark, sf_dir):
 
 @register("next_batch")
 def q_next_batch(spark, sf_dir):
-    """Newest pending slots per pair, up to the quota."""
-    from ..operators.slots import next_batch
+    """Newest pending slots per pair, up to the quota, from the hour maps."""
+    from ..operators.hourmaps import next_batch
 
-    exp, cat = _slot_inputs(spark, sf_dir)
-    return next_batch(exp, cat, _configured_quota(spark), QUOTA_MAX_HOURS)
+    maps, start, as_of = _hour_maps(spark, sf_dir)
+    return next_batch(spark, maps, as_of, _configured_quota(spark), QUOTA_MAX_HOURS, start)
 
 
 @register("error_batch")
@@ -608,21 +619,41 @@ def q_file_outcomes(spark, sf_dir):
                       F.split("error", ":")[0].alias("error"))
 
 
+def _cut_some(root, pair, slot, raw):
+    from ..sources.tickfiles import sound_file
+
+    path, blob = sound_file(root, pair, slot, raw)
+    return path, blob[: len(blob) // 2] if slot.hour % 7 == 1 else blob
+
+
+def _misplaced(root, pair, slot, raw):
+    from ..sources.tickfiles import sound_file
+
+    path, blob = sound_file(root, pair, slot, raw)
+    return path.replace(f"/{slot.month:02d}/{slot.day:02d}/{slot.hour:02d}h", f"/13/{slot.day:02d}/{slot.hour:02d}h"), blob
+
+
 @register("ingest_loop")
 def q_ingest_loop(spark, sf_dir):
     """K: plan, ingest with the landing log, plan again: what stays pending
-    after two ingests, the second of which finds nothing new to decode."""
-    from ..operators.slots import pending_slots
+    after two ingests, the second of which decodes nothing, be a file sound,
+    corrupt or under a path that names no slot."""
+    from ..operators.hourmaps import pending
     from ..session import scratch_path
-    from ..sources.catalog import read_catalog
+    from ..sources.catalog import read_hour_maps
+    from ..sources.tickfiles import write_tick_files
     from .backfill import ingest
 
-    exp, log = _landing_log(spark, sf_dir)
-    raw, store, catalog = land_fixture_files(spark, sf_dir), scratch_path(spark, "bars"), scratch_path(spark, "catalog")
+    _, log = _landing_log(spark, sf_dir)
+    start, as_of = FX.fixture_range(spark, sf_dir)
+    raw, store, catalog = (scratch_path(spark, name) for name in ("raw", "bars", "catalog"))
+    records = FX.fixture_records(spark, sf_dir)
+    write_tick_files(records, raw, ["ts", "event_id"], _cut_some).write.parquet(f"{raw}/_landed")
+    write_tick_files(records.where(F.hour("slot") % 7 == 4), raw, ["ts", "event_id"], _misplaced).write.parquet(f"{raw}/_misplaced")
     stamp = dt.datetime.fromisoformat(FX.KNOWLEDGE_TIME_1)
     ingest(spark, raw, store, catalog, stamp, landing_log=log)
     again = ingest(spark, raw, store, catalog, stamp, landing_log=log)
-    return pending_slots(exp, read_catalog(spark, catalog)).withColumn("decoded_again", F.lit(again.files).cast("bigint"))
+    return pending(spark, read_hour_maps(spark, catalog), as_of, start).withColumn("decoded_again", F.lit(again.files).cast("bigint"))
 
 
 @register("fractional_bars")
