@@ -15,6 +15,7 @@ from .plans.backfill import (  # noqa: F401
 )
 from .plans.load import load, slot_outcome  # noqa: F401
 from .plans.merge import merge_bars  # noqa: F401
+from .sources.barfiles import import_bar_files, read_bar_files  # noqa: F401
 from .sources.barstore import compact_store, read_store, write_store  # noqa: F401
 from .sources.catalog import read_catalog, read_hour_maps, write_catalog  # noqa: F401
 from .sources.instruments import instruments  # noqa: F401

@@ -165,6 +165,9 @@ ORACLE["pair_filter"] = qb(
 )
 ORACLE["bar_scan"] = qb(f"SELECT {STORE_COLS} FROM store1")
 ORACLE["merge_bars"] = qb(f"SELECT {STORE_COLS} FROM store2 WHERE NOT {BAD_SQL}")
+# the same rows by way of files of the other layout
+ORACLE["bar_files_scan"] = ORACLE["bar_scan"]
+ORACLE["bar_files_merge"] = ORACLE["merge_bars"]
 
 
 SLOT_PARTS_SQL = (

@@ -190,6 +190,37 @@ def q_merge_bars(spark, sf_dir):
     return read_store(spark, root)
 
 
+def _bar_files(spark, sf_dir):
+    """The first batch's store as files of one pair and year each."""
+    from ..session import scratch_path
+
+    root = scratch_path(spark, "bar-files")
+    FX.write_bar_files(QUERIES["bar_scan"](spark, sf_dir), root).write.parquet(f"{root}/_landed")
+    return root
+
+
+@register("bar_files_scan")
+def q_bar_files_scan(spark, sf_dir):
+    """A4: a store of the other layout (a file per pair and year, nanosecond times)."""
+    from ..sources.barfiles import read_bar_files
+
+    return read_bar_files(spark, _bar_files(spark, sf_dir))
+
+
+@register("bar_files_merge")
+def q_bar_files_merge(spark, sf_dir):
+    """That store imported, then the re-deliveries merged into it."""
+    from ..session import scratch_path
+    from ..sources.barfiles import import_bar_files
+    from ..sources.barstore import read_store
+    from .merge import merge_bars
+
+    root = scratch_path(spark, "bars")
+    import_bar_files(spark, _bar_files(spark, sf_dir), root)
+    merge_bars(spark, _batches(spark, sf_dir)[1], root, FX.KNOWLEDGE_TIME_2)
+    return read_store(spark, root)
+
+
 # ------------------------------------------------------------- slots/catalog
 
 QUOTA_MAX_HOURS = 100  # parameter of the registered slot queries

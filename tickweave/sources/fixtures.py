@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import floor_div
 from ..functions.prices import scale_ticks
+from ..schemas import STORED_BAR_SCHEMA
 from ..session import ensure_utc, from_utc_micros, ts_lit, utc_micros
 from .instruments import instruments
 
@@ -191,3 +192,27 @@ def fixture_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         ts_lit(as_of + dt.timedelta(hours=2)).alias("fetched_at"),
         F.lit(2).alias("update_seq"))
     return u1.unionByName(u2)
+
+
+def write_bar_files(bars: DataFrame, root: str) -> DataFrame:
+    """Stored bars as one Parquet file per pair and year with nanosecond times
+    (the other layout, sources/barfiles.py). A task holds one file's rows, as
+    the format fixes. Run an action on the result to write."""
+    columns = [f.name for f in STORED_BAR_SCHEMA.fields]
+
+    def write(key, pdf):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        pair, year = key
+        fs, base = pafs.FileSystem.from_uri(root)
+        fs.create_dir(f"{base}/{pair}", recursive=True)
+        kind = {"timestamp": pa.timestamp("ns", tz="UTC"), "knowledge_time": pa.timestamp("ns", tz="UTC"), "source": pa.string(), "bar_hash": pa.string()}
+        schema = pa.schema([(c, kind.get(c, pa.float64())) for c in columns])
+        rows = pa.Table.from_pandas(pdf.sort_values("timestamp")[columns], schema=schema, preserve_index=False)
+        pq.write_table(rows, f"{base}/{pair}/{pair}_{year}.parquet", filesystem=fs, compression="snappy", version="2.6")
+        return pd.DataFrame({"pair": [pair], "year": [int(year)], "n": [len(pdf)]})
+
+    return bars.groupBy("pair", "year").applyInPandas(write, "pair string, year int, n bigint")
