@@ -13,8 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import minutemaps as M
 from ..operators.bars import bars_valid, dedup_bars, stamp_bars
-from ..session import delete_path, ensure_utc, load_time, path_exists, written
+from ..session import delete_path, ensure_utc, load_time, written
 from .. import schemas
 from ..sources.barstore import partition_filter, read_store, write_store
 
@@ -38,7 +39,7 @@ def merge_bars(
     """Merge ``new_bars`` (BAR_SCHEMA) into the store at ``root``.
 
     Only the distinct (pair, year) list of the batch reaches the driver; it
-    bounds the partitions read and rewritten. Reading and overwriting the same
+    bounds the partitions listed, read and rewritten. Reading and overwriting the same
     partitions is safe in dynamic mode: the old files are replaced only at job
     commit, after every task finished (a retried task re-reads the originals).
     Empty input is a no-op. The batch gets one load time. ``materialize``
@@ -46,7 +47,9 @@ def merge_bars(
     list, the collision check and both writes read that copy; switch it off
     only for a batch that is a plain scan already.
 
-    Partitions that share no minute with the batch are appended to; stored
+    Partitions that share no minute with the batch are appended to, by the
+    minute maps kept beside the store (operators/minutemaps.py), which this
+    call brings up to date; no stored bar is read for them. Stored
     rows were validated when written, so the result equals a full rewrite for
     stores written here. Rewrites run before appends; after a crash between
     the two, a replay collides with its own rows and converges to the same
@@ -59,7 +62,8 @@ def merge_bars(
     new = new.withColumn("year", F.year("timestamp").cast("int"))
     if materialize:
         new = written(new, "merge-batch")
-    parts = [(r["pair"], int(r["year"])) for r in new.select("pair", "year").distinct().collect()]
+    batch_maps = written(M.minute_maps(new), "merge-minutes")
+    parts = sorted((r["pair"], int(r["year"])) for r in batch_maps.select("pair", "year").distinct().collect())
     if not parts:
         return MergeResult([], 0, 0)
 
@@ -71,15 +75,19 @@ def merge_bars(
     )
     # Which partitions already hold one of the batch's minutes? Only those
     # need the keep-first rewrite; the others just receive the batch's rows.
-    # Reads the timestamp column of the affected partitions only.
-    collide = set(parts) if force_rewrite else set()
-    if not force_rewrite and path_exists(spark, root):
+    # Asked of the minute maps; of the timestamps where no maps stand for the files.
+    there = M.file_digests(spark, root, parts)
+    stored_maps = M.kept_maps(spark, root, there)
+    hits, known = M.compare(batch_maps, stored_maps)
+    unknown = sorted(set(there) - known)
+    collide = set(parts) if force_rewrite else hits
+    if unknown and not force_rewrite:
         keys = ["pair", "year", "timestamp"]
-        stored_keys = read_store(spark, root).where(partition_filter(parts)).select(*keys)
+        stored_keys = read_store(spark, root).where(partition_filter(unknown)).select(*keys)
         # the batch is the build side (AQE broadcasts it when it is small, so
         # the stored timestamps are probed where they are read)
-        hits = stored_keys.join(incoming.select(*keys), keys, "left_semi").select("pair", "year").distinct()
-        collide = {(r["pair"], int(r["year"])) for r in hits.collect()}  # subset of ``parts``
+        found = stored_keys.join(incoming.select(*keys), keys, "left_semi").select("pair", "year").distinct()
+        collide |= {(r["pair"], int(r["year"])) for r in found.collect()}  # subset of ``parts``
     rewrite = [p for p in parts if p in collide]
     append = [p for p in parts if p not in collide]
     new_n = stored_n = 0
@@ -89,6 +97,10 @@ def merge_bars(
     if append:
         a = _append(root, incoming.where(partition_filter(append)))
         new_n, stored_n = new_n + a, stored_n + a
+    maps = stored_maps.select(*batch_maps.columns).unionByName(batch_maps)
+    if unknown:
+        maps = maps.where(~partition_filter(unknown)).unionByName(M.minute_maps(read_store(spark, root).where(partition_filter(unknown))))
+    M.write_maps(spark, root, maps, M.file_digests(spark, root, parts))
     return MergeResult(parts, new_n, stored_n)
 
 
