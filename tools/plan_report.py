@@ -45,14 +45,15 @@ def main(argv: list[str]) -> None:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     from tickweave.operators.bars import minute_bars
     from tickweave.operators.quality import qa_report
-    from tickweave.plans.load import bars_and_outcomes
+    from tickweave.plans.load import aggregated
     from tickweave.plans.registry import land_fixture_files, qa_store
     from tickweave.session import local_session
     from tickweave.sources import fixtures as FX
     from tickweave.sources.barstore import read_store
     from tickweave.sources.instruments import instruments
-    from tickweave.sources.tickfiles import list_tick_files
-    from tickweave.operators.slots import expected_slots, next_batch, pair_quota
+    from tickweave.sources.tickformat import tick_format
+    from tickweave.operators.hourmaps import next_batch, slot_maps
+    from tickweave.operators.slots import pair_quota
 
     spark = local_session()
     raw = land_fixture_files(spark, sf_dir)
@@ -60,12 +61,11 @@ def main(argv: list[str]) -> None:
     start, as_of = FX.fixture_range(spark, sf_dir)
     cat = FX.fixture_catalog(spark, sf_dir)
     plans = {
-        "load (decode + 1-minute bars, A1 + D1)": bars_and_outcomes(
-            list_tick_files(spark, raw, with_content=True), instruments(spark)),
+        "load (decode + 1-minute bars, A1 + D1)": aggregated(
+            tick_format(spark).load(raw).where("pair = 'EURUSD'"), instruments(spark)),
         "minute_bars over the events fixture (D1)": minute_bars(FX.fixture_ordered_ticks(spark, sf_dir)),
         "QA report over the stored bars (D14)": qa_report(read_store(spark, store), instruments(spark)),
-        "next_batch (C1 + E4)": next_batch(expected_slots(spark, as_of, start), cat,
-                                           pair_quota(instruments(spark), 100), 100),
+        "next_batch (C1 + E4)": next_batch(spark, slot_maps(cat), as_of, pair_quota(instruments(spark), 100), 100, start),
         "stored-bar scan with a pair filter (A4 + B11)": read_store(spark, store, ["EURUSD"]).select(
             "timestamp", "close"),
     }
@@ -82,8 +82,8 @@ def main(argv: list[str]) -> None:
                 "", "```", t.rstrip(), "```", ""]
     merge_note = [
         "## merge_bars (G3)", "",
-        "Stored timestamps of the batch's (pair, year) partitions (`PartitionFilters`, "
-        "timestamp-only `ReadSchema`) are semi-joined with the batch to find colliding "
+        "Minute maps of the batch and of the store are united by (pair, year, bucket) and their "
+        "bits counted to find colliding "
         "partitions. Colliding ones: union stored + new, partial `min_by` keep-first "
         "aggregate before one exchange, final aggregate, integrity filter, "
         "`rebalance(pair, year)` exchange, sorted dynamic-overwrite write. The others: the "
