@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prices import total_volume
-from ..functions.text import float_repr, hash_time_text
+from ..functions.text import float_reprs, hash_time_text
 from ..session import load_time, ts_lit
 from ..sources.instruments import DEFAULT_SOURCE
 
@@ -155,18 +155,12 @@ def bar_hash(ts="timestamp") -> Column:
 
     ``concat`` (not ``concat_ws``) so a NULL input gives a NULL hash.
     """
-    return F.sha2(
-        F.concat(
-            hash_time_text(ts), F.lit("|"),
-            float_repr("open"), F.lit("|"),
-            float_repr("high"), F.lit("|"),
-            float_repr("low"), F.lit("|"),
-            float_repr("close"), F.lit("|"),
-            float_repr("volume"), F.lit("|"),
-            F.col("source"),
-        ),
-        256,
+    values = F.aggregate(
+        float_reprs("open", "high", "low", "close", "volume"),
+        hash_time_text(ts),
+        lambda done, value: F.concat(done, F.lit("|"), value),
     )
+    return F.sha2(F.concat(values, F.lit("|"), F.col("source")), 256)
 
 
 def stamp_bars(bars: DataFrame, knowledge_time: dt.datetime | str | None = None) -> DataFrame:

@@ -20,8 +20,8 @@ _SCRATCH: dict[str, object] = {}
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``tickweave`` importable on executors (``addPyFile``), once per
-    application: the decoder and the float-text helper run in Python workers
-    and are pickled by module reference. Equivalent to ``--py-files``."""
+    application: the decoder runs in Python workers
+    and is pickled by module reference. Equivalent to ``--py-files``."""
     import zipfile
 
     sc = spark.sparkContext
