@@ -1,0 +1,66 @@
+"""The QA report from kept pair-days: equal to a full pass, reading only what changed."""
+
+import datetime as dt
+
+import tickweave.operators.daytable as D
+from conftest import rows
+from tickweave.operators.quality import flatten_report, qa_report
+from tickweave.plans.backfill import validate_kept
+from tickweave.plans.merge import merge_bars
+from tickweave.schemas import BAR_SCHEMA
+from tickweave.session import delete_path, scratch_path
+from tickweave.sources.barstore import compact_store, read_store
+from tickweave.sources.instruments import instruments
+
+T = dt.datetime(2024, 3, 4, 8)
+KT = dt.datetime(2024, 6, 1)
+
+
+def bars(spark, hours, pair="EURUSD", price=1.0):
+    at = [T + dt.timedelta(hours=h, minutes=m) for h in hours for m in (0, 1, 9)]
+    price_at = lambda i: price * (1.2 if i % 4 == 3 else 1.0)  # noqa: E731 - some spikes
+    return spark.createDataFrame(
+        [(pair, t, t, price_at(i), price_at(i) + 0.1, price_at(i) - 0.1, price_at(i), float(i % 3), "s") for i, t in enumerate(at)], BAR_SCHEMA)
+
+
+def same(spark, root):
+    full = flatten_report(qa_report(read_store(spark, root), instruments(spark)))
+    kept = flatten_report(validate_kept(spark, root))
+    assert rows(kept, *full.columns) == rows(full, *full.columns)
+
+
+def test_kept_days_follow_every_change_of_the_store(spark, monkeypatch):
+    root = scratch_path(spark, "t-days")
+    merge_bars(spark, bars(spark, range(0, 72, 2)).unionByName(bars(spark, [-9000, 0, 30], "USDJPY", 150.0)), root, KT)
+    first = D.refresh_days(spark, root)
+    assert first == {"extended": [], "remade": [("EURUSD", 2024), ("USDJPY", 2023), ("USDJPY", 2024)], "dropped": []}
+    same(spark, root)
+    assert D.refresh_days(spark, root) == {"extended": [], "remade": [], "dropped": []}
+
+    # one day more of one pair: nothing else is read
+    merge_bars(spark, bars(spark, [25, 27]), root, KT)
+    read = []
+    lagged = D.lagged_rows
+    monkeypatch.setattr(D, "lagged_rows", lambda b: read.append(b) or lagged(b))
+    assert D.refresh_days(spark, root)["extended"] == [("EURUSD", 2024)]
+    monkeypatch.undo()
+    assert {(r["pair"], r["d"]) for r in read[-1].selectExpr("pair", "to_date(timestamp) d").collect()} == {("EURUSD", dt.date(2024, 3, 5))}
+    assert "GreaterThanOrEqual(timestamp" in read[-1]._jdf.queryExecution().executedPlan().treeString()
+    same(spark, root)
+
+    # a rewrite, a compaction, a partition that goes
+    merge_bars(spark, bars(spark, [0, 100]), root, KT)
+    assert D.refresh_days(spark, root)["remade"] == [("EURUSD", 2024)]
+    same(spark, root)
+    merge_bars(spark, bars(spark, [61]), root, KT)
+    assert compact_store(spark, root, min_files=2)
+    same(spark, root)
+    delete_path(spark, f"{root}/pair=USDJPY/year=2023")
+    assert D.refresh_days(spark, root)["dropped"] == [("USDJPY", 2023)]
+    same(spark, root)
+
+
+def test_empty_store(spark):
+    root = scratch_path(spark, "t-none")
+    assert D.refresh_days(spark, root) == {"extended": [], "remade": [], "dropped": []}
+    assert {r["status"] for r in validate_kept(spark, root).collect()} == {"no_data"}

@@ -11,7 +11,7 @@ from .operators.slots import (  # noqa: F401
 from .operators.status import pair_status, run_counts, slot_counts, status_rollup, storage_size  # noqa: F401
 from .plans.backfill import (  # noqa: F401
     ingest, ingest_files, ingest_paths, plan_worklist, progress_totals, save_qa_report, status_report, storage_usage,
-    validate,
+    validate, validate_kept,
 )
 from .plans.load import load, slot_outcome  # noqa: F401
 from .plans.merge import merge_bars  # noqa: F401

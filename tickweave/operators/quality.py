@@ -237,7 +237,12 @@ def spike_examples(pairs: DataFrame) -> DataFrame:
 def qa_report(bars: DataFrame, inst: DataFrame, strict_gaps: bool = False) -> DataFrame:
     """One row per configured pair with every check nested; pairs with
     no bars get ``status = 'no_data'`` (C4)."""
-    per_pair = inst.select("pair", "pair_ord").join(pair_checks(bars, strict_gaps), "pair", "left")
+    return report_of(pair_checks(bars, strict_gaps), inst)
+
+
+def report_of(pairs: DataFrame, inst: DataFrame) -> DataFrame:
+    """D14 from the pair table (``pair_summary``)."""
+    per_pair = inst.select("pair", "pair_ord").join(pairs, "pair", "left")
     gap_list = F.transform("gx", lambda g: F.struct(
         iso_utc(g["from_ts"]).alias("from"), iso_utc(g["to_ts"]).alias("to"), g["minutes"].alias("minutes")))
     spike_list = F.transform("sx", lambda x: F.struct(

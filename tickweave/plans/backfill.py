@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..operators import hourmaps as H
 from ..operators import slots as S
-from ..operators.quality import qa_report, qa_report_document
+from ..operators.daytable import kept_days, refresh_days
+from ..operators.quality import pair_summary, qa_report, qa_report_document, report_of
 from ..operators.status import pair_status, status_rollup
 from ..session import ensure_utc, load_time, path_exists, ts_lit, written
 from ..sources.barstore import partition_filter, read_store
@@ -228,6 +229,13 @@ def validate(spark: SparkSession, store_root: str, pairs: list[str] | None = Non
     return qa_report(read_store(spark, store_root, pairs), instruments(spark, pairs))
 
 
+def validate_kept(spark: SparkSession, store_root: str, pairs: list[str] | None = None) -> DataFrame:
+    """The QA report from the pair-days kept beside the store, which this
+    brings up to date first: only days that changed since are read."""
+    refresh_days(spark, store_root)
+    return report_of(pair_summary(kept_days(spark, store_root)), instruments(spark, pairs))
+
+
 def save_qa_report(report: DataFrame, path: str, generated_at: dt.datetime | None = None) -> None:
     """The QA report saved as one JSON document (a single text row)."""
     stamp = ts_lit(generated_at) if generated_at is not None else F.current_timestamp()

@@ -493,6 +493,7 @@ LEFT JOIN sx ON sx.pair = i.pair
 LEFT JOIN src ON src.pair = i.pair
 LEFT JOIN yr ON yr.pair = i.pair
 """)
+ORACLE["qa_report_kept"] = ORACLE["qa_report"]  # however the days were made
 ORACLE["qa_report_json"] = (
     "SELECT *, strftime(TIMESTAMP '" + KNOWLEDGE_TIME_2 + "', '%Y-%m-%dT%H:%M:%S.%f+00:00') AS generated_at FROM ("
     + ORACLE["qa_report"] + ")"

@@ -529,6 +529,25 @@ def q_qa_report(spark, sf_dir):
     return flatten_report(qa_report(read_store(spark, qa_store(spark, sf_dir)), instruments(spark)))
 
 
+@register("qa_report_kept")
+def q_qa_report_kept(spark, sf_dir):
+    """D14 from pair-days kept beside the store: made for most of the bars,
+    then brought up to date after the afternoons of every seventh day came."""
+    from ..operators.daytable import refresh_days
+    from ..operators.quality import flatten_report
+    from ..session import scratch_path, written
+    from ..sources.barstore import write_store
+    from .backfill import validate_kept
+
+    bars = written(qa_fixture(spark, sf_dir), "qa-fixture")
+    later = (F.pmod(F.dayofyear("timestamp"), F.lit(7)) == 0) & (F.hour("timestamp") >= 12)
+    root = scratch_path(spark, "qa-kept")
+    write_store(bars.where(~later), root)
+    refresh_days(spark, root)
+    write_store(bars.where(later), root, mode="append")
+    return flatten_report(validate_kept(spark, root))
+
+
 @register("qa_report_json")
 def q_qa_report_json(spark, sf_dir):
     """The report saved as one JSON document, read back with a schema and
